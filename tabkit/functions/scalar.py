@@ -63,3 +63,9 @@ def run_id_col(ts_col) -> Column:
 def name_from_value_py(value: str) -> str:
     """Driver-side twin of :func:`name_from_value` for fitted level lists."""
     return value.lower().replace(" ", "_").replace("/", "_")
+
+
+def strip_ws(col) -> Column:
+    """Remove leading and trailing whitespace (blanks, tabs, line breaks),
+    like Python's ``str.strip``; ``F.trim`` removes blanks only."""
+    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.functions.scalar import name_from_value, name_from_value_py
+from tabkit.functions.scalar import name_from_value, name_from_value_py, strip_ws
 
 MAX_LEVELS = 1000
 # Above this many levels an index is attached by a broadcast join instead of
@@ -182,10 +182,10 @@ def flatten_lists(df: DataFrame, cols: list[str] | None = None, sep: str = ", ")
 
 
 def explode_tokens(df: DataFrame, col: str, sep: str = ",", out_col: str = "token") -> DataFrame:
-    """Split text on ``sep``, trim each piece, one row per piece (nulls
+    """Split text on ``sep``, strip whitespace around each piece, one row per piece (nulls
     dropped first)."""
     return (df.where(F.col(col).isNotNull())
-            .withColumn(out_col, F.explode(F.transform(F.split(F.col(col), sep), F.trim))))
+            .withColumn(out_col, F.explode(F.transform(F.split(F.col(col), sep), strip_ws))))
 
 
 def align_columns(df: DataFrame, train_cols: list[str], fill=0) -> DataFrame:

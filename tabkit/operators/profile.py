@@ -102,13 +102,16 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=DESCRIBE_PROBS,
                .withColumn("pos", F.col("prob") * (F.col("n") - 1))
                .withColumn("r_lo", F.floor("pos")).withColumn("r_hi", F.ceil("pos"))
                .withColumn("frac", F.col("pos") - F.col("r_lo")))
-    ranks = targets.select("column", "prob", F.explode(F.array("r_lo", "r_hi")).alias("r")).distinct()
+    ranks = targets.select(F.col("column").alias("t_col"), F.col("prob").alias("t_prob"),
+                           F.explode(F.array("r_lo", "r_hi")).alias("r")).distinct()
     hit = (pref.join(F.broadcast(ranks),
-                     (pref["column"] == ranks["column"]) & (pref["cum_cnt"] - pref["cnt"] <= ranks["r"])
-                     & (ranks["r"] < pref["cum_cnt"]))
-           .select(ranks["column"], ranks["prob"], ranks["r"], pref["v"]))
-    lo = hit.withColumnRenamed("r", "r_lo").withColumnRenamed("v", "v_lo")
-    hi = hit.withColumnRenamed("r", "r_hi").withColumnRenamed("v", "v_hi")
+                     (F.col("column") == F.col("t_col")) & (F.col("cum_cnt") - F.col("cnt") <= F.col("r"))
+                     & (F.col("r") < F.col("cum_cnt")))
+           .select("t_col", "t_prob", "r", "v"))
+    lo = hit.select(F.col("t_col").alias("column"), F.col("t_prob").alias("prob"),
+                    F.col("r").alias("r_lo"), F.col("v").alias("v_lo"))
+    hi = hit.select(F.col("t_col").alias("column"), F.col("t_prob").alias("prob"),
+                    F.col("r").alias("r_hi"), F.col("v").alias("v_hi"))
     return (targets.join(lo, ["column", "prob", "r_lo"]).join(hi, ["column", "prob", "r_hi"])
             .select("column", "prob",
                     (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value")))
@@ -271,9 +274,9 @@ def box_stats(df: DataFrame, cols: list[str], method: str = "exact") -> DataFram
     """Per column q1, median, q3, iqr, whiskers (the most extreme data
     points within 1.5 IQR of the box) and the outlier count."""
     q = quantiles(df, cols, (0.25, 0.5, 0.75), method)
-    qw = q.groupBy("column").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value"))
-    qw = qw.select("column", F.col("0.25").alias("q1"), F.col("0.5").alias("median"),
-                   F.col("0.75").alias("q3")).withColumn("iqr", F.col("q3") - F.col("q1"))
+    qw = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
+                                   for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
     long = _long_values(df, cols)
     lo_f = F.col("q1") - WHISKER * F.col("iqr")
     hi_f = F.col("q3") + WHISKER * F.col("iqr")
@@ -325,3 +328,30 @@ def prediction_summary(df: DataFrame, col: str) -> DataFrame:
     """(rows, nulls, mean) of a prediction column in one aggregate."""
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(col).isNull()).alias("nulls"),
                   F.avg(col).alias("mean"))
+
+
+def sequence_counts(df: DataFrame, group_col: str, pos_col: str, value_col: str,
+                    n: int = 10, decimals: int = 4) -> DataFrame:
+    """A9 over long data: the ``n`` most frequent whole sequences, where a
+    sequence is the ``value_col`` of one group read in ``pos_col`` order.
+
+    No group is ever gathered to count: each group is reduced to a
+    fingerprint (its length and the exact decimal sum of
+    ``xxhash64(pos, value)``, order-aware through ``pos``), the
+    fingerprints are counted, and only the ``n`` winning sequences are
+    materialised -- each from one representative group -- because they are
+    the output.  Ties on count are broken by (length, fingerprint).
+    """
+    h = F.xxhash64(F.col(pos_col), F.col(value_col)).cast("decimal(20,0)")
+    per = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__len"), F.sum(h).alias("__fp"))
+    total = per.agg(F.count(F.lit(1)).alias("__n"))
+    combos = per.groupBy("__len", "__fp").agg(F.count(F.lit(1)).alias("count"),
+                                              F.min(group_col).alias("__rep"))
+    top = combos.orderBy(F.desc("count"), "__len", "__fp").limit(n)
+    reps = df.join(F.broadcast(top.select(F.col("__rep").alias(group_col))), group_col, "left_semi")
+    seq = reps.groupBy(group_col).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos_col).alias("p"),
+                                                         F.col(value_col).alias("v")))),
+                    lambda s: s["v"]).alias("combo"))
+    return (top.join(seq, top["__rep"] == seq[group_col]).crossJoin(F.broadcast(total))
+            .select("combo", "count", F.round(F.col("count") * 100.0 / F.col("__n"), decimals).alias("pct")))
