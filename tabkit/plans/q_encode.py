@@ -93,7 +93,7 @@ def q_flatten_lists(spark, sf):
     return E.flatten_lists(c, ["lines"])
 
 
-@query("explode_tokens", "E8", sql="""
+@query("explode_tokens", "E8", sql=r"""
 SELECT doc_id, count(*) AS n_tokens, CAST(sum(length(regexp_replace(tok, '^\s+|\s+$', '', 'g'))) AS BIGINT) AS token_chars
 FROM (SELECT doc_id, unnest(string_split(text, ',')) AS tok FROM documents) GROUP BY doc_id""")
 def q_explode_tokens(spark, sf):

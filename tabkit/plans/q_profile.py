@@ -93,7 +93,7 @@ def q_skewness(spark, sf):
     return s.select("column", r("skewness").alias("skewness"))
 
 
-@query("token_counts", "A8,E8", bench=True, sql="""
+@query("token_counts", "A8,E8", bench=True, sql=r"""
 SELECT regexp_replace(tok, '^\s+|\s+$', '', 'g') AS token, count(*) AS count
 FROM (SELECT unnest(string_split(text, ',')) AS tok FROM documents WHERE text IS NOT NULL) GROUP BY 1""")
 def q_token_counts(spark, sf):
