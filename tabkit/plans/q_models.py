@@ -1 +1,256 @@
-"""Registered queries."""
+"""Registered queries: model training, search, stacking and scoring
+(L1-L19, R5).  Model outputs have no SQL form, so these are rows-only
+checks (invariants are asserted in ``tests/test_models.py``); the fixed
+dense network (L14) is a pure function and has an exact oracle.
+
+Training sets (all derived from the driver tables, whole tables):
+
+* price:   lineitem x part -> l_extendedprice (regression)
+* orders:  orders x customer x per-order lineitem aggregates -> fulfilled (binary)
+* quality: labels x documents text statistics -> quality (binary)
+
+Iteration counts in these queries are smaller than the operators' defaults
+(which keep the reference's values) so that the whole registry runs in
+minutes on one machine; every query still reads its whole tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabkit.operators import metrics as K
+from tabkit.operators import models as L
+from tabkit.operators.split import assign_split, class_weights
+from tabkit.plans.common import SEED, t
+from tabkit.plans.registry import query
+
+PRICE_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+ORDER_FEATURES = ["o_totalprice", "priority", "c_acctbal", "n_lines", "avg_discount", "avg_quantity"]
+QUALITY_FEATURES = ["n_chars", "n_lines", "n_words", "digit_share", "upper_share", "is_en"]
+
+
+def _price(spark, sf):
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                         "l_discount", "l_tax", "l_extendedprice")
+    p = t(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size")
+    d = li.join(p, li.l_partkey == p.p_partkey)
+    d = d.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), *PRICE_FEATURES,
+                 "l_extendedprice")
+    return assign_split(d, "id", 0.25, SEED)
+
+
+def _orders(spark, sf):
+    from tabkit.operators.encode import encode_ordered
+    o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
+                                      "o_orderstatus")
+    c = t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
+    li = (t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+          .agg(F.count(F.lit(1)).cast("double").alias("n_lines"), F.avg("l_discount").alias("avg_discount"),
+               F.avg("l_quantity").alias("avg_quantity")))
+    d = o.join(c, "o_custkey").join(li, "o_orderkey", "left")
+    d = encode_ordered(d, {"o_orderpriority": ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]})
+    d = d.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").cast("double").alias("priority"),
+                 "o_totalprice", "c_acctbal", F.coalesce("n_lines", F.lit(0.0)).alias("n_lines"),
+                 F.coalesce("avg_discount", F.lit(0.0)).alias("avg_discount"),
+                 F.coalesce("avg_quantity", F.lit(0.0)).alias("avg_quantity"),
+                 (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+    return assign_split(d, "id", 0.25, SEED)
+
+
+def _quality(spark, sf):
+    lab = t(spark, sf, "labels").select("doc_id", "quality")
+    doc = t(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    d = lab.join(doc, "doc_id")
+    n = F.greatest(F.length("text"), F.lit(1)).cast("double")
+    d = d.select(F.col("doc_id").alias("id"), F.col("n_chars").cast("double").alias("n_chars"),
+                 F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+                 F.size(F.split(F.trim("text"), r"\s+")).cast("double").alias("n_words"),
+                 (F.length(F.regexp_replace("text", "[^0-9]", "")) / n).alias("digit_share"),
+                 (F.length(F.regexp_replace("text", "[^A-Z]", "")) / n).alias("upper_share"),
+                 (F.col("lang") == "en").cast("double").alias("is_en"),
+                 F.col("quality").cast("double").alias("label"))
+    return assign_split(d, "id", 0.2, SEED)
+
+
+def _train(d):
+    return d.where(F.col("split") == "train")
+
+
+def _test(d):
+    return d.where(F.col("split") == "test")
+
+
+@query("gbt_regressor", "L1,L18")
+def q_gbt_regressor(spark, sf):
+    d = _price(spark, sf)
+    m = L.train_gbt_regressor(_train(d), PRICE_FEATURES, "l_extendedprice", {"n_estimators": 30, "learning_rate": 0.1})
+    return m.transform(_test(d)).select("id", "l_extendedprice", "prediction")
+
+
+@query("rf_regressor", "L2")
+def q_rf_regressor(spark, sf):
+    d = _price(spark, sf)
+    m = L.train_rf_regressor(_train(d), PRICE_FEATURES, "l_extendedprice", num_trees=20, max_depth=8)
+    return m.transform(_test(d)).select("id", "l_extendedprice", "prediction")
+
+
+@query("gbt_classifier_auc", "L3,K6")
+def q_gbt_classifier_auc(spark, sf):
+    d = _orders(spark, sf)
+    m = L.train_gbt_classifier(_train(d), ORDER_FEATURES, "label", {"n_estimators": 30, "learning_rate": 0.1})
+    scored = L.positive_probability(m.transform(_test(d)))
+    return K.roc_auc(scored, "label", "p1")
+
+
+@query("rf_classifier", "L4,E9,K4")
+def q_rf_classifier(spark, sf):
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_orderpriority", "o_totalprice",
+                                      (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+    d = assign_split(o, "id", 0.25, SEED)
+    m = L.train_rf_classifier(_train(d), ["o_orderpriority"], ["o_totalprice"], "label", num_trees=20, max_depth=6)
+    return K.accuracy(m.transform(_test(d)), "label", "prediction")
+
+
+@query("ridge_cv", "L5,R3")
+def q_ridge_cv(spark, sf):
+    d = _price(spark, sf)
+    _, scores = L.train_ridge_cv(_train(d), PRICE_FEATURES, "l_extendedprice", "id", k=3)
+    return scores
+
+
+@query("lasso_cv", "L6,R3")
+def q_lasso_cv(spark, sf):
+    d = _price(spark, sf)
+    _, scores = L.train_lasso_cv(_train(d), PRICE_FEATURES, "l_extendedprice", "id", n_alphas=5, k=3)
+    return scores
+
+
+@query("stacking_auc", "L7,R5,L5,L6,V4,K6")
+def q_stacking_auc(spark, sf):
+    d = _quality(spark, sf)
+    feats = QUALITY_FEATURES
+    bases = {
+        "ridge": L.spark_learner(lambda tr: L.train_ridge_cv(tr, feats, "label", "id", k=3)[0]),
+        "lasso": L.spark_learner(lambda tr: L.train_lasso_cv(tr, feats, "label", "id", n_alphas=5, k=3)[0]),
+        "knn": L.knn_learner("id", feats, "label", k=20),
+    }
+    stack = L.train_stack(_train(d), bases, "label", "id", k=3)
+    return K.roc_auc(stack.transform(_test(d)), "label", "prediction")
+
+
+@query("rbf_regressor_auc", "L8,N2,K6")
+def q_rbf_regressor_auc(spark, sf):
+    d = _quality(spark, sf)
+    m = L.train_rbf_regressor(_train(d), QUALITY_FEATURES, "label", gamma=0.01, n_components=50)
+    return K.roc_auc(m.transform(_test(d)), "label", "prediction")
+
+
+@query("random_search", "L9,L1,R3")
+def q_random_search(spark, sf):
+    d = _price(spark, sf)
+    grid = {"n_estimators": [10, 20], "max_depth": [3, 4, 5], "learning_rate": [0.1, 0.3],
+            "subsample": [0.6, 1.0]}
+    _, draws = L.random_search(_train(d), PRICE_FEATURES, "l_extendedprice", "id", grid, n_iter=3, k=3)
+    return draws
+
+
+@query("feature_importance", "L10,T1")
+def q_feature_importance(spark, sf):
+    d = _price(spark, sf)
+    m = L.train_gbt_regressor(_train(d), PRICE_FEATURES, "l_extendedprice", {"n_estimators": 20, "learning_rate": 0.1})
+    return L.feature_importance(m, PRICE_FEATURES)
+
+
+@query("importance_study", "L11,R4,A16")
+def q_importance_study(spark, sf):
+    d = _orders(spark, sf)
+    long = L.importance_study(d, ORDER_FEATURES, "label", "id", n=4, frac=0.4,
+                              params={"n_estimators": 10, "max_depth": 3})
+    return L.importance_summary(long)
+
+
+@query("staged_error", "L12,L3")
+def q_staged_error(spark, sf):
+    d = _orders(spark, sf)
+    m = L.train_gbt_classifier(_train(d), ORDER_FEATURES, "label", {"n_estimators": 20, "max_depth": 5,
+                                                                    "learning_rate": 0.1})
+    return L.staged_error(m, _train(d), _test(d))
+
+
+@query("cv_report", "L13,R3,K4,K6,S8")
+def q_cv_report(spark, sf):
+    d = _orders(spark, sf)
+    return L.cv_report(d, ORDER_FEATURES, "label", "id", k=3, params={"n_estimators": 10, "learning_rate": 0.1})
+
+
+# A fixed 4-3-1 network with a sigmoid output (values chosen for this query) on
+# standardised lineitem columns.
+_NET_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_NET_MEAN = [25.5, 38000.0, 0.05, 0.04]
+_NET_STD = [14.4, 23000.0, 0.032, 0.026]
+_NET_W1 = [[0.5, -0.25, 0.1], [0.3, 0.8, -0.6], [-0.7, 0.2, 0.4], [0.05, -0.3, 0.9]]
+_NET_B1 = [0.1, -0.2, 0.05]
+_NET_W2 = [[1.2], [-0.7], [0.45]]
+_NET_B2 = [0.3]
+
+
+def _net_sql() -> str:
+    z = [f"(({c} - {m}) / {s})" for c, m, s in zip(_NET_FEATURES, _NET_MEAN, _NET_STD)]
+    hidden = []
+    for j in range(3):
+        terms = " + ".join(f"{z[i]} * ({_NET_W1[i][j]})" for i in range(4))
+        hidden.append(f"greatest({terms} + ({_NET_B1[j]}), 0.0)")
+    out = " + ".join(f"{h} * ({_NET_W2[j][0]})" for j, h in enumerate(hidden))
+    return f"1.0 / (1.0 + exp(-({out} + ({_NET_B2[0]}))))"
+
+
+@query("score_dense", "L14", sql=f"""
+SELECT l_orderkey, l_linenumber, round({_net_sql()}, 6) AS score FROM lineitem""")
+def q_score_dense(spark, sf):
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *_NET_FEATURES)
+    out = L.score_dense(li, _NET_FEATURES, [(_NET_W1, _NET_B1), (_NET_W2, _NET_B2)], _NET_MEAN, _NET_STD,
+                        final="sigmoid")
+    return out.select("l_orderkey", "l_linenumber", F.round("score", 6).alias("score"))
+
+
+@query("early_stopping", "L15")
+def q_early_stopping(spark, sf):
+    d = _price(spark, sf).withColumn("is_val", F.col("split") == "test")
+    m = L.train_with_validation(d, PRICE_FEATURES, "l_extendedprice", "is_val",
+                                {"n_estimators": 200, "learning_rate": 0.3}, tol=0.01)
+    gbt = m.stages[-1]
+    return spark.createDataFrame([(int(gbt.getNumTrees), 200)], "trees_used int, max_trees int")
+
+
+@query("mlp_classifier", "L16,R6,N2,K4,K8")
+def q_mlp_classifier(spark, sf):
+    from tabkit.operators.scale import apply_standard
+    d = _orders(spark, sf)
+    train = class_weights(_train(d), "label")
+    m, std = L.train_mlp_classifier(train, ORDER_FEATURES, "label", "id", weight_col="weight", max_iter=30)
+    scored = L.positive_probability(m.transform(apply_standard(_test(d), std)))
+    return scored.agg(K.accuracy_col("label", "prediction").alias("accuracy"),
+                      K.log_loss_col("label", "p1").alias("log_loss"))
+
+
+@query("pipeline_submit", "L17,L18,S4,M3")
+def q_pipeline_submit(spark, sf):
+    from pyspark.ml.feature import Imputer
+    from pyspark.ml.regression import GBTRegressor
+    from tabkit.sources.io import scratch_dir
+    d = _price(spark, sf)
+    pipe = L.make_pipeline([Imputer(inputCols=PRICE_FEATURES, outputCols=PRICE_FEATURES, strategy="mean"),
+                            L.assembler(PRICE_FEATURES),
+                            GBTRegressor(featuresCol="features", labelCol="l_extendedprice", maxIter=10,
+                                         stepSize=0.3, seed=SEED)])
+    return L.fit_predict_submit(_train(d), _test(d), pipe, "id", scratch_dir(spark, "l18-submission"))
+
+
+@query("select_best", "L19,L12")
+def q_select_best(spark, sf):
+    from tabkit.sources.io import scratch_dir
+    d = _orders(spark, sf)
+    m = L.train_gbt_classifier(_train(d), ORDER_FEATURES, "label", {"n_estimators": 15, "learning_rate": 0.1})
+    curve = L.staged_error(m, _train(d), _test(d)).withColumnRenamed("iteration", "run_id")
+    L.save_model(m, scratch_dir(spark, "l19-model"))
+    return L.select_best(curve, "valid_loss", mode="min")
