@@ -146,6 +146,14 @@ def fit_multi_hot(df: DataFrame, array_col: str, prefix: str | None = None,
     return MultiHotParams(p, dict(sorted(names.items())))
 
 
+def _member_of(values: tuple):
+    """One-argument predicate for higher-order functions (Spark inspects the
+    arity, so extra default arguments are not allowed)."""
+    def pred(x: Column) -> Column:
+        return x.isin(*values)
+    return pred
+
+
 def apply_multi_hot(df: DataFrame, array_col: str, params: MultiHotParams,
                     drop_source: bool = False) -> DataFrame:
     """E5 apply: one 0/1 column per element name (``array_contains``)."""
@@ -154,7 +162,7 @@ def apply_multi_hot(df: DataFrame, array_col: str, params: MultiHotParams,
         if len(vals) == 1:
             hit = F.array_contains(F.col(array_col), F.lit(vals[0]))
         else:
-            hit = F.exists(F.col(array_col), lambda x, vs=tuple(vals): x.isin(*vs))
+            hit = F.exists(F.col(array_col), _member_of(tuple(vals)))
         exprs[n] = F.coalesce(hit, F.lit(False)).cast("int")
     out = df.withColumns(exprs)
     return out.drop(array_col) if drop_source else out

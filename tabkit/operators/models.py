@@ -373,10 +373,12 @@ def staged_error(model: PipelineModel, train: DataFrame, valid: DataFrame,
     gbt = _tree_stage(model)
     asm = model.stages[0]
     tr, va = asm.transform(train), asm.transform(valid)
-    if loss is None:
-        te, ve = gbt.evaluateEachIteration(tr), gbt.evaluateEachIteration(va)
-    else:
+    from pyspark.ml.regression import GBTRegressionModel
+    if isinstance(gbt, GBTRegressionModel):
+        loss = loss or gbt.getLossType()
         te, ve = gbt.evaluateEachIteration(tr, loss), gbt.evaluateEachIteration(va, loss)
+    else:
+        te, ve = gbt.evaluateEachIteration(tr), gbt.evaluateEachIteration(va)
     spark = train.sparkSession
     return spark.createDataFrame([(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(te, ve))],
                                  "iteration int, train_loss double, valid_loss double")

@@ -75,8 +75,11 @@ def attach_by_key(left: DataFrame, right: DataFrame, id_col: str, how: str = "in
     if check_unique:
         w = Window.partitionBy(id_col)
         n = F.count(F.lit(1)).over(w)
-        right = right.withColumn("__dup", F.assert_true(n == 1, f"duplicate key in {id_col}")) \
-            .drop("__dup")
+        # a filter (not a dropped column, which column pruning would remove)
+        # keeps the assertion in the plan; it passes every row or fails
+        right = (right.withColumn("__n", n)
+                 .where(F.assert_true(F.col("__n") == 1, f"duplicate key in {id_col}").isNull())
+                 .drop("__n"))
     return left.join(right, id_col, how)
 
 

@@ -93,7 +93,7 @@ def explode_pages(pages: DataFrame, page_col: str, body_col: str, item_schema,
     text = F.coalesce(F.col("p.message"), F.col("p.error"), F.col("body"))
     errors = parsed.where(~has_data).select(
         "page",
-        F.when(F.col("p").isNull(), F.lit("unparseable"))
+        F.when(F.json_object_keys(F.col("body")).isNull(), F.lit("unparseable"))
          .when(text.rlike(rate_limit_pattern), F.lit("rate_limited"))
          .otherwise(F.lit("error")).alias("kind"),
         text.alias("detail"))
