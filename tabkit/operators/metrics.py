@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabkit.functions.frames import with_scalars
 from tabkit.functions.prefix import ordered_prefix_sums
 
 # Fixed value: probability clipping of the binary cross-entropy.
@@ -92,7 +93,7 @@ def roc_curve(df: DataFrame, y: str, score: str, thin: bool = False) -> DataFram
     counts = counts.withColumn("one", F.lit(1).cast("bigint"))
     pref = ordered_prefix_sums(counts, "score", ["pos", "neg", "one"], descending=True)
     tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("K"))
-    pts = pref.crossJoin(F.broadcast(tot)).select(
+    pts = pref.transform(with_scalars(tot)).select(
         "score", "pos", "neg", F.col("cum_one").alias("rank"), "K",
         F.try_divide(F.col("cum_neg").cast("double"), F.col("N").cast("double")).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), F.col("P").cast("double")).alias("tpr"))
@@ -168,4 +169,5 @@ def classification_report(df: DataFrame, y: str, score: str, t: float = 0.5) ->
     """K4 + K6 + K7 + K8 in two passes (one aggregate, one AUC)."""
     pred = (_d(score) > F.lit(t)).cast("double")
     first = df.agg(accuracy_col(y, pred).alias("accuracy"), log_loss_col(y, score).alias("log_loss"))
-    return first.crossJoin(roc_auc(df, y, score)).crossJoin(precision_recall(df, y, score, t))
+    return (first.transform(with_scalars(roc_auc(df, y, score)))
+            .transform(with_scalars(precision_recall(df, y, score, t))))

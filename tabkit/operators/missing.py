@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabkit.functions.frames import with_scalars
 from tabkit.operators.columns import columns_by_type
 
 
@@ -47,7 +48,7 @@ def fill_mean(df: DataFrame, cols: list[str]) -> DataFrame:
     one row whatever the data size.
     """
     means = df.agg(*[F.avg(c).alias(f"__mean_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(means))
+    out = df.transform(with_scalars(means))
     return out.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__mean_{c}")).alias(c)
                         if c in cols else F.col(c) for c in df.columns])
 
@@ -88,7 +89,7 @@ def complete_predictions(ids: DataFrame, preds: DataFrame, id_col: str,
     prediction.  Left join on the key plus a one-row broadcast of the mean."""
     mean = preds.agg(F.avg(pred_col).alias("__mean"))
     joined = ids.select(id_col).join(preds.select(id_col, pred_col), id_col, "left")
-    return (joined.crossJoin(F.broadcast(mean))
+    return (joined.transform(with_scalars(mean))
             .select(id_col, F.coalesce(F.col(pred_col).cast("double"), F.col("__mean")).alias(pred_col)))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabkit.functions.frames import fetch_row, with_scalars
 from tabkit.functions.prefix import add_buckets, prefix_sums_long
 from tabkit.functions.scalar import label_from_name
 from tabkit.functions.stats import null_safe_corr, sample_skewness
@@ -46,7 +47,7 @@ def value_share(df: DataFrame, col: str, decimals: int = 4) -> DataFrame:
     denominator.  The total is a one-row broadcast."""
     total = df.agg(F.count(F.lit(1)).alias("__n"))
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    return (counts.crossJoin(F.broadcast(total))
+    return (counts.transform(with_scalars(total))
             .select(col, "count", F.round(F.col("count") * 100.0 / F.col("__n"), decimals).alias("pct"))
             .orderBy(F.desc("count"), F.asc(col)))
 
@@ -171,7 +172,7 @@ def combo_counts(df: DataFrame, array_col: str, n: int = 10, decimals: int = 4)
     total = df.agg(F.count(F.lit(1)).alias("__n"))
     counts = df.groupBy(F.col(array_col).alias("combo")).agg(F.count(F.lit(1)).alias("count"))
     top = counts.orderBy(F.desc("count"), F.to_json("combo")).limit(n)
-    return top.crossJoin(F.broadcast(total)).select(
+    return top.transform(with_scalars(total)).select(
         "combo", "count", F.round(F.col("count") * 100.0 / F.col("__n"), decimals).alias("pct"))
 
 
@@ -218,19 +219,24 @@ def target_correlation(df: DataFrame, cols: list[str], target: str) -> DataFrame
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width histogram over [min, max]; the max falls in the last
-    bin.  Every bin is listed (zero counts too): (bin, lo, hi, count)."""
+    bin.  Every bin is listed (zero counts too): (bin, lo, hi, count).
+
+    min/max are fitted in one aggregate and inlined as literals; the counts
+    are one grouped aggregate over at most ``bins`` keys (partial on the map
+    side), joined to the ``bins``-row grid."""
     x = F.col(col).cast("double")
-    stats = df.agg(F.min(x).alias("__mn"), F.max(x).alias("__mx"))
-    width = (F.col("__mx") - F.col("__mn")) / F.lit(bins)
+    st = fetch_row(df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")))
+    mn, mx = st["mn"], st["mx"]
+    width = (mx - mn) / F.lit(bins)
     b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((x - F.col("__mn")) / width), F.lit(bins - 1))).cast("int")
-    counts = (df.where(x.isNotNull()).crossJoin(F.broadcast(stats))
-              .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
-    grid = stats.select("__mn", "__mx", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    grid = grid.select("bin", (F.col("__mn") + F.col("bin") * width).alias("lo"),
-                       (F.col("__mn") + (F.col("bin") + 1) * width).alias("hi"))
+        F.least(F.floor((x - mn) / width), F.lit(bins - 1))).cast("int")
+    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    grid = grid.select("bin", (mn + F.col("bin") * width).alias("lo"),
+                       (mn + (F.col("bin") + 1) * width).alias("hi"))
+    # counts has at most `bins` rows: a bounded broadcast side
     return (grid.join(F.broadcast(counts), "bin", "left")
-            .select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).alias("count")))
+            .select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
 def density(df: DataFrame, col: str, grid: int = 200, method: str = "exact",
@@ -240,34 +246,33 @@ def density(df: DataFrame, col: str, grid: int = 200, method: str = "exact",
 
     ``exact`` sums kernels over distinct values (weighted by their counts);
     ``binned`` first reduces the column to ``bins`` equal-width bins, so the
-    kernel work is independent of the row count.  Both emit per-value arrays
-    of ``grid`` contributions that are summed position-wise by a grouped
-    aggregate (partial on the map side).
+    kernel work is independent of the row count.  Each point's ``grid``
+    kernel values are generated and summed by grid index in the same stage
+    (partial aggregation right after the generator), so only ``grid`` rows
+    per task are shuffled.
     """
     x = F.col(col).cast("double")
     stats = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n"),
                    F.stddev_samp(x).alias("sd"))
     stats = stats.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    st = fetch_row(stats)
+    mn, mx, n, h = st["mn"], st["mx"], st["n"], st["h"]
     if method == "binned":
-        width = (F.col("mx") - F.col("mn")) / F.lit(bins)
-        bucket = F.when(width == 0, 0).otherwise(F.least(F.floor((x - F.col("mn")) / width), F.lit(bins - 1)))
-        pts = (df.where(x.isNotNull()).crossJoin(F.broadcast(stats))
-               .groupBy(bucket.alias("bk")).agg(F.count(F.lit(1)).alias("w"))
-               .crossJoin(F.broadcast(stats))
-               .withColumn("v", F.col("mn") + (F.col("bk") + 0.5) * width))
+        width = (mx - mn) / F.lit(bins)
+        bucket = F.when(width == 0, 0).otherwise(F.least(F.floor((x - mn) / width), F.lit(bins - 1)))
+        pts = (df.where(x.isNotNull()).groupBy(bucket.alias("bk")).agg(F.count(F.lit(1)).alias("w"))
+               .withColumn("v", mn + (F.col("bk") + 0.5) * width))
     else:
-        pts = (df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-               .crossJoin(F.broadcast(stats)))
-    step = (F.col("mx") - F.col("mn")) / F.lit(max(grid - 1, 1))
-    norm = F.lit(1.0 / math.sqrt(2 * math.pi))
+        pts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
+    step = (mx - mn) / F.lit(max(grid - 1, 1))
     contrib = pts.select(F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(grid - 1)),
-        lambda i: F.col("w") * F.exp(-0.5 * F.pow((F.col("mn") + i * step - F.col("v")) / F.col("h"), 2))
+        lambda i: F.col("w") * F.exp(-0.5 * F.pow((mn + i * step - F.col("v")) / h, 2))
     )).alias("i", "k"))
     sums = contrib.groupBy("i").agg(F.sum("k").alias("s"))
-    return (sums.crossJoin(F.broadcast(stats))
-            .select("i", (F.col("mn") + F.col("i") * step).alias("x"),
-                    (F.col("s") * norm / (F.col("n") * F.col("h"))).alias("density")))
+    norm = F.lit(1.0 / math.sqrt(2 * math.pi))
+    return sums.select("i", (mn + F.col("i") * step).alias("x"),
+                       (F.col("s") * norm / (n * h)).alias("density"))
 
 
 def box_stats(df: DataFrame, cols: list[str], method: str = "exact") -> DataFrame:
@@ -292,7 +297,7 @@ def outliers(df: DataFrame, col: str, method: str = "exact") -> DataFrame:
     """Rows whose ``col`` lies outside the whiskers' fences."""
     b = box_stats(df, [col], method).select("q1", "q3", "iqr")
     x = F.col(col)
-    return (df.crossJoin(F.broadcast(b))
+    return (df.transform(with_scalars(b))
             .where((x < F.col("q1") - WHISKER * F.col("iqr")) | (x > F.col("q3") + WHISKER * F.col("iqr")))
             .drop("q1", "q3", "iqr"))
 
@@ -353,5 +358,5 @@ def sequence_counts(df: DataFrame, group_col: str, pos_col: str, value_col: str,
         F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos_col).alias("p"),
                                                          F.col(value_col).alias("v")))),
                     lambda s: s["v"]).alias("combo"))
-    return (top.join(seq, top["__rep"] == seq[group_col]).crossJoin(F.broadcast(total))
+    return (top.join(seq, top["__rep"] == seq[group_col]).transform(with_scalars(total))
             .select("combo", "count", F.round(F.col("count") * 100.0 / F.col("__n"), decimals).alias("pct")))

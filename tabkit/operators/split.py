@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabkit.functions.frames import with_scalars
 from tabkit.functions.prefix import ordered_prefix_sums
 from tabkit.functions.scalar import HASH_SPACE, hash_bucket
 
@@ -79,6 +80,6 @@ def class_weights(df: DataFrame, label: str, out_col: str = "weight") -> DataFra
     stats = df.agg(F.count_if(F.col(label) == 0).alias("__neg"),
                    F.count_if(F.col(label) == 1).alias("__pos"))
     w1 = F.try_divide(F.col("__neg").cast("double"), F.col("__pos").cast("double"))
-    return (df.crossJoin(F.broadcast(stats))
+    return (df.transform(with_scalars(stats))
             .withColumn(out_col, F.when(F.col(label) == 1, w1).otherwise(F.lit(1.0)))
             .drop("__neg", "__pos"))
