@@ -45,7 +45,7 @@ class StandardParams:
     scales: dict
 
 
-def _fit_moments(df: DataFrame, cols: list[str]) -> tuple[dict, dict]:
+def fit_moments(df: DataFrame, cols: list[str]) -> tuple[dict, dict]:
     row = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
                  *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
     return ({c: row[f"m_{i}"] for i, c in enumerate(cols)},
@@ -54,7 +54,7 @@ def _fit_moments(df: DataFrame, cols: list[str]) -> tuple[dict, dict]:
 
 def fit_standard(df: DataFrame, cols: list[str]) -> StandardParams:
     """N2 fit: mean and **population** standard deviation (fit on train)."""
-    means, stds = _fit_moments(df, cols)
+    means, stds = fit_moments(df, cols)
     return StandardParams(means, {c: (s if s else 1.0) for c, s in stds.items()})
 
 
@@ -66,7 +66,7 @@ def apply_standard(df: DataFrame, params: StandardParams) -> DataFrame:
 
 def fit_normalizer(df: DataFrame, cols: list[str], epsilon: float = NORMALIZER_EPSILON) -> StandardParams:
     """N3 fit: mean and max(sqrt(population variance), epsilon)."""
-    means, stds = _fit_moments(df, cols)
+    means, stds = fit_moments(df, cols)
     return StandardParams(means, {c: max(s or 0.0, epsilon) for c, s in stds.items()})
 
 

@@ -160,7 +160,27 @@ def _block_of(col: str, n_blocks: int) -> Column:
 def _matrix(series: pd.Series) -> np.ndarray:
     if len(series) == 0:
         return np.zeros((0, 0))
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in series])
+    return np.array(series.tolist(), dtype=np.float64)
+
+
+def _select_top(rank_s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the best ``k`` entries of every row, ordered by
+    score descending then column ascending (columns are in item-id order).
+
+    ``np.partition`` finds each row's k-th best score in linear time; only
+    entries at or above it (every tie included, so the cut stays exact) are
+    sorted."""
+    n_rows, n_cols = rank_s.shape
+    kk = min(k, n_cols)
+    thr = -np.partition(-rank_s, kk - 1, axis=1)[:, kk - 1]
+    r, c = np.nonzero(rank_s >= thr[:, None])
+    order = np.lexsort((c, -rank_s[r, c], r))
+    r, c = r[order], c[order]
+    starts = np.searchsorted(r, np.arange(n_rows))
+    keep = (np.arange(len(r)) - starts[r]) < kk
+    r, c = r[keep], c[keep]
+    finite = np.isfinite(rank_s[r, c])
+    return r[finite], c[finite]
 
 
 def _block_top_k(k: int, metric: str, exclude_self: bool, decimals: int | None):
@@ -181,17 +201,12 @@ def _block_top_k(k: int, metric: str, exclude_self: bool, decimals: int | None):
         else:  # euclidean: larger score = nearer
             d2 = (qm * qm).sum(1)[:, None] + (im * im).sum(1)[None, :] - 2.0 * (qm @ im.T)
             s = -np.sqrt(np.maximum(d2, 0.0))
-        rank_s = np.round(s, decimals) if decimals is not None else s
+        rank_s = np.round(s, decimals) if decimals is not None else s.copy()
+        rank_s[np.isnan(rank_s)] = -np.inf
         if exclude_self:
-            rank_s = np.where(qid[:, None] == iid[None, :], -np.inf, rank_s)
-        kk = min(k, s.shape[1])
-        # stable sort on the score keeps ascending item id among ties
-        order = np.argsort(-rank_s, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(len(qid)), kk)
-        cols = order.reshape(-1)
-        keep = np.isfinite(rank_s[rows, cols])
-        return pd.DataFrame({"q": qid[rows][keep], "i": iid[cols][keep],
-                             "score": s[rows, cols][keep]})
+            rank_s[qid[:, None] == iid[None, :]] = -np.inf
+        rows, cols = _select_top(rank_s, k)
+        return pd.DataFrame({"q": qid[rows], "i": iid[cols], "score": s[rows, cols]})
     return run
 
 

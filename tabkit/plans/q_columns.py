@@ -50,9 +50,13 @@ def feature_slice(spark, sf):
     li = li.withColumn("l_discount", F.expr("nullif(l_discount, 0.0)"))
     li = R.assign_split(li, "l_orderkey", TEST_FRAC, SEED)
     train = li.where(F.col("split") == "train")
-    # statistics are fitted on the training side only (no join needed for it)
-    imp = M.fit_imputer(train, ["l_discount"])
-    std = N.fit_standard(train, ["l_extendedprice"])
+    # statistics are fitted on the training side only (no join needed for
+    # it): the imputer's mean and the scaler's mean / population std come
+    # from ONE aggregate pass, the one-hot levels from one distinct
+    means, stds = N.fit_moments(train, ["l_discount", "l_extendedprice"])
+    imp = M.ImputerParams({"l_discount": means["l_discount"]})
+    std = N.StandardParams({"l_extendedprice": means["l_extendedprice"]},
+                           {"l_extendedprice": stds["l_extendedprice"] or 1.0})
     oh = E.fit_one_hot(train, ["l_returnflag"])
     feats = E.apply_one_hot(N.apply_standard(M.apply_imputer(li, imp), std), oh)
     orders = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")

@@ -233,8 +233,8 @@ def q_mlp_classifier(spark, sf):
                       K.log_loss_col("label", "p1").alias("log_loss"))
 
 
-@query("pipeline_submit", "L17,L18,S4,M3")
-def q_pipeline_submit(spark, sf):
+@query("fit_predict_submit", "L17,L18,S4,M3")
+def q_fit_predict_submit(spark, sf):
     from pyspark.ml.feature import Imputer
     from pyspark.ml.regression import GBTRegressor
     from tabkit.sources.io import scratch_dir
