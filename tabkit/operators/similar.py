@@ -69,17 +69,15 @@ def attach_by_key(left: DataFrame, right: DataFrame, id_col: str, how: str = "in
                   check_unique: bool = True) -> DataFrame:
     """Attach ``right``'s columns to ``left`` by key (in place of
     positional alignment).  With ``check_unique`` a duplicated key on the
-    right fails the query: the check is a count per key over a window
-    partitioned by the key, which needs the same hash distribution as the
-    join, so it adds no shuffle of its own."""
+    right is an error, found by a count per key (a hash aggregate with a
+    map-side partial step, so a hot key is reduced inside each task) before
+    the join is planned.  A hot key on the left is split by AQE's skew-join
+    handling."""
     if check_unique:
-        w = Window.partitionBy(id_col)
-        n = F.count(F.lit(1)).over(w)
-        # a filter (not a dropped column, which column pruning would remove)
-        # keeps the assertion in the plan; it passes every row or fails
-        right = (right.withColumn("__n", n)
-                 .where(F.assert_true(F.col("__n") == 1, f"duplicate key in {id_col}").isNull())
-                 .drop("__n"))
+        dup = (right.groupBy(id_col).agg(F.count(F.lit(1)).alias("__n"))
+               .where(F.col("__n") > 1).select(id_col).take(1))
+        if dup:
+            raise ValueError(f"duplicate key in {id_col}: {dup[0][0]!r}")
     return left.join(right, id_col, how)
 
 

@@ -113,56 +113,67 @@ def q_ingest_incremental(spark, sf):
 @query("ingest_stream", "S6", sql="""
 SELECT event_id, event_type, value FROM events""")
 def q_ingest_stream(spark, sf):
-    from tabkit.streaming.ingest import ingest_stream
+    from tabkit.streaming.ingest import ingest_stream, read_ingested
     ev = t(spark, sf, "events").select("event_id", "event_type", "value")
     landing = S.scratch_dir(spark, "s6s-landing")
+    # rows held before the stream starts: the 'view' events
+    held = S.scratch_dir(spark, "s6s-held")
+    ev.where(F.col("event_type") == "view").write.parquet(held)
     # two deliveries land as files; the second repeats the first one's rows
-    ev.where(F.col("event_type").isin("click", "view")).write.json(f"{landing}/d1")
+    ev.where(F.col("event_type").isin("click", "signup")).write.json(f"{landing}/d1")
     ev.write.json(f"{landing}/d2")
     target = S.scratch_dir(spark, "s6s-target")
     q = ingest_stream(spark, f"{landing}/*", EVENT_SCHEMA, target, S.scratch_dir(spark, "s6s-ckpt"),
-                      "event_id", max_files_per_trigger=4)
+                      "event_id", existing_path=held, max_files_per_trigger=4)
     q.awaitTermination()
-    return spark.read.parquet(target)
+    return read_ingested(spark, target).unionByName(spark.read.parquet(held))
+
+
+PAGE_SIZE = 20
 
 
 def _conversation_pages(spark, sf):
-    """Conversations landed as API pages: one page per conversation holding
-    its turns under ``data``; conversations with a system turn landed as a
-    rate-limit response instead."""
+    """Conversations landed as API pages of at most PAGE_SIZE turns (page id
+    ``conv_id-n``), the turns under ``data``; a page holding a system turn
+    landed as a rate-limit response instead.  Pages are bounded groups
+    whatever the length of a conversation."""
     conv = t(spark, sf, "conversations")
-    per = conv.groupBy("conv_id").agg(
+    page = F.concat(F.col("conv_id").cast("string"), F.lit("-"),
+                    F.floor(F.col("turn") / PAGE_SIZE).cast("string"))
+    per = conv.groupBy(page.alias("page_no")).agg(
         F.max((F.col("role") == "system").cast("int")).alias("limited"),
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("data"))
     body = F.when(F.col("limited") == 1,
                   F.to_json(F.struct(F.lit("Rate limit exceeded, retry later").alias("message"))))\
         .otherwise(F.to_json(F.struct("data")))
-    return per.select(F.col("conv_id").alias("page_no"), body.alias("body"))
+    return per.select("page_no", body.alias("body"))
 
 
 _ITEM = "struct<turn: bigint, role: string, text: string>"
-_PAGES_OK = "conv_id NOT IN (SELECT conv_id FROM conversations WHERE role = 'system')"
+_PAGED = f"""(SELECT *, CAST(conv_id AS VARCHAR) || '-' || CAST(turn // {PAGE_SIZE} AS VARCHAR) AS page
+   FROM conversations)"""
+_PAGES_OK = f"page NOT IN (SELECT page FROM {_PAGED} WHERE role = 'system')"
 
 
 @query("explode_pages_items", "S7", sql=f"""
-SELECT conv_id AS page, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS position,
+SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY turn) - 1 AS INTEGER) AS position,
        turn, role, text
-FROM conversations WHERE {_PAGES_OK}""")
+FROM {_PAGED} WHERE {_PAGES_OK}""")
 def q_explode_pages_items(spark, sf):
     items, _, _ = I.explode_pages(_conversation_pages(spark, sf), "page_no", "body", _ITEM)
     return items
 
 
 @query("explode_pages_stats", "S7", sql=f"""
-SELECT conv_id AS page, CAST(count(*) AS INTEGER) AS n_items FROM conversations WHERE {_PAGES_OK} GROUP BY conv_id""")
+SELECT page, CAST(count(*) AS INTEGER) AS n_items FROM {_PAGED} WHERE {_PAGES_OK} GROUP BY page""")
 def q_explode_pages_stats(spark, sf):
     _, stats, _ = I.explode_pages(_conversation_pages(spark, sf), "page_no", "body", _ITEM)
     return stats
 
 
 @query("explode_pages_errors", "S7", sql=f"""
-SELECT DISTINCT conv_id AS page, 'rate_limited' AS kind, 'Rate limit exceeded, retry later' AS detail
-FROM conversations WHERE NOT ({_PAGES_OK})""")
+SELECT DISTINCT page, 'rate_limited' AS kind, 'Rate limit exceeded, retry later' AS detail
+FROM {_PAGED} WHERE NOT ({_PAGES_OK})""")
 def q_explode_pages_errors(spark, sf):
     _, _, errors = I.explode_pages(_conversation_pages(spark, sf), "page_no", "body", _ITEM)
     return errors

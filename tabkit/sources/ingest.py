@@ -10,20 +10,26 @@ commit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def dedupe_delivery(new: DataFrame, id_col: str, order_col: str | None = None) -> DataFrame:
-    """One row per key.  With ``order_col`` the latest copy (largest value,
-    ties by the full row's text) wins; without it the copies are expected to
-    be identical and any one is kept."""
+    """One row per key.  With ``order_col`` the latest copy wins (largest
+    value; remaining ties by the largest row); without it the copies are
+    expected to be identical and any one is kept.
+
+    Both forms are hash aggregates with a map-side partial step, so a key
+    delivered millions of times is reduced inside each task before the
+    shuffle (never sorted in one task)."""
     if order_col is None:
         return new.dropDuplicates([id_col])
-    w = Window.partitionBy(id_col).orderBy(F.col(order_col).desc_nulls_last(),
-                                           F.to_json(F.struct(*new.columns)))
-    return new.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    others = [c for c in new.columns if c not in (id_col, order_col)]
+    best = F.max(F.struct(F.col(order_col).alias("__o"), *[F.col(f"`{c}`") for c in others]))
+    return (new.groupBy(id_col).agg(best.alias("__b"))
+            .select(id_col, F.col("__b.__o").alias(order_col), *[F.col(f"__b.`{c}`").alias(c) for c in others])
+            .select(*new.columns))
 
 
 def ingest_incremental(new: DataFrame, existing: DataFrame | None, id_col: str,

@@ -1,36 +1,55 @@
 """Structured Streaming form of the incremental ingest.
 
-A file source (new files in a landing folder) feeds ``foreachBatch``; each
-micro-batch is deduplicated and anti-joined against the target table, then
-appended.  The query's checkpoint (in the shared checkpoint folder) records
-which files were processed; if a batch fails after a partial commit the
-restart replays it and the anti join skips what is already held, so every
-record lands exactly once.
+New files in a landing folder are read by a file source; the keys seen so
+far live in the streaming state store (``dropDuplicates`` on the key,
+partitioned by key hash across executors, RocksDB-backed), so a micro-batch
+costs work proportional to the delivery, not to the history.  Each
+micro-batch is written to its own directory ``b<batch id>`` with overwrite:
+if a batch fails after writing and is replayed from the checkpoint, the
+replay recomputes the same rows from the same state version and replaces
+its own directory, so every record lands exactly once.  Rows held before
+the stream started (``existing_path``) are removed by an anti join on the
+key column only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabkit.sources.ingest import append_new
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def read_ingested(spark: SparkSession, target_path: str, fmt: str = "parquet") -> DataFrame:
+    """Read every batch directory a streaming ingest has written."""
+    return spark.read.format(fmt).option("recursiveFileLookup", "true").load(target_path)
 
 
 def ingest_stream(spark: SparkSession, landing_path: str, schema, target_path: str,
-                  checkpoint_path: str, id_col: str, fmt: str = "json",
-                  order_col: str | None = None, resume_from=None,
-                  max_files_per_trigger: int | None = None, available_now: bool = True):
+                  checkpoint_path: str, id_col: str, fmt: str = "json", resume_from=None,
+                  existing_path: str | None = None, max_files_per_trigger: int | None = None,
+                  available_now: bool = True):
     """Start the streaming ingest; returns the ``StreamingQuery``.
 
     ``available_now`` processes everything landed so far and stops (a
     resumable batch job); otherwise the query keeps running.
     """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, None) or "HDFSBackedStateStoreProvider" in spark.conf.get(key):
+        spark.conf.set(key, ROCKSDB)
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing_path)
-
-    def batch(df: DataFrame, _batch_id: int) -> None:
-        append_new(df.sparkSession, df, target_path, id_col, resume_from, order_col)
+    stream = reader.load(landing_path).where(F.col(id_col).isNotNull())
+    if resume_from is not None:
+        stream = stream.where(F.col(id_col) >= F.lit(resume_from))
+    stream = stream.dropDuplicates([id_col])
+    held = (spark.read.parquet(existing_path).select(id_col) if existing_path else None)
+    base = target_path.rstrip("/")
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        rows = df if held is None else df.join(held, id_col, "left_anti")
+        rows.write.mode("overwrite").parquet(f"{base}/b{batch_id:012d}")
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer

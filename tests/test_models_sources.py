@@ -121,7 +121,7 @@ def test_explode_pages(spark):
 
 
 def test_streaming_ingest_exactly_once(spark, tmp_path):
-    from tabkit.streaming.ingest import ingest_stream
+    from tabkit.streaming.ingest import ingest_stream, read_ingested
     landing = tmp_path / "landing"
     landing.mkdir()
     (landing / "a.json").write_text('{"id": 1, "v": "a"}\n{"id": 2, "v": "b"}\n')
@@ -132,4 +132,12 @@ def test_streaming_ingest_exactly_once(spark, tmp_path):
     # restart on the same checkpoint with a new file: only the new id lands
     (landing / "c.json").write_text('{"id": 3, "v": "c"}\n{"id": 4, "v": "d"}\n')
     ingest_stream(spark, str(landing), "id long, v string", target, ckpt, "id").awaitTermination()
-    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4]
+    assert sorted(r.id for r in read_ingested(spark, target).collect()) == [1, 2, 3, 4]
+
+
+def test_dedupe_latest_copy_wins(spark):
+    new = spark.createDataFrame([(1, 1, "old"), (1, 3, "new"), (1, 2, "mid"), (2, 5, "x")],
+                                "id int, ver int, v string")
+    out = I.dedupe_delivery(new, "id", "ver")
+    assert out.columns == ["id", "ver", "v"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 3, "new"), (2, 5, "x")]
