@@ -365,11 +365,12 @@ def importance_summary(long: DataFrame) -> DataFrame:
 # L12 staged error, L13 CV report, L15 early stopping
 # ---------------------------------------------------------------------------
 def staged_error(model: PipelineModel, train: DataFrame, valid: DataFrame,
-                 loss: str | None = None) -> DataFrame:
+                 loss: str | None = None, class_error: bool = False) -> DataFrame:
     """Training and validation loss after each boosting round
     (``evaluateEachIteration``: executors score every prefix of the
     ensemble in one pass per dataset).  Regression losses: squared or
-    absolute; classification: logistic."""
+    absolute; classification: logistic, plus (``class_error``) the error
+    rate of the 0/1 predictions per round (:func:`staged_class_error`)."""
     gbt = _tree_stage(model)
     asm = model.stages[0]
     tr, va = asm.transform(train), asm.transform(valid)
@@ -380,8 +381,41 @@ def staged_error(model: PipelineModel, train: DataFrame, valid: DataFrame,
     else:
         te, ve = gbt.evaluateEachIteration(tr), gbt.evaluateEachIteration(va)
     spark = train.sparkSession
-    return spark.createDataFrame([(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(te, ve))],
-                                 "iteration int, train_loss double, valid_loss double")
+    out = spark.createDataFrame([(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(te, ve))],
+                                "iteration int, train_loss double, valid_loss double")
+    if class_error and not isinstance(gbt, GBTRegressionModel):
+        label = gbt.getLabelCol()
+        tr_e = staged_class_error(model, train, label).withColumnRenamed("class_error", "train_class_error")
+        va_e = staged_class_error(model, valid, label).withColumnRenamed("class_error", "valid_class_error")
+        out = out.join(tr_e, "iteration").join(va_e, "iteration")
+    return out
+
+
+def staged_class_error(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
+    """L12 for classifiers: the class error (= MSE of 0/1 predictions) after
+    each boosting round, ``(iteration, class_error)``.
+
+    Every tree's output is one projected column (the trees are applied as
+    Spark transformers, JVM side); the margin after round m is the
+    tree-weighted running sum, the predicted class is ``margin > 0``, and the
+    error rates of all rounds come from ONE aggregate over the data."""
+    gbt = _tree_stage(model)
+    data = model.stages[0].transform(df).select(F.col(label).cast("double").alias("__y"), FEATURES)
+    trees, weights = gbt.trees, gbt.treeWeights
+    for i, tree in enumerate(trees):
+        data = tree.copy().setPredictionCol(f"__t{i}").transform(data)
+    margin = None
+    errs = []
+    for i, w in enumerate(weights):
+        term = F.col(f"__t{i}") * F.lit(float(w))
+        margin = term if margin is None else margin + term
+        data = data.withColumn(f"__m{i}", margin)
+        margin = F.col(f"__m{i}")
+        errs.append(F.avg(((F.col(f"__m{i}") > 0).cast("double") - F.col("__y")).cast("double") ** 2)
+                    .alias(f"e{i}"))
+    wide = data.agg(*errs)
+    long = wide.unpivot([], [f"e{i}" for i in range(len(weights))], "k", "class_error")
+    return long.select((F.substring("k", 2, 10).cast("int") + 1).alias("iteration"), "class_error")
 
 
 def cv_report(df: DataFrame, features: Sequence[str], label: str, id_col: str, k: int = 5,

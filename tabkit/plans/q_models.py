@@ -174,7 +174,7 @@ def q_staged_error(spark, sf):
     d = _orders(spark, sf)
     m = L.train_gbt_classifier(_train(d), ORDER_FEATURES, "label", {"n_estimators": 20, "max_depth": 5,
                                                                     "learning_rate": 0.1})
-    return L.staged_error(m, _train(d), _test(d))
+    return L.staged_error(m, _train(d), _test(d), class_error=True)
 
 
 @query("cv_report", "L13,R3,K4,K6,S8")

@@ -141,3 +141,13 @@ def test_dedupe_latest_copy_wins(spark):
     out = I.dedupe_delivery(new, "id", "ver")
     assert out.columns == ["id", "ver", "v"]
     assert sorted(tuple(r) for r in out.collect()) == [(1, 3, "new"), (2, 5, "x")]
+
+
+def test_staged_class_error_last_round_matches_model(reg_data):
+    m = L.train_gbt_classifier(reg_data, ["a", "b"], "c", {"n_estimators": 6, "learning_rate": 0.3,
+                                                           "subsample": 1.0})
+    curve = L.staged_class_error(m, reg_data, "c").orderBy("iteration").collect()
+    assert [r.iteration for r in curve] == list(range(1, 7))
+    pred = m.transform(reg_data)
+    err = pred.select(F.avg((F.col("prediction") != F.col("c")).cast("double"))).first()[0]
+    assert curve[-1].class_error == pytest.approx(err)
