@@ -13,6 +13,6 @@ small parameter objects holding fitted statistics only).  Sub-packages:
 * ``tabkit.streaming`` – the Structured Streaming form of the ingest
 """
 
-from tabkit.session import ensure_checkpoint_dir, get_session
+from tabkit.session import ensure_checkpoint_dir, get_session, prepare
 
-__all__ = ["get_session", "ensure_checkpoint_dir"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "prepare"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,10 +41,41 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabkit`` importable in the executors' Python workers (the
+    pandas functions of the kNN search and the dense scorer run there): the
+    package is zipped once per process and distributed with ``addPyFile``,
+    the programmatic form of ``--py-files``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tabkit-pkg-"), "tabkit.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
+def prepare(spark: SparkSession) -> str:
+    """Everything a session needs before running tabkit queries: the
+    checkpoint folder and the package on the executors."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory the cluster names in
     ``spark.checkpoint.dir``.  Only when none is configured (local tests) a
