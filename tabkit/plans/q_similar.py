@@ -147,7 +147,7 @@ WITH u AS (SELECT user_id, {_VEC} AS uv FROM (
 i AS (SELECT p_partkey, {_VEC} AS iv FROM ({_ITEMS_SQL})),
 s AS (SELECT user_id, p_partkey, {_cos_sql('uv', 'iv')} AS score FROM u, i),
 k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, p_partkey) AS rank FROM s)
-SELECT user_id, rank, p_partkey, round(score, 6) AS score FROM k WHERE rank <= 10""")
+SELECT user_id, CAST(rank AS INTEGER) AS rank, p_partkey, round(score, 6) AS score FROM k WHERE rank <= 10""")
 def q_recommend(spark, sf):
     rec = V.recommend(_prefs(spark, sf), _items(spark, sf), "p_partkey", k=10)
     return rec.select("user_id", "rank", "p_partkey", r("score").alias("score"))
@@ -159,7 +159,7 @@ s AS (SELECT a.vec_id, b.vec_id AS nb_id,
              list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS score
       FROM e a, e b WHERE a.vec_id <> b.vec_id),
 k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(score, 9) DESC, nb_id) AS rank FROM s)
-SELECT vec_id, rank, nb_id, round(score, 6) AS score FROM k WHERE rank <= 10""")
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, nb_id, round(score, 6) AS score FROM k WHERE rank <= 10""")
 def q_nearest_neighbours(spark, sf):
     e = t(spark, sf, "embeddings").select("vec_id", "embedding")
     nn = V.top_k_neighbours(e, e.select(F.col("vec_id").alias("nb_id"), "embedding"),
