@@ -67,7 +67,9 @@ def tail_cut(df: DataFrame, order_col: str, frac: float = 0.2):
 
 def tail_split(df: DataFrame, order_col: str, frac: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """R2: (train, validation) where the last ``frac`` of rows by ``order_col``
-    validate.  The cut becomes a plain range filter that reaches the scan."""
+    validate.  The cut becomes a plain range filter that reaches the scan.
+    Rows with equal keys are never split: a tie group straddling the
+    boundary stays in training, so validation holds at most ``frac``."""
     cut = tail_cut(df, order_col, frac)
     if cut is None:
         return df, df.limit(0)
