@@ -304,28 +304,52 @@ def outliers(df: DataFrame, col: str, method: str = "exact") -> DataFrame:
 
 def profile_report(df: DataFrame, ordinal: list[str] | None = None, flags: list[str] | None = None,
                    share_col: str | None = None, corr_cols: list[str] | None = None,
-                   t: float = 0.3, method: str = "exact") -> DataFrame:
+                   t: float = 0.3, method: str = "exact", decimals: int = 4) -> DataFrame:
     """One long table (section, item, metric, value) uniting the
-    overview, ordinal describe, flag rates, group shares and strong pairs."""
-    parts = [overview(df, flags or []).select(F.lit("overview").alias("section"),
-                                              F.col("item"), F.lit("value").alias("metric"),
-                                              F.col("value").cast("double").alias("value"))]
+    overview (A1), ordinal describe (A6), flag rates (A5), group shares (A4)
+    and strong pairs (A12).
+
+    Every global statistic of every section -- row count, flag sums and
+    rates, ordinal count / mean / std / min / max and every correlation pair
+    -- is ONE aggregate over one scan (one row comes back); only the
+    quantiles and the group shares need passes of their own, and the
+    shares reuse the fused row count as their denominator.
+    """
+    ordinal, flags, corr = list(ordinal or []), list(flags or []), list(corr_cols or [])
+    pairs = [(a, b) for i, a in enumerate(corr) for b in corr[i + 1:]]
+
+    def c(name):
+        return F.col(f"`{name}`")
+
+    aggs = [F.count(F.lit(1)).cast("double").alias("rows")]
+    aggs += [F.sum(c(f).cast("bigint")).cast("double").alias(f"ov{i}") for i, f in enumerate(flags)]
+    aggs += [F.round(F.avg(c(f).cast("double")) * 100, decimals).alias(f"fr{i}") for i, f in enumerate(flags)]
+    for i, o in enumerate(ordinal):
+        aggs += [F.count(c(o)).cast("double").alias(f"count{i}"), F.avg(c(o)).alias(f"mean{i}"),
+                 F.stddev_samp(c(o)).alias(f"std{i}"), F.min(c(o)).cast("double").alias(f"min{i}"),
+                 F.max(c(o)).cast("double").alias(f"max{i}")]
+    aggs += [null_safe_corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)]
+    row = df.agg(*aggs).first()
+
+    out = [("overview", "rows", "value", row["rows"])]
+    out += [("overview", f, "value", row[f"ov{i}"]) for i, f in enumerate(flags)]
+    out += [("flags", f, "pct", row[f"fr{i}"]) for i, f in enumerate(flags)]
+    for i, o in enumerate(ordinal):
+        out += [("ordinal", o, stat, row[f"{stat}{i}"]) for stat in ("count", "mean", "std", "min", "max")]
+    out += [("strong_pairs", f"{a} & {b}", "r", row[f"r{k}"]) for k, (a, b) in enumerate(pairs)
+            if row[f"r{k}"] is not None and abs(row[f"r{k}"]) > t]
+    schema = "section string, item string, metric string, value double"
+    parts = [df.sparkSession.createDataFrame(out, schema)]
     if ordinal:
-        parts.append(describe(df, ordinal, method).select(F.lit("ordinal").alias("section"),
-                                                          F.col("column").alias("item"),
-                                                          F.col("stat").alias("metric"), "value"))
-    if flags:
-        parts.append(flag_rates(df, flags).select(F.lit("flags").alias("section"),
-                                                  F.col("column").alias("item"),
-                                                  F.lit("pct").alias("metric"), F.col("pct").alias("value")))
+        parts.append(quantiles(df, ordinal, DESCRIBE_PROBS, method).select(
+            F.lit("ordinal").alias("section"), F.col("column").alias("item"),
+            F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%")).alias("metric"), "value"))
     if share_col:
-        parts.append(value_share(df, share_col).select(
-            F.lit("shares").alias("section"), F.col(share_col).cast("string").alias("item"),
-            F.lit("pct").alias("metric"), F.col("pct").alias("value")))
-    if corr_cols:
-        parts.append(strong_correlations(df, corr_cols, t).select(
-            F.lit("strong_pairs").alias("section"), F.concat_ws(" & ", "a", "b").alias("item"),
-            F.lit("r").alias("metric"), F.col("r").alias("value")))
+        counts = df.where(c(share_col).isNotNull()).groupBy(c(share_col).alias("__v")).agg(
+            F.count(F.lit(1)).alias("__c"))
+        parts.append(counts.select(
+            F.lit("shares").alias("section"), F.col("__v").cast("string").alias("item"), F.lit("pct").alias("metric"),
+            F.round(F.col("__c") * 100.0 / F.lit(row["rows"]), decimals).alias("value")))
     return reduce(DataFrame.unionByName, parts)
 
 
