@@ -184,20 +184,17 @@ def distinct_values(df: DataFrame, col: str, explode: bool = False) -> DataFrame
 
 def correlation_matrix(df: DataFrame, cols: list[str], decimals: int | None = None) -> DataFrame:
     """Pearson r of every ordered pair (a, b) over pairwise-complete
-    rows, all pairs in one aggregate; a constant column gives null."""
+    rows; a constant column gives null.  All pairs are ONE aggregate over
+    one scan; its single row (one value per pair) is laid out as the
+    (a, b, r) table, diagonal included."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = [null_safe_corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
-    if not aggs:
-        return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    wide = df.agg(*aggs)
-    long = wide.unpivot([], wide.columns, "k", "r")
-    lut = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    upper = long.select(F.element_at(lut, F.col("k").cast("int") + 1).alias("p"), "r") \
-        .select("p.a", "p.b", "r")
-    r = F.round("r", decimals) if decimals is not None else F.col("r")
-    lower = upper.select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
-    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "a string, b string, r double")
-    return upper.unionByName(lower).unionByName(diag).select("a", "b", r.alias("r"))
+    row = df.agg(*[null_safe_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first() \
+        if pairs else {}
+    out = [(c, c, 1.0) for c in cols]
+    for i, (a, b) in enumerate(pairs):
+        out += [(a, b, row[f"r{i}"]), (b, a, row[f"r{i}"])]
+    m = df.sparkSession.createDataFrame(out, "a string, b string, r double")
+    return m.select("a", "b", F.round("r", decimals).alias("r")) if decimals is not None else m
 
 
 def strong_correlations(df: DataFrame, cols: list[str], t: float = 0.3) -> DataFrame:
