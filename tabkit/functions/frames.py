@@ -37,3 +37,14 @@ def with_scalars(stats: DataFrame | Mapping[str, Column]) -> Callable[[DataFrame
             values = fetch_row(stats)
         return df.withColumns(dict(values))
     return attach
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared folder named by ``spark.checkpoint.dir`` (survives executor
+    loss; a local scratch folder is set only when none is configured).  Used
+    for intermediates read by several branches of one plan, so the source
+    is scanned and shuffled once instead of once per branch."""
+    from tabkit.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

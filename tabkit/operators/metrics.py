@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.functions.frames import with_scalars
+from tabkit.functions.frames import materialize, with_scalars
 from tabkit.functions.prefix import ordered_prefix_sums
 
 # Fixed value: probability clipping of the binary cross-entropy.
@@ -89,8 +89,9 @@ def roc_curve(df: DataFrame, y: str, score: str, thin: bool = False) -> DataFram
     kept.  The neighbour comes from an equi-join on the dense rank of the
     score, not from a global window.
     """
-    counts = _score_counts(df, y, score, [])
-    counts = counts.withColumn("one", F.lit(1).cast("bigint"))
+    # one row per distinct score, read by the bucketing, the running sums
+    # and the totals: computed once
+    counts = materialize(_score_counts(df, y, score, []).withColumn("one", F.lit(1).cast("bigint")))
     pref = ordered_prefix_sums(counts, "score", ["pos", "neg", "one"], descending=True)
     tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("K"))
     pts = pref.transform(with_scalars(tot)).select(
@@ -119,7 +120,7 @@ def roc_auc(df: DataFrame, y: str, score: str, group_cols: list[str] | None = No
     With ``group_cols`` (e.g. fold) the running sums are per group.
     """
     group_cols = group_cols or []
-    counts = _score_counts(df, y, score, group_cols)
+    counts = materialize(_score_counts(df, y, score, group_cols))
     if group_cols:
         from tabkit.functions.prefix import add_buckets, prefix_sums_long
         bucketed, (bcol,) = add_buckets(counts, ["score"])

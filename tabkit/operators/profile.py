@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.frames import fetch_row, with_scalars
+from tabkit.functions.frames import fetch_row, materialize, with_scalars
 from tabkit.functions.prefix import add_buckets, prefix_sums_long
 from tabkit.functions.scalar import label_from_name
 from tabkit.functions.stats import null_safe_corr, sample_skewness
@@ -97,8 +97,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=DESCRIBE_PROBS,
     bucketed, bcols = add_buckets(df.select(*[F.col(f"`{c}`") for c in cols]), cols, n_buckets)
     long = _long_values(bucketed, cols, {"b": bcols})
     counts = long.groupBy("column", "b", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    pref = prefix_sums_long(counts, ["column"], "v", ["cnt"], "b")
-    totals = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
+    # the running counts feed the totals and both rank lookups: computed once
+    pref = materialize(prefix_sums_long(counts, ["column"], "v", ["cnt"], "b"))
+    totals = pref.groupBy("column").agg(F.max("cum_cnt").alias("n"))
     targets = (totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
                .withColumn("pos", F.col("prob") * (F.col("n") - 1))
                .withColumn("r_lo", F.floor("pos")).withColumn("r_hi", F.ceil("pos"))
