@@ -241,13 +241,38 @@ def top_k_neighbours(queries: DataFrame, items: DataFrame, q_id: str, q_vec: str
     return best.select(F.col("q").alias(q_id), "rank", F.col("i").alias(i_id), score.alias("score"))
 
 
+# Above this many (distinct vector x k) result rows the fan-out join is a
+# shuffle join instead of a broadcast.
+BROADCAST_RESULT_ROWS = 2_000_000
+
+
 def recommend(prefs: DataFrame, items: DataFrame, item_id: str, k: int = 10,
               user_id: str = "user_id", features=RECOMMENDER_FEATURES, **kw) -> DataFrame:
     """V3: top-``k`` items per user by cosine of the preference vector (V1)
-    and the item's feature vector: ``(user_id, rank, item_id, score)``."""
+    and the item's feature vector: ``(user_id, rank, item_id, score)``.
+
+    Preference vectors come from a small domain, so many users share one.
+    Each DISTINCT vector is scored once (``top_k_neighbours``) and its
+    top-k is fanned out to the users holding it by an equi-join on the
+    vector key -- the same result as scoring every user, with work
+    proportional to distinct vectors x items.  The key is a 64-bit hash of
+    the vector, verified collision-free with one aggregate (on a collision
+    the users are scored directly).  The result side is broadcast only when
+    its row count (distinct vectors x k) is under ``BROADCAST_RESULT_ROWS``;
+    otherwise it is a shuffle join, where AQE splits a hot vector key.
+    """
     users = preference_vectors(prefs, user_id).select(user_id, as_vector(features).alias("__uv"))
     its = items.select(item_id, as_vector(features).alias("__iv"))
-    return top_k_neighbours(users, its, user_id, "__uv", item_id, "__iv", k, "cosine", **kw)
+    keyed = users.withColumn("__vid", F.xxhash64("__uv"))
+    vecs = keyed.select("__vid", "__uv").distinct()
+    stats = vecs.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("__vid").alias("ids")).first()
+    if stats["n"] != stats["ids"]:  # hash collision: score every user
+        return top_k_neighbours(users, its, user_id, "__uv", item_id, "__iv", k, "cosine", **kw)
+    per_vec = top_k_neighbours(vecs, its, "__vid", "__uv", item_id, "__iv", k, "cosine", **kw)
+    if stats["n"] * k <= BROADCAST_RESULT_ROWS:
+        per_vec = F.broadcast(per_vec)
+    return (keyed.select(user_id, "__vid").join(per_vec, "__vid")
+            .select(user_id, "rank", item_id, "score"))
 
 
 def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str, target: str,

@@ -248,3 +248,23 @@ def test_sequence_counts_order_matters(spark):
                                "g int, pos int, v string")
     out = {tuple(r.combo): r["count"] for r in A.sequence_counts(df, "g", "pos", "v").collect()}
     assert out == {("a", "b"): 2, ("b", "a"): 1}
+
+
+def test_recommend_dedupe_equals_direct_scoring(spark):
+    import random
+    rnd = random.Random(5)
+    prefs = spark.createDataFrame(
+        [(u, rnd.choice([True, False, None]), rnd.choice(["full_sun", "part_sun", "full_shade", None]),
+          rnd.choice([True, None]), rnd.choice([0, 1, 2, None]), rnd.choice([0, 2, None]), rnd.choice([1, None]))
+         for u in range(60)],
+        "user_id long, indoor boolean, sunlight string, drought_tolerance boolean, care_level int, "
+        "maintenance_level int, watering_frequency int")
+    items = spark.createDataFrame(
+        [tuple([i] + [rnd.choice([0, 1]) for _ in range(5)] + [rnd.choice([0, 1, 2, 3]) for _ in range(3)])
+         for i in range(25)],
+        "item long, " + ", ".join(f"{c} int" for c in V.RECOMMENDER_FEATURES))
+    got = {(r.user_id, r.rank, r.item) for r in V.recommend(prefs, items, "item", k=4).collect()}
+    users = V.preference_vectors(prefs).select("user_id", V.as_vector(V.RECOMMENDER_FEATURES).alias("u"))
+    its = items.select("item", V.as_vector(V.RECOMMENDER_FEATURES).alias("v"))
+    direct = V.top_k_neighbours(users, its, "user_id", "u", "item", "v", k=4)
+    assert got == {(r.user_id, r.rank, r.item) for r in direct.collect()}
