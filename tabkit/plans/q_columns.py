@@ -203,6 +203,18 @@ def q_fill_constant(spark, sf):
     return li.select("l_orderkey", "l_linenumber", "l_discount", "l_returnflag")
 
 
+@query("fill_constant_strings", "M1", sql="""
+SELECT o_orderkey, coalesce(CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END, 'missing') AS o_orderpriority,
+       coalesce(CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END, 0.0) AS o_totalprice
+FROM orders""")
+def q_fill_constant_strings(spark, sf):
+    o = t(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("o_totalprice"))
+    # a string value fills string columns only; numbers take the numeric fill
+    return M.fill_constant(M.fill_constant(o, "missing"), 0)
+
+
 @query("fill_mean", "M2", sql="""
 WITH m AS (SELECT avg(nullif(l_discount, 0.0)) AS mu FROM lineitem)
 SELECT l_orderkey, l_linenumber, round(coalesce(nullif(l_discount, 0.0), m.mu), 6) AS l_discount

@@ -68,6 +68,30 @@ def q_flag_rates(spark, sf):
     return A.flag_rates(t(spark, sf, "labels"), ["quality", "toxic"])
 
 
+@query("flag_rates_all_rows", "A5", sql="""
+WITH d AS (SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE CAST(o_orderstatus = 'F' AS INTEGER) END AS f,
+                  CAST(o_orderpriority = '5-LOW' AS INTEGER) AS low FROM orders)
+SELECT 'f' AS "column", round(sum(f) * 100.0 / count(*), 4) AS pct FROM d
+UNION ALL SELECT 'low', round(sum(low) * 100.0 / count(*), 4) FROM d""")
+def q_flag_rates_all_rows(spark, sf):
+    o = t(spark, sf, "orders")
+    d = o.select(F.when(F.col("o_orderpriority") != "1-URGENT", (F.col("o_orderstatus") == "F").cast("int"))
+                  .alias("f"), (F.col("o_orderpriority") == "5-LOW").cast("int").alias("low"))
+    # the "share of all rows" rule: nulls stay in the denominator
+    return A.flag_rates(d, ["f", "low"], rule="rows")
+
+
+@query("combo_counts_lists", "A9", sql="""
+WITH w AS (SELECT string_split(p_type, ' ') AS combo FROM part),
+c AS (SELECT combo, count(*) AS count FROM w GROUP BY combo)
+SELECT array_to_string(combo, '|') AS combo, count, round(count * 100.0 / (SELECT count(*) FROM w), 4) AS pct
+FROM c ORDER BY count DESC, array_to_string(combo, '|') LIMIT 10""")
+def q_combo_counts_lists(spark, sf):
+    p = t(spark, sf, "part").select(F.split("p_type", " ").alias("words"))
+    top = A.combo_counts(p, "words", 10)
+    return top.select(F.array_join("combo", "|").alias("combo"), "count", "pct")
+
+
 @query("describe", "A6", bench=True, sql="""
 WITH s AS (
   SELECT 'c_acctbal' AS "column", count(c_acctbal)::DOUBLE AS "count", avg(c_acctbal) AS mean,
