@@ -329,12 +329,12 @@ def q_train_test_split(spark, sf):
 
 
 @query("tail_split", "R2", sql="""
-SELECT event_id, ts FROM (
-  SELECT event_id, ts, row_number() OVER (ORDER BY event_id) - 1 AS pos, count(*) OVER () AS n FROM events)
+SELECT event_id, value FROM (
+  SELECT event_id, value, row_number() OVER (ORDER BY event_id) - 1 AS pos, count(*) OVER () AS n FROM events)
 WHERE pos >= floor(n * 0.8)""")
 def q_tail_split(spark, sf):
     _, val = R.tail_split(t(spark, sf, "events"), "event_id", 0.2)
-    return val.select("event_id", "ts")
+    return val.select("event_id", "value")
 
 
 @query("k_fold", "R3", sql=f"""

@@ -15,9 +15,12 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # 64 MB of parquet per scan task keeps partitions well inside executor
-    # memory; the shuffle width is sized by AQE from this starting point.
-    "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+    # Scan splits of 256 MB: at 100 TB that is ~400k scan tasks instead of
+    # ~1.6M at 64 MB (scheduling overhead), still far inside executor memory
+    # for the column-pruned reads the operators do.  Post-shuffle partitions
+    # are coalesced / split by AQE towards the same advisory size.
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
 }
 
 

@@ -268,3 +268,11 @@ def test_recommend_dedupe_equals_direct_scoring(spark):
     its = items.select("item", V.as_vector(V.RECOMMENDER_FEATURES).alias("v"))
     direct = V.top_k_neighbours(users, its, "user_id", "u", "item", "v", k=4)
     assert got == {(r.user_id, r.rank, r.item) for r in direct.collect()}
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    df = spark.range(5000).selectExpr("cast((id * 7919) % 1000 as double) as x")
+    ex = {r.prob: r.value for r in A.quantiles(df, ["x"], method="exact").collect()}
+    ap = {r.prob: r.value for r in A.quantiles(df, ["x"], method="approx").collect()}
+    for p in ex:
+        assert abs(ex[p] - ap[p]) <= 2.0
