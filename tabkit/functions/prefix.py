@@ -53,9 +53,12 @@ def add_buckets(df: DataFrame, keys: list[str], n_buckets: int | None = None,
     return bucketed.drop(*dbl), outs
 
 
+BROADCAST_ROWS = 1_000_000
+
+
 def prefix_sums_long(df: DataFrame, group_cols: list[str], key: str, weights: list[str],
                      bucket_col: str, descending: bool = False,
-                     prefix: str = "cum_") -> DataFrame:
+                     prefix: str = "cum_", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Inclusive running sums of ``weights`` ordered by ``key`` within each
     group.  ``df`` holds one row per (group, key); ``bucket_col`` must be
     monotone in ``key`` within a group (see :func:`add_buckets`).
@@ -75,8 +78,12 @@ def prefix_sums_long(df: DataFrame, group_cols: list[str], key: str, weights: li
     w_in = Window.partitionBy(*group_cols, bucket_col).orderBy(order_key) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = df.select("*", *[F.sum(w).over(w_in).alias(f"_run_{w}") for w in weights])
-    # offsets has (groups x buckets) rows: a bounded, broadcastable side.
-    joined = running.join(F.broadcast(offsets), [*group_cols, bucket_col])
+    # offsets has (groups x buckets) rows: broadcast it when that count is
+    # within ``broadcast_rows`` (checked on the small totals table), else an
+    # ordinary shuffle join on (groups, bucket)
+    n_off = totals.count() if group_cols else None
+    small = n_off is None or n_off <= broadcast_rows
+    joined = running.join(F.broadcast(offsets) if small else offsets, [*group_cols, bucket_col])
     return joined.select(*df.columns,
                          *[(F.col(f"_run_{w}") + F.col(f"_off_{w}")).alias(f"{prefix}{w}")
                            for w in weights])

@@ -276,3 +276,17 @@ def test_approx_quantiles_close_to_exact(spark):
     ap = {r.prob: r.value for r in A.quantiles(df, ["x"], method="approx").collect()}
     for p in ex:
         assert abs(ex[p] - ap[p]) <= 2.0
+
+
+def test_prefix_sums_join_paths_agree(spark):
+    from tabkit.functions.prefix import add_buckets, prefix_sums_long
+    rows = [(g, k, 1 + (k * 7 + g) % 5) for g in range(3) for k in range(40)]
+    df = spark.createDataFrame(rows, "g int, k int, w int")
+    b, (bc,) = add_buckets(df, ["k"], n_buckets=4)
+    a = prefix_sums_long(b, ["g"], "k", ["w"], bc)
+    c = prefix_sums_long(b, ["g"], "k", ["w"], bc, broadcast_rows=0)
+    want = {}
+    for g, k, w in sorted(rows):
+        want[(g, k)] = want.get((g, k - 1), 0) + w if k else w
+    assert {(r.g, r.k): r.cum_w for r in a.collect()} == want
+    assert {(r.g, r.k): r.cum_w for r in c.collect()} == want
