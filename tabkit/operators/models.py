@@ -162,8 +162,12 @@ def train_rf_classifier(df: DataFrame, categorical: Sequence[str], numeric: Sequ
 # ---------------------------------------------------------------------------
 def _cv_linear(df: DataFrame, features, label, reg_params: Sequence[float], elastic: float,
                k: int, id_col: str, seed: int, parallelism: int) -> tuple[PipelineModel, DataFrame]:
+    # one distributed pass per fit: the normal-equation solver aggregates
+    # X'X and X'y on the executors (d x d, bounded by the feature count) and
+    # solves locally (Cholesky for L2, OWL-QN on the same statistics for L1)
+    solver = "normal" if len(features) <= 4096 else "l-bfgs"
     lr = LinearRegression(featuresCol=FEATURES, labelCol=label, elasticNetParam=elastic,
-                          standardization=False, fitIntercept=True)
+                          standardization=False, fitIntercept=True, solver=solver)
     grid = ParamGridBuilder().addGrid(lr.regParam, [float(r) for r in reg_params]).build()
     folded = k_fold(df, id_col, k, f"cv{seed}", "__fold")
     cv = CrossValidator(estimator=Pipeline(stages=[assembler(features), lr]), estimatorParamMaps=grid,
