@@ -58,13 +58,16 @@ BROADCAST_ROWS = 1_000_000
 
 def prefix_sums_long(df: DataFrame, group_cols: list[str], key: str, weights: list[str],
                      bucket_col: str, descending: bool = False,
-                     prefix: str = "cum_", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                     prefix: str = "cum_", broadcast_rows: int = BROADCAST_ROWS,
+                     max_offsets: int | None = None) -> DataFrame:
     """Inclusive running sums of ``weights`` ordered by ``key`` within each
     group.  ``df`` holds one row per (group, key); ``bucket_col`` must be
     monotone in ``key`` within a group (see :func:`add_buckets`).
 
     Adds ``{prefix}{w}`` per weight column.  Two small pieces of state leave
     the row data: bucket totals (groups x buckets rows) and their offsets.
+    ``max_offsets`` (groups x buckets, when the caller knows it) bounds the
+    offsets table without a counting job.
     """
     order_key = F.col(key).desc() if descending else F.col(key).asc()
     order_bkt = F.col(bucket_col).desc() if descending else F.col(bucket_col).asc()
@@ -81,8 +84,12 @@ def prefix_sums_long(df: DataFrame, group_cols: list[str], key: str, weights: li
     # offsets has (groups x buckets) rows: broadcast it when that count is
     # within ``broadcast_rows`` (checked on the small totals table), else an
     # ordinary shuffle join on (groups, bucket)
-    n_off = totals.count() if group_cols else None
-    small = n_off is None or n_off <= broadcast_rows
+    if not group_cols:
+        small = True
+    elif max_offsets is not None:  # caller knows the bound: no counting job
+        small = max_offsets <= broadcast_rows
+    else:
+        small = totals.count() <= broadcast_rows
     joined = running.join(F.broadcast(offsets) if small else offsets, [*group_cols, bucket_col])
     return joined.select(*df.columns,
                          *[(F.col(f"_run_{w}") + F.col(f"_off_{w}")).alias(f"{prefix}{w}")

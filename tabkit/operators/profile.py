@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.functions.frames import fetch_row, materialize, with_scalars
-from tabkit.functions.prefix import add_buckets, prefix_sums_long
+from tabkit.functions.prefix import add_buckets, default_buckets, prefix_sums_long
 from tabkit.functions.scalar import label_from_name
 from tabkit.functions.stats import null_safe_corr, sample_skewness
 from tabkit.operators.columns import columns_by_type
@@ -96,27 +96,30 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=DESCRIBE_PROBS,
     """
     bucketed, bcols = add_buckets(df.select(*[F.col(f"`{c}`") for c in cols]), cols, n_buckets)
     long = _long_values(bucketed, cols, {"b": bcols})
-    counts = long.groupBy("column", "b", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    # the running counts feed the totals and both rank lookups: computed once
-    pref = materialize(prefix_sums_long(counts, ["column"], "v", ["cnt"], "b"))
-    totals = pref.groupBy("column").agg(F.max("cum_cnt").alias("n"))
-    targets = (totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .withColumn("pos", F.col("prob") * (F.col("n") - 1))
-               .withColumn("r_lo", F.floor("pos")).withColumn("r_hi", F.ceil("pos"))
-               .withColumn("frac", F.col("pos") - F.col("r_lo")))
-    ranks = targets.select(F.col("column").alias("t_col"), F.col("prob").alias("t_prob"),
-                           F.explode(F.array("r_lo", "r_hi")).alias("r")).distinct()
-    hit = (pref.join(F.broadcast(ranks),
-                     (F.col("column") == F.col("t_col")) & (F.col("cum_cnt") - F.col("cnt") <= F.col("r"))
-                     & (F.col("r") < F.col("cum_cnt")))
-           .select("t_col", "t_prob", "r", "v"))
-    lo = hit.select(F.col("t_col").alias("column"), F.col("t_prob").alias("prob"),
-                    F.col("r").alias("r_lo"), F.col("v").alias("v_lo"))
-    hi = hit.select(F.col("t_col").alias("column"), F.col("t_prob").alias("prob"),
-                    F.col("r").alias("r_hi"), F.col("v").alias("v_hi"))
-    return (targets.join(lo, ["column", "prob", "r_lo"]).join(hi, ["column", "prob", "r_hi"])
-            .select("column", "prob",
-                    (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value")))
+    # counts per (column, bucket, value): the one pass over the data, kept
+    # (reliable checkpoint) for the running sums, totals and lookups
+    counts = materialize(long.groupBy("column", "b", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    n_b = n_buckets or default_buckets(df.sparkSession)
+    pref = prefix_sums_long(counts, ["column"], "v", ["cnt"], "b", max_offsets=len(cols) * n_b)
+    # one total per column comes back (bounded by the column count); the
+    # (column, prob) targets are built from it and broadcast
+    totals = {r["column"]: r["n"] for r in pref.groupBy("column").agg(F.max("cum_cnt").alias("n")).collect()}
+    rows = []
+    for c, n in totals.items():
+        for p in probs:
+            pos = float(p) * (n - 1)
+            r_lo, r_hi = math.floor(pos), math.ceil(pos)
+            rows.append((c, float(p), r_lo, r_hi, pos - r_lo))
+    targets = df.sparkSession.createDataFrame(
+        rows, "t_col string, prob double, r_lo bigint, r_hi bigint, frac double")
+    start = F.col("cum_cnt") - F.col("cnt")
+    has_lo = (start <= F.col("r_lo")) & (F.col("r_lo") < F.col("cum_cnt"))
+    has_hi = (start <= F.col("r_hi")) & (F.col("r_hi") < F.col("cum_cnt"))
+    hit = pref.join(F.broadcast(targets), (F.col("column") == F.col("t_col")) & (has_lo | has_hi))
+    picked = hit.groupBy("column", "prob", "frac").agg(F.max(F.when(has_lo, F.col("v"))).alias("v_lo"),
+                                                       F.max(F.when(has_hi, F.col("v"))).alias("v_hi"))
+    return picked.select("column", "prob",
+                         (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"))
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs=DESCRIBE_PROBS,
