@@ -40,15 +40,22 @@ def fill_constant(df: DataFrame, value, cols: list[str] | None = None,
     return df.withColumns(exprs) if exprs else df
 
 
-def fill_mean(df: DataFrame, cols: list[str]) -> DataFrame:
-    """M2: fill each column with its own mean, in one lazy plan.
+def fill_mean(df: DataFrame, cols: list[str], only_if_nulls: bool = False) -> DataFrame:
+    """M2: fill each column with its own mean.
 
-    The means are one aggregate row (partial sums per task, a single tiny
-    merge) cross-joined back as a broadcast: the broadcast side is exactly
-    one row whatever the data size.
+    The means (and, with ``only_if_nulls``, the null counts) are one
+    aggregate row -- partial per task, one tiny merge -- attached as
+    literals.  With ``only_if_nulls`` a column without nulls is left exactly
+    as it is (type included); otherwise every listed column becomes double.
     """
-    means = df.agg(*[F.avg(c).alias(f"__mean_{c}") for c in cols])
-    out = df.transform(with_scalars(means))
+    aggs = [F.avg(c).alias(f"__mean_{c}") for c in cols]
+    if only_if_nulls:
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"__nulls_{c}") for c in cols]
+        row = df.agg(*aggs).first()
+        todo = {c for c in cols if row[f"__nulls_{c}"]}
+        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(row[f"__mean_{c}"]).cast("double"))
+                               for c in cols if c in todo})
+    out = df.transform(with_scalars(df.agg(*aggs)))
     return out.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__mean_{c}")).alias(c)
                         if c in cols else F.col(c) for c in df.columns])
 

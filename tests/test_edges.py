@@ -290,3 +290,10 @@ def test_prefix_sums_join_paths_agree(spark):
         want[(g, k)] = want.get((g, k - 1), 0) + w if k else w
     assert {(r.g, r.k): r.cum_w for r in a.collect()} == want
     assert {(r.g, r.k): r.cum_w for r in c.collect()} == want
+
+
+def test_fill_mean_only_if_nulls_keeps_complete_columns(spark):
+    df = spark.createDataFrame([(1, 2, 1.0), (2, 4, None)], "id int, a int, b double")
+    out = M.fill_mean(df, ["a", "b"], only_if_nulls=True)
+    assert dict(out.dtypes)["a"] == "int"
+    assert rows(out, "id", "a", "b") == [(1, 2, 1.0), (2, 4, 1.0)]
