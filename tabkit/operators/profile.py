@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabkit.functions.frames import fetch_row, materialize, with_scalars
 from tabkit.functions.prefix import add_buckets, default_buckets, prefix_sums_long

@@ -4,7 +4,6 @@ empty input, duplicates)."""
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tabkit.operators import columns as P
 from tabkit.operators import encode as E
