@@ -171,10 +171,11 @@ def token_counts(df: DataFrame, col: str, sep: str = ",") -> DataFrame:
 
 def combo_counts(df: DataFrame, array_col: str, n: int = 10, decimals: int = 4) -> DataFrame:
     """The ``n`` most frequent whole lists (order inside a list matters),
-    with percent of all rows; ties broken by the list's text."""
+    with percent of all rows; ties broken by the lists themselves (element-wise
+    order, a prefix first)."""
     total = df.agg(F.count(F.lit(1)).alias("__n"))
     counts = df.groupBy(F.col(array_col).alias("combo")).agg(F.count(F.lit(1)).alias("count"))
-    top = counts.orderBy(F.desc("count"), F.to_json("combo")).limit(n)
+    top = counts.orderBy(F.desc("count"), F.asc("combo")).limit(n)
     return top.transform(with_scalars(total)).select(
         "combo", "count", F.round(F.col("count") * 100.0 / F.col("__n"), decimals).alias("pct"))
 

@@ -296,3 +296,10 @@ def test_fill_mean_only_if_nulls_keeps_complete_columns(spark):
     out = M.fill_mean(df, ["a", "b"], only_if_nulls=True)
     assert dict(out.dtypes)["a"] == "int"
     assert rows(out, "id", "a", "b") == [(1, 2, 1.0), (2, 4, 1.0)]
+
+
+def test_combo_counts_ties_by_list_order(spark):
+    df = spark.createDataFrame([(["b"],), (["a", "c"],), (["a"],), (["a", "c"],), (["b"],), (["a"],)],
+                               "l array<string>")
+    top = [(list(r.combo), r["count"]) for r in A.combo_counts(df, "l", 2).collect()]
+    assert top == [(["a"], 2), (["a", "c"], 2)]
