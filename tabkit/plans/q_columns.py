@@ -27,7 +27,7 @@ def _lineitem_nulls(spark, sf):
 # the end-to-end slice: split -> fit on train -> impute, one-hot, standardise
 # -> join orders -> per-split summary
 # ---------------------------------------------------------------------------
-@query("feature_slice", "S1,P1,R1,M3,E3,N2,J1", bench=True, sql=f"""
+@query("feature_slice", "P1,R1,M3,E3,N2,J1", bench=True, sql=f"""
 WITH li AS (
   SELECT l_orderkey, l_extendedprice, nullif(l_discount, 0.0) AS l_discount, l_returnflag,
          CASE WHEN {B_L} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split

@@ -177,7 +177,7 @@ def q_staged_error(spark, sf):
     return L.staged_error(m, _train(d), _test(d), class_error=True)
 
 
-@query("cv_report", "L13,R3,K4,K6,S8")
+@query("cv_report", "L13,R3,K4,K6")
 def q_cv_report(spark, sf):
     d = _orders(spark, sf)
     return L.cv_report(d, ORDER_FEATURES, "label", "id", k=3, params={"n_estimators": 10, "learning_rate": 0.1})
