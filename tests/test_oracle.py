@@ -38,3 +38,22 @@ def test_entry_points(spark):
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) == len(QUERIES)
+
+
+def test_coverage_table_complete():
+    import importlib
+    import re
+    from tabkit.plans.coverage import FUNCTIONS
+    ops = {o for q in QUERIES.values() for o in q.operators}
+    assert set(FUNCTIONS) <= ops, sorted(set(FUNCTIONS) - ops)
+    for spec in FUNCTIONS.values():
+        for part in re.split(r"[;/]", spec):
+            part = part.strip()
+            if not part:
+                continue
+            if part.startswith(("operators.", "sources.", "streaming.")):
+                mod, fn = part.rsplit(".", 1) if "(" not in part else part.split("(")[0].rsplit(".", 1)
+                module = importlib.import_module(f"tabkit.{mod}")
+            else:  # "name" continuing the previous module
+                fn = part.split("(")[0]
+            assert hasattr(module, fn), (spec, fn)
