@@ -18,27 +18,33 @@ from tabkit.functions.prefix import ordered_prefix_sums
 from tabkit.functions.scalar import HASH_SPACE, hash_bucket
 
 
+def _need_seed(seed):
+    if seed is None:
+        raise ValueError("a seed is required: splits must be reproducible")
+    return seed
+
+
 def is_test_col(id_col: str, frac: float, seed: int):
-    return hash_bucket(id_col, seed) < F.lit(int(frac * HASH_SPACE))
+    return hash_bucket(id_col, _need_seed(seed)) < F.lit(int(frac * HASH_SPACE))
 
 
-def assign_split(df: DataFrame, id_col: str, frac: float = 0.25, seed: int = 0,
+def assign_split(df: DataFrame, id_col: str, frac: float = 0.25, seed: int | str | None = None,
                  out_col: str = "split") -> DataFrame:
     """Add ``split`` = 'test' for about ``frac`` of the keys, else 'train'."""
     return df.withColumn(out_col, F.when(is_test_col(id_col, frac, seed), "test").otherwise("train"))
 
 
 def train_test_split(df: DataFrame, id_col: str, frac: float = 0.25,
-                     seed: int = 0) -> tuple[DataFrame, DataFrame]:
+                     seed: int | str | None = None) -> tuple[DataFrame, DataFrame]:
     """(train, test); the seed is mandatory for reproducibility."""
     t = is_test_col(id_col, frac, seed)
     return df.where(~t), df.where(t)
 
 
-def k_fold(df: DataFrame, id_col: str, k: int = 5, seed: int = 0,
+def k_fold(df: DataFrame, id_col: str, k: int = 5, seed: int | str | None = None,
            out_col: str = "fold") -> DataFrame:
-    """Shuffled K-fold assignment, ``fold`` in 0..k-1."""
-    return df.withColumn(out_col, (hash_bucket(id_col, seed) % F.lit(k)).cast("int"))
+    """Shuffled K-fold assignment, ``fold`` in 0..k-1 (seed required)."""
+    return df.withColumn(out_col, (hash_bucket(id_col, _need_seed(seed)) % F.lit(k)).cast("int"))
 
 
 def repeated_splits(df: DataFrame, id_col: str, n: int, frac: float = 0.25) -> DataFrame:

@@ -303,3 +303,11 @@ def test_combo_counts_ties_by_list_order(spark):
                                "l array<string>")
     top = [(list(r.combo), r["count"]) for r in A.combo_counts(df, "l", 2).collect()]
     assert top == [(["a"], 2), (["a", "c"], 2)]
+
+
+def test_split_requires_seed(spark):
+    df = spark.range(10)
+    with pytest.raises(ValueError, match="seed"):
+        R.train_test_split(df, "id", 0.25)
+    with pytest.raises(ValueError, match="seed"):
+        R.k_fold(df, "id", 5)
