@@ -53,11 +53,17 @@ def feature_slice(spark, sf):
     # statistics are fitted on the training side only (no join needed for
     # it): the imputer's mean and the scaler's mean / population std come
     # from ONE aggregate pass, the one-hot levels from one distinct
-    means, stds = N.fit_moments(train, ["l_discount", "l_extendedprice"])
+    # the two fits are independent jobs: submitted together, Spark runs them
+    # side by side
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        moments = pool.submit(N.fit_moments, train, ["l_discount", "l_extendedprice"])
+        levels = pool.submit(E.fit_one_hot, train, ["l_returnflag"])
+        means, stds = moments.result()
+        oh = levels.result()
     imp = M.ImputerParams({"l_discount": means["l_discount"]})
     std = N.StandardParams({"l_extendedprice": means["l_extendedprice"]},
                            {"l_extendedprice": stds["l_extendedprice"] or 1.0})
-    oh = E.fit_one_hot(train, ["l_returnflag"])
     feats = E.apply_one_hot(N.apply_standard(M.apply_imputer(li, imp), std), oh)
     orders = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     joined = feats.join(orders, feats.l_orderkey == orders.o_orderkey)
