@@ -330,7 +330,14 @@ def profile_report(df: DataFrame, ordinal: list[str] | None = None, flags: list[
                  F.stddev_samp(c(o)).alias(f"std{i}"), F.min(c(o)).cast("double").alias(f"min{i}"),
                  F.max(c(o)).cast("double").alias(f"max{i}")]
     aggs += [null_safe_corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)]
-    row = df.agg(*aggs).first()
+    # the fused aggregate and the quantile preparation (cut points, count
+    # table, totals) are independent jobs: submitted together
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fused = pool.submit(lambda: df.agg(*aggs).first())
+        quant = pool.submit(quantiles, df, ordinal, DESCRIBE_PROBS, method) if ordinal else None
+        row = fused.result()
+        q = quant.result() if quant is not None else None
 
     out = [("overview", "rows", "value", row["rows"])]
     out += [("overview", f, "value", row[f"ov{i}"]) for i, f in enumerate(flags)]
@@ -341,8 +348,8 @@ def profile_report(df: DataFrame, ordinal: list[str] | None = None, flags: list[
             if row[f"r{k}"] is not None and abs(row[f"r{k}"]) > t]
     schema = "section string, item string, metric string, value double"
     parts = [df.sparkSession.createDataFrame(out, schema)]
-    if ordinal:
-        parts.append(quantiles(df, ordinal, DESCRIBE_PROBS, method).select(
+    if q is not None:
+        parts.append(q.select(
             F.lit("ordinal").alias("section"), F.col("column").alias("item"),
             F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%")).alias("metric"), "value"))
     if share_col:
