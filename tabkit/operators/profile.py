@@ -378,6 +378,10 @@ def sequence_counts(df: DataFrame, group_col: str, pos_col: str, value_col: str,
     fingerprints are counted, and only the ``n`` winning sequences are
     materialised -- each from one representative group -- because they are
     the output.  Ties on count are broken by (length, fingerprint).
+
+    Positions are part of the fingerprint, so sequences are compared by
+    (position, value) pairs: groups must number their positions the same
+    way (e.g. turns 0..n-1), as the driver tables do.
     """
     h = F.xxhash64(F.col(pos_col), F.col(value_col)).cast("decimal(20,0)")
     per = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__len"), F.sum(h).alias("__fp"))
