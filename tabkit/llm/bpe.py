@@ -35,12 +35,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tabkit.llm.common import check_free, slices
+from tabkit.llm.common import Memo, check_free, slices
 
 #: A rank file above this size is refused (it is broadcast).
 MAX_RANK_FILE = 64 * 1024 * 1024
-#: Entries of each memo of one Python worker; a full memo starts anew.
-MEMO_ENTRIES = 400_000
 #: Longer pieces are not kept in a memo.
 MEMO_PIECE = 64
 
@@ -49,19 +47,6 @@ class _Edge(Exception):
     """A piece between spaces that cannot be tokenised on its own."""
 
 
-class _Memo(dict):
-    def __init__(self, make, entries: int = MEMO_ENTRIES):
-        super().__init__()
-        self.make, self.entries = make, entries
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(self) >= self.entries:
-            self.clear()
-        self[key] = value
-        return value
-
-
 class BytePairCodec:
     """Encoder and decoder for one rank table and split pattern."""
 
@@ -77,10 +62,10 @@ class BytePairCodec:
         for token, number in self.rank.items():
             self.automaton.add_word(token.decode("latin-1"), (number, len(token)))
         self.automaton.make_automaton()
-        self._reachable = _Memo(lambda t: self.merge(self.token[t]) == [t], entries=1 << 30)
-        self._fits = _Memo(lambda ab: self.merge(self.token[ab[0]] + self.token[ab[1]]) == [*ab])
-        self._piece = _Memo(self._encode_piece)
-        self._chunk = _Memo(self._encode_chunk)
+        self._reachable = Memo(lambda t: self.merge(self.token[t]) == [t], entries=1 << 30)
+        self._fits = Memo(lambda ab: self.merge(self.token[ab[0]] + self.token[ab[1]]) == [*ab])
+        self._piece = Memo(self._encode_piece)
+        self._chunk = Memo(self._encode_chunk)
 
     def merge(self, piece: bytes) -> list[int]:
         """Merging by rank, step by step: the definition.  Only ever used on

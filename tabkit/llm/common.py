@@ -17,6 +17,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 16 * 1024 * 1024
 
 
+#: Entries of each memo of one Python worker.
+MEMO_ENTRIES = 400_000
+
+
+class Memo(dict):
+    """``make(key)``, kept per key; a full memo starts anew, so its memory is
+    bounded."""
+
+    def __init__(self, make, entries: int = MEMO_ENTRIES):
+        super().__init__()
+        self.make, self.entries = make, entries
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(self) >= self.entries:
+            self.clear()
+        self[key] = value
+        return value
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 

@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe
+from tabkit.functions.frames import materialize
+from tabkit.llm import bpe, quality
 from tabkit.llm.common import documents
 
 
@@ -45,3 +46,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "ids")
     return bpe.decode(digests, ranks, pattern).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_quality_votes")
+def op10_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = materialize(quality.counts_frame(documents(spark, sf_dir).select("doc_id", "text"), keep_text=False))
+    judged = quality.judge(counts, quality.fit(counts))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", F.round("p_good", 6).alias("p_good"))
