@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, quality
+from tabkit.llm import bpe, mixing, quality
 from tabkit.llm.common import documents
 
 
@@ -54,3 +54,44 @@ def op10_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(counts, quality.fit(counts))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", F.round("p_good", 6).alias("p_good"))
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS skey
+  FROM documents),
+placed AS (
+  SELECT *, CASE WHEN size < 16 THEN size
+                 ELSE (length(bin(size)) - 1) * 16 + ((size >> (length(bin(size)) - 5)::INT) & 15) END AS cls,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '-42'), 1, 8))::BIGINT % 1024 AS cell
+  FROM d),
+src AS (SELECT skey, sum(size) AS s FROM placed GROUP BY skey),
+weighted AS (
+  SELECT *, (CASE (row_number() OVER (ORDER BY skey) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::HUGEINT AS w
+  FROM src),
+capped AS (
+  SELECT *, (sum(2 * s) OVER lv * w + 2 * s * ((SELECT sum(w) FROM weighted) - sum(w) OVER lv)) * 2
+            <= (SELECT sum(s) FROM src) * 3 * w AS fullup
+  FROM weighted WINDOW lv AS (ORDER BY s * 2 * (10 / w)::BIGINT)),
+goal AS (
+  SELECT skey, s::BIGINT AS s, CASE WHEN fullup THEN (2 * s)::DOUBLE ELSE
+    ((SELECT sum(s) FROM src) * 3 - 2 * coalesce((SELECT sum(2 * s) FROM capped WHERE fullup), 0))::DOUBLE * w::DOUBLE
+    / ((SELECT sum(w) FROM capped WHERE NOT fullup) * 2)::DOUBLE END AS target,
+    ('0x' || substr(md5(skey || '-42'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+  FROM capped),
+ranked AS (
+  SELECT p.*, row_number() OVER (PARTITION BY skey ORDER BY cls, cell, doc_id, size) AS k FROM placed p)
+SELECT doc_id, size, s AS source_size, target,
+  (size * (floor(u + r * k::DOUBLE) - floor(u + r * (k - 1)::DOUBLE)))::BIGINT AS taken
+FROM (SELECT r.*, g.s, g.target, g.u, CASE WHEN g.s > 0 THEN g.target / g.s::DOUBLE ELSE 0.0 END AS r
+      FROM ranked r JOIN goal g USING (skey))
+"""
+
+
+@query("op8_systematic_mix", OP8_SQL)
+def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    sized = materialize(docs.select("doc_id", "source", mixing.word_count().alias("size")))
+    return mixing.systematic_copies(sized, "size").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
