@@ -9,7 +9,7 @@ need no file of their own.
 Method.  Every byte is one Latin-1 character, so a ``pyahocorasick``
 automaton over the vocabulary finds all tokens inside a piece in one pass.
 From each position the longest match is tried first; a token may follow its
-predecessor only if merging the two together yields exactly these two tokens
+predecessor only if merging would leave the border between the two alone
 (memoised per token pair).  Where nothing fits, the last token is taken back
 and its next shorter match tried, and the abandoned position is never entered
 again -- a valid sequence for a prefix is unique, so every position is
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import chain
 
 import ahocorasick
@@ -57,28 +58,67 @@ class BytePairCodec:
                 token, _, number = line.rpartition(b" ")
                 self.rank[base64.b64decode(token)] = int(number)
         self.token = {number: token for token, number in self.rank.items()}
+        self.length = {number: len(token) for token, number in self.rank.items()}
         self.pieces = regex.compile(pattern)
-        self.automaton = ahocorasick.Automaton()
-        for token, number in self.rank.items():
-            self.automaton.add_word(token.decode("latin-1"), (number, len(token)))
-        self.automaton.make_automaton()
-        self._reachable = Memo(lambda t: self.merge(self.token[t]) == [t], entries=1 << 30)
-        self._fits = Memo(lambda ab: self.merge(self.token[ab[0]] + self.token[ab[1]]) == [*ab])
+        self._halves = Memo(self._last_merge, entries=1 << 30)  # one entry per token
+        self._shorter = Memo(self._next_shorter, entries=1 << 30)  # one entry per token
+        self._fits = Memo(self._may_follow)
         self._piece = Memo(self._encode_piece)
         self._chunk = Memo(self._encode_chunk)
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Merging by rank, step by step: the definition.  Only ever used on
-        one token or two adjacent ones."""
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        found = ahocorasick.Automaton()
+        for token, number in self.rank.items():
+            if self._halves[number]:
+                found.add_word(token.decode("latin-1"), (number, len(token) - 1))
+        found.make_automaton()
+        return found
+
+    def _last_merge(self, number: int) -> tuple[int, ...]:
+        """The two tokens that merging joins last to make this one; a byte is
+        its own half; empty where merging never yields the token."""
+        whole = self.token[number]
+        parts = [whole[i:i + 1] for i in range(len(whole))]
+        while len(parts) > 2:
             found = [(r, i) for i in range(len(parts) - 1)
                      if (r := self.rank.get(parts[i] + parts[i + 1])) is not None]
-            if not found:
-                break
+            if not found or found == [(number, 0)]:
+                return ()
             _, i = min(found)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.rank[p] for p in parts]
+        return tuple(self.rank[p] for p in parts)
+
+    def _next_shorter(self, number: int) -> int:
+        """The longest token that merging can yield and this one starts with;
+        -1 if there is none."""
+        token = self.token[number]
+        for cut in range(len(token) - 1, 0, -1):
+            other = self.rank.get(token[:cut])
+            if other is not None and self._halves[other]:
+                return other
+        return -1
+
+    def _may_follow(self, pair: tuple[int, int]) -> bool:
+        """Whether two adjacent tokens stay as they are.
+
+        Going back in time, the one formed last is undone at each step; what
+        then meets at the border would have merged if its rank came before
+        the ranks at which its two sides were used up (equal ranks: the one
+        on the left first)."""
+        left, right = pair
+        left_used = right_used = len(self.token) << 8
+        while True:
+            joint = self.rank.get(self.token[left] + self.token[right])
+            if joint is not None and joint < left_used and joint <= right_used:
+                return False
+            left_byte, right_byte = len(self.token[left]) == 1, len(self.token[right]) == 1
+            if left_byte and right_byte:
+                return True
+            if right_byte or not left_byte and left > right:
+                left_used, left = left, self._halves[left][1]
+            else:
+                right_used, right = right, self._halves[right][0]
 
     def _encode_piece(self, piece: str) -> tuple[int, ...]:
         """Ids of one match of the split pattern."""
@@ -87,29 +127,29 @@ class BytePairCodec:
         if whole is not None:
             return (whole,)
         n = len(raw)
-        options: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(raw.decode("latin-1")):
-            options[end - match[1] + 1].append(match)  # shorter ones first
+        untried = [-1] * n  # per position: the longest token not tried there yet
+        for end, (token, back) in self.automaton.iter(raw.decode("latin-1")):
+            untried[end - back] = token  # longer matches end later
+        length, fits, shorter = self.length, self._fits, self._shorter
         ids: list[int] = []
-        lengths: list[int] = []
         dead: set[int] = set()
         at = 0
         while at < n:
-            left = options[at]
-            while left:
-                token, length = left.pop()
-                if at + length not in dead and self._reachable[token] and (
-                        not ids or self._fits[ids[-1], token]):
-                    ids.append(token)
-                    lengths.append(length)
-                    at += length
+            token = untried[at]
+            while token >= 0:
+                after = at + length[token]
+                if after not in dead and (not ids or fits[ids[-1], token]):
                     break
-            else:
-                if not ids:
-                    raise ValueError("the vocabulary does not cover every byte")
+                token = shorter[token]
+            if token >= 0:
+                untried[at] = shorter[token]
+                ids.append(token)
+                at = after
+            elif ids:
                 dead.add(at)
-                ids.pop()
-                at -= lengths.pop()
+                at -= length[ids.pop()]
+            else:
+                raise ValueError("the vocabulary does not cover every byte")
         return tuple(ids)
 
     def _encode_pieces(self, text: str) -> Iterator[int]:

@@ -14,24 +14,28 @@ from tabkit.sources.tables import table
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of input that a Python task turns into one output batch.
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 #: Entries of each memo of one Python worker.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 
 
 class Memo(dict):
-    """``make(key)``, kept per key; a full memo starts anew, so its memory is
-    bounded."""
+    """``make(key)``, kept per key.  When full, what was not asked for since
+    the last time it was full is dropped: memory is bounded by twice
+    ``entries`` and frequent keys stay."""
 
     def __init__(self, make, entries: int = MEMO_ENTRIES):
         super().__init__()
-        self.make, self.entries = make, entries
+        self.make, self.entries, self.older = make, entries, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.entries:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value
