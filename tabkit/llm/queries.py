@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, mixing, quality
+from tabkit.llm import bpe, mixing, near_dups, quality
 from tabkit.llm.common import documents
 
 
@@ -33,6 +34,9 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+
+
 def all_queries() -> dict[str, LlmQuery]:
     return QUERIES
 
@@ -95,3 +99,9 @@ def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = materialize(docs.select("doc_id", "source", mixing.word_count().alias("size")))
     return mixing.systematic_copies(sized, "size").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op6_lsh_forest")
+def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return near_dups.near_duplicates(docs, width=3, threshold=(85, 100)).drop("text_hash")
