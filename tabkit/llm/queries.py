@@ -4,8 +4,9 @@ output."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, mixing, near_dups, quality
+from tabkit.llm import bpe, mixing, near_dups, quality, shards
 from tabkit.llm.common import documents
+from tabkit.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -105,3 +107,23 @@ def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return near_dups.near_duplicates(docs, width=3, threshold=(85, 100)).drop("text_hash")
+
+
+@query("op2_virtual_slots")
+def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4,096 slots in 16 shards balanced by bytes; the map is stored, read
+    back and applied, then edited for 17 shards as its second version."""
+    slots, n = 4096, 16
+    sized = documents(spark, sf_dir).select("doc_id", shards.text_size().alias("size"),
+                                            shards.text_crc32().alias("text_crc32"))
+    slotted = materialize(shards.with_slots(sized, "size", "text_crc32", slots=slots))
+    sizes = shards.slot_sizes(slotted, "size", slots)
+    first = shards.new_map(sizes, n)
+    path = scratch_path(spark, f"slot-map-{uuid.uuid4().hex}")
+    version = shards.store_map(spark, path, first, sizes)
+    shards.store_map(spark, path, shards.rebalance(first, sizes, n + 1), sizes)
+    edited = shards.load_map(spark, path).select("vslot", F.col("shard").alias("rebalanced_shard"))
+    placed = shards.assign(slotted, shards.load_map(spark, path, version), ["doc_id", "size", "text_crc32"])
+    return placed.join(F.broadcast(edited), "vslot").select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "vslot", "map_version", "rebalanced_shard")
