@@ -25,13 +25,14 @@ that clashes with one of them is an error.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -71,7 +72,7 @@ class BytePairCodec:
         found = ahocorasick.Automaton()
         for token, number in self.rank.items():
             if self._halves[number]:
-                found.add_word(token.decode("latin-1"), (number, len(token) - 1))
+                found.add_word(token.decode("latin-1"), number)
         found.make_automaton()
         return found
 
@@ -126,16 +127,24 @@ class BytePairCodec:
         whole = self.rank.get(raw)
         if whole is not None:
             return (whole,)
-        n = len(raw)
-        untried = [-1] * n  # per position: the longest token not tried there yet
-        for end, (token, back) in self.automaton.iter(raw.decode("latin-1")):
-            untried[end - back] = token  # longer matches end later
-        length, fits, shorter = self.length, self._fits, self._shorter
-        ids: list[int] = []
+        text, n, length, fits, shorter = raw.decode("latin-1"), len(raw), self.length, self._fits, self._shorter
+        longest = self.automaton.iter_long
+        # taking the longest match again and again is right for many pieces;
+        # for others, go on from the first border that does not hold
+        ids = [token for _, token in longest(text)]
+        good = 1
+        while good < len(ids) and fits[ids[good - 1], ids[good]]:
+            good += 1
+        if good >= len(ids):
+            return tuple(ids)
+        at = sum(map(length.__getitem__, ids[:good]))
+        untried = {at: shorter[ids[good]]}  # per position: the longest token not tried there yet
+        del ids[good:]
         dead: set[int] = set()
-        at = 0
         while at < n:
-            token = untried[at]
+            token = untried.get(at)
+            if token is None:
+                _, token = next(longest(text, at))
             while token >= 0:
                 after = at + length[token]
                 if after not in dead and (not ids or fits[ids[-1], token]):
@@ -147,21 +156,24 @@ class BytePairCodec:
                 at = after
             elif ids:
                 dead.add(at)
-                at -= length[ids.pop()]
+                last = ids.pop()
+                at -= length[last]
+                untried[at] = shorter[last]
             else:
                 raise ValueError("the vocabulary does not cover every byte")
         return tuple(ids)
 
-    def _encode_pieces(self, text: str) -> Iterator[int]:
+    def _ids(self, pieces: list[str]) -> Iterator[int]:
         return chain.from_iterable(
-            self._piece[p] if len(p) <= MEMO_PIECE else self._encode_piece(p)
-            for p in self.pieces.findall(text))
+            self._piece[p] if len(p) <= MEMO_PIECE else self._encode_piece(p) for p in pieces)
 
     def _encode_chunk(self, chunk: str) -> tuple[int, ...]:
         """Ids of one space and what follows it up to the next space."""
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Edge
-        return tuple(self._encode_pieces(" " + chunk))
+        if chunk.isalpha():  # one match of the pattern
+            return self._encode_piece(" " + chunk)
+        return tuple(self._ids(self.pieces.findall(" " + chunk)))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Token ids of a whole text.
@@ -176,13 +188,32 @@ class BytePairCodec:
         try:
             if first and first[-1].isspace():
                 raise _Edge
-            return np.fromiter(chain(self._encode_pieces(first),
+            return np.fromiter(chain(self._ids(self.pieces.findall(first)),
                                      chain.from_iterable(map(self._chunk.__getitem__, rest))), np.int32)
         except _Edge:
-            return np.fromiter(self._encode_pieces(text), np.int32)
+            return np.fromiter(self._ids(self.pieces.findall(text)), np.int32)
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+    @cached_property
+    def _blob(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens' bytes in one row, with the start and length of each
+        id; -1 for ids that the vocabulary lacks."""
+        size = max(self.token) + 1
+        start, length = np.zeros(size, np.int64), np.full(size, -1, np.int64)
+        for number, token in self.token.items():
+            length[number] = len(token)
+        start[1:] = np.cumsum(np.maximum(length, 0))[:-1]
+        return np.frombuffer(b"".join(self.token[n] for n in sorted(self.token)), np.uint8), start, length
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of rows of ids that lie one after another in ``ids``, row k
+        up to ``ends[k]``; returned the same way."""
+        blob, start, length = self._blob
+        ids = ids.astype(np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(length) or (length[ids] < 0).any()):
+            raise ValueError("an id that is not in the vocabulary")
+        after = np.concatenate([[0], np.cumsum(length[ids])])
+        source = np.repeat(start[ids] - after[:-1], length[ids]) + np.arange(after[-1])
+        return blob[source], after[ends]
 
 
 _CODECS: dict[tuple, BytePairCodec] = {}
@@ -234,8 +265,14 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids", out: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, pattern)
         for batch in chain.from_iterable(map(slices, batches)):
-            raw = [codec.decode(x) if x else b"" for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())],
-                                             names=[*batch.schema.names, out])
+            rows = batch.column(at)
+            flat = rows.flatten()  # null rows hold no ids
+            if flat.null_count:
+                raise ValueError("a null among the ids of a row")
+            ends = np.cumsum(np.nan_to_num(pc.list_value_length(rows).to_numpy(zero_copy_only=False)).astype(np.int64))
+            data, ends = codec.decode(flat.to_numpy(), ends)
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            raw = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, raw], names=[*batch.schema.names, out])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))
