@@ -18,7 +18,7 @@ BATCH_BYTES = 4 * 1024 * 1024
 
 
 #: Entries of each memo of one Python worker.
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 250_000
 
 
 class Memo(dict):
