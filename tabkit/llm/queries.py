@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, mixing, near_dups, quality, shards
+from tabkit.llm import bpe, mixing, near_dups, quality, shards, warc
 from tabkit.llm.common import documents
 from tabkit.session import scratch_path
+from tabkit.sources.tables import table
 
 
 @dataclass(frozen=True)
@@ -127,3 +128,12 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.join(F.broadcast(edited), "vslot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "vslot", "map_version", "rebalanced_shard")
+
+
+@query("op9_sharded_warc")
+def op9_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages in the shared scratch folder, read back."""
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    warc.write(table(spark, sf_dir, "pages"), path, shard_bytes=32 * 1024 * 1024, file_bytes=8 * 1024 * 1024)
+    return warc.read(spark, path).select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest",
+                                         "record_type", "refers_to")
