@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, mixing, near_dups, quality, shards, warc
+from tabkit.llm import bpe, fingerprints, mixing, near_dups, quality, shards, warc
 from tabkit.llm.common import documents
 from tabkit.session import scratch_path
 from tabkit.sources.tables import table
@@ -137,3 +137,8 @@ def op9_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write(table(spark, sf_dir, "pages"), path, shard_bytes=32 * 1024 * 1024, file_bytes=8 * 1024 * 1024)
     return warc.read(spark, path).select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest",
                                          "record_type", "refers_to")
+
+
+@query("op1_multiset_hash")
+def op1_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
