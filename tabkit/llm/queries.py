@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, fingerprints, mixing, near_dups, quality, shards, warc
+from tabkit.llm import bpe, fingerprints, mixing, near_dups, quality, shards, url_lists, warc
 from tabkit.llm.common import documents
 from tabkit.session import scratch_path
 from tabkit.sources.tables import table
@@ -142,3 +142,67 @@ def op9_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_multiset_hash")
 def op1_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+OP7_SQL = r"""
+WITH cap AS (
+  SELECT page_id, url, DATE '2023-01-01' + (('0x' || substr(md5(page_id::VARCHAR || '-fetch'), 1, 8))::BIGINT % 730)::INT AS day,
+         nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host,
+         nullif(regexp_extract(url, '^[^/?#]*://[^/?#]*/([^/?#]+)', 1), '') AS seg
+  FROM pages),
+keyed AS (
+  SELECT page_id, url, day, host || '/' || seg AS path, host,
+         coalesce(nullif(regexp_extract(host, '([^.]+\.[^.]+)$', 1), ''), host) AS domain FROM cap),
+names AS (
+  SELECT DISTINCT 'path' AS level, path AS key FROM keyed WHERE path IS NOT NULL UNION ALL
+  SELECT DISTINCT 'host', host FROM keyed WHERE host IS NOT NULL UNION ALL
+  SELECT DISTINCT 'domain', domain FROM keyed WHERE domain IS NOT NULL),
+hashed AS (
+  SELECT level, key, ('0x' || substr(md5(level || ':' || key || ':' || k), 1, 8))::BIGINT AS h
+  FROM names, (SELECT unnest([0, 1, 2])::VARCHAR AS k)),
+entries AS (
+  SELECT level, key, min(CASE h % 3 WHEN 0 THEN 'block' WHEN 1 THEN 'allow' ELSE 'remove' END
+                         ) FILTER (h % 3 = 0) AS b,
+         bool_or(h % 3 = 1) AS a, DATE '2023-01-01' + ((h // 16) % 730)::INT AS listed_on
+  FROM hashed WHERE (h // 4) % 4 < 2 GROUP BY level, key, listed_on),
+spans AS (
+  SELECT level, key, CASE WHEN b IS NOT NULL THEN 'block' WHEN a THEN 'allow' ELSE 'remove' END AS action, listed_on,
+         lead(listed_on) OVER (PARTITION BY level, key ORDER BY listed_on) AS listed_to FROM entries),
+live AS (SELECT * FROM spans WHERE action <> 'remove')
+SELECT c.page_id, c.day::VARCHAR AS fetched_on, c.host,
+       coalesce(p.level, h.level, d.level) AS list_level, coalesce(p.action, h.action, d.action) AS list_action,
+       (CASE WHEN p.level IS NOT NULL THEN p.listed_on WHEN h.level IS NOT NULL THEN h.listed_on ELSE d.listed_on END)::VARCHAR AS listed_on,
+       (CASE WHEN p.level IS NOT NULL THEN p.listed_to WHEN h.level IS NOT NULL THEN h.listed_to ELSE d.listed_to END)::VARCHAR AS listed_to,
+       coalesce(coalesce(p.action, h.action, d.action) = 'block', false) AS blocked
+FROM keyed c
+LEFT JOIN live p ON p.level = 'path' AND p.key = c.path AND c.day >= p.listed_on AND (p.listed_to IS NULL OR c.day < p.listed_to)
+LEFT JOIN live h ON h.level = 'host' AND h.key = c.host AND c.day >= h.listed_on AND (h.listed_to IS NULL OR c.day < h.listed_to)
+LEFT JOIN live d ON d.level = 'domain' AND d.key = c.domain AND c.day >= d.listed_on AND (d.listed_to IS NULL OR c.day < d.listed_to)
+"""
+
+
+def _hash32(text) -> F.Column:
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+@query("op7_temporal_url_list", OP7_SQL)
+def op7_temporal_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as captures with a fetch date from their id, against a list
+    whose entries are drawn, by hashes, from the pages' own paths, hosts and
+    domains."""
+    start = F.lit("2023-01-01").cast("date")
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.date_add(start, (_hash32(F.concat(F.col("page_id").cast("string"), F.lit("-fetch"))) % 730)
+                                     .cast("int")).alias("fetched_on"))
+    keys = url_lists.url_keys(F.col("url"))
+    named = pages.select(F.explode(F.array(*(F.struct(F.lit(level).alias("level"), k.alias("key"))
+                                             for level, k in keys.items()))).alias("n")).select("n.*").where("key is not null")
+    drawn = (named.distinct().withColumn("k", F.explode(F.array(*map(F.lit, "012"))))
+             .withColumn("h", _hash32(F.concat_ws(":", "level", "key", "k"))).where("(h div 4) % 4 < 2"))
+    entries = materialize(drawn.select(
+        "level", "key", F.element_at(F.array(*map(F.lit, ("block", "allow", "remove"))), (F.col("h") % 3 + 1).cast("int")).alias("action"),
+        F.date_add(start, F.expr("cast((h div 16) % 730 as int)")).alias("listed_on")))
+    judged = url_lists.judge(pages, entries)
+    return judged.select("page_id", F.col("fetched_on").cast("string").alias("fetched_on"), keys["host"].alias("host"),
+                         "list_level", "list_action", F.col("listed_on").cast("string").alias("listed_on"),
+                         F.col("listed_to").cast("string").alias("listed_to"), "blocked")
