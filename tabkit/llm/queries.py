@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, fingerprints, mixing, near_dups, quality, shards, url_lists, warc
+from tabkit.llm import bpe, fingerprints, mixing, near_dups, quality, shards, token_counts, url_lists, warc
 from tabkit.llm.common import documents
 from tabkit.session import scratch_path
 from tabkit.sources.tables import table
@@ -206,3 +206,9 @@ def op7_temporal_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", F.col("fetched_on").cast("string").alias("fetched_on"), keys["host"].alias("host"),
                          "list_level", "list_action", F.col("listed_on").cast("string").alias("listed_on"),
                          F.col("listed_to").cast("string").alias("listed_to"), "blocked")
+
+
+@query("op5_unigram_counts")
+def op5_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir).select("doc_id", "text"),
+                                     public_tokenizers.path("piece_bpe_32k.model"), keep_text=False)
