@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, fingerprints, mixing, near_dups, quality, shards, token_counts, url_lists, warc
+from tabkit.llm import bpe, fingerprints, mixing, near_dups, packing, quality, shards, token_counts, url_lists, warc
 from tabkit.llm.common import documents
 from tabkit.session import scratch_path
 from tabkit.sources.tables import table
@@ -212,3 +212,11 @@ def op7_temporal_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir).select("doc_id", "text"),
                                      public_tokenizers.path("piece_bpe_32k.model"), keep_text=False)
+
+
+@query("op4_packed_rows")
+def op4_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of 2,048 ids, padded with the id that the vocabulary leaves free."""
+    ids = packing.library_ids(documents(spark, sf_dir).select("doc_id", "text"),
+                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(ids, capacity=2048, pad=50256)
