@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bkt"
@@ -22,7 +22,20 @@ BUCKET = "_bkt"
 
 def default_buckets(spark) -> int:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(4096, 2 * parts))
+    # two per shuffle partition: callers size the partitions to the data, so
+    # the keys of one bucket stay bounded as the data grows
+    return max(8, 2 * parts)
+
+
+def _ordered_number(df: DataFrame, key: str) -> Column:
+    """A double that rises with the key: numbers as they are, dates and
+    timestamps as days or microseconds."""
+    kind = df.schema[key].dataType.simpleString()
+    if kind == "date":
+        return F.unix_date(F.col(f"`{key}`")).cast("double")
+    if kind == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(f"`{key}`")).cast("double")
+    return F.col(f"`{key}`").cast("double")
 
 
 def add_buckets(df: DataFrame, keys: list[str], n_buckets: int | None = None,
@@ -39,7 +52,7 @@ def add_buckets(df: DataFrame, keys: list[str], n_buckets: int | None = None,
     rel_err = rel_err if rel_err is not None else 1.0 / (4 * n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     dbl = [f"_k{i}" for i in range(len(keys))]
-    staged = df.withColumns({d: F.col(k).cast("double") for d, k in zip(dbl, keys)})
+    staged = df.withColumns({d: _ordered_number(df, k) for d, k in zip(dbl, keys)})
     cuts = staged.approxQuantile(dbl, probs, rel_err) if probs else [[] for _ in keys]
     splits = []
     for cut in cuts:

@@ -19,9 +19,12 @@ def hash_bucket(id_col, seed: int) -> Column:
     integer.  Row-local (no shuffle, no sort) and independent of partitioning,
     so a split is identical on every re-run, on every cluster size and in the
     SQL oracle: ``('0x' || substr(md5(cast(id as varchar) || '-' || seed), 1, 8))::BIGINT``.
+    A null key gets the last bucket, 2**32 - 1, so rows without key take part
+    in every split (always on the training side) and in one fold.
     """
     key = F.concat(_c(id_col).cast("string"), F.lit(f"-{seed}"))
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    bucket = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return F.coalesce(bucket, F.lit(HASH_SPACE - 1))
 
 
 def clip_col(col, lo=None, hi=None) -> Column:
@@ -48,11 +51,19 @@ def name_from_value(col) -> Column:
 
 def label_from_name(col, prefix: str = "") -> Column:
     """Turn a column name back into a title-case label: strip ``prefix``,
-    underscores become blanks, each word capitalised."""
+    underscores become blanks, each word capitalised (:func:`title_case`)."""
     c = _c(col)
     if prefix:
-        c = F.regexp_replace(c, "^" + prefix, "")
-    return F.initcap(F.translate(c, "_", " "))
+        c = F.when(F.startswith(c, F.lit(prefix)), F.substring(c, F.lit(len(prefix) + 1), F.length(c))).otherwise(c)
+    return title_case(F.translate(c, "_", " "))
+
+
+def title_case(col) -> Column:
+    """Upper case for every letter that does not follow a letter, lower case
+    for the others (``F.initcap`` starts words after blanks only)."""
+    chars = F.split(F.lower(_c(col)), "")
+    first = lambda i: (i == 0) | ~F.rlike(F.get(chars, i - 1), F.lit(r"\p{L}"))
+    return F.array_join(F.transform(chars, lambda x, i: F.when(first(i), F.upper(x)).otherwise(x)), "")
 
 
 def run_id_col(ts_col) -> Column:

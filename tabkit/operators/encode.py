@@ -9,6 +9,7 @@ unbounded projection.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,6 @@ from pyspark.sql import functions as F
 from tabkit.functions.scalar import name_from_value, name_from_value_py, strip_ws
 
 MAX_LEVELS = 1000
-# Above this many levels an index is attached by a broadcast join instead of
-# an in-expression lookup array.
-INLINE_LEVELS = 256
 
 
 def _levels(df: DataFrame, col, max_levels: int) -> list:
@@ -50,25 +48,25 @@ class OrdinalParams:
 
 
 def fit_ordinal(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS) -> OrdinalParams:
-    """Fit sorted distinct values per column (codes 0..k-1)."""
+    """Fit sorted distinct values per column (codes 0..k-1).  More than
+    ``max_levels`` values in a column are an error."""
     return OrdinalParams({c: _levels(df, c, max_levels) for c in cols})
 
 
 def apply_ordinal(df: DataFrame, params: OrdinalParams, suffix: str = "") -> DataFrame:
-    """Replace (or add ``c + suffix``) the ordinal code; unseen/null -> null."""
-    inline = {c: lv for c, lv in params.levels.items() if len(lv) <= INLINE_LEVELS}
-    out = df.withColumns({c + suffix: _ordinal_expr(c, lv) for c, lv in inline.items()})
-    spark = df.sparkSession
-    for c, lv in params.levels.items():
-        if c in inline:
-            continue
-        # bounded by max_levels, so the lookup side is safe to broadcast
-        lookup = spark.createDataFrame([(v, i) for i, v in enumerate(lv)],
-                                       f"`__lvl` {df.schema[c].dataType.simpleString()}, `__code` int")
-        out = out.join(F.broadcast(lookup), out[c] == lookup["__lvl"], "left").drop("__lvl")
-        out = out.withColumnRenamed("__code", c + suffix) if suffix else \
-            out.drop(c).withColumnRenamed("__code", c)
-    return out
+    """Replace (or add ``c + suffix``) the ordinal code; unseen/null -> null.
+
+    Codes come from a broadcast lookup of the fitted levels (bounded by
+    ``max_levels``), whatever their number; columns keep their order, added
+    ones follow in the order of ``params``."""
+    spark, out, codes = df.sparkSession, df, {}
+    for i, (c, lv) in enumerate(params.levels.items()):
+        lookup = spark.createDataFrame([(v, n) for n, v in enumerate(lv)],
+                                       f"`__lvl{i}` {df.schema[c].dataType.simpleString()}, `__code{i}` int")
+        out = out.join(F.broadcast(lookup), F.col(f"`{c}`") == F.col(f"__lvl{i}"), "left")
+        codes[c + suffix] = F.col(f"__code{i}")
+    kept = [codes.pop(c).alias(c) if c in codes else F.col(f"`{c}`") for c in df.columns]
+    return out.select(*kept, *[code.alias(name) for name, code in codes.items()])
 
 
 @dataclass(frozen=True)
@@ -80,7 +78,8 @@ class OneHotParams:
 def fit_one_hot(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS,
                 normalise: bool = False, prefixes: dict | None = None) -> OneHotParams:
     """E3/E9 fit: sorted levels per column and their output column names
-    ``prefix_level`` (``normalise`` lower-cases and replaces blanks/slashes)."""
+    ``prefix_level`` (``normalise`` lower-cases and replaces blanks/slashes).
+    More than ``max_levels`` values in a column are an error."""
     cats, names = {}, {}
     for c in cols:
         lv = _levels(df, c, max_levels)
@@ -93,13 +92,19 @@ def fit_one_hot(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS,
 def apply_one_hot(df: DataFrame, params: OneHotParams, dtype: str = "int",
                   drop_source: bool = True) -> DataFrame:
     """E3/E9 apply: one 0/1 column per fitted level; a null or a level not
-    seen at fit time gives all zeros.  Levels that normalise to the same name
-    are OR-ed.  One projection, no shuffle."""
+    seen at fit time gives all zeros.  Levels of one column that normalise to
+    the same name are OR-ed; a name that two columns give, or that the input
+    has already, is an error.  One projection, no shuffle."""
     exprs: dict[str, Column] = {}
+    taken = {c for c in df.columns if not (drop_source and c in params.categories)}
     for c, levels in params.categories.items():
         by_name: dict[str, list] = {}
         for v, n in zip(levels, params.names[c]):
             by_name.setdefault(n, []).append(v)
+        clash = sorted(taken & set(by_name))
+        if clash:
+            raise ValueError(f"one-hot columns of {c} clash with existing ones: {clash}")
+        taken |= set(by_name)
         for n, vals in by_name.items():
             hit = F.col(c).isin(*vals) if len(vals) > 1 else (F.col(c) == F.lit(vals[0]))
             exprs[n] = F.coalesce(hit, F.lit(False)).cast(dtype)
@@ -175,9 +180,15 @@ def multi_hot(df: DataFrame, array_col: str, prefix: str | None = None,
 
 
 def parse_list(df: DataFrame, col: str, out_col: str | None = None) -> DataFrame:
-    """Parse a list literal such as ``['full sun', 'part shade']``;
-    malformed text or null gives an empty list."""
-    parsed = F.from_json(F.col(col), "array<string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+    """Parse a list or tuple literal such as ``['full sun', None]``;
+    malformed text or null gives an empty list.  ``None`` is a null element."""
+    text = F.trim(F.col(col))
+    # outside quotes: an even number of each quote follows
+    outside = r"(?=(?:[^'\"]|'[^']*'|\"[^\"]*\")*$)"
+    text = F.regexp_replace(text, rf"\bNone\b{outside}", "null")
+    text = F.regexp_replace(text, r"^\((.*)\)$", "[$1]")
+    text = F.regexp_replace(text, r",\s*\]$", "]")
+    parsed = F.from_json(text, "array<string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
     return df.withColumn(out_col or col, F.coalesce(parsed, F.array().cast("array<string>")))
 
 
@@ -193,7 +204,7 @@ def explode_tokens(df: DataFrame, col: str, sep: str = ",", out_col: str = "toke
     """Split text on ``sep``, strip whitespace around each piece, one row per piece (nulls
     dropped first)."""
     return (df.where(F.col(col).isNotNull())
-            .withColumn(out_col, F.explode(F.transform(F.split(F.col(col), sep), strip_ws))))
+            .withColumn(out_col, F.explode(F.transform(F.split(F.col(col), re.escape(sep)), strip_ws))))
 
 
 def align_columns(df: DataFrame, train_cols: list[str], fill=0) -> DataFrame:

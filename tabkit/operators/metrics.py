@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabkit.functions.frames import materialize, with_scalars
 from tabkit.functions.prefix import ordered_prefix_sums
+from tabkit.functions.scalar import clip_col
 
 # Fixed value: probability clipping of the binary cross-entropy.
 LOG_LOSS_EPSILON = 1e-7
@@ -151,8 +152,9 @@ def precision_recall(df: DataFrame, y: str, score: str, t: float = 0.5) -> DataF
 def log_loss_col(y, p, weight=None, eps: float = LOG_LOSS_EPSILON) -> Column:
     """Binary cross-entropy with probabilities clipped to [eps, 1 - eps]; a
     weight multiplies each row's loss and the mean is over rows (the
-    convention of a per-sample-weighted training loss)."""
-    pp = F.least(F.greatest(_d(p), F.lit(eps)), F.lit(1.0 - eps))
+    convention of a per-sample-weighted training loss).  Rows without label
+    or probability have no loss and are left out of the mean."""
+    pp = clip_col(_d(p), eps, 1.0 - eps)
     yy = _d(y)
     loss = -(yy * F.log(pp) + (F.lit(1.0) - yy) * F.log(F.lit(1.0) - pp))
     if weight is not None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,23 @@ from tabkit.functions.frames import with_scalars
 from tabkit.operators.columns import columns_by_type
 
 
+def no_nan(df: DataFrame, col: str) -> Column:
+    """The column with NaN as null: one notion of missing for all operators
+    of this module."""
+    c = F.col(f"`{col}`")
+    return F.when(~F.isnan(c), c) if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) else c
+
+
+def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """NaN becomes null in the given (default: all) float columns, as on
+    ingest."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: no_nan(df, c) for c in floats if cols is None or c in cols})
+
+
 def fill_constant(df: DataFrame, value, cols: list[str] | None = None,
                   include_strings: bool = False) -> DataFrame:
-    """M1: replace nulls with a constant.
+    """M1: replace nulls (and NaN) with a constant.
 
     Typed: a numeric ``value`` fills numeric columns (cast to each column's
     type); strings are filled only when ``include_strings`` is set (with the
@@ -36,27 +50,27 @@ def fill_constant(df: DataFrame, value, cols: list[str] | None = None,
             continue
         else:
             lit = F.lit(value).cast(t)
-        exprs[c] = F.coalesce(F.col(c), lit)
+        exprs[c] = F.coalesce(no_nan(df, c), lit)
     return df.withColumns(exprs) if exprs else df
 
 
 def fill_mean(df: DataFrame, cols: list[str], only_if_nulls: bool = False) -> DataFrame:
-    """M2: fill each column with its own mean.
+    """M2: fill each column (nulls and NaN) with its own mean.
 
     The means (and, with ``only_if_nulls``, the null counts) are one
     aggregate row -- partial per task, one tiny merge -- attached as
     literals.  With ``only_if_nulls`` a column without nulls is left exactly
     as it is (type included); otherwise every listed column becomes double.
     """
-    aggs = [F.avg(c).alias(f"__mean_{c}") for c in cols]
+    aggs = [F.avg(no_nan(df, c)).alias(f"__mean_{c}") for c in cols]
     if only_if_nulls:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"__nulls_{c}") for c in cols]
+        aggs += [F.count_if(no_nan(df, c).isNull()).alias(f"__nulls_{c}") for c in cols]
         row = df.agg(*aggs).first()
         todo = {c for c in cols if row[f"__nulls_{c}"]}
-        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(row[f"__mean_{c}"]).cast("double"))
+        return df.withColumns({c: F.coalesce(no_nan(df, c).cast("double"), F.lit(row[f"__mean_{c}"]).cast("double"))
                                for c in cols if c in todo})
     out = df.transform(with_scalars(df.agg(*aggs)))
-    return out.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__mean_{c}")).alias(c)
+    return out.select(*[F.coalesce(no_nan(df, c).cast("double"), F.col(f"__mean_{c}")).alias(c)
                         if c in cols else F.col(c) for c in df.columns])
 
 
@@ -69,7 +83,7 @@ class ImputerParams:
 def fit_imputer(df: DataFrame, cols: list[str]) -> ImputerParams:
     """M3: fit per-column means on (training) data; an all-null column is an
     error naming the column."""
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    row = df.agg(*[F.avg(no_nan(df, c)).alias(c) for c in cols]).first()
     means = {c: row[c] for c in cols}
     empty = [c for c, v in means.items() if v is None]
     if empty:
@@ -78,15 +92,16 @@ def fit_imputer(df: DataFrame, cols: list[str]) -> ImputerParams:
 
 
 def apply_imputer(df: DataFrame, params: ImputerParams) -> DataFrame:
-    """M3: fill nulls with the fitted means (a single projection)."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(m)))
+    """M3: fill nulls and NaN with the fitted means (a single projection)."""
+    return df.withColumns({c: F.coalesce(no_nan(df, c).cast("double"), F.lit(float(m)))
                            for c, m in params.means.items()})
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """M4: null count per column, one aggregate unpivoted to (column, nulls)."""
+    """M4: missing values (null or NaN) per column, one aggregate unpivoted to
+    (column, nulls)."""
     cols = cols or df.columns
-    wide = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in cols])
+    wide = df.agg(*[F.count_if(no_nan(df, c).isNull()).alias(c) for c in cols])
     return wide.unpivot([], cols, "column", "nulls")
 
 

@@ -583,10 +583,11 @@ def score_dense(df: DataFrame, features: Sequence[str], layers: Sequence[tuple],
 def replicate_by_weight(df: DataFrame, weight_col: str, id_col: str, seed: int = 0) -> DataFrame:
     """Turn real-valued row weights into row copies (for learners without a
     weight column): floor(w) copies plus one more with probability frac(w),
-    decided by a hash of the key (deterministic)."""
+    decided by a hash of the key (deterministic).  A null weight is an error."""
     w = F.col(weight_col).cast("double")
     extra = (hash_bucket(id_col, seed).cast("double") / F.lit(float(HASH_SPACE))) < (w - F.floor(w))
-    n = (F.floor(w) + extra.cast("int")).cast("int")
+    n = F.coalesce((F.floor(w) + extra.cast("int")).cast("int"),
+                   F.raise_error(F.lit(f"null weight in {weight_col}")).cast("int"))
     return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1))))) \
         .where(F.col("__copy") <= n).drop("__copy")
 

@@ -240,14 +240,15 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
             .select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
-def density(df: DataFrame, col: str, grid: int = 200, method: str = "exact",
+def density(df: DataFrame, col: str, grid: int = 200, method: str = "binned",
             bins: int = 4096) -> DataFrame:
     """Gaussian kernel density on ``grid`` points spanning [min, max],
     Scott bandwidth h = std_sample * n^(-1/5): (i, x, density).
 
-    ``exact`` sums kernels over distinct values (weighted by their counts);
-    ``binned`` first reduces the column to ``bins`` equal-width bins, so the
-    kernel work is independent of the row count.  Each point's ``grid``
+    ``binned`` (default) first reduces the column to ``bins`` equal-width bins,
+    so the kernel work is independent of the row count; ``exact`` sums kernels
+    over distinct values (weighted by their counts).  A column without two
+    different values has no density: no rows.  Each point's ``grid``
     kernel values are generated and summed by grid index in the same stage
     (partial aggregation right after the generator), so only ``grid`` rows
     per task are shuffled.
@@ -258,6 +259,7 @@ def density(df: DataFrame, col: str, grid: int = 200, method: str = "exact",
     stats = stats.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     st = fetch_row(stats)
     mn, mx, n, h = st["mn"], st["mx"], st["n"], st["h"]
+    x = F.when(h > 0, x)
     if method == "binned":
         width = (mx - mn) / F.lit(bins)
         bucket = F.when(width == 0, 0).otherwise(F.least(F.floor((x - mn) / width), F.lit(bins - 1)))

@@ -197,8 +197,13 @@ def _block_top_k(k: int, metric: str, exclude_self: bool, decimals: int | None):
             inn = np.linalg.norm(im, axis=1)
             s = (qm @ im.T) / np.outer(np.where(qn > 0, qn, 1.0), np.where(inn > 0, inn, 1.0))
         else:  # euclidean: larger score = nearer
-            d2 = (qm * qm).sum(1)[:, None] + (im * im).sum(1)[None, :] - 2.0 * (qm @ im.T)
-            s = -np.sqrt(np.maximum(d2, 0.0))
+            # true differences: the |a|^2 + |b|^2 - 2ab form cancels for
+            # points that are near each other and far from the origin
+            d2 = np.zeros((len(qm), len(im)))
+            for j in range(qm.shape[1]):
+                diff = qm[:, j, None] - im[None, :, j]
+                d2 += diff * diff
+            s = -np.sqrt(d2)
         rank_s = np.round(s, decimals) if decimals is not None else s.copy()
         rank_s[np.isnan(rank_s)] = -np.inf
         if exclude_self:

@@ -4,6 +4,7 @@ All splits are row-local: a row's side is a hash of its key and the seed, so
 no shuffle or sort is needed, the result does not depend on partitioning
 (stable under executor loss and re-execution) and the same split can be
 computed in SQL.  The test fraction is therefore approximate, not exact.
+Rows without key are never dropped: they are training rows, in one fold.
 """
 
 from __future__ import annotations
@@ -53,11 +54,13 @@ def repeated_splits(df: DataFrame, id_col: str, n: int, frac: float = 0.25) -> D
     seeded = df.withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     key = F.concat(F.col(id_col).cast("string"), F.lit("-"), F.col("seed").cast("string"))
     bucket = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    bucket = F.coalesce(bucket, F.lit(HASH_SPACE - 1))  # as in hash_bucket
     return seeded.withColumn("is_test", bucket < F.lit(int(frac * HASH_SPACE)))
 
 
 def tail_cut(df: DataFrame, order_col: str, frac: float = 0.2):
-    """R2 helper: the smallest key of the last ``frac`` of rows in key order
+    """R2 helper: the smallest key (as a typed literal column, or None) of the
+    last ``frac`` of rows in key order
     (validation = rows at 0-based position >= floor(n * (1 - frac))).
 
     Exact and distributed: counts per distinct key, running counts by the
@@ -67,19 +70,24 @@ def tail_cut(df: DataFrame, order_col: str, frac: float = 0.2):
     pref = ordered_prefix_sums(counts, order_col, ["cnt"])
     n = counts.agg(F.sum("cnt")).first()[0] or 0
     split_at = int(math.floor(n * (1.0 - frac)))
-    row = pref.where(F.col("cum_cnt") - F.col("cnt") >= F.lit(split_at)).agg(F.min(order_col)).first()
-    return row[0]
+    cut = F.min(order_col)
+    kind = df.schema[order_col].dataType.simpleString()
+    timed = kind in ("date", "timestamp", "timestamp_ntz")
+    row = pref.where(F.col("cum_cnt") - F.col("cnt") >= F.lit(split_at)).agg(cut.cast("string") if timed else cut).first()
+    return None if row[0] is None else F.lit(row[0]).cast(kind)
 
 
 def tail_split(df: DataFrame, order_col: str, frac: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """R2: (train, validation) where the last ``frac`` of rows by ``order_col``
     validate.  The cut becomes a plain range filter that reaches the scan.
     Rows with equal keys are never split: a tie group straddling the
-    boundary stays in training, so validation holds at most ``frac``."""
+    boundary stays in training, so validation holds at most ``frac``; rows
+    without key are training rows."""
     cut = tail_cut(df, order_col, frac)
     if cut is None:
         return df, df.limit(0)
-    return df.where(F.col(order_col) < F.lit(cut)), df.where(F.col(order_col) >= F.lit(cut))
+    key = F.col(order_col)
+    return df.where(key.isNull() | (key < cut)), df.where(key >= cut)
 
 
 def class_weights(df: DataFrame, label: str, out_col: str = "weight") -> DataFrame:

@@ -188,7 +188,7 @@ SELECT g.i, round(g.x, 4) AS x,
        round(sum(exp(-0.5 * pow((g.x - c.c_acctbal) / g.h, 2))) / (g.n * g.h * sqrt(2 * pi())), 9) AS density
 FROM g CROSS JOIN customer c WHERE c.c_acctbal IS NOT NULL GROUP BY g.i, g.x, g.n, g.h""")
 def q_density(spark, sf):
-    d = A.density(t(spark, sf, "customer"), "c_acctbal", 200)
+    d = A.density(t(spark, sf, "customer"), "c_acctbal", 200, "exact")
     return d.select(F.col("i").cast("int").alias("i"), r("x", 4).alias("x"), r("density", 9).alias("density"))
 
 

@@ -81,8 +81,9 @@ def prepare(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory the cluster names in
-    ``spark.checkpoint.dir``.  Only when none is configured (local tests) a
-    fresh scratch folder is created and set."""
+    ``spark.checkpoint.dir``.  Only when none is configured and the master is
+    local (tests) a fresh scratch folder is created and set; on a cluster a
+    missing setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -91,6 +92,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tabkit-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

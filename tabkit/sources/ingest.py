@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabkit.sources.io import path_exists
+
 
 def dedupe_delivery(new: DataFrame, id_col: str, order_col: str | None = None) -> DataFrame:
     """One row per key.  With ``order_col`` the latest copy wins (largest
@@ -32,9 +34,17 @@ def dedupe_delivery(new: DataFrame, id_col: str, order_col: str | None = None) -
             .select(*new.columns))
 
 
+def split_keyed(new: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with a key, rows without): the latter can neither be deduplicated
+    nor recognised on a replay, so they are bad records, as in S3."""
+    key = F.col(f"`{id_col}`")
+    return new.where(key.isNotNull()), new.where(key.isNull())
+
+
 def ingest_incremental(new: DataFrame, existing: DataFrame | None, id_col: str,
                        resume_from=None, order_col: str | None = None) -> DataFrame:
-    """S6 (batch): the rows of ``new`` to append to ``existing``.
+    """S6 (batch): the rows of ``new`` to append to ``existing``.  Rows without
+    key are not among them (see :func:`split_keyed`).
 
     * keys already held are skipped (left anti join; ``existing`` is only
       read for its key column),
@@ -42,7 +52,7 @@ def ingest_incremental(new: DataFrame, existing: DataFrame | None, id_col: str,
       predicate that reaches the scan),
     * duplicates inside the delivery collapse to one row.
     """
-    rows = new
+    rows, _ = split_keyed(new, id_col)
     if resume_from is not None:
         rows = rows.where(F.col(id_col) >= F.lit(resume_from))
     rows = dedupe_delivery(rows, id_col, order_col)
@@ -52,23 +62,36 @@ def ingest_incremental(new: DataFrame, existing: DataFrame | None, id_col: str,
 
 
 def append_new(spark: SparkSession, new: DataFrame, target_path: str, id_col: str,
-               resume_from=None, order_col: str | None = None, fmt: str = "parquet") -> int:
+               resume_from=None, order_col: str | None = None, fmt: str = "parquet",
+               bad_path: str | None = None) -> int:
     """S6 sink: append the unseen rows of ``new`` to the table at
-    ``target_path`` (created on first use).  Returns the number appended."""
-    try:
-        existing = spark.read.format(fmt).load(target_path)
-    except Exception:  # first delivery: nothing held yet
-        existing = None
-    rows = ingest_incremental(new, existing, id_col, resume_from, order_col)
-    if existing is not None:
-        # the new rows' key column must be computed before the append changes
-        # the target under the anti join; cut the lineage with a checkpoint
-        # in the shared checkpoint folder (reliable, survives executor loss)
-        rows = rows.checkpoint(eager=True)
-    n = rows.count()
-    if n:
-        rows.write.mode("append").format(fmt).save(target_path)
-    return n
+    ``target_path`` (created on first use).  Returns the number appended.
+
+    Rows without key go to ``bad_path`` (default: ``target_path`` with
+    ``-without-key``), once each: a row that is there already is not added
+    again, so a replay adds nothing.  A target that exists but cannot be read
+    is an error, not a first delivery."""
+    bad_path = bad_path or f"{target_path.rstrip('/')}-without-key"
+
+    def add(rows: DataFrame, path: str, held: DataFrame | None) -> int:
+        if held is not None:
+            # the new rows must be computed before the append changes the
+            # target under the anti join; cut the lineage with a checkpoint in
+            # the shared checkpoint folder (reliable, survives executor loss)
+            rows = rows.checkpoint(eager=True)
+        n = rows.count()
+        if n:
+            rows.write.mode("append").format(fmt).save(path)
+        return n
+
+    def held_at(path: str) -> DataFrame | None:
+        return spark.read.format(fmt).load(path) if path_exists(spark, path) else None
+
+    held_bad = held_at(bad_path)
+    bad = split_keyed(new, id_col)[1].distinct()
+    add(bad if held_bad is None else bad.subtract(held_bad.select(*new.columns)), bad_path, held_bad)
+    existing = held_at(target_path)
+    return add(ingest_incremental(new, existing, id_col, resume_from, order_col), target_path, existing)
 
 
 # ---------------------------------------------------------------------------
@@ -76,14 +99,15 @@ def append_new(spark: SparkSession, new: DataFrame, target_path: str, id_col: st
 # ---------------------------------------------------------------------------
 def explode_pages(pages: DataFrame, page_col: str, body_col: str, item_schema,
                   data_key: str = "data",
-                  rate_limit_pattern: str = "(?i)rate.?limit|too many requests"
-                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
+                  rate_limit_pattern: str = "(?i)rate.?limit|too many requests",
+                  rate_limit_key: str = "X-RateLimit-Exceeded") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Landed API response pages -> (items, page_stats, errors).
 
     A page is a JSON object; pages holding a ``data`` array yield one row per
     element (``page``, ``position``, item fields); ``page_stats`` counts
-    items per page; every other page (unparseable, no ``data``, or a
-    rate-limit message) goes to ``errors`` with a ``kind``.
+    items per page; every other page (unparseable, no ``data``, a rate-limit
+    message, or an object with the key ``rate_limit_key``, whatever else it
+    holds) goes to ``errors`` with a ``kind``.
     """
     item_t = item_schema if isinstance(item_schema, T.DataType) else T._parse_datatype_string(item_schema)
     env = T.StructType([T.StructField(data_key, T.ArrayType(item_t), True),
@@ -91,7 +115,9 @@ def explode_pages(pages: DataFrame, page_col: str, body_col: str, item_schema,
                         T.StructField("error", T.StringType(), True)])
     parsed = pages.select(F.col(page_col).alias("page"), F.col(body_col).alias("body"),
                           F.from_json(F.col(body_col), env).alias("p"))
-    has_data = F.col(f"p.{data_key}").isNotNull()
+    keys = F.json_object_keys(F.col("body"))
+    limited = F.coalesce(F.array_contains(keys, rate_limit_key), F.lit(False))
+    has_data = F.col(f"p.{data_key}").isNotNull() & ~limited
     ok = parsed.where(has_data)
     items = ok.select("page", F.posexplode(f"p.{data_key}").alias("position", "item")).select(
         "page", "position", "item.*")
@@ -99,8 +125,8 @@ def explode_pages(pages: DataFrame, page_col: str, body_col: str, item_schema,
     text = F.coalesce(F.col("p.message"), F.col("p.error"), F.col("body"))
     errors = parsed.where(~has_data).select(
         "page",
-        F.when(F.json_object_keys(F.col("body")).isNull(), F.lit("unparseable"))
-         .when(text.rlike(rate_limit_pattern), F.lit("rate_limited"))
+        F.when(keys.isNull(), F.lit("unparseable"))
+         .when(limited | text.rlike(rate_limit_pattern), F.lit("rate_limited"))
          .otherwise(F.lit("error")).alias("kind"),
         text.alias("detail"))
     return items, stats, errors

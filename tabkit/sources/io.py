@@ -35,7 +35,8 @@ def _as_struct(schema) -> T.StructType:
     return T._parse_datatype_string(schema)
 
 
-def read_table(spark: SparkSession, path: str, schema, na_tokens=DEFAULT_NA_TOKENS) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema, na_tokens=DEFAULT_NA_TOKENS,
+               multiline: bool = False) -> DataFrame:
     """Read a headered CSV with an explicit schema; the ``na_tokens``
     (one list for all columns, or a ``{column: tokens}`` mapping, so that a
     token such as ``NA`` can be a real level in one column and missing in
@@ -44,12 +45,20 @@ def read_table(spark: SparkSession, path: str, schema, na_tokens=DEFAULT_NA_TOKE
     Every column is read as text first, tokens are nulled, then each column
     is cast to its type in the same projection (a value that is neither a
     token nor parseable fails the query under ANSI casts rather than
-    silently becoming null).
+    silently becoming null).  Quotes inside a quoted field are doubled;
+    ``multiline`` allows line breaks there (then a file is one task).
     """
     st = _as_struct(schema)
-    raw_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in st.fields])
-    # an empty field is read as null (the CSV reader's default)
-    raw = spark.read.schema(raw_schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    # columns are found by the names in the header, whatever their order; all
+    # files must have the header of the first.  An empty field is read as null
+    # (the CSV reader's default)
+    header = reader.csv(path).columns
+    missing = [f.name for f in st.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path}: no column(s) {missing} in the header {header}")
+    raw_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+    raw = reader.schema(raw_schema).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     exprs = []
     for f in st.fields:
         toks = na_tokens.get(f.name, ()) if isinstance(na_tokens, Mapping) else na_tokens
@@ -61,8 +70,9 @@ def read_table(spark: SparkSession, path: str, schema, na_tokens=DEFAULT_NA_TOKE
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Headered CSV directory (one part file per task, written in parallel)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Headered CSV directory (one part file per task, written in parallel);
+    quotes inside a quoted field are doubled."""
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -116,7 +126,7 @@ def parse_json_column(df: DataFrame, col: str, schema, out_col: str | None = Non
 # ---------------------------------------------------------------------------
 # S5 versioned read-modify-write
 # ---------------------------------------------------------------------------
-POINTER = "_CURRENT"
+POINTER = "_CURRENT-"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -125,37 +135,35 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p, jvm = _fs(spark, path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on its file system; other failures are raised."""
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _current_number(spark: SparkSession, base: str) -> int:
+    """The highest version that has a pointer file (0 before the first)."""
+    fs, p, _ = _fs(spark, base)
     if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return line.strip() if line else None
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file atomically: write a temporary sibling, then rename."""
-    fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+        return 0
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return max((int(n.removeprefix(POINTER)) for n in names if n.startswith(POINTER)), default=0)
+
+
+def _point_to(spark: SparkSession, base: str, number: int) -> None:
+    """Create the pointer file of a version.  Pointers are only ever added,
+    each by one create call, and the highest counts: there is no moment
+    without a pointer."""
+    fs, p, _ = _fs(spark, f"{base}/{POINTER}{number:06d}")
+    fs.create(p, False).close()
 
 
 def current_version(spark: SparkSession, base_path: str) -> str | None:
-    """The directory the table's pointer names (None before the first write)."""
-    v = _read_text(spark, f"{base_path.rstrip('/')}/{POINTER}")
-    return f"{base_path.rstrip('/')}/{v}" if v else None
+    """The directory of the table's newest finished version (None before the
+    first write)."""
+    base = base_path.rstrip("/")
+    n = _current_number(spark, base)
+    return f"{base}/v={n:06d}" if n else None
 
 
 def read_current(spark: SparkSession, base_path: str) -> DataFrame:
@@ -169,16 +177,16 @@ def read_current(spark: SparkSession, base_path: str) -> DataFrame:
 def rewrite_table(df: DataFrame, base_path: str) -> str:
     """Read-modify-write of one feature table.  Spark cannot overwrite a
     path it is reading, so each step writes a **new** version directory and
-    then moves the pointer; readers of the old version are undisturbed and a
-    failed step leaves the pointer on the last good version."""
+    then adds its pointer; readers of the old version are undisturbed, a
+    failed step leaves the last good version current, and a retry replaces
+    what the failed step left in the new directory (which no pointer names)."""
     spark = df.sparkSession
     base = base_path.rstrip("/")
-    cur = _read_text(spark, f"{base}/{POINTER}")
-    n = int(cur.split("=")[1]) + 1 if cur else 1
-    name = f"v={n:06d}"
-    df.write.mode("errorifexists").parquet(f"{base}/{name}")
-    _write_text(spark, f"{base}/{POINTER}", name)
-    return f"{base}/{name}"
+    n = _current_number(spark, base) + 1
+    path = f"{base}/v={n:06d}"
+    df.write.mode("overwrite").parquet(path)
+    _point_to(spark, base, n)
+    return path
 
 
 # ---------------------------------------------------------------------------

@@ -1,15 +1,14 @@
 """Structured Streaming form of the incremental ingest.
 
-New files in a landing folder are read by a file source; the keys seen so
-far live in the streaming state store (``dropDuplicates`` on the key,
-partitioned by key hash across executors, RocksDB-backed), so a micro-batch
-costs work proportional to the delivery, not to the history.  Each
-micro-batch is written to its own directory ``b<batch id>`` with overwrite:
-if a batch fails after writing and is replayed from the checkpoint, the
-replay recomputes the same rows from the same state version and replaces
-its own directory, so every record lands exactly once.  Rows held before
-the stream started (``existing_path``) are removed by an anti join on the
-key column only.
+New files in a landing folder are read by a file source.  Each micro-batch
+drops repeated keys inside the batch and, by an anti join on the key column
+only, the keys that earlier batches (or ``existing_path``) hold, so there is no
+state that grows with the stream.  It is written to its own directory
+``b<batch id>`` with overwrite, and the anti join leaves that directory out: if
+a batch fails after writing and is replayed from the checkpoint, the replay
+gets the same rows and replaces its own directory, so every record lands
+exactly once.  Records without key are kept, per batch, in a folder beside
+the target (``<target>-without-key``).
 """
 
 from __future__ import annotations
@@ -17,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
+from tabkit.session import ensure_checkpoint_dir
+from tabkit.sources.ingest import split_keyed
+from tabkit.sources.io import path_exists
 
 def read_ingested(spark: SparkSession, target_path: str, fmt: str = "parquet") -> DataFrame:
     """Read every batch directory a streaming ingest has written."""
@@ -34,22 +34,29 @@ def ingest_stream(spark: SparkSession, landing_path: str, schema, target_path: s
     ``available_now`` processes everything landed so far and stops (a
     resumable batch job); otherwise the query keeps running.
     """
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if not spark.conf.get(key, None) or "HDFSBackedStateStoreProvider" in spark.conf.get(key):
-        spark.conf.set(key, ROCKSDB)
+    ensure_checkpoint_dir(spark)
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing_path).where(F.col(id_col).isNotNull())
+    stream = reader.load(landing_path)
     if resume_from is not None:
-        stream = stream.where(F.col(id_col) >= F.lit(resume_from))
-    stream = stream.dropDuplicates([id_col])
+        stream = stream.where(F.col(id_col).isNull() | (F.col(id_col) >= F.lit(resume_from)))
     held = (spark.read.parquet(existing_path).select(id_col) if existing_path else None)
     base = target_path.rstrip("/")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        rows = df if held is None else df.join(held, id_col, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{base}/b{batch_id:012d}")
+        own = f"b{batch_id:012d}"
+        good, bad = split_keyed(df, id_col)
+        rows = good.dropDuplicates([id_col])
+        if held is not None:
+            rows = rows.join(held, id_col, "left_anti")
+        if path_exists(spark, base):
+            earlier = (spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(base)
+                       .where(~F.contains(F.col("_metadata.file_path"), F.lit(f"/{own}/"))).select(id_col))
+            # computed before the batch's own directory is replaced
+            rows = rows.join(earlier, id_col, "left_anti").checkpoint(eager=True)
+        rows.write.mode("overwrite").parquet(f"{base}/{own}")
+        bad.write.mode("overwrite").parquet(f"{base}-without-key/{own}")
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer
