@@ -7,7 +7,8 @@ reach the driver.  Splits and folds are the deterministic hash columns of
 sees identical folds; the hash is salted per purpose (``cv`` for an
 estimator's internal CV, ``oof`` for out-of-fold stacking) so nested
 splits are independent.  Iterative procedures (search, stacking, importance
-study) cache the assembled frame once and unpersist it afterwards.
+study) compute their input once: search, CV report and importance study cache
+it and unpersist it afterwards, stacking checkpoints it.
 
 Fidelity notes (MLlib vs the reference's libraries): boosting is first-order
 (no second-order / min_child_weight Hessian rule: mapped to
@@ -20,12 +21,15 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
@@ -33,10 +37,11 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabkit.functions.frames import materialize
 from tabkit.functions.scalar import HASH_SPACE, hash_bucket
 from tabkit.operators.split import k_fold
 
@@ -54,6 +59,8 @@ RIDGE_ALPHAS = (0.1, 1.0, 10.0)
 LASSO_N_ALPHAS = 100
 LASSO_EPS = 1e-3
 MLP_HIDDEN = (32, 24, 16)
+#: The deepest tree that Spark ML grows.
+MAX_TREE_DEPTH = 30
 # search space of the randomized boosted-tree search (15 x 5 x 3 x 3 x 3 x 3 x 3 = 18,225 points)
 SEARCH_GRID = {
     "n_estimators": [100, 200, 300, 400, 500, 600, 700, 800, 900, 1000, 1100, 1200, 1300, 1400, 1500],
@@ -120,11 +127,21 @@ def train_gbt_regressor(df: DataFrame, features: Sequence[str], label: str,
     return _fit([assembler(features), gbt], df)
 
 
+def _forest_params(num_trees: int, max_depth: int | None, max_features, min_leaf: int) -> dict:
+    """Forest settings in Spark's terms.  ``max_depth=None`` (the default:
+    trees grow until their leaves are pure or small) is Spark's deepest tree;
+    ``max_features`` is ``all``, ``sqrt``, ``log2``, a number or a fraction."""
+    return {"numTrees": num_trees, "maxDepth": MAX_TREE_DEPTH if max_depth is None else max_depth,
+            "featureSubsetStrategy": str(max_features), "minInstancesPerNode": min_leaf}
+
+
 def train_rf_regressor(df: DataFrame, features: Sequence[str], label: str, num_trees: int = RF_TREES,
-                       max_depth: int = 10, seed: int = 42) -> PipelineModel:
-    """L2: random-forest regression; every split considers all features."""
-    rf = RandomForestRegressor(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
-                               maxDepth=max_depth, featureSubsetStrategy="all", seed=seed)
+                       max_depth: int | None = None, seed: int = 42, max_features="all",
+                       min_leaf: int = 1) -> PipelineModel:
+    """L2: random-forest regression; by default trees of unlimited depth whose
+    splits consider all features."""
+    rf = RandomForestRegressor(featuresCol=FEATURES, labelCol=label, seed=seed,
+                               **_forest_params(num_trees, max_depth, max_features, min_leaf))
     return _fit([assembler(features), rf], df)
 
 
@@ -141,7 +158,8 @@ def train_gbt_classifier(df: DataFrame, features: Sequence[str], label: str,
 
 
 def train_rf_classifier(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str,
-                        num_trees: int = RF_TREES, max_depth: int = 10, seed: int = 1) -> PipelineModel:
+                        num_trees: int = RF_TREES, max_depth: int | None = None, seed: int = 1,
+                        max_features="sqrt", min_leaf: int = 1) -> PipelineModel:
     """L4: random-forest classification behind a fitted one-hot encoding that
     ignores levels unseen at fit time (E9)."""
     idx = [f"{c}__idx" for c in categorical]
@@ -152,65 +170,186 @@ def train_rf_classifier(df: DataFrame, categorical: Sequence[str], numeric: Sequ
                                  stringOrderType="alphabetAsc"),
                    OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep")]
     stages += [assembler([*ohe, *numeric]),
-               RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
-                                      maxDepth=max_depth, seed=seed)]
+               RandomForestClassifier(featuresCol=FEATURES, labelCol=label, seed=seed,
+                                      **_forest_params(num_trees, max_depth, max_features, min_leaf))]
     return _fit(stages, df)
 
 
 # ---------------------------------------------------------------------------
 # L5 / L6 penalised linear models with CV-chosen penalty
 # ---------------------------------------------------------------------------
-def _cv_linear(df: DataFrame, features, label, reg_params: Sequence[float], elastic: float,
-               k: int, id_col: str, seed: int, parallelism: int) -> tuple[PipelineModel, DataFrame]:
-    # one distributed pass per fit: the normal-equation solver aggregates
-    # X'X and X'y on the executors (d x d, bounded by the feature count) and
-    # solves locally (Cholesky for L2, OWL-QN on the same statistics for L1)
-    solver = "normal" if len(features) <= 4096 else "l-bfgs"
-    lr = LinearRegression(featuresCol=FEATURES, labelCol=label, elasticNetParam=elastic,
-                          standardization=False, fitIntercept=True, solver=solver)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [float(r) for r in reg_params]).build()
-    folded = k_fold(df, id_col, k, f"cv{seed}", "__fold")
-    cv = CrossValidator(estimator=Pipeline(stages=[assembler(features), lr]), estimatorParamMaps=grid,
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="mse"),
-                        foldCol="__fold", numFolds=k, parallelism=parallelism, seed=seed)
-    m = cv.fit(folded)
-    spark = df.sparkSession
-    scores = spark.createDataFrame([(float(r), float(s)) for r, s in zip(reg_params, m.avgMetrics)],
-                                   "reg_param double, cv_mse double")
-    return m.bestModel, scores
+@dataclass(frozen=True)
+class LinearModel:
+    """Fitted coefficients; scoring is one projection."""
+    features: tuple[str, ...]
+    coefficients: np.ndarray
+    intercept: float
+    alpha: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        score = F.lit(float(self.intercept))
+        for c, w in zip(self.features, self.coefficients):
+            score = score + F.col(f"`{c}`").cast("double") * F.lit(float(w))
+        return df.withColumn(PREDICTION, score)
+
+
+@dataclass(frozen=True)
+class Moments:
+    """Row count, sums and products of (features..., label), around a point
+    near their means (so that products do not cancel)."""
+    n: float
+    first: np.ndarray
+    second: np.ndarray
+    around: np.ndarray
+
+    def __add__(self, other: Moments) -> Moments:
+        return Moments(self.n + other.n, self.first + other.first, self.second + other.second, self.around)
+
+    def __sub__(self, other: Moments) -> Moments:
+        return Moments(self.n - other.n, self.first - other.first, self.second - other.second, self.around)
+
+    def centred(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Means, and sums of products of features with each other and with
+        the label, about the means."""
+        s = self.second - np.outer(self.first, self.first) / self.n
+        return self.around + self.first / self.n, s[:-1, :-1], s[:-1, -1]
+
+    def squared_error(self, w: np.ndarray, intercept: float) -> float:
+        """Sum of squared errors of a linear model over the rows."""
+        v = np.append(-w, 1.0)
+        bias = self.around @ v - intercept
+        return float(v @ self.second @ v + 2 * bias * (v @ self.first) + self.n * bias * bias)
+
+
+def fold_moments(df: DataFrame, features: Sequence[str], label: str, fold: Column) -> dict[int, Moments]:
+    """Moments per fold in one pass over the data (after one for the
+    means).  Every task adds up blocks of rows in numpy and sends one row of
+    ``(d + 2)^2`` numbers per fold; these are summed by place.  A missing or
+    infinite value is an error."""
+    names = [*features, label]
+    rows = df.select(fold.cast("int").alias("fold"), *[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    found = rows.agg(*[F.avg(f"c{i}") for i in range(len(names))]).first()
+    around = np.array([v if v is not None and math.isfinite(v) else 0.0 for v in found])
+    size = len(names) + 1
+
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            folds = batch.column(0).to_numpy(zero_copy_only=False)
+            x = np.column_stack([np.ones(batch.num_rows)] + [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]])
+            if not np.isfinite(x).all():
+                raise ValueError(f"missing or infinite values among {names}")
+            x[:, 1:] -= around
+            for f in np.unique(folds):
+                part = x[folds == f]
+                sums[int(f)] = sums.get(int(f), 0.0) + part.T @ part
+        out = sorted(sums.items())
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in out], pa.int32()),
+                                          pa.array([m.ravel() for _, m in out], pa.list_(pa.float64()))], names=["fold", "m"])
+
+    parts = rows.mapInArrow(run, "fold int, m array<double>").select("fold", F.posexplode("m").alias("i", "v"))
+    table: dict[int, np.ndarray] = {}
+    for r in parts.groupBy("fold", "i").agg(F.sum("v").alias("v")).collect():
+        table.setdefault(r.fold, np.zeros(size * size))[r.i] = r.v
+    out = {}
+    for f, flat in sorted(table.items()):
+        m = flat.reshape(size, size)
+        out[f] = Moments(m[0, 0], m[0, 1:], m[1:, 1:], around)
+    return out
+
+
+def solve_ridge(m: Moments, alpha: float) -> np.ndarray:
+    """Coefficients that minimise the summed squared error plus
+    ``alpha * |w|^2`` (the intercept is free)."""
+    _, xx, xy = m.centred()
+    return np.linalg.lstsq(xx + alpha * np.eye(len(xy)), xy, rcond=None)[0]
+
+
+def solve_lasso(m: Moments, alpha: float, start: np.ndarray | None = None, rounds: int = 1000,
+                tolerance: float = 1e-4) -> np.ndarray:
+    """Coefficients that minimise the mean squared error / 2 plus
+    ``alpha * |w|_1``, by coordinate descent on the moments, until no step
+    changes the fitted values by more than ``tolerance`` label deviations."""
+    _, xx, xy = m.centred()
+    xx, xy = xx / m.n, xy / m.n
+    spread = math.sqrt(max(m.second[-1, -1] / m.n - (m.first[-1] / m.n) ** 2, 0.0))
+    w = np.zeros(len(xy)) if start is None else start.copy()
+    for _ in range(rounds):
+        moved = 0.0
+        for j in range(len(w)):
+            if xx[j, j] <= 0:
+                continue
+            rest = xy[j] - xx[j] @ w + xx[j, j] * w[j]
+            new = math.copysign(max(abs(rest) - alpha, 0.0), rest) / xx[j, j]
+            moved = max(moved, abs(new - w[j]) * math.sqrt(xx[j, j]))
+            w[j] = new
+        if moved <= tolerance * spread:
+            break
+    return w
+
+
+def _linear_model(m: Moments, w: np.ndarray, features: Sequence[str], alpha: float) -> LinearModel:
+    mean, _, _ = m.centred()
+    return LinearModel(tuple(features), w, float(mean[-1] - w @ mean[:-1]), float(alpha))
+
+
+def _cv_linear(df: DataFrame, features, label, alphas: Sequence[float], path, k: int, id_col: str,
+               seed: int) -> tuple[LinearModel, DataFrame]:
+    """``path(moments, alphas)`` gives the coefficients for all penalties.
+    One pass over the data serves every penalty and fold: a fold's training
+    moments are the total less its own, and its validation error follows from
+    its own.  The penalty with the least mean error over the folds is fitted on
+    all rows (ties: the first)."""
+    fold = (hash_bucket(id_col, f"cv{seed}") % F.lit(k)).cast("int")
+    own = fold_moments(df, features, label, fold)
+    total = reduce(lambda a, b: a + b, own.values())
+    errors = np.zeros((len(own), len(alphas)))
+    for i, held in enumerate(own.values()):
+        train = total - held
+        for j, w in enumerate(path(train, alphas)):
+            fitted = _linear_model(train, w, features, alphas[j])
+            errors[i, j] = held.squared_error(w, fitted.intercept) / held.n
+    mean = errors.mean(axis=0)
+    best = int(mean.argmin())
+    model = _linear_model(total, path(total, alphas)[best], features, alphas[best])
+    scores = df.sparkSession.createDataFrame([(float(a), float(e)) for a, e in zip(alphas, mean)],
+                                             "alpha double, cv_mse double")
+    return model, scores
 
 
 def train_ridge_cv(df: DataFrame, features: Sequence[str], label: str, id_col: str,
-                   alphas: Sequence[float] = RIDGE_ALPHAS, k: int = 5, seed: int = 42,
-                   parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
-    """Ridge regression, penalty chosen by k-fold CV.  The penalty
-    ``alpha * ||w||^2`` on the summed squared error becomes Spark's
-    ``regParam = alpha / n`` (Spark scales the loss by 1/2n and the L2 term
-    by 1/2)."""
-    n = df.count()
-    model, scores = _cv_linear(df, features, label, [a / n for a in alphas], 0.0, k, id_col, seed, parallelism)
-    return model, scores.withColumn("alpha", F.col("reg_param") * F.lit(float(n)))
-
-
-def lasso_alpha_grid(df: DataFrame, features: Sequence[str], label: str,
-                     n_alphas: int = LASSO_N_ALPHAS, eps: float = LASSO_EPS) -> list[float]:
+                   alphas: Sequence[float] = RIDGE_ALPHAS, k: int = 5,
+                   seed: int = 42) -> tuple[LinearModel, DataFrame]:
+    """Ridge regression (penalty ``alpha * |w|^2`` on the summed squared
+    error), penalty chosen by k-fold CV."""
+    return _cv_linear(df, features, label, list(alphas), lambda m, al: [solve_ridge(m, a) for a in al], k, id_col, seed)
+
+
+def lasso_alpha_grid(total: Moments, n_alphas: int = LASSO_N_ALPHAS, eps: float = LASSO_EPS) -> list[float]:
     """The default lasso path: ``n_alphas`` log-spaced values from
-    alpha_max = max_j |x_j . (y - mean y)| / n down to eps * alpha_max, with
-    the covariances computed in one aggregate."""
-    y = F.col(label).cast("double")
-    aggs = [F.covar_pop(F.col(c).cast("double"), y).alias(c) for c in features]
-    row = df.agg(*aggs).first()
-    amax = max(abs(row[c] or 0.0) for c in features) or 1.0
+    alpha_max = max_j |x_j . (y - mean y)| / n down to eps * alpha_max."""
+    _, _, xy = total.centred()
+    amax = float(np.abs(xy).max()) / total.n or 1.0
     return [float(a) for a in np.logspace(math.log10(amax), math.log10(amax * eps), n_alphas)]
 
 
+def lasso_path(m: Moments, alphas: Sequence[float]) -> list[np.ndarray]:
+    """Solutions for all penalties, each started at the one before."""
+    out, w = [], None
+    for a in alphas:
+        w = solve_lasso(m, a, w)
+        out.append(w)
+    return out
+
+
 def train_lasso_cv(df: DataFrame, features: Sequence[str], label: str, id_col: str,
                    alphas: Sequence[float] | None = None, n_alphas: int = LASSO_N_ALPHAS, k: int = 5,
-                   seed: int = 42, parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
-    """Lasso, penalty chosen by k-fold CV (``regParam = alpha``)."""
-    alphas = list(alphas) if alphas is not None else lasso_alpha_grid(df, features, label, n_alphas)
-    model, scores = _cv_linear(df, features, label, alphas, 1.0, k, id_col, seed, parallelism)
-    return model, scores.withColumn("alpha", F.col("reg_param"))
+                   seed: int = 42) -> tuple[LinearModel, DataFrame]:
+    """Lasso, penalty chosen by k-fold CV (default: the path of
+    :func:`lasso_alpha_grid`)."""
+    if alphas is None:
+        alphas = lasso_alpha_grid(fold_moments(df, features, label, F.lit(0))[0], n_alphas)
+    return _cv_linear(df, features, label, list(alphas), lasso_path, k, id_col, seed)
 
 
 # ---------------------------------------------------------------------------
@@ -395,31 +534,66 @@ def staged_error(model: PipelineModel, train: DataFrame, valid: DataFrame,
     return out
 
 
+def parse_tree(tree) -> tuple:
+    """A fitted tree as nested ``(feature, threshold, left, right)``, leaves as
+    numbers, from its text form."""
+    lines = [line.strip() for line in tree.toDebugString.splitlines()[1:] if line.strip()]
+    at = 0
+
+    def node():
+        nonlocal at
+        line = lines[at]
+        at += 1
+        if line.startswith("Predict:"):
+            return float(line.split(":", 1)[1])
+        found = re.fullmatch(r"If \(feature (\d+) <= (\S+)\)", line)
+        if not found:
+            raise ValueError(f"not a split on a number: {line}")
+        left = node()
+        at += 1  # the Else line
+        return int(found[1]), float(found[2]), left, node()
+
+    return node()
+
+
+def tree_outputs(tree, x: np.ndarray) -> np.ndarray:
+    """Outputs of a parsed tree for the rows of ``x``."""
+    if not isinstance(tree, tuple):
+        return np.full(len(x), tree)
+    feature, threshold, left, right = tree
+    low = x[:, feature] <= threshold
+    out = np.empty(len(x))
+    out[low], out[~low] = tree_outputs(left, x[low]), tree_outputs(right, x[~low])
+    return out
+
+
 def staged_class_error(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
     """L12 for classifiers: the class error (= MSE of 0/1 predictions) after
     each boosting round, ``(iteration, class_error)``.
 
-    Every tree's output is one projected column (the trees are applied as
-    Spark transformers, JVM side); the margin after round m is the
-    tree-weighted running sum, the predicted class is ``margin > 0``, and the
-    error rates of all rounds come from ONE aggregate over the data."""
+    One pass: in each Arrow batch the trees (broadcast with the function;
+    their size is the model's) add to the margin round by round, the class is
+    ``margin > 0``, and a task sends its count of errors per round."""
     gbt = _tree_stage(model)
-    data = model.stages[0].transform(df).select(F.col(label).cast("double").alias("__y"), FEATURES)
-    trees, weights = gbt.trees, gbt.treeWeights
-    for i, tree in enumerate(trees):
-        data = tree.copy().setPredictionCol(f"__t{i}").transform(data)
-    margin = None
-    errs = []
-    for i, w in enumerate(weights):
-        term = F.col(f"__t{i}") * F.lit(float(w))
-        margin = term if margin is None else margin + term
-        data = data.withColumn(f"__m{i}", margin)
-        margin = F.col(f"__m{i}")
-        errs.append(F.avg(((F.col(f"__m{i}") > 0).cast("double") - F.col("__y")).cast("double") ** 2)
-                    .alias(f"e{i}"))
-    wide = data.agg(*errs)
-    long = wide.unpivot([], [f"e{i}" for i in range(len(weights))], "k", "class_error")
-    return long.select((F.substring("k", 2, 10).cast("int") + 1).alias("iteration"), "class_error")
+    trees, weights = [parse_tree(t) for t in gbt.trees], [float(w) for w in gbt.treeWeights]
+    data = model.stages[0].transform(df).select(vector_to_array(FEATURES).alias("x"), F.col(label).cast("double").alias("y"))
+
+    def run(batches):
+        wrong, n = np.zeros(len(trees), np.int64), 0
+        for batch in batches:
+            x, y = np.array(batch.column(0).to_pylist(), float), batch.column(1).to_numpy(zero_copy_only=False)
+            if not len(y):
+                continue
+            margin = np.zeros(len(y))
+            for i, (tree, w) in enumerate(zip(trees, weights)):
+                margin += w * tree_outputs(tree, x)
+                wrong[i] += np.count_nonzero((margin > 0) != (y == 1))
+            n += len(y)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(1, len(trees) + 1), pa.int32()), pa.array(wrong),
+                                          pa.array(np.full(len(trees), n, np.int64))], names=["iteration", "wrong", "n"])
+
+    counted = data.mapInArrow(run, "iteration int, wrong bigint, n bigint")
+    return counted.groupBy("iteration").agg((F.sum("wrong") / F.sum("n")).alias("class_error"))
 
 
 def cv_report(df: DataFrame, features: Sequence[str], label: str, id_col: str, k: int = 5,
@@ -437,7 +611,6 @@ def cv_report(df: DataFrame, features: Sequence[str], label: str, id_col: str, k
             s = positive_probability(m.transform(folded)).select(
                 id_col, label, "fold", "p1", F.col(PREDICTION))
             scored.append(s.select(F.lit(f).alias("model_fold"), "*"))
-        from functools import reduce
         allp = reduce(DataFrame.unionByName, scored).withColumn(
             "side", F.when(F.col("fold") == F.col("model_fold"), "valid").otherwise("train"))
         acc = allp.groupBy(F.col("model_fold").alias("fold"), "side").agg(
@@ -496,10 +669,10 @@ def knn_learner(id_col: str, features: Sequence[str], label: str, k: int = 20) -
 def oof_predict(df: DataFrame, learner: BaseLearner, id_col: str, k: int = 5, seed: int = 42,
                 out_col: str = PREDICTION, parallelism: int = 4) -> DataFrame:
     """Out-of-fold predictions ``(id, out_col)``: every row is scored by
-    the model fitted on the other k-1 folds.  The k fits are independent
-    Spark jobs submitted concurrently from a thread pool."""
-    from functools import reduce
-    folded = k_fold(df, id_col, k, f"oof{seed}", "__oof_fold")
+    the model fitted on the other k-1 folds.  The input is computed once
+    (reliable checkpoint); the k fits are independent Spark jobs submitted
+    concurrently from a thread pool."""
+    folded = materialize(k_fold(df, id_col, k, f"oof{seed}", "__oof_fold"))
 
     def one(f: int) -> DataFrame:
         score = learner(folded.where(F.col("__oof_fold") != f).drop("__oof_fold"))
@@ -534,6 +707,7 @@ def train_stack(df: DataFrame, bases: Mapping[str, BaseLearner], label: str, id_
     (reliable checkpoint in the shared folder) so the final fit does not
     recompute k fits per base."""
     names = list(bases)
+    df = materialize(df)  # read by every base, fold and refit
 
     def oof(name: str) -> DataFrame:
         return oof_predict(df, bases[name], id_col, k, seed, f"pred_{name}", parallelism).checkpoint(eager=True)
@@ -631,13 +805,29 @@ def fit_predict_submit(train: DataFrame, test: DataFrame, estimator, id_col: str
     return out
 
 
-def select_best(metrics: DataFrame, metric: str, mode: str = "max", key: str = "run_id") -> DataFrame:
-    """The row with the best ``metric`` column (ties by ``key``), as a
+def best_row(metrics: DataFrame, metric: str, mode: str = "max", key: str = "run_id") -> DataFrame:
+    """The row with the best ``metric`` column (ties by ``key``), as a
     one-row frame (TakeOrdered: per-task best, one tiny merge)."""
     order = F.desc(metric) if mode == "max" else F.asc(metric)
     return metrics.orderBy(order, F.asc(key)).limit(1)
 
 
+def select_best(models: Mapping[str, object], metric: Callable[[object], float], mode: str = "max",
+                path: str | None = None) -> tuple[str, object, dict[str, float]]:
+    """The model with the best ``metric`` (a function of the model; ties
+    go to the first, a NaN never wins), and every model's value.  Only that
+    model is saved under ``path``."""
+    values = {name: float(metric(m)) for name, m in models.items()}
+    sign = 1.0 if mode == "max" else -1.0
+    known = [name for name, v in values.items() if not math.isnan(v)]
+    if not known:
+        raise ValueError("no model has a value")
+    best = max(known, key=lambda name: sign * values[name])
+    if path:
+        save_model(models[best], path)
+    return best, models[best], values
+
+
 def save_model(model, path: str) -> str:
     """Persist a fitted pipeline (executors write the tree data)."""
     model.write().overwrite().save(path)

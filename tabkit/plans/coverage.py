@@ -56,7 +56,7 @@ FUNCTIONS = {
     "L12": "operators.models.staged_error / staged_class_error", "L13": "operators.models.cv_report",
     "L14": "operators.models.score_dense", "L15": "operators.models.train_with_validation",
     "L16": "operators.models.train_mlp_classifier", "L17": "operators.models.make_pipeline",
-    "L18": "operators.models.fit_predict_submit", "L19": "operators.models.select_best / save_model",
+    "L18": "operators.models.fit_predict_submit", "L19": "operators.models.select_best / best_row / save_model",
     "K1": "operators.metrics.mae", "K2": "operators.metrics.mse", "K3": "operators.metrics.rmse",
     "K4": "operators.metrics.accuracy", "K5": "operators.metrics.roc_curve", "K6": "operators.metrics.roc_auc",
     "K7": "operators.metrics.precision_recall", "K8": "operators.metrics.log_loss",
