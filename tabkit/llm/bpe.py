@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tabkit.llm.common import Memo, check_free, slices
+from tabkit.llm.common import MEMO_ENTRIES, Memo, check_free, slices
 
 #: A rank file above this size is refused (it is broadcast).
 MAX_RANK_FILE = 64 * 1024 * 1024
@@ -64,7 +64,7 @@ class BytePairCodec:
         self._halves = Memo(self._last_merge, entries=1 << 30)  # one entry per token
         self._shorter = Memo(self._next_shorter, entries=1 << 30)  # one entry per token
         self._fits = Memo(self._may_follow)
-        self._piece = Memo(self._encode_piece)
+        self._piece = Memo(self._encode_piece, MEMO_ENTRIES // 2)  # most pieces are chunks of their own
         self._chunk = Memo(self._encode_chunk)
 
     @cached_property
