@@ -2,20 +2,22 @@
 
 Shape rules: per-column statistics are fused into one aggregate over one
 scan and unpivoted to long form; quantiles are exact but distributed (counts
-per distinct value, bucketed running counts) or sketch-based
+per bucket, then only the buckets that hold a wanted rank) or sketch-based
 (``percentile_approx``) -- never a single-task merge of all values.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from functools import reduce
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabkit.functions.frames import fetch_row, materialize, with_scalars
-from tabkit.functions.prefix import add_buckets, default_buckets, prefix_sums_long
+from tabkit.functions.frames import fetch_row, with_scalars
+from tabkit.functions.prefix import add_buckets, default_buckets
 from tabkit.functions.scalar import label_from_name
 from tabkit.functions.stats import null_safe_corr, sample_skewness
 from tabkit.operators.columns import columns_by_type
@@ -23,6 +25,8 @@ from tabkit.operators.columns import columns_by_type
 # Box-plot whisker reach and the describe() percentiles.
 WHISKER = 1.5
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
+#: Buckets per column of an exact quantile, at least.
+MIN_BUCKETS = 64
 
 
 def overview(df: DataFrame, flags: list[str]) -> DataFrame:
@@ -89,36 +93,47 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=DESCRIBE_PROBS,
     """Exact linear-interpolated quantiles (``quantile_cont``) per column as
     (column, prob, value), computed without gathering any column in one task.
 
-    Counts per (column, distinct value) -> running counts by bucketed prefix
-    sums -> the two ranks around ``p * (n - 1)`` looked up with a join against
-    the (columns x probs) target table, which is tiny and broadcast.
+    Every column is cut into buckets at approximate quantiles.  One pass
+    counts the values per (column, bucket); from these counts (columns x
+    buckets rows, the only thing that comes back) follows which bucket holds
+    each wanted rank.  Only the values of those buckets are then grouped and
+    ranked inside their bucket, so a pass over continuous columns shuffles a
+    few buckets of each, never all distinct values.
     """
-    bucketed, bcols = add_buckets(df.select(*[F.col(f"`{c}`") for c in cols]), cols, n_buckets)
-    long = _long_values(bucketed, cols, {"b": bcols})
-    # counts per (column, bucket, value): the one pass over the data, kept
-    # (reliable checkpoint) for the running sums, totals and lookups
-    counts = materialize(long.groupBy("column", "b", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    n_b = n_buckets or default_buckets(df.sparkSession)
-    pref = prefix_sums_long(counts, ["column"], "v", ["cnt"], "b", max_offsets=len(cols) * n_b)
-    # one total per column comes back (bounded by the column count); the
-    # (column, prob) targets are built from it and broadcast
-    totals = {r["column"]: r["n"] for r in pref.groupBy("column").agg(F.max("cum_cnt").alias("n")).collect()}
-    rows = []
-    for c, n in totals.items():
+    n_buckets = n_buckets or max(MIN_BUCKETS, default_buckets(df.sparkSession))
+    wide, bcols = add_buckets(df.select(*[F.col(f"`{c}`") for c in cols]), cols, n_buckets)
+    filled = [F.struct(F.lit(c).alias("column"), F.col(b).alias("b")) for c, b in zip(cols, bcols)]
+    present = F.filter(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), x) for c, x in zip(cols, filled)]), lambda x: x.isNotNull())
+    counts: dict[str, list[tuple]] = {}
+    for r in wide.select(F.explode(present).alias("x")).groupBy("x.column", "x.b").count().collect():
+        counts.setdefault(r.column, []).append((r.b, r["count"]))
+    targets, wanted = [], {}
+    for c, found in counts.items():
+        found.sort()
+        ends = list(accumulate(n for _, n in found))
         for p in probs:
-            pos = float(p) * (n - 1)
-            r_lo, r_hi = math.floor(pos), math.ceil(pos)
-            rows.append((c, float(p), r_lo, r_hi, pos - r_lo))
-    targets = df.sparkSession.createDataFrame(
-        rows, "t_col string, prob double, r_lo bigint, r_hi bigint, frac double")
-    start = F.col("cum_cnt") - F.col("cnt")
-    has_lo = (start <= F.col("r_lo")) & (F.col("r_lo") < F.col("cum_cnt"))
-    has_hi = (start <= F.col("r_hi")) & (F.col("r_hi") < F.col("cum_cnt"))
-    hit = pref.join(F.broadcast(targets), (F.col("column") == F.col("t_col")) & (has_lo | has_hi))
-    picked = hit.groupBy("column", "prob", "frac").agg(F.max(F.when(has_lo, F.col("v"))).alias("v_lo"),
-                                                       F.max(F.when(has_hi, F.col("v"))).alias("v_hi"))
-    return picked.select("column", "prob",
-                         (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"))
+            pos = float(p) * (ends[-1] - 1)
+            for side, rank in enumerate((math.floor(pos), math.ceil(pos))):
+                k = bisect_right(ends, rank)
+                targets.append((c, found[k][0], float(p), side, rank - (ends[k] - found[k][1]), pos - math.floor(pos)))
+                wanted.setdefault(c, set()).add(found[k][0])
+    schema = "t_col string, t_b double, prob double, side int, rank bigint, frac double"
+    table = df.sparkSession.createDataFrame(targets, schema)
+    picked = [F.when(F.col(b).isin(*sorted(wanted[c])), F.struct(F.lit(c).alias("column"), F.col(b).alias("b"),
+                                                                   F.col(f"`{c}`").cast("double").alias("v")))
+              for c, b in zip(cols, bcols) if c in wanted]
+    if not picked:
+        return table.select(F.col("t_col").alias("column"), "prob", F.lit(0.0).alias("value"))
+    values = (wide.select(F.explode(F.filter(F.array(*picked), lambda x: x.isNotNull())).alias("x")).select("x.*")
+              .where("v is not null").groupBy("column", "b", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    inside = Window.partitionBy("column", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = values.withColumn("cum", F.sum("cnt").over(inside))
+    # two rows per (column, prob): a bounded broadcast side
+    hit = ranked.join(F.broadcast(table), (F.col("column") == F.col("t_col")) & (F.col("b") == F.col("t_b"))
+                      & (F.col("cum") - F.col("cnt") <= F.col("rank")) & (F.col("rank") < F.col("cum")))
+    ends = hit.groupBy("column", "prob", "frac").agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("v_lo"),
+                                                     F.max(F.when(F.col("side") == 1, F.col("v"))).alias("v_hi"))
+    return ends.select("column", "prob", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"))
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs=DESCRIBE_PROBS,
@@ -218,13 +233,31 @@ def target_correlation(df: DataFrame, cols: list[str], target: str) -> DataFrame
     return long.orderBy(F.desc_nulls_last("r"), "column")
 
 
-def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
+def auto_bins(df: DataFrame, col: str, rule: str = "auto") -> int:
+    """Number of equal-width bins for a histogram.  ``distinct``: one per
+    distinct value.  ``auto``: the smaller of the widths that the
+    Freedman-Diaconis rule (2 IQR / n^(1/3)) and the Sturges rule (range /
+    (log2 n + 1)) give; the latter alone where the IQR is 0."""
+    x = F.col(f"`{col}`").cast("double")
+    if rule == "distinct":
+        return max(1, df.agg(F.countDistinct(x)).first()[0])
+    mn, mx, n = df.agg(F.min(x), F.max(x), F.count(x)).first()
+    if not n or mx == mn:
+        return 1
+    q = {r.prob: r.value for r in exact_quantiles(df, [col], (0.25, 0.75)).collect()}
+    widths = [(mx - mn) / (math.log2(n) + 1), 2 * (q[0.75] - q[0.25]) / n ** (1 / 3)]
+    return max(1, math.ceil((mx - mn) / min(w for w in widths if w > 0)))
+
+
+def histogram(df: DataFrame, col: str, bins: int | str = 10) -> DataFrame:
     """Equal-width histogram over [min, max]; the max falls in the last
     bin.  Every bin is listed (zero counts too): (bin, lo, hi, count).
+    ``bins`` may name a rule of :func:`auto_bins`.
 
     min/max are fitted in one aggregate and inlined as literals; the counts
     are one grouped aggregate over at most ``bins`` keys (partial on the map
     side), joined to the ``bins``-row grid."""
+    bins = auto_bins(df, col, bins) if isinstance(bins, str) else bins
     x = F.col(col).cast("double")
     st = fetch_row(df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")))
     mn, mx = st["mn"], st["mx"]
@@ -375,8 +408,8 @@ def sequence_counts(df: DataFrame, group_col: str, pos_col: str, value_col: str,
     sequence is the ``value_col`` of one group read in ``pos_col`` order.
 
     No group is ever gathered to count: each group is reduced to a
-    fingerprint (its length and the exact decimal sum of
-    ``xxhash64(pos, value)``, order-aware through ``pos``), the
+    fingerprint (its length and the exact decimal sums of two independent
+    64-bit hashes of position and value, order-aware through the former), the
     fingerprints are counted, and only the ``n`` winning sequences are
     materialised -- each from one representative group -- because they are
     the output.  Ties on count are broken by (length, fingerprint).
@@ -386,9 +419,10 @@ def sequence_counts(df: DataFrame, group_col: str, pos_col: str, value_col: str,
     way (e.g. turns 0..n-1), as the driver tables do.
     """
     h = F.xxhash64(F.col(pos_col), F.col(value_col)).cast("decimal(20,0)")
-    per = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__len"), F.sum(h).alias("__fp"))
+    h2 = F.xxhash64(F.lit("second"), F.col(value_col), F.col(pos_col)).cast("decimal(20,0)")
+    per = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__len"), F.sum(h).alias("__fp"), F.sum(h2).alias("__fp2"))
     total = per.agg(F.count(F.lit(1)).alias("__n"))
-    combos = per.groupBy("__len", "__fp").agg(F.count(F.lit(1)).alias("count"),
+    combos = per.groupBy("__len", "__fp", "__fp2").agg(F.count(F.lit(1)).alias("count"),
                                               F.min(group_col).alias("__rep"))
     top = combos.orderBy(F.desc("count"), "__len", "__fp").limit(n)
     reps = df.join(F.broadcast(top.select(F.col("__rep").alias(group_col))), group_col, "left_semi")

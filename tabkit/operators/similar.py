@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabkit.functions.frames import materialize
+
 # The recommender's eight features, in order, and the default
 # preference vector used where a user leaves a preference unset.
 RECOMMENDER_FEATURES = (
@@ -269,7 +271,7 @@ def recommend(prefs: DataFrame, items: DataFrame, item_id: str, k: int = 10,
     users = preference_vectors(prefs, user_id).select(user_id, as_vector(features).alias("__uv"))
     its = items.select(item_id, as_vector(features).alias("__iv"))
     keyed = users.withColumn("__vid", F.xxhash64("__uv"))
-    vecs = keyed.select("__vid", "__uv").distinct()
+    vecs = materialize(keyed.select("__vid", "__uv").distinct())  # counted and scored
     stats = vecs.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("__vid").alias("ids")).first()
     if stats["n"] != stats["ids"]:  # hash collision: score every user
         return top_k_neighbours(users, its, user_id, "__uv", item_id, "__iv", k, "cosine", **kw)
