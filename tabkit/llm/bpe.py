@@ -67,6 +67,11 @@ class BytePairCodec:
         self._piece = Memo(self._encode_piece, MEMO_ENTRIES // 2)  # most pieces are chunks of their own
         self._chunk = Memo(self._encode_chunk)
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts."""
+        for memo in (self._fits, self._piece, self._chunk):
+            memo.forget()
+
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
@@ -244,12 +249,15 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", out:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, pattern)
-        for batch in chain.from_iterable(map(slices, batches)):
-            rows = [codec.encode(t) for t in batch.column(at).to_pylist()]
-            ends = np.zeros(len(rows) + 1, np.int32)
-            np.cumsum([len(r) for r in rows], out=ends[1:])
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
+        try:
+            for batch in chain.from_iterable(map(slices, batches)):
+                rows = [codec.encode(t) for t in batch.column(at).to_pylist()]
+                ends = np.zeros(len(rows) + 1, np.int32)
+                np.cumsum([len(r) for r in rows], out=ends[1:])
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
+        finally:
+            codec.forget()
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return df.mapInArrow(run, schema)

@@ -18,7 +18,7 @@ BATCH_BYTES = 4 * 1024 * 1024
 
 
 #: Entries of each memo of one Python worker.
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 125_000
 
 
 class Memo(dict):
@@ -40,6 +40,12 @@ class Memo(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        """Drop all keys: Spark keeps idle Python workers, whose memory the
+        next stage needs."""
+        self.clear()
+        self.older = {}
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")

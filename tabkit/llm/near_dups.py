@@ -63,7 +63,7 @@ SHARED_ROWS = 32
 #: A candidate table of at most so many rows is broadcast; else it is joined by key.
 BROADCAST_ROWS = 300_000
 #: Text turned into sets at once, in bytes.
-PIECE = 1024 * 1024
+PIECE = 512 * 1024
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)

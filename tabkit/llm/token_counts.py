@@ -77,6 +77,10 @@ class UnigramCounter:
             self.parts = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
         self._part = Memo(self.count_part)
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts."""
+        self._part.forget()
+
     def count_part(self, part: str) -> tuple[int, int, float]:
         """Tokens, those of them that are fallback bytes, and score."""
         n = len(part)
@@ -130,12 +134,15 @@ def count_tokens(df: DataFrame, model_path: str, text: str = "text", keep_text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(key, pieces)
-        for batch in chain.from_iterable(map(slices, batches)):
-            tokens, spare, scores = zip(*map(counter.count, batch.column(at).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in kept), pa.array(tokens, pa.int64()), pa.array(spare, pa.int64()),
-                 pa.array(scores, pa.float64())],
-                names=[*(batch.schema.names[i] for i in kept), "n_tokens", "n_fallback_bytes", "score"])
+        try:
+            for batch in chain.from_iterable(map(slices, batches)):
+                tokens, spare, scores = zip(*map(counter.count, batch.column(at).to_pylist()))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i) for i in kept), pa.array(tokens, pa.int64()), pa.array(spare, pa.int64()),
+                     pa.array(scores, pa.float64())],
+                    names=[*(batch.schema.names[i] for i in kept), "n_tokens", "n_fallback_bytes", "score"])
+        finally:
+            counter.forget()
 
     schema = T.StructType([*(df.schema[i] for i in kept), T.StructField("n_tokens", T.LongType()),
                            T.StructField("n_fallback_bytes", T.LongType()), T.StructField("score", T.DoubleType())])
