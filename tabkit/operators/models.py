@@ -273,19 +273,23 @@ def solve_lasso(m: Moments, alpha: float, start: np.ndarray | None = None, round
     _, xx, xy = m.centred()
     xx, xy = xx / m.n, xy / m.n
     spread = math.sqrt(max(m.second[-1, -1] / m.n - (m.first[-1] / m.n) ** 2, 0.0))
-    w = np.zeros(len(xy)) if start is None else start.copy()
+    w = [0.0] * len(xy) if start is None else [float(v) for v in start]
+    slope, rows = (xy - xx @ np.array(w)).tolist(), xx.tolist()
     for _ in range(rounds):
         moved = 0.0
-        for j in range(len(w)):
-            if xx[j, j] <= 0:
+        for j, row in enumerate(rows):
+            size = row[j]
+            if size <= 0:
                 continue
-            rest = xy[j] - xx[j] @ w + xx[j, j] * w[j]
-            new = math.copysign(max(abs(rest) - alpha, 0.0), rest) / xx[j, j]
-            moved = max(moved, abs(new - w[j]) * math.sqrt(xx[j, j]))
-            w[j] = new
+            rest = slope[j] + size * w[j]
+            step = math.copysign(max(abs(rest) - alpha, 0.0), rest) / size - w[j]
+            if step:
+                slope = [s - step * r for s, r in zip(slope, row)]
+                w[j] += step
+                moved = max(moved, abs(step) * math.sqrt(size))
         if moved <= tolerance * spread:
             break
-    return w
+    return np.array(w)
 
 
 def _linear_model(m: Moments, w: np.ndarray, features: Sequence[str], alpha: float) -> LinearModel:

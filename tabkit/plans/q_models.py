@@ -124,7 +124,7 @@ def q_rf_classifier(spark, sf):
     return K.accuracy(m.transform(_test(d)), "label", "prediction")
 
 
-@query("ridge_cv", "L5,R3")
+@query("ridge_cv", "L5,R3", bench=True)
 def q_ridge_cv(spark, sf):
     d = _price(spark, sf)
     _, scores = L.train_ridge_cv(_train(d), PRICE_FEATURES, "l_extendedprice", "id")
@@ -138,7 +138,7 @@ def q_lasso_cv(spark, sf):
     return scores
 
 
-@query("stacking_auc", "L7,R5,L5,L6,V4,K6")
+@query("stacking_auc", "L7,R5,L5,L6,V4,K6", bench=True)
 def q_stacking_auc(spark, sf):
     d = _quality(spark, sf)
     feats = QUALITY_FEATURES
@@ -181,7 +181,7 @@ def q_importance_study(spark, sf):
     return L.importance_summary(long)
 
 
-@query("staged_error", "L12,L3")
+@query("staged_error", "L12,L3", bench=True)
 def q_staged_error(spark, sf):
     d = _orders(spark, sf)
     d = d.cache()
