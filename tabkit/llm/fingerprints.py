@@ -2,22 +2,23 @@
 
 A document is the multiset of its paragraphs (the parts between newlines).
 Every paragraph is hashed to a wide vector, and a document's vector is the sum
-of its paragraphs' vectors, lane by lane modulo a power of two:
+of its paragraphs' vectors, lane by lane modulo 2^32:
 
-* ``LANES`` lanes modulo 2^32, hashed from the whole paragraph: equal multisets
-  have equal lanes whatever the order, unequal ones differ in all but about
-  2^-256 of cases;
-* 124 lanes modulo 2^31 that count, over the paragraph's word pairs, how often
-  each bit of a hash is set.  Read as sums of plus and minus ones they are a
-  linear sketch of the word pairs, whose cosine estimates how alike two
-  documents are (standard error about 0.09).
+* ``EXACT`` lanes hashed from the whole paragraph: equal multisets have equal
+  lanes whatever the order, unequal ones differ in all but about 2^-256 of
+  cases;
+* ``SKETCH`` lanes that hold, for each word pair of the paragraph, a plus or
+  minus one in the lane that the pair's hash names.  They are a linear sketch
+  of the word pairs, whose cosine estimates how alike two documents are
+  (standard error about 0.09).
 
 Inserting a paragraph adds its vector and deleting one subtracts it.  The query
 uses this for edited texts: paragraphs before the edit are hashed once, the old
 and the new rest are hashed apart, and both fingerprints are sums of two of the
 three parts (``KEPT`` + ``OLD``, ``KEPT`` + ``NEW``).
 
-Two lanes share one bigint (31 bits each), so 62 sums carry the sketch.
+A lane's sum is one group of an aggregate with two sums (a sum per lane in one
+wide aggregate is too large a method for the JVM to compile).
 
 Successors by id need no window over the whole table: rows are cut into ranges
 of the id at approximate quantiles, each range is ordered by itself, and the
@@ -43,71 +44,68 @@ from tabkit.functions.frames import materialize
 from tabkit.functions.prefix import BUCKET, add_buckets
 from tabkit.llm.common import col
 
-LANES = 8
-FIELDS = 31
+EXACT = 8
+SKETCH = 128
 RANGE_ROWS = 1024
 MAX_RANGES = 16_384
 KEPT, OLD, NEW = 0, 1, 2
 
-_PAIR = 1 | 1 << FIELDS
-_LOW = (1 << FIELDS) - 1
-_EXACT = [f"x{j}" for j in range(LANES)]
-_SKETCH = [f"s{h}_{k}" for h in range(2) for k in range(FIELDS)]
+_MASK = 0xFFFFFFFF
 
 
 def paragraphs(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def unit_hashes(paragraph: Column) -> Column:
-    """One hash per pair of neighbouring words (the word itself where there
-    is only one)."""
-    words = F.split(paragraph, " ", -1)
-    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 2, F.lit(0))),
-                       lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))
-
-
-def multiset_sums(rows: DataFrame, keys: list[str], paragraph: str = "paragraph") -> DataFrame:
-    """Sums of the vectors of all paragraphs per ``keys``: ``x*`` (exact
-    lanes), ``s*`` (two sketch lanes each) and ``units``."""
-    unit = rows.select(*keys, paragraph, F.posexplode(unit_hashes(F.col(paragraph))).alias("_at", "_h0")) \
-        .withColumn("_h1", F.xxhash64("_h0"))
-    exact = [F.sum(F.when(F.col("_at") == 0, F.xxhash64(paragraph, F.lit(j)).bitwiseAND(F.lit(0xFFFFFFFF)))).alias(x)
-             for j, x in enumerate(_EXACT)]
-    sketch = [F.sum(F.shiftrightunsigned(f"_h{h}", k).bitwiseAND(F.lit(_PAIR))).alias(f"s{h}_{k}")
-              for h in range(2) for k in range(FIELDS)]
-    return unit.groupBy(*keys).agg(*exact, *sketch, F.count("*").alias("units"))
-
-
-def combine(sums: DataFrame, keys: list[str], part: str, wanted: dict[str, tuple[int, ...]]) -> DataFrame:
-    """Per ``keys`` and name in ``wanted``: the sums of the named parts
-    together, as a struct of ``exact``, ``sketch`` and ``units``."""
-    def total(name: str, parts: tuple[int, ...]) -> Column:
-        return F.coalesce(F.sum(F.when(F.col(part).isin(*parts), F.col(name))), F.lit(0))
-
-    return sums.groupBy(*keys).agg(*(
-        F.struct(F.array(*(total(x, p).bitwiseAND(F.lit(0xFFFFFFFF)) for x in _EXACT)).alias("exact"),
-                 F.array(*(total(s, p) for s in _SKETCH)).alias("sketch"), total("units", p).alias("units")).alias(name)
-        for name, p in wanted.items()))
+def lane_values(rows: DataFrame, keys: list[str], paragraph: str = "paragraph") -> DataFrame:
+    """``keys``, ``lane`` and ``value``: what each paragraph adds to the lanes.
+    A null paragraph adds a zero to every lane, so that each lane is there."""
+    text, words = F.col(paragraph), F.col("_words")
+    # a column of its own: inside the lambda it would be split again for each pair
+    rows = rows.select(*keys, paragraph, F.split(text, " ", -1).alias("_words"))
+    pairs = F.greatest(F.size(words) - 1, F.lit(1))
+    hashes = F.transform(F.sequence(F.lit(0), pairs - 1), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))
+    exact = F.array(*(F.xxhash64(text, F.lit(j)).bitwiseAND(F.lit(_MASK)) for j in range(EXACT)))
+    zeros = F.array_repeat(F.lit(0).cast("bigint"), SKETCH + EXACT)
+    unit = rows.select(*keys, F.when(text.isNull(), -1).otherwise(pairs).alias("_pairs"),
+                       F.posexplode(F.when(text.isNull(), zeros).otherwise(F.concat(hashes, exact))).alias("_at", "_h"))
+    sketched, seed = F.col("_at") < F.col("_pairs"), F.col("_pairs") < 0
+    sign = 1 - 2 * F.shiftrightunsigned("_h", 40).bitwiseAND(F.lit(1))
+    return unit.select(*keys, F.when(seed, F.col("_at")).when(sketched, F.pmod(F.col("_h"), F.lit(SKETCH)).cast("int"))
+                       .otherwise(SKETCH + F.col("_at") - F.col("_pairs")).alias("lane"),
+                       F.when(sketched, sign).otherwise(F.col("_h")).alias("value"))
+
+
+def vectors(pieces: DataFrame, keys: list[str], wanted: dict[str, tuple[int, ...]]) -> DataFrame:
+    """Per ``keys`` and name in ``wanted``: the vector of the paragraphs in the
+    named parts, as a struct of ``exact`` and ``sketch``.  ``pieces``: keys,
+    ``part`` and ``paragraph``, with one null paragraph per ``keys``."""
+    sums = lane_values(pieces, [*keys, "part"]).groupBy(*keys, "lane").agg(*(
+        F.coalesce(F.sum(F.when(F.col("part").isin(*parts), F.col("value"))), F.lit(0)).alias(name)
+        for name, parts in wanted.items()))
+    lanes = sums.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("lane", *wanted))).alias("_lanes"))
+
+    def vector(name: str) -> Column:
+        values = F.transform("_lanes", lambda x: x[name])
+        return F.struct(F.transform(F.slice(values, SKETCH + 1, EXACT), lambda x: x.bitwiseAND(F.lit(_MASK))).alias("exact"),
+                        F.slice(values, 1, SKETCH).alias("sketch"))
+
+    return lanes.select(*keys, *(vector(name).alias(name) for name in wanted))
 
 
 def as_text(vector: Column) -> Column:
     """The fingerprint as hexadecimal text: exact lanes, then the sketch."""
-    pad = lambda n: lambda x: F.lpad(F.hex(x), n, "0")
-    return F.concat(F.array_join(F.transform(vector["exact"], pad(8)), ""), F.lit(":"),
-                    F.array_join(F.transform(vector["sketch"], pad(16)), ""))
+    pad = lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(_MASK))), 8, "0")
+    return F.concat(F.array_join(F.transform(vector["exact"], pad), ""), F.lit(":"),
+                    F.array_join(F.transform(vector["sketch"], pad), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """1 for equal multisets; else the cosine that the sketches give, from 0
     to 1."""
-    def signed(v: Column, high: bool) -> Column:
-        field = (lambda s: F.shiftrightunsigned(s, FIELDS)) if high else (lambda s: s.bitwiseAND(F.lit(_LOW)))
-        return F.transform(v["sketch"], lambda s: (2 * field(s) - v["units"]).cast("double"))
-
     def dot(x: Column, y: Column) -> Column:
-        return sum((F.aggregate(F.zip_with(signed(x, high), signed(y, high), lambda p, q: p * q), F.lit(0.0),
-                                lambda t, v: t + v) for high in (False, True)), F.lit(0.0))
+        return F.aggregate(F.zip_with(x["sketch"], y["sketch"], lambda p, q: p.cast("double") * q.cast("double")),
+                           F.lit(0.0), lambda t, v: t + v)
 
     norm = F.sqrt(dot(a, a) * dot(b, b))
     cosine = F.when(norm > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(a, b) / norm))).otherwise(0.0)
@@ -160,15 +158,15 @@ def edited_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text
     rest = F.col("whole") + 1
     long = F.lit(2147483647)
     tagged = lambda part, array: F.transform(array, lambda p: F.struct(F.lit(part).alias("part"), p.alias("paragraph")))
+    seed = F.array(F.lit(None).cast("string"))
     before = F.when(F.col("whole") > 0, paragraphs(F.substring("text", F.lit(1), F.col("whole") - 1))).otherwise(
         F.array().cast("array<string>"))
-    parts = F.concat(tagged(KEPT, before), tagged(OLD, paragraphs(F.substring("text", rest, long))),
+    parts = F.concat(tagged(KEPT, seed), tagged(KEPT, before), tagged(OLD, paragraphs(F.substring("text", rest, long))),
                      tagged(NEW, paragraphs(F.substring("edited", rest, long))))
     keys = ["range", "rank", "doc_id", "n_chars", "edited_sha256", "next_range"]
     pieces = (rows.withColumn("edited_sha256", F.sha2("edited", 256)).select(*keys, F.explode(parts).alias("p"))
               .select(*keys, "p.part", "p.paragraph"))
-    vectors = combine(multiset_sums(pieces, [*keys, "part"]), keys, "part", {"now": (KEPT, OLD), "then": (KEPT, NEW)})
-    found = materialize(vectors)
+    found = materialize(vectors(pieces, keys, {"now": (KEPT, OLD), "then": (KEPT, NEW)}))
     heads = found.where("rank = 1").select(F.col("range").alias("next_range"), F.col("now").alias("head"))
     follows = F.lead("now").over(Window.partitionBy("range").orderBy("rank"))
     # one row per range: MAX_RANGES rows and the one of null ids at most
@@ -183,6 +181,6 @@ def edited_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text
 def fingerprints(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """``keys`` and the ``fingerprint`` of the text of each row (rows that
     share all keys are added up)."""
-    rows = df.select(*map(col, keys), F.explode(paragraphs(F.coalesce(col(text), F.lit("")))).alias("paragraph"))
-    sums = multiset_sums(rows, keys).withColumn("part", F.lit(KEPT))
-    return combine(sums, keys, "part", {"v": (KEPT,)}).select(*keys, as_text(F.col("v")).alias("fingerprint"))
+    pieces = F.concat(F.array(F.lit(None).cast("string")), paragraphs(F.coalesce(col(text), F.lit(""))))
+    rows = df.select(*map(col, keys), F.lit(KEPT).alias("part"), F.explode(pieces).alias("paragraph"))
+    return vectors(rows, keys, {"v": (KEPT,)}).select(*keys, as_text(F.col("v")).alias("fingerprint"))

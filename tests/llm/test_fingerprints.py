@@ -19,24 +19,19 @@ def xx(*values):
 
 
 def vector(text):
-    exact, bits, units = [0] * 8, [[0] * 62, [0] * 62], 0
+    exact, sketch = [0] * 8, [0] * 128
     for paragraph in (text or "").split("\n"):
         for j in range(8):
             exact[j] = (exact[j] + (xx(paragraph, j) & 0xFFFFFFFF)) % 2**32
         words = paragraph.split(" ")
         for i in range(max(1, len(words) - 1)):
             h = xx(*words[i:i + 2])
-            units += 1
-            other = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), 42)
-            for b in range(62):
-                bits[0][b] += h >> b & 1
-                bits[1][b] += other >> b & 1
-    sums = [bits[k][b] + (bits[k][b + 31] << 31) for k in range(2) for b in range(31)]
-    return exact, sums, [2 * c - units for row in bits for c in row]
+            sketch[h % 128] += 1 - 2 * (h >> 40 & 1)
+    return exact, [s % 2**32 for s in sketch], sketch
 
 
 def text_of(v):
-    return "".join(f"{x:08X}" for x in v[0]) + ":" + "".join(f"{s:016X}" for s in v[1])
+    return "".join(f"{x:08X}" for x in v[0]) + ":" + "".join(f"{s:08X}" for s in v[1])
 
 
 def like(a, b):
