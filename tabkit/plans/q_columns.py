@@ -153,8 +153,10 @@ def q_log1p(spark, sf):
     return o.select("o_orderkey", r("o_totalprice_log").alias("log_totalprice"))
 
 
-_TITLE = ("array_to_string(list_transform(string_split(lower(replace({x}, '_', ' ')), ' '), "
-          "lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')")
+# title case restarts after every character that is not a letter
+_TITLE = ("array_to_string(list_transform(range(1, length({x}) + 1), lambda i: CASE "
+          "WHEN i = 1 OR NOT regexp_matches(substr({x}, i - 1, 1), '\\p{{L}}') "
+          "THEN upper(substr(replace({x}, '_', ' '), i, 1)) ELSE lower(substr(replace({x}, '_', ' '), i, 1)) END), '')")
 
 
 @query("column_names", "P10", sql=f"""
