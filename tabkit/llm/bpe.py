@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tabkit.llm.common import MEMO_ENTRIES, Memo, check_free, slices
+from tabkit.llm.common import MEMO_ENTRIES, Memo, check_free, holds, slices, task_memory
 
 #: A rank file above this size is refused (it is broadcast).
 MAX_RANK_FILE = 64 * 1024 * 1024
@@ -222,6 +222,7 @@ class BytePairCodec:
 
 
 _CODECS: dict[tuple, BytePairCodec] = {}
+holds("bpe", _CODECS.clear)
 
 
 def _codec(ranks, pattern: str) -> BytePairCodec:
@@ -248,15 +249,14 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", out:
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(ranks, pattern)
-        try:
+        with task_memory("bpe"):
+            codec = _codec(ranks, pattern)
             for batch in chain.from_iterable(map(slices, batches)):
                 rows = [codec.encode(t) for t in batch.column(at).to_pylist()]
                 ends = np.zeros(len(rows) + 1, np.int32)
                 np.cumsum([len(r) for r in rows], out=ends[1:])
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
-        finally:
             codec.forget()
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])

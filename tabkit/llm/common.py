@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +50,32 @@ class Memo(dict):
         self.older = {}
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def holds(owner: str, drop: Callable[[], None]) -> None:
+    """Register how to drop what an operator keeps in a Python worker."""
+    _HELD[owner] = drop
+
+
+@contextmanager
+def task_memory(owner: str) -> Iterator[None]:
+    """Around the Python part of a task.  Spark keeps workers for later tasks
+    of any operator: what other operators keep is dropped first, and freed
+    memory goes back to the system at the end."""
+    for name, drop in _HELD.items():
+        if name != owner:
+            drop()
+    try:
+        yield
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:  # C libraries other than glibc have none
+            trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 

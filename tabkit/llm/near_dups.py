@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.functions.frames import materialize
-from tabkit.llm.common import check_free, col, slices
+from tabkit.llm.common import check_free, col, slices, task_memory
 
 TREES, DEPTH = 16, 8
 MISS = 2e-5
@@ -142,20 +142,21 @@ def signatures(docs: DataFrame, width: int, depth: int) -> DataFrame:
     ``bits`` (8 bits of each MinHash value) and ``regions`` (one hash of the
     first ``depth`` values per tree)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(slices(b, PIECE) for b in batches):
-            sets = shingle_sets(batch.column(2).to_pylist(), width)
-            values = np.stack([minhash(s) for s in sets]).reshape(len(sets), TREES, DEPTH)
-            region = np.zeros((len(sets), TREES), np.uint64) + np.arange(TREES, dtype=np.uint64)
-            for d in range(depth):
-                region = _mix(region * _BASE + values[:, :, d])
-            low = np.ascontiguousarray(values.astype(np.uint8).reshape(len(sets), -1))
-            regions = pa.FixedSizeListArray.from_arrays(pa.array(region.astype(np.int64).ravel()), TREES)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(list(map(set_name, sets)), pa.binary()),
-                 pa.array([row.tobytes() for row in low], pa.binary()),
-                 regions.cast(pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "n_shingles", "node", "bits", "regions"])
+        with task_memory("near_dups"):
+            for batch in chain.from_iterable(slices(b, PIECE) for b in batches):
+                sets = shingle_sets(batch.column(2).to_pylist(), width)
+                values = np.stack([minhash(s) for s in sets]).reshape(len(sets), TREES, DEPTH)
+                region = np.zeros((len(sets), TREES), np.uint64) + np.arange(TREES, dtype=np.uint64)
+                for d in range(depth):
+                    region = _mix(region * _BASE + values[:, :, d])
+                low = np.ascontiguousarray(values.astype(np.uint8).reshape(len(sets), -1))
+                regions = pa.FixedSizeListArray.from_arrays(pa.array(region.astype(np.int64).ravel()), TREES)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(list(map(set_name, sets)), pa.binary()),
+                     pa.array([row.tobytes() for row in low], pa.binary()),
+                     regions.cast(pa.list_(pa.int64()))],
+                    names=["doc_id", "text_hash", "n_shingles", "node", "bits", "regions"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text_hash", "text").mapInArrow(
@@ -234,26 +235,27 @@ def candidate_rows(regions: DataFrame, classes: DataFrame, num: int, den: int) -
                 yield names[m], names[members[0]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in chain(batches, [None]):
-            if batch is not None:
-                now = pa.Table.from_batches([batch])
-                held = now if held is None else pa.concat_tables([held, now])
-            if held is None or not held.num_rows:
-                continue
-            keys = held.column(0).to_numpy()
-            begin, end = _spans(keys)
-            if batch is not None:  # the last region may go on in the next batch
-                begin, end = begin[:-1], end[:-1]
-            done = int(end[-1]) if len(end) else 0
-            names = held.column(1).to_pylist()
-            bits = np.frombuffer(b"".join(held.column(2).to_pylist()), np.uint8).reshape(-1, width)
-            sizes = held.column(3).to_numpy()
-            found = [pair for b, e in zip(begin.tolist(), end.tolist()) if e - b > 1
-                     for pair in solve(names[b:e], bits[b:e], sizes[b:e])]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.binary()),
-                                              pa.array([p[1] for p in found], pa.binary())], names=["u", "v"])
-            held = held.slice(done)
+        with task_memory("near_dups"):
+            held: pa.Table | None = None
+            for batch in chain(batches, [None]):
+                if batch is not None:
+                    now = pa.Table.from_batches([batch])
+                    held = now if held is None else pa.concat_tables([held, now])
+                if held is None or not held.num_rows:
+                    continue
+                keys = held.column(0).to_numpy()
+                begin, end = _spans(keys)
+                if batch is not None:  # the last region may go on in the next batch
+                    begin, end = begin[:-1], end[:-1]
+                done = int(end[-1]) if len(end) else 0
+                names = held.column(1).to_pylist()
+                bits = np.frombuffer(b"".join(held.column(2).to_pylist()), np.uint8).reshape(-1, width)
+                sizes = held.column(3).to_numpy()
+                found = [pair for b, e in zip(begin.tolist(), end.tolist()) if e - b > 1
+                         for pair in solve(names[b:e], bits[b:e], sizes[b:e])]
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.binary()),
+                                                  pa.array([p[1] for p in found], pa.binary())], names=["u", "v"])
+                held = held.slice(done)
 
     rows = regions.join(classes.select("node", "bits", "n_shingles"), "node").select("region", "node", "bits", "n_shingles")
     n = max(1, int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -330,16 +332,17 @@ def link_blocks(docs: DataFrame, members: DataFrame, width: int, num: int, den:
         return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, texts = None, []
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if key != block:
-                    if texts:
-                        yield solve(texts)
-                    block, texts = key, []
-                texts.append(text)
-        if texts:
-            yield solve(texts)
+        with task_memory("near_dups"):
+            block, texts = None, []
+            for batch in batches:
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if key != block:
+                        if texts:
+                            yield solve(texts)
+                        block, texts = key, []
+                    texts.append(text)
+            if texts:
+                yield solve(texts)
 
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (rows.repartition(n, "block").sortWithinPartitions("block").mapInArrow(run, "u binary, v binary"))

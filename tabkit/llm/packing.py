@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.llm.bpe import read_ranks
-from tabkit.llm.common import check_free, col, slices
+from tabkit.llm.common import check_free, col, holds, slices
 
 
 class SpaceTree:
@@ -166,6 +166,7 @@ def documents_of(packed: DataFrame, dtype: str = "<u2") -> DataFrame:
 
 
 _ENCODERS: dict = {}
+holds("packing", _ENCODERS.clear)
 
 
 def library_ids(df: DataFrame, rank_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import Memo, check_free, slices
+from tabkit.llm.common import Memo, check_free, holds, slices, task_memory
 
 # Fixed values.
 SYMBOLS = "#*$%&|<>"
@@ -85,6 +85,7 @@ def _kind(word: bytes) -> int:
 
 
 _KINDS = Memo(_kind)
+holds("quality", _KINDS.forget)
 
 
 def measure(text: str | None) -> tuple[int, ...]:
@@ -114,12 +115,11 @@ def counts_frame(df: DataFrame, text: str = "text", names: tuple[str, ...] = COU
     at, rest = df.columns.index(text), [df.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
+        with task_memory("quality"):
             for batch in chain.from_iterable(map(slices, batches)):
                 table = np.array([measure(t) for t in batch.column(at).to_pylist()], np.int64)
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), *map(pa.array, table.T)],
                                                  names=[*kept, *names])
-        finally:
             _KINDS.forget()
 
     return df.mapInArrow(run, T.StructType([*(df.schema[i] for i in rest), *(T.StructField(c, T.LongType()) for c in names)]))

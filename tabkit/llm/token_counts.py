@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tabkit.llm.common import Memo, check_free, slices
+from tabkit.llm.common import Memo, check_free, holds, slices, task_memory
 
 # Fixed values of the tokenizer.
 MARK = "▁"
@@ -114,6 +114,7 @@ class UnigramCounter:
 
 
 _COUNTERS: dict[str, UnigramCounter] = {}
+holds("token_counts", _COUNTERS.clear)
 
 
 def _counter(key: str, pieces) -> UnigramCounter:
@@ -133,15 +134,14 @@ def count_tokens(df: DataFrame, model_path: str, text: str = "text", keep_text:
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(key, pieces)
-        try:
+        with task_memory("token_counts"):
+            counter = _counter(key, pieces)
             for batch in chain.from_iterable(map(slices, batches)):
                 tokens, spare, scores = zip(*map(counter.count, batch.column(at).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i) for i in kept), pa.array(tokens, pa.int64()), pa.array(spare, pa.int64()),
                      pa.array(scores, pa.float64())],
                     names=[*(batch.schema.names[i] for i in kept), "n_tokens", "n_fallback_bytes", "score"])
-        finally:
             counter.forget()
 
     schema = T.StructType([*(df.schema[i] for i in kept), T.StructField("n_tokens", T.LongType()),
