@@ -21,7 +21,7 @@ BATCH_BYTES = 4 * 1024 * 1024
 
 
 #: Entries of each memo of one Python worker.
-MEMO_ENTRIES = 125_000
+MEMO_ENTRIES = 50_000
 
 
 class Memo(dict):
