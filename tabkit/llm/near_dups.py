@@ -12,15 +12,17 @@ document reaches over links.
     *class* from here on: a group of exact copies of any size is one row.
 2.  The forest.  ``TREES`` sorted orders, each over ``DEPTH`` values of the
     signature.  Classes with a common prefix of the starting depth are
-    neighbours; where such a region holds more than ``REGION`` classes, its
-    members are followed to longer common prefixes, and besides are dealt into
-    bounded parts at every depth on the way (so the region's members that
-    differ early stay in).  The starting depth is the deepest at which a pair
-    at the threshold is missed by all trees with a chance below ``MISS``.
+    neighbours.  The starting depth is the deepest at which a pair at the
+    threshold is missed by all trees with a chance below ``MISS``.
 3.  In a region, pairs whose signatures agree enough (``SLACK`` standard
     deviations under the threshold) join a *candidate group*; each member sends
     one row.  Groups that meet in different trees are united with alternating
-    large-star and small-star steps over those skinny rows.
+    large-star and small-star steps over those skinny rows.  A region of more
+    than ``REGION`` classes is first dealt into bounded parts, and its members
+    are followed to longer common prefixes, which unites what is alike; then
+    its members outside its largest candidate group meet all of its parts, so
+    that each pair of neighbours is compared or already in one group, whatever
+    the size of the region.
 4.  Each candidate group is solved exactly on full sets: a member is compared
     with all others in one vector operation, and only while it may still
     unite two parts.  Groups beyond ``BLOCK_ROWS`` members (or
@@ -163,14 +165,15 @@ def signatures(docs: DataFrame, width: int, depth: int) -> DataFrame:
         run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, node binary, bits binary, regions array<bigint>")
 
 
-def forest_regions(classes: DataFrame, depth: int) -> DataFrame:
+def forest_regions(classes: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
     """``region``, ``node``: the neighbourhoods of all trees, each of about
-    ``REGION`` classes at most."""
+    ``REGION`` classes at most; and the larger ones, with their size ``n``,
+    of which the first has parts only."""
     places = classes.select("node", F.posexplode("regions").alias("tree", "region"))
     counted = places.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
     rows = materialize(places.join(counted, ["tree", "region"]))
     found = rows.where(F.col("n") <= REGION).select("region", "node")
-    large = rows.where(F.col("n") > REGION)
+    whole = large = rows.where(F.col("n") > REGION)
     for level in range(depth, DEPTH + 1):
         if large.isEmpty():
             break
@@ -186,7 +189,33 @@ def forest_regions(classes: DataFrame, depth: int) -> DataFrame:
         rows = materialize(longer.join(again, ["tree", "region"]))
         found = found.unionByName(rows.where(F.col("n") <= REGION).select("region", "node"))
         large = rows.where(F.col("n") > REGION)
-    return found
+    return found, whole.select("region", "node", "n")
+
+
+def meetings(large: DataFrame, groups: DataFrame) -> DataFrame:
+    """``region``, ``node``: in each large region, the members outside its
+    largest candidate group (``groups`` as in :func:`stars`) with all of its
+    members, in blocks of about twice ``REGION`` rows."""
+    parted = large.join(groups.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left") \
+        .withColumn("root", F.coalesce("root", "node"))
+    counts = parted.groupBy("region", "root").agg(F.count("*").alias("m"))
+    tops = counts.groupBy("region").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("all")) \
+        .where(F.col("all") > F.col("top.m"))
+    parts, chunks = F.ceil(F.col("n") / REGION), F.ceil((F.col("all") - F.col("top.m")) / REGION)
+    rows = (parted.join(tops, "region").withColumn("outside", F.col("root") != F.col("top.root"))
+            .withColumn("parts", parts).withColumn("chunks", chunks)
+            .withColumn("part", F.pmod(F.xxhash64("node", F.lit(4)), "parts"))
+            .withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(5)), "chunks")))
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    asking = rows.where("outside").withColumn("part", every("parts"))
+    asked = rows.withColumn("chunk", every("chunks"))
+    block = F.xxhash64(F.lit("meet"), "region", "part", "chunk").alias("region")
+    # an outside member is asking and asked in the blocks of its own part
+    own = ~F.col("outside") | (F.col("chunk") != F.pmod(F.xxhash64("node", F.lit(5)), "chunks"))
+    return asking.select(block, "node").unionByName(asked.where(own).select(block, "node"))
 
 
 def _unite(n: int, others) -> np.ndarray:
@@ -397,7 +426,10 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("rep")
     classes = materialize(signed.where("n_shingles > 0").groupBy("node").agg(
         rep, F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.first("regions").alias("regions")))
-    groups = stars(candidate_rows(forest_regions(classes, depth), classes, num, den))
+    regions, large = forest_regions(classes, depth)
+    groups = stars(candidate_rows(regions, classes, num, den))
+    if not large.isEmpty():
+        groups = stars(groups.unionByName(candidate_rows(meetings(large, groups), classes, num, den)))
     links = _exact_links(docs, classes, groups, width, num, den)
     # smallest id of each component, per class
     own = classes.select("node", F.col("rep.doc_id").alias("id"))

@@ -44,6 +44,30 @@ def test_planted_groups_with_small_bounds(spark, monkeypatch, region, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 3, 85, 100)
 
 
+def test_neighbours_in_one_large_region_all_meet(spark, monkeypatch):
+    """All documents lie in the same region of every tree and no two share a
+    longer prefix; each of the linked pairs is found all the same."""
+    monkeypatch.setattr(N, "REGION", 4)
+    depth = N.start_depth(0.8)
+    rows, signed = [], []
+    rng = np.random.default_rng(4)
+    for pair in range(60):
+        like = rng.integers(0, 256, (N.TREES, N.DEPTH), dtype=np.uint8)
+        for k in (0, 1):
+            doc = 2 * pair + k
+            text = " ".join([f"p{pair}x{j}" for j in range(50)] + [f"d{doc}"])
+            like[:, depth] = doc
+            shingles = N.shingle_sets([text], 1)[0]
+            rows.append((doc, text))
+            signed.append((doc, text, len(shingles), bytearray(N.set_name(shingles)), bytearray(like.tobytes()),
+                           list(range(N.TREES))))
+    made = spark.createDataFrame(signed, "doc_id long, text string, n_shingles long, node binary, bits binary, regions array<long>")
+    monkeypatch.setattr(N, "signatures", lambda docs, width, depth: made.withColumn("text_hash", N.F.xxhash64("text")))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(df, width=1, threshold=(80, 100)).collect()}
+    assert got == {doc: doc // 2 * 2 for doc, _ in rows}
+
+
 def test_sets_are_those_of_the_definition():
     rng = random.Random(1)
     texts = ["".join(rng.choice("aAbB \t\n\x0b\x1c é") for _ in range(rng.randrange(60))) for _ in range(300)]
