@@ -253,8 +253,8 @@ def q_fit_predict_submit(spark, sf):
     d = _price(spark, sf)
     pipe = L.make_pipeline([Imputer(inputCols=PRICE_FEATURES, outputCols=PRICE_FEATURES, strategy="mean"),
                             L.assembler(PRICE_FEATURES),
-                            GBTRegressor(featuresCol="features", labelCol="l_extendedprice", maxIter=10,
-                                         stepSize=0.3, seed=SEED)])
+                            GBTRegressor(featuresCol="features", labelCol="l_extendedprice", seed=SEED,
+                                         **L.GBT_REGRESSOR_DEFAULTS)])
     return L.fit_predict_submit(_train(d), _test(d), pipe, "id", scratch_dir(spark, "l18-submission"))
 
 
@@ -269,8 +269,7 @@ def q_select_best(spark, sf):
     def loss(m):
         return L.positive_probability(m.transform(_test(d))).agg(K.log_loss_col("label", "p1")).first()[0]
 
-    models = {f"depth_{k}": L.train_gbt_classifier(_train(d), ORDER_FEATURES, "label",
-                                                   {"n_estimators": 20, "learning_rate": 0.1, "max_depth": k})
+    models = {f"depth_{k}": L.train_gbt_classifier(_train(d), ORDER_FEATURES, "label", {"max_depth": k})
               for k in (1, 3, 5)}
     path = scratch_dir(spark, "l19-model")
     best, _, values = L.select_best(models, loss, "min", path)
