@@ -31,3 +31,16 @@ def test_submission_is_fitted_with_the_default_boosting(spark, sf_dir, monkeypat
 def test_candidates_differ_from_the_defaults_in_depth_only(spark, sf_dir, monkeypatch):
     args, _ = call(monkeypatch, "train_gbt_classifier", Q.q_select_best, spark, sf_dir)
     assert args[3] == {"max_depth": 1}
+
+
+@pytest.mark.parametrize("name,query", [("train_rf_regressor", Q.q_rf_regressor), ("train_rf_classifier", Q.q_rf_classifier)])
+def test_forests_grow_whole_trees(spark, sf_dir, monkeypatch, name, query):
+    _, options = call(monkeypatch, name, query, spark, sf_dir)
+    assert options == {}
+
+
+def test_report_and_search_have_the_original_rounds(spark, sf_dir, monkeypatch):
+    _, options = call(monkeypatch, "cv_report", Q.q_cv_report, spark, sf_dir)
+    assert options["params"] == {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0}
+    args, options = call(monkeypatch, "random_search", Q.q_random_search, spark, sf_dir)
+    assert len(args) == 4 and set(options) <= {"n_iter", "k"}
