@@ -35,8 +35,8 @@ collected, and every grouping has a bounded size.
 
 Results for odd input: null texts have empty sets; a null id never becomes a
 component id unless the component has no other (then the component id is
-null); documents that share id and text are one document and stay or go
-together; an empty table gives an empty table; other columns are not read, and
+null); rows that share id and text are one document, of which
+``near_duplicates`` marks all rows alike and ``keep_one`` keeps one; an empty table gives an empty table; other columns are not read, and
 names that clash are an error.
 """
 
@@ -415,10 +415,10 @@ def _exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, width:
     return stars(links.unionByName(link_blocks(docs, meeting, width, num, den)))
 
 
-def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5,
-                    threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``kept``
-    for every row of ``df``."""
+def _components(df: DataFrame, text: str, doc_id: str, width: int, threshold: tuple[int, int]) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` of every
+    row, and ``first``: whether id and text are those of the component's first
+    document (null where the set is empty)."""
     num, den = threshold
     depth = start_depth(num / den)
     docs = df.select(col(doc_id).alias("doc_id"), col(text).alias("text"), F.xxhash64(col(text)).alias("text_hash"))
@@ -431,25 +431,47 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     if not large.isEmpty():
         groups = stars(groups.unionByName(candidate_rows(meetings(large, groups), classes, num, den)))
     links = _exact_links(docs, classes, groups, width, num, den)
-    # smallest id of each component, per class
-    own = classes.select("node", F.col("rep.doc_id").alias("id"))
-    rooted = own.join(links.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left") \
+    # first document of each component, per class
+    rooted = classes.select("node", "rep").join(links.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = materialize(rooted.join(least, "root").select("node", "component_id"))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("top"))
+    named = materialize(rooted.join(least, "root").select("node", "top"))
     out = (signed.select("doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
            .join(named, "node", "left")
-           .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))))
+           .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("top.doc_id"))))
+    first = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("text_hash") == F.col("top.text_hash"))
     return out.select("doc_id", "text_hash", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+                      F.when(F.col("node").isNotNull(), first).alias("first"))
 
 
-def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """``df`` without the documents whose component has a smaller id."""
-    check_free(df, "_hash")
-    gone = materialize(near_duplicates(df, text, doc_id, **options).where("not kept")
-                       .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
+def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5,
+                    threshold: tuple[int, int] = (80, 100)) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``kept``
+    for every row of ``df``."""
+    return _components(df, text, doc_id, width, threshold).select(
+        "doc_id", "text_hash", "n_shingles", "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5,
+             threshold: tuple[int, int] = (80, 100)) -> DataFrame:
+    """One row of each component: of its first document (smallest id, nulls
+    last, then hash of the text), and where that was delivered many times, the
+    row with the smallest hash of all columns.  Rows with an empty set belong
+    to no component and stay."""
+    check_free(df, "_id", "_hash", "_row")
+    # each document in a component: gone, or there ``n`` times
+    seen = materialize(_components(df, text, doc_id, width, threshold).where("first is not null")
+                       .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+                       .agg(F.min("first").alias("first"), F.count("*").alias("n")).where("not first or n > 1"))
     same = col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(col(text)) == F.col("_hash"))
-    return df.join(gone, same, "left_anti")
+    few = seen.count() <= BROADCAST_ROWS
+    keys = seen.select("_id", "_hash")
+    once = df.join(F.broadcast(keys) if few else keys, same, "left_anti")
+    again = seen.where("first").select("_id", "_hash")
+    if again.isEmpty():
+        return once
+    columns = [col(c) for c in df.columns]
+    rows = df.join(F.broadcast(again) if few else again, same)
+    one = rows.groupBy("_id", "_hash").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row"))
+    return once.unionByName(one.select("_row.*"))

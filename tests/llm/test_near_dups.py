@@ -91,3 +91,16 @@ def test_nulls_repeats_empty(spark):
     assert sorted(r.kept for r in N.keep_one(df).collect()) == ["b", "d", "e"]
     assert N.keep_one(df).columns == df.columns
     assert N.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Copies without ids, rows delivered many times with one id, and both
+    next to a near copy."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(50)) for x in "abcd")
+    rows = ([(None, a, "copy")] * 3 + [(None, a + " x", "near")] + [(5, b, "again")] * 4 + [(5, b + " x", "same id")]
+            + [(6, c, "c"), (None, c, "c"), (8, d, "d1"), (8, d, "d2"), (None, None, "e"), (None, None, "e")])
+    df = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    kept = N.keep_one(df).collect()
+    groups = sorted((r.text or "-")[0] for r in kept)
+    assert groups == ["-", "-", "a", "b", "c", "d"]
+    assert [r.doc_id for r in kept if r.tag == "c"] == [6]
