@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabkit.sources.tables import table
@@ -97,6 +97,18 @@ def check_free(df: DataFrame, *names: str) -> None:
         raise ValueError(f"input already has column(s) {clash}; rename them or the output columns")
 
 
+def packed(df: DataFrame, **named: Column) -> DataFrame:
+    """The rows of ``df`` in one struct column, with columns of its own beside
+    it: no name of ``df`` can clash with one that an operator adds."""
+    return df.select(F.struct(*(col(c).alias(f"c{i}") for i, c in enumerate(df.columns))).alias("_packed"),
+                     *(c.alias(name) for name, c in named.items()))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that :func:`packed` put away."""
+    return rows.select(*(F.col(f"_packed.c{i}").alias(c) for i, c in enumerate(columns)))
+
+
 def col(name: str):
     """A column by its literal name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -26,8 +26,9 @@ passes through the single task that divides the targets.
 Results for odd input: a null source is a source of its own, after all others;
 a null or empty text has size 0 and takes part like any document; rows that
 tie in id and size are ordered by their other columns, and equal rows are
-interchangeable; an empty table gives an empty table; an output name that
-clashes with a column is an error.
+interchangeable; an empty table gives an empty table; an output name of
+``systematic_copies`` that clashes with a column is an error, ``mix`` takes any
+columns.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.functions.frames import materialize
-from tabkit.llm.common import WORD, check_free, col
+from tabkit.llm.common import WORD, check_free, col, packed, unpacked
 
 #: Hash cells per source and size class.
 SPREAD = 1024
@@ -120,10 +121,9 @@ def systematic_copies(df: DataFrame, size: str, source: str = "source", doc_id:
             .select(*(col(c) for c in df.columns), "source_size", "target", "copies"))
 
 
-def mix(df: DataFrame, text: str = "text", **options) -> DataFrame:
+def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options) -> DataFrame:
     """The mix itself: each row of ``df`` as often as it is taken."""
-    check_free(df, "_size", "_copy")
-    planned = systematic_copies(df.withColumn("_size", word_count(text)), "_size", **options)
-    return (planned.where("copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-            .select(*(col(c) for c in df.columns)))
+    rows = packed(df, source=col(source), doc_id=col(doc_id), size=word_count(text))
+    planned = systematic_copies(rows, "size", **options)
+    taken = planned.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return unpacked(taken, df.columns)

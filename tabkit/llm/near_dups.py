@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.functions.frames import materialize
-from tabkit.llm.common import check_free, col, slices, task_memory
+from tabkit.llm.common import col, new_name, slices, task_memory
 
 TREES, DEPTH = 16, 8
 MISS = 2e-5
@@ -459,19 +459,19 @@ def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: i
     last, then hash of the text), and where that was delivered many times, the
     row with the smallest hash of all columns.  Rows with an empty set belong
     to no component and stay."""
-    check_free(df, "_id", "_hash", "_row")
+    id_, hash_, row_ = (new_name(df, c) for c in ("_id", "_hash", "_row"))
     # each document in a component: gone, or there ``n`` times
     seen = materialize(_components(df, text, doc_id, width, threshold).where("first is not null")
-                       .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+                       .groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_))
                        .agg(F.min("first").alias("first"), F.count("*").alias("n")).where("not first or n > 1"))
-    same = col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(col(text)) == F.col("_hash"))
+    same = col(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(col(text)) == F.col(hash_))
     few = seen.count() <= BROADCAST_ROWS
-    keys = seen.select("_id", "_hash")
+    keys = seen.select(id_, hash_)
     once = df.join(F.broadcast(keys) if few else keys, same, "left_anti")
-    again = seen.where("first").select("_id", "_hash")
+    again = seen.where("first").select(id_, hash_)
     if again.isEmpty():
         return once
     columns = [col(c) for c in df.columns]
     rows = df.join(F.broadcast(again) if few else again, same)
-    one = rows.groupBy("_id", "_hash").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row"))
-    return once.unionByName(one.select("_row.*"))
+    one = rows.groupBy(id_, hash_).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(row_))
+    return once.unionByName(one.select(f"{row_}.*"))

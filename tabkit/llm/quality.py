@@ -19,7 +19,8 @@ a hot source nor a large group of copies matters.
 Results for odd input: a null text is an empty one (all counts 0, base
 failed); a long text is measured whole; equal texts get equal results; an
 empty table fits the starting rates and returns no rows; other columns pass
-through, and an output name that clashes with one of them is an error.
+through; an output name of ``counts_frame`` or ``judge`` that clashes with one of
+them is an error, ``keep_good`` takes any columns.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import Memo, check_free, holds, slices, task_memory
+from tabkit.llm.common import Memo, check_free, col, holds, packed, slices, task_memory, unpacked
 
 # Fixed values.
 SYMBOLS = "#*$%&|<>"
@@ -258,5 +259,8 @@ def judge(counts: DataFrame, model: VoteModel, rules: tuple[Rule, ...] = RULES,
 def keep_good(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
     """The rows of ``df`` that are kept, with the columns of ``df``: one pass
     fits the rules on all texts, a second one judges each row."""
-    model = fit(counts_frame(df.select(F.col(text)), text, keep_text=False), rules)
-    return judge(counts_frame(df, text), model, rules, threshold).where("kept").select(*df.columns)
+    # the counts go by fixed names, in which the rules are written
+    texts = df.select(col(text).alias("_text"))
+    model = fit(counts_frame(texts, "_text", keep_text=False), rules)
+    rows = counts_frame(packed(df, _text=col(text)), "_text", keep_text=False)
+    return unpacked(judge(rows, model, rules, threshold).where("kept"), df.columns)

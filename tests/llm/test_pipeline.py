@@ -11,6 +11,8 @@ import corpus_pipeline
 from tabkit.llm import mixing, quality
 from brute_force import brute
 
+from pyspark.sql import functions as F
+
 
 def test_pipeline_stage_by_stage(spark, sf_dir):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(corpus_pipeline.RANKS), "rb"))}
@@ -53,3 +55,17 @@ def test_stages_on_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             df = stage(spark, df, "")
             df.count()
+
+
+def test_stages_take_columns_with_their_inner_names(spark, sf_dir):
+    from tabkit.llm import mixing, near_dups, quality
+    names = ["n_words", "kept", "p_good", "base_failed", "_text", "_packed", "_id", "_hash", "_row", "_size", "size", "copies",
+             "target", "source_size"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
+    wide = docs.select("*", *(F.lit(n).alias(n) for n in names)).cache()
+    for stage in (quality.keep_good, near_dups.keep_one, mixing.mix):
+        out = stage(wide)
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert rows and all(r[n] == n for r in rows for n in names)
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in stage(docs).collect())
