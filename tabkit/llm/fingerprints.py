@@ -5,8 +5,8 @@ Every paragraph is hashed to a wide vector, and a document's vector is the sum
 of its paragraphs' vectors, lane by lane modulo 2^32:
 
 * ``EXACT`` lanes hashed from the whole paragraph: equal multisets have equal
-  lanes whatever the order, unequal ones differ in all but about 2^-256 of
-  cases;
+  lanes whatever the order.  All lanes of a paragraph follow from its one
+  64-bit hash, so two given paragraphs have equal lanes in about 2^-64 of cases;
 * ``SKETCH`` lanes that hold, for each word pair of the paragraph, a plus or
   minus one in the lane that the pair's hash names.  They are a linear sketch
   of the word pairs, whose cosine estimates how alike two documents are
