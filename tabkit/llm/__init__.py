@@ -12,6 +12,7 @@ One module per operator, each with its own general interface:
 * ``mixing``       -- systematic sampling towards target weights
 * ``warc``         -- deterministic sharded WARC writer and reader
 * ``quality``      -- weak supervision over quality rules
+* ``resampling``   -- importance resampling towards target texts
 
 ``queries`` registers one thin query per operator and the pipeline.  Nothing
 else in the library imports this subpackage.

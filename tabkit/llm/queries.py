@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import bpe, fingerprints, mixing, near_dups, packing, quality, shards, token_counts, url_lists, warc
+from tabkit.llm import (bpe, fingerprints, mixing, near_dups, packing, quality, resampling, shards, token_counts,
+                        url_lists, warc)
 from tabkit.llm.common import documents
 from tabkit.session import scratch_path
 from tabkit.sources.tables import table
@@ -220,3 +221,11 @@ def op4_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = packing.library_ids(documents(spark, sf_dir).select("doc_id", "text"),
                               public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return packing.pack(ids, capacity=2048, pad=50256)
+
+
+@query("op11_importance_resampling")
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark's texts; one in twenty of
+    those with 20 words or more is drawn."""
+    drawn = resampling.resample(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
