@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import (bpe, fingerprints, mixing, near_dups, packing, quality, resampling, shards, token_counts,
-                        url_lists, warc)
+from tabkit.llm import (alignment, bpe, fingerprints, mixing, near_dups, packing, quality, resampling, shards,
+                        token_counts, url_lists, warc)
 from tabkit.llm.common import documents
 from tabkit.session import scratch_path
 from tabkit.sources.tables import table
@@ -229,3 +229,9 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     those with 20 words or more is drawn."""
     drawn = resampling.resample(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
