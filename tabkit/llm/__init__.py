@@ -13,6 +13,7 @@ One module per operator, each with its own general interface:
 * ``warc``         -- deterministic sharded WARC writer and reader
 * ``quality``      -- weak supervision over quality rules
 * ``resampling``   -- importance resampling towards target texts
+* ``lm``           -- log-bilinear language model, trained and applied
 * ``alignment``    -- two tokenizers aligned over the same bytes
 
 ``queries`` registers one thin query per operator and the pipeline.  Nothing

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabkit.functions.frames import materialize
-from tabkit.llm import (alignment, bpe, fingerprints, mixing, near_dups, packing, quality, resampling, shards,
+from tabkit.llm import (alignment, bpe, fingerprints, lm, mixing, near_dups, packing, quality, resampling, shards,
                         token_counts, url_lists, warc)
 from tabkit.llm.common import documents
 from tabkit.session import scratch_path
@@ -231,6 +231,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query("op12_neural_scores")
+def op12_neural_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 @query("op13_tokenizer_alignment")
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
