@@ -10,8 +10,9 @@ distance; a unit's score is the product with its own vector, plus a bias.
 1.  Words of the training texts are counted: each task sends its distinct words
     (in bounded blocks), one aggregate sums them.  The table of counts has a
     row per distinct word; it is never collected.
-2.  Training is noise-contrastive.  In every round each task starts at the
-    shared model and goes through all its training texts in blocks: block
+2.  Training is noise-contrastive.  All training texts are dealt into a few
+    parts; in every round each task starts at the shared model and goes through
+    all its texts of one part in blocks: block
     products with the true units and with units drawn from the unigram
     distribution, logistic loss, adaptive steps in numpy.  It sends one row per
     vector; the next model is their mean, weighted by tokens.  Biases start at
@@ -61,9 +62,9 @@ from pyspark.sql import functions as F
 from tabkit.functions.frames import materialize
 from tabkit.llm.common import col, holds, slices, task_memory
 
-OWN, CLASSES, CONTEXT, WIDTH = 447, 64, 4, 16
-NOISE, BLOCK, ROUNDS, RATE = 64, 1024, 2, 0.1
-HOT_WORDS = 300_000
+OWN, CLASSES, CONTEXT, WIDTH = 191, 64, 4, 16
+NOISE, BLOCK, PARTS, RATE = 32, 1024, 2, 0.1
+HOT_WORDS = 1_000_000
 FLUSH_WORDS = 500_000
 LONG = 40
 #: Texts read at once, and places scored at once.
@@ -75,9 +76,13 @@ def words_of(text: str | None) -> list[bytes]:
     """Lower-cased words; words above :data:`LONG` bytes by their digest."""
     if not text:
         return []
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if len(text) > LONG and max(map(len, words), default=0) > LONG:
-        words = [w if len(w) <= LONG else b"\x00 sha256:" + sha256(w).digest() for w in words]
+    raw = text.encode("utf-8", "surrogatepass").lower()
+    words = raw.split()
+    if len(raw) > LONG:
+        data = np.frombuffer(raw, np.uint8)
+        blanks = np.flatnonzero((data == 32) | (data - np.uint8(9) < 5))
+        if np.diff(blanks, prepend=-1, append=len(raw)).max() > LONG + 1:
+            words = [w if len(w) <= LONG else b"sha256:" + sha256(w).hexdigest().encode() for w in words]
     return words
 
 
@@ -162,25 +167,38 @@ class Model:
     def arrays(self) -> list[np.ndarray]:
         return [self.context, self.outcome, self.distance, self.bias[:, None]]
 
-    def predicted(self, before: np.ndarray) -> np.ndarray:
-        """Vectors for places whose previous units are the rows of ``before``
-        (the nearest first)."""
-        out = self.context[before[:, 0]] * self.distance[0]
-        for k in range(1, before.shape[1]):
-            out += self.context[before[:, k]] * self.distance[k]
-        return out
+    def by_distance(self) -> list[np.ndarray]:
+        """Per distance, the weighted vector of every unit."""
+        return [self.context * d for d in self.distance]
 
     def log_probabilities(self, before: np.ndarray, units: np.ndarray) -> np.ndarray:
-        """Natural logarithms, normalised over all units."""
-        out = np.empty(len(units))
+        """Natural logarithms, normalised over all units, for places whose
+        previous units are the rows of ``before`` (the nearest first)."""
+        out, tables = np.empty(len(units)), self.by_distance()
+        last = np.vstack([self.outcome.T, self.bias])  # the bias as one more product
         for at in range(0, len(units), PLACES):
-            scores = self.predicted(before[at:at + PLACES]) @ self.outcome.T + self.bias
-            scores -= scores.max(axis=1, keepdims=True)
+            guess = predicted(tables, before[at:at + PLACES])
+            scores = np.column_stack([guess, np.ones(len(guess), guess.dtype)]) @ last
             own = scores[np.arange(len(scores)), units[at:at + PLACES]]
-            out[at:at + PLACES] = own - np.log(np.exp(scores, out=scores).sum(axis=1))
+            with np.errstate(over="ignore"):
+                total = np.exp(scores).sum(axis=1)
+            odd = np.flatnonzero(~((total > 1e-30) & (total < 1e30)))
+            total = np.log(total, where=total > 0, out=np.zeros(len(total), total.dtype))
+            if len(odd):  # scores beyond what exp takes
+                top = scores[odd].max(axis=1, keepdims=True)
+                total[odd] = top[:, 0] + np.log(np.exp(scores[odd] - top).sum(axis=1))
+            out[at:at + PLACES] = own - total
         return out
 
 
+def predicted(tables: list[np.ndarray], before: np.ndarray) -> np.ndarray:
+    """Sum of the previous units' weighted vectors."""
+    out = tables[0][before[:, 0]]
+    for k in range(1, before.shape[1]):
+        out += tables[k][before[:, k]]
+    return out
+
+
 def new_model(v: Vocabulary, width: int = WIDTH, context: int = CONTEXT, seed: int = 42) -> Model:
     """Random small vectors; the unigram distribution as biases (units that
     hold no word are out of reach)."""
@@ -196,16 +214,16 @@ def places(units: np.ndarray, ends: np.ndarray, context: int) -> tuple[np.ndarra
     """Per token, the unit, its previous units (ends before the first), and
     the text: of texts whose words' units lie one after another up to
     ``ends``, with one end added to each."""
-    sizes = np.diff(np.concatenate([[0], ends]))
+    sizes = np.diff(ends, prepend=0)
     text = np.repeat(np.arange(len(sizes)), sizes + 1)
-    place = np.arange(len(text)) - np.repeat(np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]), sizes + 1)
-    own = np.full(len(text), END, units.dtype)
-    own[place < sizes[text]] = units
-    before = np.full((len(own), context), END, units.dtype)
-    for k in range(context):
-        before[k + 1:, k] = own[:max(0, len(own) - k - 1)]
-        before[place <= k, k] = END
-    return own, before, text
+    # all in one row, each text between ``context`` ends before and one behind
+    row = np.full(len(text) + context * len(sizes), END, units.dtype)
+    at = np.arange(len(text)) + context * (text + 1)
+    last = np.cumsum(sizes + 1) - 1
+    inside = np.ones(len(text), bool)
+    inside[last] = False
+    row[at[inside]] = units
+    return row[at], np.stack([row[at - k - 1] for k in range(context)], 1), text
 
 
 class Trainer:
@@ -239,7 +257,8 @@ class Trainer:
     def block(self, units: np.ndarray, before: np.ndarray) -> None:
         m = self.model
         drawn = np.minimum(np.searchsorted(self.steps, self.rng.random(NOISE), "right"), len(self.steps) - 1)
-        guess, true = m.predicted(before), m.outcome[units]
+        tables = m.by_distance()
+        guess, true = predicted(tables, before), m.outcome[units]
         # chances that a unit is data and not noise, less what it is
         data = np.einsum("ij,ij->i", guess, true) + m.bias[units] - self.odds[units]
         data = (-1 / (1 + np.exp(np.clip(data, -30, 30)))).astype(np.float32)
@@ -259,20 +278,95 @@ class Trainer:
         self._step(2, slice(None), turned)
 
 
+_rng = np.random.Generator(np.random.PCG64(20260117))
+_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(LONG, _BASE)]))
+
+
+@dataclass
+class Flat:
+    """The words of several texts in one row of lower-case bytes."""
+    data: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    ends: np.ndarray    # of each text among the words
+
+    @staticmethod
+    def of(texts: list[str | None]) -> Flat:
+        raw = [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
+        data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+        blank = (data == 32) | (data - np.uint8(9) < 5)
+        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1  # words and gaps in turn
+        if not blank[0]:
+            edge = np.concatenate([[0], edge])
+        start, stop = edge[::2], edge[1::2]
+        tails = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+        return Flat(data, start, stop - start, np.searchsorted(start, tails))
+
+    def word(self, i: int) -> bytes:
+        """As :func:`words_of` has it."""
+        w = self.data[self.start[i]:self.start[i] + self.size[i]].tobytes()
+        return w if len(w) <= LONG else b"sha256:" + sha256(w).hexdigest().encode()
+
+    def heads(self) -> np.ndarray:
+        """The first two bytes of each word as a number (one byte: below 256)."""
+        first = self.data[self.start].astype(np.int32)
+        return np.where(self.size > 1, (first + 1) * 256 + self.data[self.start + (self.size > 1)], first)
+
+    def hashes(self) -> np.ndarray:
+        """64 bits of each word (of its first bytes, where it is long)."""
+        size = np.minimum(self.size, LONG + 1)
+        ends = np.cumsum(size)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size)
+        value = _BYTE[self.data[np.repeat(self.start, size) + at]] * _POWERS[at]
+        return np.add.reduceat(value, ends - size) + self.size.astype(np.uint64) * _BASE if len(ends) else np.zeros(0, np.uint64)
+
+
 class Words:
     """Hot words and units, in one Python worker."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.place = v, dict(zip(v.words, range(len(v.words))))
-        self.hot_unit = np.append(v.unit_of_hot(), np.int16(0))
-        self.first = 1 + v.own
-
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        self.v, self.first = v, 1 + v.own
+        # a table by 64-bit hash, with open addressing (two words of a corpus of
+        # 10^9 distinct ones share a hash of a hot word with a chance of 10^-4)
+        short = [i for i, w in enumerate(v.words) if len(w) <= LONG]
+        hashes = np.zeros(len(v.words), np.uint64)
+        if short:
+            hashes[short] = Flat.of([v.words[i].decode("utf-8", "surrogatepass") for i in short]).hashes()
+        self.size = 1 << max(4, (4 * len(v.words)).bit_length())
+        self.shift = np.uint64(64 - self.size.bit_length() + 1)
+        self.table = np.full(self.size, -1, np.int32)
+        self.hash = hashes
+        for i in short:
+            slot = int(self._slot(hashes[i:i + 1])[0])
+            while self.table[slot] >= 0:
+                slot = (slot + 1) % self.size
+            self.table[slot] = i
+        self.unit = np.append(v.unit_of_hot(), np.int16(0))
+        self.class_unit = np.array([self.first + class_of(bytes([h]) if h < 256 else bytes([h // 256 - 1, h % 256]))
+                                    for h in range(257 * 256)], np.int16)
+        self.long = {w: i for i, w in enumerate(v.words) if len(w) > LONG}
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * np.uint64(0xD6E8FEB86659FD93)) >> self.shift).astype(np.int64)
+
+    def read(self, flat: Flat) -> tuple[np.ndarray, np.ndarray]:
         """Place among the hot words (-1: none) and unit of each word."""
-        hot = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
-        units = self.hot_unit[hot]
-        for i in np.flatnonzero(hot < 0).tolist():
-            units[i] = self.first + class_of(words[i])
+        hashes, hot = flat.hashes(), np.full(len(flat.start), -1, np.int32)
+        if self.v.words:
+            slot, left = self._slot(hashes), np.arange(len(hashes))
+            while len(left):
+                found = self.table[slot]
+                same = (found >= 0) & (self.hash[found] == hashes[left])
+                hot[left[same]] = found[same]
+                on = (found >= 0) & ~same
+                left, slot = left[on], (slot[on] + 1) % self.size
+        units = np.where(hot >= 0, self.unit[hot], self.class_unit[flat.heads()])
+        for i in np.flatnonzero(flat.size > LONG).tolist():  # known by their digest
+            w = flat.word(i)
+            hot[i] = self.long.get(w, -1)
+            units[i] = self.unit[hot[i]] if hot[i] >= 0 else self.first + class_of(w)
         return hot, units
 
 
@@ -288,25 +382,17 @@ def _words(key: str, shared) -> Words:
     return _WORDS[key]
 
 
-def _batch_places(words: Words, texts: list[str | None], context: int):
-    cut = [words_of(t) for t in texts]
-    flat = list(chain.from_iterable(cut))
-    hot, units = words.read(flat)
-    ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
-    return flat, hot, *places(units, ends, context)
-
-
-def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, rate: float = RATE, width: int = WIDTH,
-          context: int = CONTEXT, seed: int = 42) -> Model:
-    """A model of the column ``text``, all of whose rows are read once per
-    round."""
+def train(texts: DataFrame, v: Vocabulary, parts: int = PARTS, rate: float = RATE, width: int = WIDTH,
+          context: int = CONTEXT, seed: int = 42, epochs: int = 1) -> Model:
+    """A model of the column ``text``.  The rows are dealt into ``parts`` by a
+    hash of the text; a round takes one part, an epoch takes all."""
     model = new_model(v, width, context, seed)
     if not v.tokens:
         return model
     shared, key = texts.sparkSession.sparkContext.broadcast(v), uuid.uuid4().hex
     sizes = [a.shape[0] for a in model.arrays()]
     lanes = [f"v{i}" for i in range(width)]
-    for r in range(rounds):
+    for r in range(parts * epochs):
         start, speed = model, rate / (1 + r)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +400,8 @@ def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, rate: float = R
                 words, seen = _words(key, shared), 0
                 trainer = Trainer(start, v.shares, speed, hash((seed, r, TaskContext.get().partitionId())) % (1 << 32))
                 for batch in chain.from_iterable(slices(b, PIECE) for b in batches):
-                    _, _, units, before, _ = _batch_places(words, batch.column(0).to_pylist(), context)
+                    flat = Flat.of(batch.column(0).to_pylist())
+                    units, before, _ = places(words.read(flat)[1], flat.ends, context)
                     for at in range(0, len(units), BLOCK):
                         trainer.block(units[at:at + BLOCK], before[at:at + BLOCK])
                     seen += len(units)
@@ -326,7 +413,8 @@ def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, rate: float = R
                     [pa.array(np.arange(len(flat)), pa.int32()), pa.array(np.full(len(flat), float(seen))),
                      *(pa.array(np.ascontiguousarray(flat[:, i])) for i in range(width))], names=["row", "seen", *lanes])
 
-        sent = texts.select("text").mapInArrow(run, "row int, seen double, " + ", ".join(f"{x} double" for x in lanes))
+        part = texts.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(parts)) == r % parts)
+        sent = part.select("text").mapInArrow(run, "row int, seen double, " + ", ".join(f"{x} double" for x in lanes))
         found = sent.groupBy("row").agg(*(F.sum(x).alias(x) for x in ("seen", *lanes))).collect()  # one row per vector
         flat = np.zeros((sum(sizes), width), np.float32)
         for row in found:
@@ -353,7 +441,9 @@ def scored(df: DataFrame, counts: DataFrame, v: Vocabulary, model: Model, text:
             words = _words(key, shared)
             log_count = np.log10(np.append(v.counts, 0) + 1.0)
             for batch in chain.from_iterable(slices(b, PIECE) for b in batches):
-                flat, hot, units, before, doc = _batch_places(words, batch.column(2).to_pylist(), context)
+                flat = Flat.of(batch.column(2).to_pylist())
+                hot, units = words.read(flat)
+                units, before, doc = places(units, flat.ends, context)
                 n = batch.num_rows
                 is_end = np.concatenate([doc[1:] != doc[:-1], [True]])[:len(doc)]
                 place = np.full(len(units), -2)  # an end
@@ -365,27 +455,35 @@ def scored(df: DataFrame, counts: DataFrame, v: Vocabulary, model: Model, text:
                 score = np.where(known, log_p + rest + np.where(in_class, log_n - whole[units], 0.0), 0.0)
                 base = np.where(known, log_n - spare, 0.0)
                 rare = np.flatnonzero(place == -1)
-                cuts = np.concatenate([[0], np.cumsum(np.bincount(doc[rare], minlength=n))]).astype(np.int32)
-                # what a rare word's score is, but for its count
+                # what a rare word's score is, but for its count; equal words of a text are one
                 rare_score = log_p[rare] + rest - whole[units[rare]]
-                rare_words = [flat[i] for i in (rare - doc[rare]).tolist()]  # less the ends before
+                found: dict[tuple[int, bytes], int] = {}
+                which = [found.setdefault((d, flat.word(i)), len(found))  # places less the ends before
+                         for d, i in zip(doc[rare].tolist(), (rare - doc[rare]).tolist())]
+                texts: list[list[str]] = [[] for _ in range(n)]
+                for d, w in found:
+                    texts[d].append(w.decode("utf-8", "surrogatepass"))
+                cuts = np.concatenate([[0], np.cumsum(list(map(len, texts)))]).astype(np.int32)
+                times = np.bincount(which, minlength=len(found)).astype(np.int32)
+                rare_score = np.bincount(which, rare_score, len(found))
                 add = lambda x: pa.array(np.bincount(doc, x, n))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(np.bincount(doc, minlength=n), pa.int64()),
                      pa.array(np.bincount(doc, known, n).astype(np.int64)), add(base), add(score),
-                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(rare_words, pa.binary())),
+                     pa.array([" ".join(t) if t else None for t in texts], pa.string()),
+                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(times)),
                      pa.ListArray.from_arrays(pa.array(cuts), pa.array(rare_score))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "rare_score"])
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "times", "rare_score"])
 
     kind = df.schema[doc_id].dataType.simpleString()
     part = materialize(df.select(col(doc_id).alias("doc_id"), is_held_out(col(doc_id)).alias("held_out"), col(text).alias("text"))
                        .mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
-                                        "score double, rare array<binary>, rare_score array<double>"))
+                                        "score double, rare string, times array<int>, rare_score array<double>"))
     part = part.withColumn("row", F.monotonically_increasing_id())
-    tokens = part.select("row", F.explode(F.arrays_zip("rare", "rare_score")).alias("r")).select(
-        "row", F.col("r.rare").alias("word"), F.col("r.rare_score").alias("s"))
-    # rare tokens of one word in one row are one row from here on
-    once = tokens.groupBy("row", "word").agg(F.count("*").alias("k"), F.sum("s").alias("s"))
+    # no word holds a blank
+    tokens = F.explode(F.arrays_zip(F.split("rare", " ").alias("word"), F.col("times").alias("k"), F.col("rare_score").alias("s")))
+    once = part.where("rare is not null").select("row", tokens.alias("r")).select(
+        "row", F.col("r.word").cast("binary").alias("word"), F.col("r.k").alias("k"), F.col("r.s").alias("s"))
     log_n = F.log10(F.col("n") + 1)
     met = once.join(counts.select("word", "n"), "word", "left").select(
         "row", F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0).alias("known"),
@@ -394,15 +492,15 @@ def scored(df: DataFrame, counts: DataFrame, v: Vocabulary, model: Model, text:
     added = met.groupBy("row").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"),
                                    F.sum("score").alias("more_score"))
     plus = lambda x, y: (F.col(x) + F.coalesce(y, F.lit(0))).alias(x)
-    return part.drop("rare", "rare_score").join(added, "row", "left").select(
+    return part.drop("rare", "times", "rare_score").join(added, "row", "left").select(
         "doc_id", "held_out", "n_tokens", plus("n_known", "more_known"), F.lit(v.tokens).cast("bigint").alias("train_tokens"),
         plus("base_score", "more_base"), plus("score", "more_score"))
 
 
-def score(df: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
+def score(df: DataFrame, text: str = "text", doc_id: str = "doc_id", epochs: int = 1) -> DataFrame:
     """Every row scored by a model of those not held out."""
     texts = df.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
     training = texts.where(~is_held_out(F.col("doc_id"))).select("text")
     counts = materialize(word_counts(training))
     v = vocabulary(counts)
-    return scored(df, counts, v, train(training, v, rounds), text, doc_id)
+    return scored(df, counts, v, train(training, v, epochs=epochs), text, doc_id)

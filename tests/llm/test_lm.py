@@ -84,6 +84,20 @@ def test_probabilities_sum_to_one():
     assert abs((p * share * (1 - 1 / size)).sum() + 1 / size - 1) < 1e-5
 
 
+def test_flat_words_are_the_words():
+    long = "x" * 41
+    texts = ["A b", None, "", " \n é漢 " + long, "\x00\x1c \tq\x0b" + "y" * 40, "  "]
+    flat = M.Flat.of(texts)
+    cut = [M.words_of(t) for t in texts]
+    assert [flat.word(i) for i in range(len(flat.start))] == [w for c in cut for w in c]
+    assert np.diff(flat.ends, prepend=0).tolist() == list(map(len, cut))
+    words = [b"b", M.words_of(long)[0], b"a"]
+    v = M.Vocabulary(9, 3, words, np.array([3, 2, 1]), 1, np.ones(2 + M.CLASSES), np.ones(2 + M.CLASSES))
+    hot, units = M.Words(v).read(flat)
+    assert hot.tolist() == [words.index(w) if w in words else -1 for c in cut for w in c]
+    assert units.tolist() == [1 if w == b"b" else 2 + M.class_of(w) for c in cut for w in c]
+
+
 def test_places_start_anew_in_each_text():
     units, before, text = M.places(np.array([5, 6, 7], np.int16), np.array([2, 2, 3]), 2)
     assert units.tolist() == [5, 6, 0, 0, 7, 0]
