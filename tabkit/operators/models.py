@@ -1,20 +1,19 @@
-"""Model training, search, stacking and scoring on Spark ML.
-
-Every fit is a distributed ``pyspark.ml`` job: executors compute the tree
-statistics / gradients over their partitions and only fitted parameters
-reach the driver.  Splits and folds are the deterministic hash columns of
-:mod:`tabkit.operators.split` (``foldCol``), so a refit after executor loss
-sees identical folds; the hash is salted per purpose (``cv`` for an
-estimator's internal CV, ``oof`` for out-of-fold stacking) so nested
-splits are independent.  Iterative procedures (search, stacking, importance
-study) compute their input once: search, CV report and importance study cache
-it and unpersist it afterwards, stacking checkpoints it.
-
-Fidelity notes (MLlib vs the reference's libraries): boosting is first-order
-(no second-order / min_child_weight Hessian rule: mapped to
-``minInstancesPerNode``); kernel regression is approximated by random
-Fourier features + a Huber linear model; the MLP has no sample weights, so
-class weights become row replication.
+"""Model training, search, stacking and scoring.
+
+Every fit is a distributed job: executors compute tree statistics, gradients or
+moments over their partitions and only fitted parameters reach the driver.
+Second-order and classic boosting, searches over many models, staged errors
+and early stopping run on the binned blocks of :mod:`tabkit.operators.boosting`;
+forests on those of :mod:`tabkit.operators.forests`; ridge and lasso on moments
+per fold; the rest is ``pyspark.ml``.  Splits and folds are the deterministic
+hash columns of :mod:`tabkit.operators.split`, so a refit after executor loss
+sees identical folds; the hash is salted per purpose (``cv`` for an estimator's
+internal CV, ``oof`` for out-of-fold stacking) so nested splits are independent.
+
+Fidelity notes: ``train_gbt_regressor`` and ``train_gbt_classifier`` are the
+first-order Spark ML learners, kept for pipelines that are saved and read;
+kernel regression is approximated by random Fourier features + a Huber linear
+model; the MLP has no sample weights, so class weights become row replication.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -31,18 +30,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabkit.functions.frames import materialize
 from tabkit.functions.scalar import HASH_SPACE, hash_bucket
+from tabkit.operators.boosting import (LOCAL_ROWS, LOGISTIC, SQUARED, BoostedModel, boost, boost_many, boosting_spec,
+                                       tree_importances)
+from tabkit.operators.encode import OneHotParams, apply_one_hot, fit_one_hot
+from tabkit.operators.forests import NODE_ROWS, ForestModel, train_forest
 from tabkit.operators.split import k_fold
 
 FEATURES = "features"
@@ -53,14 +53,17 @@ GBT_REGRESSOR_DEFAULTS = {"stepSize": 0.01, "maxDepth": 3, "maxIter": 400, "subs
                           "minInstancesPerNode": 1}
 RF_TREES = 100
 GBT_CLASSIFIER_DEFAULTS = {"maxIter": 200, "maxDepth": 3, "subsamplingRate": 0.25, "stepSize": 0.01}
-STACK_FINAL_DEFAULTS = {"maxIter": 25, "subsamplingRate": 0.5, "minInstancesPerNode": 25,
-                        "featureSubsetStrategy": "1"}
+STACK_FINAL_DEFAULTS = {"n_estimators": 25, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.5, "min_leaf": 25,
+                        "max_features": 1, "newton": False}
+XGB_DEFAULTS = {"n_estimators": 400, "max_depth": 3, "learning_rate": 0.01, "subsample": 0.4, "min_child_weight": 1}
+GBC_DEFAULTS = {"n_estimators": 200, "max_depth": 3, "learning_rate": 0.01, "subsample": 0.25}
+STUDY_DEFAULTS = {"n_estimators": 100, "max_depth": 5, "learning_rate": 0.1}
+STAGED_DEFAULTS = {"n_estimators": 200, "max_depth": 5, "learning_rate": 0.1}
+PATIENCE, MIN_DELTA = 20, 0.001
 RIDGE_ALPHAS = (0.1, 1.0, 10.0)
 LASSO_N_ALPHAS = 100
 LASSO_EPS = 1e-3
 MLP_HIDDEN = (32, 24, 16)
-#: The deepest tree that Spark ML grows.
-MAX_TREE_DEPTH = 30
 # search space of the randomized boosted-tree search (15 x 5 x 3 x 3 x 3 x 3 x 3 = 18,225 points)
 SEARCH_GRID = {
     "n_estimators": [100, 200, 300, 400, 500, 600, 700, 800, 900, 1000, 1100, 1200, 1300, 1400, 1500],
@@ -127,22 +130,22 @@ def train_gbt_regressor(df: DataFrame, features: Sequence[str], label: str,
     return _fit([assembler(features), gbt], df)
 
 
-def _forest_params(num_trees: int, max_depth: int | None, max_features, min_leaf: int) -> dict:
-    """Forest settings in Spark's terms.  ``max_depth=None`` (the default:
-    trees grow until their leaves are pure or small) is Spark's deepest tree;
-    ``max_features`` is ``all``, ``sqrt``, ``log2``, a number or a fraction."""
-    return {"numTrees": num_trees, "maxDepth": MAX_TREE_DEPTH if max_depth is None else max_depth,
-            "featureSubsetStrategy": str(max_features), "minInstancesPerNode": min_leaf}
+def train_boosted_regressor(df: DataFrame, features: Sequence[str], label: str, params: Mapping | None = None,
+                            id_col: str | None = None, seed: int = 42, local_rows: int = LOCAL_ROWS) -> BoostedModel:
+    """L1: second-order boosted regression trees under the original setting
+    names (defaults: rate 0.01, depth 3, 400 rounds, 0.4 of the rows per tree,
+    least Hessian sum 1)."""
+    spec = boosting_spec({**XGB_DEFAULTS, **(params or {})}, seed=seed)
+    return boost(df, features, label, spec, id_col, local_rows=local_rows)[0]
 
 
 def train_rf_regressor(df: DataFrame, features: Sequence[str], label: str, num_trees: int = RF_TREES,
-                       max_depth: int | None = None, seed: int = 42, max_features="all",
-                       min_leaf: int = 1) -> PipelineModel:
+                       max_depth: int | None = None, seed: int = 42, max_features="all", min_leaf: int = 1,
+                       id_col: str | None = None, node_rows: int = NODE_ROWS) -> ForestModel:
     """L2: random-forest regression; by default trees of unlimited depth whose
-    splits consider all features."""
-    rf = RandomForestRegressor(featuresCol=FEATURES, labelCol=label, seed=seed,
-                               **_forest_params(num_trees, max_depth, max_features, min_leaf))
-    return _fit([assembler(features), rf], df)
+    splits consider all features.  ``max_features`` is ``all``, ``sqrt``,
+    ``log2``, a number or a fraction."""
+    return train_forest(df, features, label, None, num_trees, max_depth, max_features, min_leaf, seed, id_col, node_rows)
 
 
 def train_gbt_classifier(df: DataFrame, features: Sequence[str], label: str,
@@ -157,22 +160,34 @@ def train_gbt_classifier(df: DataFrame, features: Sequence[str], label: str,
     return _fit([assembler(features), gbt], df)
 
 
+@dataclass(frozen=True)
+class EncodedForest:
+    """A forest behind a fitted one-hot encoding."""
+    encoding: OneHotParams | None
+    forest: ForestModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``probability`` (of each class) and ``prediction``."""
+        if self.encoding is None:
+            return self.forest.transform(df)
+        return self.forest.transform(apply_one_hot(df, self.encoding, "double", drop_source=False)).select(
+            *(F.col(f"`{c}`") for c in df.columns), "probability", PREDICTION)
+
+
 def train_rf_classifier(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str,
                         num_trees: int = RF_TREES, max_depth: int | None = None, seed: int = 1,
-                        max_features="sqrt", min_leaf: int = 1) -> PipelineModel:
+                        max_features="sqrt", min_leaf: int = 1, id_col: str | None = None,
+                        node_rows: int = NODE_ROWS) -> EncodedForest:
     """L4: random-forest classification behind a fitted one-hot encoding that
-    ignores levels unseen at fit time (E9)."""
-    idx = [f"{c}__idx" for c in categorical]
-    ohe = [f"{c}__ohe" for c in categorical]
-    stages = []
-    if categorical:
-        stages += [StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
-                                 stringOrderType="alphabetAsc"),
-                   OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep")]
-    stages += [assembler([*ohe, *numeric]),
-               RandomForestClassifier(featuresCol=FEATURES, labelCol=label, seed=seed,
-                                      **_forest_params(num_trees, max_depth, max_features, min_leaf))]
-    return _fit(stages, df)
+    ignores levels unseen at fit time (E9); classes are the label's values."""
+    encoding = fit_one_hot(df, list(categorical), prefixes={c: f"{c}__is" for c in categorical}) if categorical else None
+    rows = apply_one_hot(df, encoding, "double", drop_source=False) if encoding else df
+    features = [*(n for c in categorical for n in encoding.names[c]), *numeric]
+    classes = [r[0] for r in df.select(label).where(F.col(f"`{label}`").isNotNull()).distinct().orderBy(label).limit(1001).collect()]
+    if len(classes) > 1000:
+        raise ValueError(f"more than 1000 classes in {label}")
+    forest = train_forest(rows, features, label, classes, num_trees, max_depth, max_features, min_leaf, seed, id_col, node_rows)
+    return EncodedForest(encoding, forest)
 
 
 # ---------------------------------------------------------------------------
@@ -425,30 +440,27 @@ def draw_param_sets(grid: Mapping[str, Sequence], n_iter: int, seed: int) -> lis
 
 def random_search(df: DataFrame, features: Sequence[str], label: str, id_col: str,
                   grid: Mapping[str, Sequence] = SEARCH_GRID, n_iter: int = SEARCH_ITER,
-                  k: int = SEARCH_FOLDS, seed: int = 42, parallelism: int = 4,
-                  metric: str = "mae") -> tuple[PipelineModel, DataFrame]:
+                  k: int = SEARCH_FOLDS, seed: int = 42, metric: str = "mae",
+                  local_rows: int = LOCAL_ROWS) -> tuple[BoostedModel, DataFrame]:
     """Randomized search over boosted-tree settings with k-fold CV; the
-    lowest ``metric`` wins and the best pipeline is refitted on all rows.
+    lowest mean ``metric`` (``mae`` or ``mse``) over the folds wins, ties go to
+    the first draw, and the best settings are fitted on all rows.  All draws and
+    folds are models of one table of binned rows, watched on their own fold.
     Returns (best model, table of (draw, params..., cv_metric))."""
     draws = draw_param_sets(grid, n_iter, seed)
-    gbt = GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed)
-    maps = []
-    for d in draws:
-        m = {}
-        for name, v in gbt_params_from_boosting(d).items():
-            m[gbt.getParam(name)] = v
-        maps.append(m)
-    folded = k_fold(df, id_col, k, f"cv{seed}", "__fold").cache()
-    try:
-        cv = CrossValidator(estimator=Pipeline(stages=[assembler(features), gbt]), estimatorParamMaps=maps,
-                            evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
-                            foldCol="__fold", numFolds=k, parallelism=parallelism, seed=seed)
-        model = cv.fit(folded)
-    finally:
-        folded.unpersist()
-    rows = [(i, *[float(d[key]) for key in grid], float(s)) for i, (d, s) in enumerate(zip(draws, model.avgMetrics))]
+    fold = hash_bucket(id_col, f"cv{seed}") % F.lit(k)
+    sets = [c for f in range(k) for c in (fold != f, fold == f)] + [F.lit(True)]
+    specs = [boosting_spec(d, seed=seed, train=2 * f, watch=2 * f + 1) for d in draws for f in range(k)]
+    found, bins = boost_many(df, features, label, specs, sets, id_col, keep_trees=False, local_rows=local_rows)
+    column = {"mae": 5, "mse": 4}[metric]
+    scores = [float(np.mean([f.watched(column)[-1] for f in found[i * k:(i + 1) * k] if f.curve[-1, 3]]))
+              for i in range(len(draws))]
+    best = boosting_spec(draws[int(np.argmin(scores))], seed=seed, train=2 * k)
+    (winner,), _ = boost_many(df, features, label, [best], sets, id_col, local_rows=local_rows, bins=bins)
+    rows = [(i, *[float(d[key]) for key in grid], s) for i, (d, s) in enumerate(zip(draws, scores))]
     schema = "draw int, " + ", ".join(f"{key} double" for key in grid) + f", cv_{metric} double"
-    return model.bestModel, df.sparkSession.createDataFrame(rows, schema)
+    return (BoostedModel(tuple(features), winner.spec.loss, winner.base, winner.trees),
+            df.sparkSession.createDataFrame(rows, schema))
 
 
 # ---------------------------------------------------------------------------
@@ -458,10 +470,14 @@ def _tree_stage(model: PipelineModel):
     return model.stages[-1]
 
 
-def feature_importance(model, features: Sequence[str]) -> DataFrame:
-    """(feature, importance, rank) from a fitted tree model, descending."""
-    tree = _tree_stage(model) if isinstance(model, PipelineModel) else model
-    imp = tree.featureImportances.toArray()
+def feature_importance(model, features: Sequence[str], kind: str = "mean") -> DataFrame:
+    """(feature, importance, rank) from a fitted tree model, descending;
+    ``kind`` (boosted models): ``mean`` gain of a feature's splits, or their
+    ``total`` gain."""
+    if isinstance(model, BoostedModel):
+        imp = model.importances(kind)
+    else:
+        imp = (_tree_stage(model) if isinstance(model, PipelineModel) else model).featureImportances.toArray()
     spark = SparkSession.getActiveSession()
     rows = sorted(((f, float(v)) for f, v in zip(features, imp)), key=lambda x: (-x[1], x[0]))
     return spark.createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(rows)],
@@ -469,28 +485,19 @@ def feature_importance(model, features: Sequence[str]) -> DataFrame:
 
 
 def importance_study(df: DataFrame, features: Sequence[str], label: str, id_col: str, n: int = 100,
-                     frac: float = 0.4, params: Mapping | None = None, parallelism: int = 4) -> DataFrame:
+                     frac: float = 0.4, params: Mapping | None = None, local_rows: int = LOCAL_ROWS) -> DataFrame:
     """Importances over ``n`` random splits (seeds 0..n-1): each split's
     training side fits a boosted classifier (100 rounds, depth 5, seeded by
-    the split); returns the long table ``(seed, feature, importance)``.
-    Fits run as concurrent Spark jobs from a thread pool over one cached
-    assembled frame."""
-    p = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 1.0}
-    p.update(gbt_params_from_boosting(params or {}))
-    base = assembler(features).transform(df.select(id_col, label, *features)).cache()
-    spark = df.sparkSession
-
-    def one(seed: int):
-        train = base.where(hash_bucket(id_col, seed) >= F.lit(int(frac * HASH_SPACE)))
-        m = GBTClassifier(featuresCol=FEATURES, labelCol=label, seed=seed, **p).fit(train)
-        return [(seed, f, float(v)) for f, v in zip(features, m.featureImportances.toArray())]
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = [r for part in pool.map(one, range(n)) for r in part]
-    finally:
-        base.unpersist()
-    return spark.createDataFrame(rows, "seed int, feature string, importance double")
+    the split); returns the long table ``(seed, feature, importance)``, shares
+    of the total gain.  A row carries its side in all splits, and all models
+    advance over the same binned rows."""
+    sets = [hash_bucket(id_col, seed) >= F.lit(int(frac * HASH_SPACE)) for seed in range(n)]
+    specs = [boosting_spec({**STUDY_DEFAULTS, **(params or {})}, seed=seed, train=seed, newton=False, loss=LOGISTIC)
+             for seed in range(n)]
+    found, _ = boost_many(df, features, label, specs, sets, id_col, local_rows=local_rows)
+    rows = [(seed, f, float(v)) for seed, m in enumerate(found)
+            for f, v in zip(features, tree_importances(m.trees, len(features), "total"))]
+    return df.sparkSession.createDataFrame(rows, "seed int, feature string, importance double")
 
 
 def importance_summary(long: DataFrame) -> DataFrame:
@@ -585,9 +592,10 @@ def staged_class_error(model: PipelineModel, df: DataFrame, label: str) -> DataF
     def run(batches):
         wrong, n = np.zeros(len(trees), np.int64), 0
         for batch in batches:
-            x, y = np.array(batch.column(0).to_pylist(), float), batch.column(1).to_numpy(zero_copy_only=False)
+            y = batch.column(1).to_numpy(zero_copy_only=False)
             if not len(y):
                 continue
+            x = batch.column(0).flatten().to_numpy().reshape(len(y), -1)
             margin = np.zeros(len(y))
             for i, (tree, w) in enumerate(zip(trees, weights)):
                 margin += w * tree_outputs(tree, x)
@@ -600,32 +608,77 @@ def staged_class_error(model: PipelineModel, df: DataFrame, label: str) -> DataF
     return counted.groupBy("iteration").agg((F.sum("wrong") / F.sum("n")).alias("class_error"))
 
 
+def staged_curve(df: DataFrame, features: Sequence[str], label: str, train: Column, valid: Column,
+                 params: Mapping | None = None, id_col: str | None = None, classifier: bool = True,
+                 seed: int = 1, local_rows: int = LOCAL_ROWS) -> DataFrame:
+    """``(iteration, train_loss, valid_loss, train_error, valid_error)``
+    after each boosting round: mean log loss and share of wrong classes, or
+    squared and absolute error.  The rounds are grown and scored in one go, on
+    the rows where ``train`` and ``valid`` hold."""
+    defaults = {**STAGED_DEFAULTS, "newton": False, "loss": LOGISTIC if classifier else SQUARED, "seed": seed}
+    spec = boosting_spec({**defaults, **(params or {})}, train=0, watch=1)
+    (m,), _ = boost_many(df, features, label, [spec], [train, valid], id_col, keep_trees=False, local_rows=local_rows)
+    table = zip(m.trained(1).tolist(), m.watched(4).tolist(), m.trained(2).tolist(), m.watched(5).tolist())
+    return df.sparkSession.createDataFrame(
+        [(i + 1, *row) for i, row in enumerate(table)],
+        "iteration int, train_loss double, valid_loss double, train_error double, valid_error double")
+
+
 def cv_report(df: DataFrame, features: Sequence[str], label: str, id_col: str, k: int = 5,
-              seed: int = 42, params: Mapping | None = None) -> DataFrame:
+              seed: int = 42, params: Mapping | None = None, local_rows: int = LOCAL_ROWS) -> DataFrame:
     """Per fold, train and validation accuracy and AUC of a boosted
-    classifier; long table ``(fold, side, metric, value)``.  One fit per
-    fold; both metrics for all folds come from one aggregate + one AUC pass
-    grouped by (fold, side)."""
+    classifier; long table ``(fold, side, metric, value)``.  All folds are
+    models of one table; their scores come from one pass, and both metrics from
+    one aggregate and one AUC pass grouped by (fold, side)."""
+    folded = k_fold(df.select(id_col, label, *features), id_col, k, seed, "fold")
+    specs = [boosting_spec({**GBC_DEFAULTS, **(params or {})}, seed=seed, train=f, newton=False, loss=LOGISTIC)
+             for f in range(k)]
+    found, _ = boost_many(folded, features, label, specs, [F.col("fold") != f for f in range(k)], id_col,
+                          local_rows=local_rows)
+    models = [BoostedModel(tuple(features), LOGISTIC, m.base, m.trees) for m in found]
+    return fold_metrics(score_folds(folded, models, label), label)
+
+
+def score_folds(folded: DataFrame, models: Sequence[BoostedModel], label: str) -> DataFrame:
+    """``fold`` (of the model), ``side`` (``valid`` where it is the row's own),
+    ``label``, ``p1`` and ``prediction`` of every row by every model."""
+    held = folded.sparkSession.sparkContext.broadcast(list(models))
+
+    @F.pandas_udf("array<double>")
+    def margins(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            x = np.column_stack([c.to_numpy(dtype=float, na_value=np.nan) for c in columns])
+            yield pd.Series(list(np.stack([m.margin(x) for m in held.value], 1)))
+
+    each = folded.select(F.col("fold").alias("row_fold"), label, F.posexplode(
+        margins(*(F.col(f"`{c}`").cast("double") for c in models[0].features))).alias("fold", "m"))
+    side = F.when(F.col("row_fold") == F.col("fold"), "valid").otherwise("train")
+    return each.select("fold", side.alias("side"), label, (1 / (1 + F.exp(-F.col("m")))).alias("p1"),
+                       (F.col("m") > 0).cast("double").alias(PREDICTION))
+
+
+def fold_metrics(scored: DataFrame, label: str, score: str = "p1", prediction: str = PREDICTION) -> DataFrame:
+    """``(fold, side, metric, value)`` from rows with ``fold``, ``side``,
+    a score and a predicted class."""
     from tabkit.operators.metrics import accuracy_col, roc_auc
-    folded = k_fold(df.select(id_col, label, *features), id_col, k, seed, "fold").cache()
-    scored = []
-    try:
-        for f in range(k):
-            m = train_gbt_classifier(folded.where(F.col("fold") != f), features, label, params, seed)
-            s = positive_probability(m.transform(folded)).select(
-                id_col, label, "fold", "p1", F.col(PREDICTION))
-            scored.append(s.select(F.lit(f).alias("model_fold"), "*"))
-        allp = reduce(DataFrame.unionByName, scored).withColumn(
-            "side", F.when(F.col("fold") == F.col("model_fold"), "valid").otherwise("train"))
-        acc = allp.groupBy(F.col("model_fold").alias("fold"), "side").agg(
-            accuracy_col(label, PREDICTION).alias("accuracy"))
-        auc = roc_auc(allp.withColumnRenamed("fold", "row_fold").withColumnRenamed("model_fold", "fold"),
-                      label, "p1", ["fold", "side"])
-        out = acc.join(auc, ["fold", "side"]).unpivot(["fold", "side"], ["accuracy", "auc"], "metric", "value")
-        # materialise in the shared checkpoint folder before the cache goes
-        return out.checkpoint(eager=True)
-    finally:
-        folded.unpersist()
+    scored = materialize(scored)
+    acc = scored.groupBy("fold", "side").agg(accuracy_col(label, prediction).alias("accuracy"))
+    auc = roc_auc(scored, label, score, ["fold", "side"])
+    return acc.join(auc, ["fold", "side"]).unpivot(["fold", "side"], ["accuracy", "auc"], "metric", "value")
+
+
+def train_with_patience(df: DataFrame, features: Sequence[str], label: str, watch: Column,
+                        params: Mapping | None = None, patience: int = PATIENCE, min_delta: float = MIN_DELTA,
+                        id_col: str | None = None, classifier: bool = False, seed: int = 42,
+                        local_rows: int = LOCAL_ROWS) -> tuple[BoostedModel, DataFrame]:
+    """Boosting that ends after ``patience`` rounds without a gain of more
+    than ``min_delta`` in the loss on the rows where ``watch`` holds (it is
+    trained on the others), cut at its best round.  Returns the model and the
+    curve ``(iteration, train_loss, valid_loss, best)``."""
+    spec = boosting_spec(params, loss=LOGISTIC if classifier else SQUARED, seed=seed, patience=patience, min_delta=min_delta)
+    model, m = boost(df, features, label, spec, id_col, ~watch, watch, local_rows)
+    rows = [(i + 1, a, b, i + 1 == m.best_round) for i, (a, b) in enumerate(zip(m.trained(1).tolist(), m.watched(4).tolist()))]
+    return model, df.sparkSession.createDataFrame(rows, "iteration int, train_loss double, valid_loss double, best boolean")
 
 
 def train_with_validation(df: DataFrame, features: Sequence[str], label: str, indicator: str,
@@ -691,7 +744,7 @@ def oof_predict(df: DataFrame, learner: BaseLearner, id_col: str, k: int = 5, se
 @dataclass
 class StackModel:
     bases: dict            # name -> scoring function fitted on all training rows
-    final: PipelineModel
+    final: BoostedModel
     id_col: str
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -705,8 +758,8 @@ class StackModel:
 def train_stack(df: DataFrame, bases: Mapping[str, BaseLearner], label: str, id_col: str, k: int = 5,
                 seed: int = 42, final_params: Mapping | None = None, parallelism: int = 4) -> StackModel:
     """Stacking.  Each base's out-of-fold predictions (R5) become the
-    features of a small boosted model (25 rounds, subsample 0.5, min leaf 25,
-    one feature per split); for scoring the bases are refitted on all rows.
+    features of a small boosted model (25 rounds, depth 3, subsample 0.5, min leaf
+    25, one feature per split); for scoring the bases are refitted on all rows.
     Bases are fitted concurrently; out-of-fold tables are checkpointed
     (reliable checkpoint in the shared folder) so the final fit does not
     recompute k fits per base."""
@@ -722,9 +775,8 @@ def train_stack(df: DataFrame, bases: Mapping[str, BaseLearner], label: str, id_
     feats = df
     for o in oofs:
         feats = feats.join(o, id_col)
-    p = dict(STACK_FINAL_DEFAULTS, **(final_params or {}))
-    final = _fit([assembler([f"pred_{n}" for n in names]),
-                  GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed, **p)], feats)
+    spec = boosting_spec({**STACK_FINAL_DEFAULTS, **(final_params or {})}, seed=seed)
+    final, _ = boost(feats, [f"pred_{n}" for n in names], label, spec, id_col)
     return StackModel(dict(zip(names, refits)), final, id_col)
 
 

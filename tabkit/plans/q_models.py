@@ -13,26 +13,21 @@ Training sets (all derived from the driver tables, whole tables):
 * quality: labels x documents text statistics -> quality (binary)
 
 Queries run the operators' defaults, which are the original settings, or the
-original settings themselves (``CV``).  Two procedures repeat many fits and
-take their number as a documented parameter, lowered here: see ``SEARCH`` and
-``STUDY``.
+original settings themselves (``CV``): the search has all its 25 draws and 5
+folds, the study all its 100 splits.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabkit.functions.frames import with_scalars
 from tabkit.operators import metrics as K
 from tabkit.operators import models as L
 from tabkit.operators.split import assign_split, class_weights
 from tabkit.plans.common import SEED, TEST_CUT, sql_bucket, t
 from tabkit.plans.registry import query
 
-# The original search draws 25 of 18,225 points with up to 1,500 rounds and 5 folds (a
-# day on one machine): here 3 draws of the same points, 5 folds.
-SEARCH = {"n_iter": 3, "k": 5}
-# The original study fits 100 splits: here 4, each with the original 100 rounds of depth 5.
-STUDY = {"n": 4}
 # The original report's boosting: 100 rounds of depth 3 on all rows, 5 folds.
 CV = {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0}
 
@@ -95,14 +90,14 @@ def _test(d):
 @query("gbt_regressor", "L1,L18")
 def q_gbt_regressor(spark, sf):
     d = _price(spark, sf)
-    m = L.train_gbt_regressor(_train(d).cache(), PRICE_FEATURES, "l_extendedprice")
+    m = L.train_boosted_regressor(_train(d), PRICE_FEATURES, "l_extendedprice", id_col="id")
     return m.transform(_test(d)).select("id", "l_extendedprice", "prediction")
 
 
 @query("rf_regressor", "L2")
 def q_rf_regressor(spark, sf):
     d = _price(spark, sf)
-    m = L.train_rf_regressor(_train(d), PRICE_FEATURES, "l_extendedprice")
+    m = L.train_rf_regressor(_train(d), PRICE_FEATURES, "l_extendedprice", id_col="id")
     return m.transform(_test(d)).select("id", "l_extendedprice", "prediction")
 
 
@@ -119,7 +114,7 @@ def q_rf_classifier(spark, sf):
     o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_orderpriority", "o_totalprice",
                                       (F.col("o_orderstatus") == "F").cast("double").alias("label"))
     d = assign_split(o, "id", 0.25, SEED)
-    m = L.train_rf_classifier(_train(d), ["o_orderpriority"], ["o_totalprice"], "label")
+    m = L.train_rf_classifier(_train(d), ["o_orderpriority"], ["o_totalprice"], "label", id_col="id")
     return K.accuracy(m.transform(_test(d)), "label", "prediction")
 
 
@@ -160,30 +155,28 @@ def q_rbf_regressor_auc(spark, sf):
 @query("random_search", "L9,L1,R3")
 def q_random_search(spark, sf):
     d = _price(spark, sf)
-    _, draws = L.random_search(_train(d), PRICE_FEATURES, "l_extendedprice", "id", **SEARCH)
+    _, draws = L.random_search(_train(d), PRICE_FEATURES, "l_extendedprice", "id")
     return draws
 
 
 @query("feature_importance", "L10,T1")
 def q_feature_importance(spark, sf):
     d = _price(spark, sf)
-    m = L.train_gbt_regressor(_train(d), PRICE_FEATURES, "l_extendedprice")
+    m = L.train_boosted_regressor(_train(d), PRICE_FEATURES, "l_extendedprice", id_col="id")
     return L.feature_importance(m, PRICE_FEATURES)
 
 
 @query("importance_study", "L11,R4,A16")
 def q_importance_study(spark, sf):
     d = _orders(spark, sf)
-    long = L.importance_study(d, ORDER_FEATURES, "label", "id", frac=0.4, **STUDY)
+    long = L.importance_study(d, ORDER_FEATURES, "label", "id", frac=0.4)
     return L.importance_summary(long)
 
 
 @query("staged_error", "L12,L3", bench=True)
 def q_staged_error(spark, sf):
     d = _orders(spark, sf)
-    d = d.cache()
-    m = L.train_gbt_classifier(_train(d), ORDER_FEATURES, "label")
-    return L.staged_error(m, _train(d), _test(d), class_error=True)
+    return L.staged_curve(d, ORDER_FEATURES, "label", F.col("split") == "train", F.col("split") == "test", id_col="id")
 
 
 @query("cv_report", "L13,R3,K4,K6")
@@ -224,11 +217,14 @@ def q_score_dense(spark, sf):
 
 @query("early_stopping", "L15")
 def q_early_stopping(spark, sf):
-    d = _price(spark, sf).withColumn("is_val", F.col("split") == "test")
-    m = L.train_with_validation(d, PRICE_FEATURES, "l_extendedprice", "is_val",
-                                {"n_estimators": 200, "learning_rate": 0.3}, tol=0.01)
-    gbt = m.stages[-1]
-    return spark.createDataFrame([(int(gbt.getNumTrees), 200)], "trees_used int, max_trees int")
+    """The watched loss by round, up to the round at which patience ran out,
+    and the loss of the model that was kept, scored anew on the watched rows."""
+    d = _orders(spark, sf)
+    watch = F.col("split") == "test"
+    m, curve = L.train_with_patience(d, ORDER_FEATURES, "label", watch, {"n_estimators": 200, "learning_rate": 0.3},
+                                     id_col="id", classifier=True)
+    kept = m.transform(_test(d)).agg(K.log_loss_col("label", "p1").alias("kept_loss"))
+    return curve.transform(with_scalars(kept)).withColumn("kept_rounds", F.lit(len(m.trees)))
 
 
 @query("mlp_classifier", "L16,R6,N2,K4,K8")

@@ -36,11 +36,13 @@ def test_candidates_differ_from_the_defaults_in_depth_only(spark, sf_dir, monkey
 @pytest.mark.parametrize("name,query", [("train_rf_regressor", Q.q_rf_regressor), ("train_rf_classifier", Q.q_rf_classifier)])
 def test_forests_grow_whole_trees(spark, sf_dir, monkeypatch, name, query):
     _, options = call(monkeypatch, name, query, spark, sf_dir)
-    assert options == {}
+    assert options == {"id_col": "id"}
 
 
 def test_report_and_search_have_the_original_rounds(spark, sf_dir, monkeypatch):
     _, options = call(monkeypatch, "cv_report", Q.q_cv_report, spark, sf_dir)
     assert options["params"] == {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0}
     args, options = call(monkeypatch, "random_search", Q.q_random_search, spark, sf_dir)
-    assert len(args) == 4 and set(options) <= {"n_iter", "k"}
+    assert len(args) == 4 and options == {}
+    args, options = call(monkeypatch, "importance_study", Q.q_importance_study, spark, sf_dir)
+    assert len(args) == 4 and options == {"frac": 0.4}
