@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -248,6 +249,176 @@ def top_k_neighbours(queries: DataFrame, items: DataFrame, q_id: str, q_vec: str
     return best.select(F.col("q").alias(q_id), "rank", F.col("i").alias(i_id), score.alias("score"))
 
 
+# ---------------------------------------------------------------------------
+# V3 / V4 exact top-k that skips blocks
+# ---------------------------------------------------------------------------
+#: Pivots at most: they and their partitions' sizes are all that the driver holds.
+MAX_PIVOTS = 4096
+
+
+@dataclass(frozen=True)
+class Pivots:
+    """Points that partition the items, and of each partition the number of
+    items and the least and greatest distance to its pivot.  For ``cosine``
+    all vectors are on the unit sphere; items without direction (zero vectors)
+    are partition -1."""
+    points: np.ndarray
+    count: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+    lost: int
+    metric: str
+
+    def prepared(self, v: np.ndarray) -> np.ndarray:
+        return _on_sphere(v) if self.metric == "cosine" else v
+
+    def distances(self, v: np.ndarray) -> np.ndarray:
+        """Of rows of prepared vectors to all pivots."""
+        out = np.zeros((len(v), len(self.points)))
+        for j in range(v.shape[1] if len(v) else 0):
+            diff = v[:, j, None] - self.points[None, :, j]
+            out += diff * diff
+        return np.sqrt(out)
+
+    def bounds(self, d: np.ndarray) -> np.ndarray:
+        """Least distance that an item of each partition can have, from the
+        distances to the pivots (triangle inequality)."""
+        low = np.maximum(np.maximum(d - self.far, self.near - d), 0.0)
+        return np.where(self.count > 0, low, np.inf)
+
+
+def _on_sphere(v: np.ndarray) -> np.ndarray:
+    size = np.linalg.norm(v, axis=1, keepdims=True) if len(v) else np.ones((0, 1))
+    return v / np.where(size > 0, size, 1.0)
+
+
+def _slack(metric: str, decimals: int | None, threshold: np.ndarray) -> np.ndarray:
+    """How far beyond the threshold a distance may be and still tie with it
+    when scores are rounded."""
+    step = 2.0 * 10.0 ** -decimals if decimals is not None else 0.0
+    if metric != "cosine":
+        return threshold + step + 1e-9 * (1 + threshold)
+    return np.sqrt(threshold ** 2 + 2 * step) + 1e-9
+
+
+def fit_pivots(items: DataFrame, n: int, metric: str) -> tuple[Pivots, DataFrame]:
+    """``n`` items (those with the least hash of the id) as pivots, and the
+    items (columns ``i``, ``iv``) with the partition ``part`` of their nearest
+    pivot."""
+    usable = items.where(F.exists("iv", lambda x: x != 0)) if metric == "cosine" else items
+    first = usable.orderBy(F.xxhash64("i", F.lit(3)), "i").limit(min(n, MAX_PIVOTS)).collect()
+    points = np.array([r["iv"] for r in first], float) if first else np.zeros((0, 0))
+    blank = np.zeros(len(points))
+    start = Pivots(_on_sphere(points) if metric == "cosine" and len(points) else points, blank, blank, blank, 0, metric)
+
+    def place(frames):
+        for f in frames:
+            v = _matrix(f["iv"])
+            d = start.distances(start.prepared(v)) if len(start.points) else np.zeros((len(f), 1))
+            part, at = d.argmin(axis=1) if len(f) else np.zeros(0, int), np.arange(len(f))
+            lost = ~v.any(axis=1) if metric == "cosine" and len(f) else np.zeros(len(f), bool)
+            yield f.assign(part=np.where(lost, -1, part).astype("int32"), d=np.where(lost, 0.0, d[at, part] if len(f) else 0.0))
+
+    placed = materialize(items.mapInPandas(place, "i long, iv array<double>, part int, d double"))
+    count, near, far, lost = np.zeros(len(points)), np.zeros(len(points)), np.zeros(len(points)), 0
+    for r in placed.groupBy("part").agg(F.count("*").alias("n"), F.min("d").alias("near"), F.max("d").alias("far")).collect():
+        if r["part"] < 0:
+            lost = r["n"]
+        else:
+            count[r["part"]], near[r["part"]], far[r["part"]] = r["n"], r["near"], r["far"]
+    return Pivots(start.points, count, near, far, lost, metric), placed
+
+
+def _met(wanted: DataFrame, placed: DataFrame, sizes: DataFrame, k: int, metric: str, exclude_self: bool,
+         decimals: int | None, query_block: int, item_block: int) -> DataFrame:
+    """``q``, ``i``, ``score``: the best ``k`` of each (query, partition) of
+    ``wanted`` (``q``, ``qv``, ``part``).  Large partitions and many queries of
+    one partition are cut into blocks; a pair of blocks is one group."""
+    asked = wanted.groupBy("part").agg(F.ceil(F.count("*") / query_block).alias("qb"))
+    cuts = sizes.join(asked, "part").select("part", F.ceil(F.col("n") / item_block).alias("ib"), "qb")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1))
+    mine = lambda c, n: F.pmod(F.xxhash64(F.col(c), F.lit(7)), F.col(n))
+    q = wanted.join(cuts, "part").select("part", "q", "qv", mine("q", "qb").alias("qc"), every("ib").alias("ic"))
+    it = placed.select("part", "i", "iv").join(cuts, "part").select("part", "i", "iv", mine("i", "ib").alias("ic"), every("qb").alias("qc"))
+    return (q.groupBy("part", "qc", "ic").cogroup(it.groupBy("part", "qc", "ic"))
+            .applyInPandas(_block_top_k(k, metric, exclude_self, decimals), "q long, i long, score double"))
+
+
+def top_k_pruned(queries: DataFrame, items: DataFrame, q_id: str, q_vec: str, i_id: str, i_vec: str, k: int = 10,
+                 metric: str = "cosine", exclude_self: bool = False, tie_decimals: int | None = 9,
+                 query_block: int = DEFAULT_BLOCK, item_block: int = DEFAULT_BLOCK,
+                 pivots: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The result of :func:`top_k_neighbours`, without scoring every pair.
+
+    Items are partitioned by their nearest pivot.  A query is first scored
+    against its nearest partitions that together hold enough items; its k-th
+    best there bounds the k-th best of all.  Of the other partitions it then
+    meets only those that the triangle inequality does not rule out (for
+    cosine, distances on the unit sphere; a query without direction meets all).
+    No candidate is capped or guessed.  Also returns one row ``(queries, items,
+    pairs, scored)``: all pairs, and those that were formed.
+    """
+    q = materialize(queries.select(F.col(q_id).cast("bigint").alias("q"),
+                                   F.transform(F.col(q_vec), lambda x: x.cast("double")).alias("qv")))
+    it = items.select(F.col(i_id).cast("bigint").alias("i"), F.transform(F.col(i_vec), lambda x: x.cast("double")).alias("iv"))
+    n_items = it.count()
+    index, placed = fit_pivots(it, pivots or max(1, math.ceil(math.sqrt(n_items))), metric)
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
+    enough = k + (1 if exclude_self else 0)
+
+    def nearest(frames):
+        for f in frames:
+            v = _matrix(f["qv"])
+            rows, parts = [], []
+            d = index.distances(index.prepared(v)) if len(index.points) else np.zeros((len(f), 0))
+            order = np.argsort(d, axis=1, kind="stable")
+            held = np.cumsum(index.count[order], axis=1)
+            for r in range(len(f)):
+                last = int(np.searchsorted(held[r], enough)) + 1
+                own = [p for p in order[r, :last].tolist() if index.count[p] > 0]
+                rows += [r] * len(own)
+                parts += own
+            yield f.iloc[rows].assign(part=np.array(parts, "int32"))
+
+    schema = "q long, qv array<double>, part int"
+    first = materialize(q.mapInPandas(nearest, schema))
+    found = materialize(_met(first, placed, sizes, k, metric, exclude_self, tie_decimals, query_block, item_block))
+    order = Window.partitionBy("q").orderBy(F.desc("score"))
+    kth = found.withColumn("r", F.row_number().over(order)).where(F.col("r") == k).select("q", F.col("score").alias("kth"))
+    asked = first.groupBy("q").agg(F.collect_list("part").alias("done"))  # about ``enough`` partitions at most
+
+    def others(frames):
+        for f in frames:
+            v = _matrix(f["qv"])
+            d = index.distances(index.prepared(v)) if len(index.points) else np.zeros((len(f), 0))
+            kth_score = f["kth"].to_numpy(dtype=float, na_value=np.nan)
+            far = np.sqrt(np.maximum(2 - 2 * kth_score, 0)) if metric == "cosine" else -kth_score
+            far = np.where(np.isnan(far), np.inf, _slack(metric, tie_decimals, far))
+            low = index.bounds(d)
+            need = low <= far[:, None]
+            if metric == "cosine" and len(f):
+                need |= ~v.any(axis=1)[:, None] & (index.count > 0)
+            for r, done in enumerate(f["done"]):
+                need[r, [] if done is None else [int(p) for p in done]] = False
+            rows, parts = np.nonzero(need)
+            if index.lost:  # zero vectors: similarity 0 with all
+                meets = np.flatnonzero(~(far < math.sqrt(2)) | ~v.any(axis=1)) if len(f) else np.zeros(0, int)
+                rows, parts = np.concatenate([rows, meets]), np.concatenate([parts, np.full(len(meets), -1)])
+            yield f.iloc[rows][["q", "qv"]].assign(part=parts.astype("int32"))
+
+    second = materialize(q.join(kth, "q", "left").join(asked, "q", "left").mapInPandas(others, schema))
+    more = _met(second, placed, sizes, k, metric, exclude_self, tie_decimals, query_block, item_block)
+    key = F.round("score", tie_decimals) if tie_decimals is not None else F.col("score")
+    w = Window.partitionBy("q").orderBy(key.desc(), F.col("i").asc())
+    best = found.unionByName(more).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    score = F.col("score") if metric == "cosine" else -F.col("score")
+    pairs = first.unionByName(second).join(sizes, "part").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("scored"))
+    nq = q.count()
+    stats = pairs.select(F.lit(nq).cast("bigint").alias("queries"), F.lit(n_items).cast("bigint").alias("items"),
+                         F.lit(nq * n_items).cast("bigint").alias("pairs"), F.col("scored").cast("bigint").alias("scored"))
+    return best.select(F.col("q").alias(q_id), "rank", F.col("i").alias(i_id), score.alias("score")), stats
+
+
 # Above this many (distinct vector x k) result rows the fan-out join is a
 # shuffle join instead of a broadcast.
 BROADCAST_RESULT_ROWS = 2_000_000
@@ -283,12 +454,14 @@ def recommend(prefs: DataFrame, items: DataFrame, item_id: str, k: int = 10,
 
 
 def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str, target: str,
-                k: int = 20, out_col: str = "prediction", **kw) -> DataFrame:
+                k: int = 20, out_col: str = "prediction", prune: bool = False, **kw) -> DataFrame:
     """V4: k-nearest-neighbours regression -- the mean ``target`` of the
-    ``k`` nearest training rows (euclidean) for each query row."""
-    nn = top_k_neighbours(query.select(id_col, vec_col),
-                          train.select(F.col(id_col).alias("__train_id"), vec_col),
-                          id_col, vec_col, "__train_id", vec_col, k, "euclidean", **kw)
+    ``k`` nearest training rows (euclidean) for each query row.  ``prune``
+    skips blocks by pivots (:func:`top_k_pruned`): the same result, worth it for
+    large training sets whose vectors form clusters."""
+    sides = (query.select(id_col, vec_col), train.select(F.col(id_col).alias("__train_id"), vec_col),
+             id_col, vec_col, "__train_id", vec_col, k, "euclidean")
+    nn = top_k_pruned(*sides, **kw)[0] if prune else top_k_neighbours(*sides, **kw)
     labels = train.select(F.col(id_col).alias("__train_id"), F.col(target).cast("double").alias("__y"))
     return (nn.join(labels, "__train_id")
             .groupBy(id_col).agg(F.avg("__y").alias(out_col)))

@@ -153,13 +153,16 @@ def q_recommend(spark, sf):
     return rec.select("user_id", "rank", "p_partkey", r("score").alias("score"))
 
 
-@query("nearest_neighbours", "V3,V2", bench=True, sql="""
+_NEAREST_SQL = """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 s AS (SELECT a.vec_id, b.vec_id AS nb_id,
              list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS score
       FROM e a, e b WHERE a.vec_id <> b.vec_id),
 k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(score, 9) DESC, nb_id) AS rank FROM s)
-SELECT vec_id, CAST(rank AS INTEGER) AS rank, nb_id, round(score, 6) AS score FROM k WHERE rank <= 10""")
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, nb_id, round(score, 6) AS score FROM k WHERE rank <= 10"""
+
+
+@query("nearest_neighbours", "V3,V2", bench=True, sql=_NEAREST_SQL)
 def q_nearest_neighbours(spark, sf):
     e = t(spark, sf, "embeddings").select("vec_id", "embedding")
     nn = V.top_k_neighbours(e, e.select(F.col("vec_id").alias("nb_id"), "embedding"),
@@ -167,16 +170,37 @@ def q_nearest_neighbours(spark, sf):
     return nn.select("vec_id", "rank", "nb_id", r("score").alias("score"))
 
 
-@query("knn_regress", "V4,R1", bench=True, sql=f"""
+_KNN_SQL = f"""
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
                   {sql_bucket('vec_id')} < {TEST_CUT} AS is_test FROM embeddings),
 s AS (SELECT q.vec_id, tr.vec_id AS tid, tr.label, list_distance(q.v, tr.v) AS d
       FROM e q, e tr WHERE q.is_test AND NOT tr.is_test),
 k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(d, 9), tid) AS rank FROM s)
-SELECT vec_id, round(avg(label), 6) AS prediction FROM k WHERE rank <= 20 GROUP BY vec_id""")
+SELECT vec_id, round(avg(label), 6) AS prediction FROM k WHERE rank <= 20 GROUP BY vec_id"""
+
+
+@query("knn_regress", "V4,R1", bench=True, sql=_KNN_SQL)
 def q_knn_regress(spark, sf):
     from tabkit.operators.split import train_test_split
     e = t(spark, sf, "embeddings").select("vec_id", "label", "embedding")
     train, test = train_test_split(e, "vec_id", 0.25, SEED)
     pred = V.knn_regress(train, test, "vec_id", "embedding", "label", k=20)
     return pred.select("vec_id", r("prediction").alias("prediction"))
+
+
+@query("nearest_neighbours_pruned", "V3,V2", sql=_NEAREST_SQL)
+def q_nearest_neighbours_pruned(spark, sf):
+    """The same neighbours, partitions ruled out by pivots."""
+    e = t(spark, sf, "embeddings").select("vec_id", "embedding")
+    nn, _ = V.top_k_pruned(e, e.select(F.col("vec_id").alias("nb_id"), "embedding"),
+                           "vec_id", "embedding", "nb_id", "embedding", k=10, exclude_self=True)
+    return nn.select("vec_id", "rank", "nb_id", r("score").alias("score"))
+
+
+@query("knn_regress_pruned", "V4,R1", sql=_KNN_SQL)
+def q_knn_regress_pruned(spark, sf):
+    from tabkit.operators.split import train_test_split
+    e = t(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    train, test = train_test_split(e, "vec_id", 0.25, SEED)
+    pred = V.knn_regress(train, test, "vec_id", "embedding", "label", k=20, prune=True)
+    return pred.select("vec_id", r("prediction").alias("prediction"))
