@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabkit.functions.frames import materialize
 from tabkit.functions.scalar import name_from_value, name_from_value_py, strip_ws
 
 MAX_LEVELS = 1000
@@ -69,6 +70,44 @@ def apply_ordinal(df: DataFrame, params: OrdinalParams, suffix: str = "") -> Dat
     return out.select(*kept, *[code.alias(name) for name, code in codes.items()])
 
 
+#: An ordinal table of at most so many levels is broadcast; a larger one is joined by key.
+BROADCAST_LEVELS = 500_000
+
+
+def fit_ordinal_table(df: DataFrame, col: str) -> DataFrame:
+    """E2 for any number of levels: ``level``, ``code`` (0, 1, 2... in sorted
+    order) of the distinct non-null values, as a table.
+
+    Distinct values (reduced inside each task first) are laid out in sorted
+    ranges; a value's code is its place in its range plus the sizes of the
+    ranges before.  Only these sizes reach the driver, one per range."""
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    levels = df.select(F.col(f"`{col}`").alias("level")).where("level is not null").distinct()
+    laid = materialize(levels.repartitionByRange(n, "level").sortWithinPartitions("level"))
+    # an id made on the laid rows is the range's number above 33 bits, the place inside below
+    placed = laid.select("level", F.monotonically_increasing_id().alias("_place"), F.spark_partition_id().alias("_part"))
+    start, before = 0, []
+    for r in sorted(placed.groupBy("_part").agg(F.count("*").alias("n")).collect(), key=lambda r: r["_part"]):
+        before.append((r["_part"], start))
+        start += r["n"]
+    starts = spark.createDataFrame(before, "_part int, _before bigint")
+    return placed.join(F.broadcast(starts), "_part").select(
+        "level", (F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1)).alias("code"))
+
+
+def apply_ordinal_table(df: DataFrame, col: str, table: DataFrame, out_col: str,
+                        broadcast_levels: int = BROADCAST_LEVELS) -> DataFrame:
+    """``df`` with the codes of ``col`` by a table of
+    :func:`fit_ordinal_table`; unseen and null give null.  The table is
+    broadcast if it has ``broadcast_levels`` rows at most (counted), else joined
+    by key, where Spark divides a hot one."""
+    small = table.count() <= broadcast_levels
+    codes = table.select(F.col("level").alias("__level"), F.col("code").alias("__code"))
+    joined = df.join(F.broadcast(codes) if small else codes, F.col(f"`{col}`") == F.col("__level"), "left")
+    return joined.withColumn(out_col, F.col("__code")).drop("__level", "__code")
+
+
 @dataclass(frozen=True)
 class OneHotParams:
     categories: dict  # column -> list of levels

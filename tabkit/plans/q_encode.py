@@ -124,3 +124,14 @@ def q_align_columns(spark, sf):
     enc = E.one_hot(test, ["o_orderstatus"])  # has F, O and P
     train_cols = ["o_orderkey", "o_orderstatus_F", "o_orderstatus_O", "o_orderstatus_X"]
     return E.align_columns(enc, train_cols)
+
+
+@query("ordinal_table", "E2", sql="""
+SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderkey::VARCHAR) - 1 AS key_code,
+       dense_rank() OVER (ORDER BY o_orderdate) - 1 AS date_code FROM orders""")
+def q_ordinal_table(spark, sf):
+    """Codes of as many levels as rows, and of dates."""
+    o = t(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("k"), "o_orderdate")
+    d = E.apply_ordinal_table(o, "k", E.fit_ordinal_table(o, "k"), "key_code")
+    d = E.apply_ordinal_table(d, "o_orderdate", E.fit_ordinal_table(o, "o_orderdate"), "date_code")
+    return d.select("o_orderkey", "key_code", "date_code")

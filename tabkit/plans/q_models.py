@@ -121,7 +121,7 @@ def q_rf_classifier(spark, sf):
 @query("ridge_cv", "L5,R3", bench=True)
 def q_ridge_cv(spark, sf):
     d = _price(spark, sf)
-    _, scores = L.train_ridge_cv(_train(d), PRICE_FEATURES, "l_extendedprice", "id")
+    _, scores = L.train_ridge_loo(_train(d), PRICE_FEATURES, "l_extendedprice")
     return scores
 
 
@@ -137,7 +137,7 @@ def q_stacking_auc(spark, sf):
     d = _quality(spark, sf)
     feats = QUALITY_FEATURES
     bases = {
-        "ridge": L.spark_learner(lambda tr: L.train_ridge_cv(tr, feats, "label", "id")[0]),
+        "ridge": L.spark_learner(lambda tr: L.train_ridge_loo(tr, feats, "label")[0]),
         "lasso": L.spark_learner(lambda tr: L.train_lasso_cv(tr, feats, "label", "id")[0]),
         "knn": L.knn_learner("id", feats, "label", k=20),
     }
@@ -283,6 +283,19 @@ def q_ridge_one_feature(spark, sf):
     return spark.createDataFrame(rows, "alpha double, slope double")
 
 
+@query("ridge_leave_one_out", "L5", sql=f"""
+WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y {_PRICE_SQL}),
+m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) AS xy, var_pop(x) * count(*) AS xx FROM d),
+a AS (SELECT unnest([0.1, 1000.0, 10000000.0]::DOUBLE[]) AS alpha)
+SELECT alpha, round(avg(pow((y - my - xy / (xx + alpha) * (x - mx)) / (1 - 1.0 / n - pow(x - mx, 2) / (xx + alpha)), 2))
+                    / 1e6, 4) AS loo_mse
+FROM d, m, a GROUP BY alpha""")
+def q_ridge_leave_one_out(spark, sf):
+    """In millions of squared units."""
+    _, scores = L.train_ridge_loo(_price(spark, sf), ["l_quantity"], "l_extendedprice", [0.1, 1000.0, 1e7])
+    return scores.select("alpha", F.round(F.col("loo_mse") / 1e6, 4).alias("loo_mse"))
+
+
 @query("lasso_one_feature", "L6", sql=f"""
 WITH m AS (SELECT covar_pop(l_quantity, l_extendedprice) AS xy, var_pop(l_quantity) AS xx {_PRICE_SQL})
 SELECT a AS alpha, round(sign(xy) * greatest(abs(xy) - a, 0.0) / xx, 6) AS slope
@@ -293,7 +306,7 @@ def q_lasso_one_feature(spark, sf):
     return spark.createDataFrame(rows, "alpha double, slope double")
 
 
-@query("ridge_predictions", "L5,L18", sql=f"""
+@query("ridge_predictions", "L5", sql=f"""
 WITH d AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_quantity AS x, l_extendedprice AS y {_PRICE_SQL}),
 m AS (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) AS xy, var_pop(x) * count(*) AS xx FROM d)
 SELECT id, round(my + xy / (xx + 10.0) * (x - mx), 4) AS prediction FROM d, m""")
@@ -321,12 +334,12 @@ def q_submission_ids(spark, sf):
     from pyspark.ml.regression import GBTRegressor
     from tabkit.sources.io import read_table, scratch_dir
     d, path = _price(spark, sf), scratch_dir(spark, "l18-ids")
-    pipe = L.make_pipeline([L.assembler(PRICE_FEATURES), GBTRegressor(labelCol="l_extendedprice", maxIter=3, seed=SEED)])
+    pipe = L.make_pipeline([L.assembler(PRICE_FEATURES), GBTRegressor(labelCol="l_extendedprice", seed=SEED, **L.GBT_REGRESSOR_DEFAULTS)])
     L.fit_predict_submit(_train(d), _test(d), pipe, "id", path)
     return read_table(spark, path, "id long, prediction double").select("id")
 
 
-@query("cv_fold_counts", "L13,R3", sql=f"""
+@query("cv_fold_counts", "R3", sql=f"""
 SELECT fold, side, count(*) AS n FROM (
   SELECT f AS fold, CASE WHEN {sql_bucket('o_orderkey')} % 5 = f THEN 'valid' ELSE 'train' END AS side
   FROM orders JOIN customer ON o_custkey = c_custkey, (SELECT unnest([0, 1, 2, 3, 4])::INT AS f)) GROUP BY ALL""")
@@ -348,3 +361,23 @@ def q_split_null_ids(spark, sf):
     d = t(spark, sf, "lineitem").select("l_linenumber", F.when(F.col("l_linenumber") != 3, F.col("l_orderkey")).alias("k"))
     out = L.k_fold(assign_split(d, "k", 0.25, SEED), "k", 5, SEED)
     return out.groupBy("split", "fold").agg(F.count("*").alias("n"), F.count_if(F.col("k").isNull()).alias("n_without_id"))
+
+
+@query("fold_metrics", "L13,K4,K6", sql="""
+WITH d AS (
+  SELECT o_orderkey % 3 AS fold, CASE WHEN o_orderkey % 2 = 0 THEN 'train' ELSE 'valid' END AS side,
+         CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS y, floor(o_totalprice / 5000) AS s FROM orders),
+c AS (SELECT fold, side, s, count(*) AS n, sum(y) AS p FROM d GROUP BY ALL),
+r AS (SELECT *, sum(n - p) OVER (PARTITION BY fold, side ORDER BY s) - (n - p) / 2 AS below FROM c),
+auc AS (SELECT fold, side, sum(p * below) / (sum(p) * sum(n - p)) AS value FROM r GROUP BY fold, side)
+SELECT fold::INT AS fold, side, 'auc' AS metric, round(value, 6) AS value FROM auc UNION ALL
+SELECT fold::INT, side, 'accuracy', round(avg(((s > 30)::INT = y)::INT), 6) FROM d GROUP BY fold, side""")
+def q_fold_metrics(spark, sf):
+    """The report's metrics from scores that SQL can make."""
+    o = t(spark, sf, "orders")
+    s = F.floor(F.col("o_totalprice") / 5000).cast("double")
+    rows = o.select((F.col("o_orderkey") % 3).cast("int").alias("fold"),
+                    F.when(F.col("o_orderkey") % 2 == 0, "train").otherwise("valid").alias("side"),
+                    (F.col("o_orderstatus") == "F").cast("double").alias("label"), s.alias("p1"),
+                    (s > 30).cast("double").alias("prediction"))
+    return L.fold_metrics(rows, "label").withColumn("value", F.round("value", 6))

@@ -8,6 +8,7 @@ pointers use the Hadoop FileSystem API so they work on shared storage.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterable, Mapping
 
@@ -150,12 +151,21 @@ def _current_number(spark: SparkSession, base: str) -> int:
     return max((int(n.removeprefix(POINTER)) for n in names if n.startswith(POINTER)), default=0)
 
 
-def _point_to(spark: SparkSession, base: str, number: int) -> None:
-    """Create the pointer file of a version.  Pointers are only ever added,
-    each by one create call, and the highest counts: there is no moment
-    without a pointer."""
+def _point_to(spark: SparkSession, base: str, number: int, folder: str) -> bool:
+    """Create the pointer file of a version, which holds its folder; False
+    where another writer has that number.  Pointers are only ever added, each
+    by one create call, and the highest counts: there is no moment without a
+    pointer."""
     fs, p, _ = _fs(spark, f"{base}/{POINTER}{number:06d}")
-    fs.create(p, False).close()
+    try:
+        out = fs.create(p, False)
+    except Exception:
+        if fs.exists(p):
+            return False
+        raise
+    out.write(bytearray(folder.encode()))
+    out.close()
+    return True
 
 
 def current_version(spark: SparkSession, base_path: str) -> str | None:
@@ -163,7 +173,22 @@ def current_version(spark: SparkSession, base_path: str) -> str | None:
     first write)."""
     base = base_path.rstrip("/")
     n = _current_number(spark, base)
-    return f"{base}/v={n:06d}" if n else None
+    if not n:
+        return None
+    fs, p, _ = _fs(spark, f"{base}/{POINTER}{n:06d}")
+    length = fs.getFileStatus(p).getLen()
+    if not length:  # a pointer without content: the folder of its number
+        return f"{base}/v={n:06d}"
+    stream = fs.open(p)
+    try:
+        return f"{base}/{bytes(stream.readNBytes(length)).decode()}"
+    finally:
+        stream.close()
+
+
+def version_number(spark: SparkSession, base_path: str) -> int:
+    """The number of the newest finished version (0 before the first)."""
+    return _current_number(spark, base_path.rstrip("/"))
 
 
 def read_current(spark: SparkSession, base_path: str) -> DataFrame:
@@ -174,19 +199,35 @@ def read_current(spark: SparkSession, base_path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def rewrite_table(df: DataFrame, base_path: str) -> str:
+class VersionConflict(RuntimeError):
+    """Another writer finished a version after the one that was read."""
+
+
+def rewrite_table(df: DataFrame, base_path: str, read_version: int | None = None) -> str:
     """Read-modify-write of one feature table.  Spark cannot overwrite a
-    path it is reading, so each step writes a **new** version directory and
-    then adds its pointer; readers of the old version are undisturbed, a
-    failed step leaves the last good version current, and a retry replaces
-    what the failed step left in the new directory (which no pointer names)."""
+    path it is reading, so each step writes a new version and then adds its
+    pointer; readers of the old version are undisturbed, and a failed step
+    leaves the last good version current.
+
+    Writers do not meet: each writes a folder of its own, and takes the next
+    number by creating its pointer, which only one can; the other goes on to the
+    number after.  With ``read_version`` (:func:`version_number` before reading)
+    a version that another writer finished in between is a
+    :class:`VersionConflict` and not lost."""
     spark = df.sparkSession
-    base = base_path.rstrip("/")
+    base, own = base_path.rstrip("/"), f"w-{uuid.uuid4().hex}"
     n = _current_number(spark, base) + 1
-    path = f"{base}/v={n:06d}"
-    df.write.mode("overwrite").parquet(path)
-    _point_to(spark, base, n)
-    return path
+    df.write.parquet(f"{base}/{own}/v={n:06d}")
+    while True:
+        newest = _current_number(spark, base)
+        if read_version is not None and newest != read_version:
+            raise VersionConflict(f"{base}: read version {read_version}, now {newest}")
+        if newest >= n:
+            fs, old, jvm = _fs(spark, f"{base}/{own}/v={n:06d}")
+            n = newest + 1
+            fs.rename(old, jvm.org.apache.hadoop.fs.Path(f"{base}/{own}/v={n:06d}"))
+        if _point_to(spark, base, n, f"{own}/v={n:06d}"):
+            return f"{base}/{own}/v={n:06d}"
 
 
 # ---------------------------------------------------------------------------
@@ -200,13 +241,29 @@ def metrics_long(df: DataFrame, keys: Iterable[str], metrics: Iterable[str]) ->
 
 
 def log_metrics(df: DataFrame, path: str, run_id: str, keys: Iterable[str],
-                metrics: Iterable[str]) -> DataFrame:
+                metrics: Iterable[str], batch: str = "0") -> DataFrame:
     """Append run metrics as a long table
     ``(run_id, keys..., metric, value)`` to a parquet log; returns the rows
-    appended."""
-    keys = list(keys)
+    appended.
+
+    A batch of metrics (a report: one row per key and metric) is one file, named
+    by a hash of ``run_id`` and ``batch`` and moved into the log when it is
+    complete, so that logging a batch again, after a failure or by a second
+    writer, adds nothing."""
+    keys, spark = list(keys), df.sparkSession
     long = metrics_long(df, keys, metrics).select(F.lit(run_id).alias("run_id"), *keys, "metric", "value")
-    long.write.mode("append").parquet(path)
+    name = hashlib.sha256(f"{len(run_id)}:{run_id}{batch}".encode()).hexdigest()[:32]
+    base = path.rstrip("/")
+    fs, target, jvm = _fs(spark, f"{base}/{name}.parquet")
+    if fs.exists(target):
+        return long.limit(0)
+    folder = f"{base}/_writing-{uuid.uuid4().hex}"  # names that begin like this are no data
+    long.coalesce(1).write.parquet(folder)
+    here = jvm.org.apache.hadoop.fs.Path(folder)
+    for status in fs.listStatus(here):
+        if status.getPath().getName().endswith(".parquet") and not fs.exists(target):
+            fs.rename(status.getPath(), target)
+    fs.delete(here, True)
     return long
 
 
