@@ -10,6 +10,12 @@ Offsets at which any token ends cut the bytes into segments; a segment lies in
 one token of either side, and each link is exactly one segment, so links are
 never searched for.
 
+Neither side's tokens run across a blank between two other characters (the
+pattern of A begins a match there; no piece of B holds a blank behind another
+character, which is checked), so texts are cut at such blanks.  What lies between is
+encoded and aligned once and remembered, up to ``MEMO_CHUNKS`` of them; texts
+with any other spacing are one chunk.
+
 Identity map.  For every id of A the id of B with the same bytes is precomputed
 (-1 if none).  A group of one token on either side is such a pair and is
 counted, like the same pair inside a larger group, in one vector as long as the
@@ -36,10 +42,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +63,12 @@ from tabkit.llm.common import col, holds, slices, task_memory
 HOT_PAIRS = 500_000
 FLUSH_PAIRS = 2_000_000
 #: Text aligned at once, in bytes.
-PIECE = 256 * 1024
+PIECE = 1024 * 1024
+#: Chunks that a Python worker remembers, of so many characters at most.
+MEMO_CHUNKS, MEMO_LENGTH = 300_000, 64
+#: Chunks encoded at once.
+TOGETHER = 200
+_NEW, _ODD = -1, -2
 
 
 def byte_of_character() -> dict[str, int]:
@@ -118,6 +131,48 @@ def identity_map(a: list[bytes], b: list[bytes], last: frozenset[int] = frozense
     return np.fromiter((number.get(t, -1) for t in a), np.int64, len(a))
 
 
+@dataclass
+class Aligned:
+    """Some texts or chunks: token, group and link numbers of each, its groups
+    as text, whether its tokens join to it, and, one after another, its ids of
+    A linked with their identical id of B and its other linked pairs, each with
+    how often."""
+    counts: np.ndarray      # n_a, n_b, n_groups, n_links: one row each
+    groups: list[str]
+    fits: np.ndarray
+    same: np.ndarray
+    same_times: np.ndarray
+    n_same: np.ndarray
+    pairs: np.ndarray
+    pair_times: np.ndarray
+    n_pairs: np.ndarray
+
+    @staticmethod
+    def none() -> Aligned:
+        zero = np.zeros(0, np.int64)
+        return Aligned(np.zeros((4, 0), np.int64), [], np.zeros(0, bool), zero, zero, zero, zero, zero, zero)
+
+    def __add__(self, other: Aligned) -> Aligned:
+        both = lambda name: np.concatenate([getattr(self, name), getattr(other, name)], axis=-1)
+        return Aligned(both("counts"), self.groups + other.groups, *(both(f.name) for f in fields(Aligned)[2:]))
+
+
+def _runs(sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the items of the groups ``which`` lie, in groups of ``sizes`` one
+    after another, and how many each has."""
+    starts, n = np.cumsum(sizes) - sizes, sizes[which]
+    ends = np.cumsum(n)
+    return np.repeat(starts[which] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0), n
+
+
+def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, in order, with the sums of their ``times``."""
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], times[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+    return keys[first], np.add.reduceat(times, first) if len(first) else times
+
+
 class Aligner:
     """Two tokenizers, read from the bytes of their files."""
 
@@ -131,30 +186,98 @@ class Aligner:
         text = [np.array([f"{i}{mark}" for i in range(n)], object) for n, mark in
                 ((self.a.n, ","), (self.a.n, "|"), (self.b.n, ","), (self.b.n, ";"))]
         self.a_inside, self.a_last, self.b_inside, self.b_last = text
-
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides; empty where they do not join to the text."""
-        full = [i for i, t in enumerate(texts) if t]
-        a, b = [[] for _ in texts], [[] for _ in texts]
-        if not full:
-            return a, b
-        one = self.a_model.encode_batch_fast([" " + texts[i] for i in full], add_special_tokens=False)
-        two = self.b_model.encode([texts[i] for i in full], num_threads=1)
-        for i, x, y in zip(full, one, two):
-            raw = np.frombuffer(b" " + texts[i].encode("utf-8", "surrogatepass"), np.uint8)
-            ids = x.ids
-            if all(np.array_equal(v.joined(np.array(k, np.int64)), raw) for v, k in ((self.a, ids), (self.b, y))):
-                a[i], b[i] = ids, y
-        return a, b
-
-    def align(self, a: list[list[int]], b: list[list[int]]) -> dict[str, np.ndarray | list]:
-        """Groups and links of several documents, from ids that join to the
-        same bytes per document."""
-        n_docs = len(a)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, n_docs) for x in (a, b))
-        a_ids, b_ids = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
-        doc = np.repeat(np.arange(n_docs), n_a)
+        self.cuts = not any(re.search(b"[^ ] ", t) for t in self.b.tokens)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what was remembered of texts."""
+        self.number: dict[str, int] = {}
+        self.known = Aligned.none()
+
+    def _ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[bool]]:
+        """Ids of both sides, and whether they join to a space and the text."""
+        one = self.a_model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        two = self.b_model.encode(texts, num_threads=1)
+        a, b = [np.array(x.ids, np.int64) for x in one], [np.array(x, np.int64) for x in two]
+        raw = [np.frombuffer(b" " + t.encode("utf-8", "surrogatepass"), np.uint8) for t in texts]
+        return a, b, [all(np.array_equal(v.joined(i), r) for v, i in ((self.a, x), (self.b, y))) for x, y, r in zip(a, b, raw)]
+
+    def encode(self, texts: list[str], together: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both sides, those of all texts in one row; the end of each
+        text among their bytes; and which texts fit (the others have no ids).
+        Texts that are chunks may be encoded ``together``, with blanks between
+        them; where that does not fit, one by one."""
+        parts = [texts[i:i + together] for i in range(0, len(texts), together)]
+        a, b, fits, ends, at = [], [], [], [], 0
+        for part, x, y, fit in zip(parts, *self._ids([" ".join(p) for p in parts])):
+            size = np.fromiter((len(t.encode("utf-8", "surrogatepass")) + 1 for t in part), np.int64, len(part))
+            stop = np.cumsum(size)
+            if len(part) > 1 and not (fit and all(np.isin(stop, np.cumsum(v.length[i])).all() for v, i in ((self.a, x), (self.b, y)))):
+                x, y, stop, good = self.encode(part)
+            else:
+                good = np.full(len(part), fit)
+                if not fit:
+                    x, y, stop = x[:0], y[:0], stop * 0
+            a.append(x), b.append(y), fits.append(good), ends.append(stop + at)
+            at += int(stop[-1])
+        return tuple(map(np.concatenate, (a, b, ends, fits)))
+
+    def align_texts(self, texts: list[str | None]) -> Aligned:
+        """Whole texts, cut into chunks where that changes nothing."""
+        if len(self.number) > MEMO_CHUNKS:
+            self.forget()
+        cut = [[] if not t else t.split(" ") if self.cuts else [t] for t in texts]
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        chunks, number = list(chain.from_iterable(cut)), self.number
+        which = np.fromiter(map(number.get, chunks, repeat(_NEW)), np.int64, len(chunks))
+        missing = np.flatnonzero(which == _NEW).tolist()
+        fresh = dict.fromkeys(chunks[i] for i in missing)
+        if self.cuts:
+            for c in fresh:  # a blank beside another one, or beside white space
+                if not c or c[0].isspace() or c[-1].isspace():
+                    number[c] = _ODD
+        fresh = [c for c in fresh if c not in number]
+        kept = [c for c in fresh if len(c) <= MEMO_LENGTH]
+        if kept:
+            number.update(zip(kept, range(len(self.known.groups), len(self.known.groups) + len(kept))))
+            self.known = self.known + self.align(*self.encode(kept, TOGETHER))
+        # those that are not remembered, and texts that are not cut, behind the others
+        once = {c: i for i, c in enumerate((c for c in fresh if len(c) > MEMO_LENGTH), len(self.known.groups))}
+        which[missing] = [number.get(c, once.get(c)) for c in map(chunks.__getitem__, missing)]
+        odd = np.unique(np.repeat(np.arange(len(cut)), n)[which == _ODD]).tolist()
+        first = len(self.known.groups) + len(once)
+        behind = [*once, *(texts[i] for i in odd)]
+        known = self.known + self.align(*self.encode(behind)) if behind else self.known
+        if odd:
+            whole = np.zeros(len(cut), bool)
+            whole[odd] = True
+            ends = np.cumsum(n)
+            which = np.concatenate([[first + odd.index(i)] if w else which[e - k:e]
+                                    for i, (w, e, k) in enumerate(zip(whole.tolist(), ends.tolist(), n.tolist()))])
+            n = np.where(whole, 1, n)
+        doc = np.repeat(np.arange(len(cut)), n)
+        fits = np.bincount(doc, ~known.fits[which], len(cut)) == 0
+        fits &= n > 0
+        which, doc = which[fits[doc]], doc[fits[doc]]
+        counts = np.stack([np.bincount(doc, c[which], len(cut)).astype(np.int64) for c in known.counts])
+        ends = np.cumsum(np.bincount(doc, minlength=len(cut))).tolist()
+        words = [known.groups[i] for i in which.tolist()]
+        groups = [";".join(words[s:e]) for s, e in zip([0, *ends[:-1]], ends)]
+        at, size = _runs(known.n_same, which)
+        key, times = _summed(np.repeat(doc, size) * self.a.n + known.same[at], known.same_times[at])
+        at, size = _runs(known.n_pairs, which)
+        width = self.a.n * self.b.n
+        pair, pair_times = _summed(np.repeat(doc, size) * width + known.pairs[at], known.pair_times[at])
+        count = lambda d: np.bincount(d, minlength=len(cut)).astype(np.int64)
+        return Aligned(counts, groups, fits, key % self.a.n, times, count(key // self.a.n),
+                       pair % width, pair_times, count(pair // width))
+
+    def align(self, a_ids: np.ndarray, b_ids: np.ndarray, text_ends: np.ndarray, fits: np.ndarray) -> Aligned:
+        """Groups and links of texts, from :meth:`encode`."""
+        n_docs = len(text_ends)
         a_ends, b_ends = np.cumsum(self.a.length[a_ids]), np.cumsum(self.b.length[b_ids])
+        doc, b_doc = np.searchsorted(text_ends, a_ends), np.searchsorted(text_ends, b_ends)
+        n_a, n_b = np.bincount(doc, minlength=n_docs), np.bincount(b_doc, minlength=n_docs)
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
         ends = np.union1d(a_ends, b_ends)
         # a segment ends at each of ``ends``; it lies in the first token that does not end before
@@ -176,9 +299,8 @@ class Aligner:
         cut = np.concatenate([[0], np.cumsum(n_a + n_b)])
         groups = ["".join(words[s:e].tolist())[:-1] for s, e in zip(cut[:-1].tolist(), cut[1:].tolist())]
         count = lambda d: np.bincount(d, minlength=n_docs).astype(np.int64)
-        return {"n_a": n_a, "n_b": n_b, "n_groups": count(doc[a_last]), "n_links": count(link_doc), "groups": groups,
-                "same": (key % self.a.n).astype(np.int32), "same_times": times.astype(np.int32), "n_same": count(same_doc),
-                "pairs": pair % (self.a.n * self.b.n), "pair_times": pair_times.astype(np.int32), "n_pairs": count(pair_doc)}
+        return Aligned(np.stack([n_a, n_b, count(doc[a_last]), count(link_doc)]), groups, fits,
+                       key % self.a.n, times, count(same_doc), pair % (self.a.n * self.b.n), pair_times, count(pair_doc))
 
 
 _ALIGNERS: dict[str, Aligner] = {}
@@ -215,24 +337,25 @@ def aligned(df: DataFrame, a_path: str, b_path: str, text: str = "text", doc_id:
     context = df.sparkSession.sparkContext
     a_file, b_file = context.broadcast(read_ranks(a_path)), context.broadcast(read_ranks(b_path))
     name = uuid.uuid4().hex
-    numbers, arrays = ("n_a", "n_b", "n_groups", "n_links"), (("same", "n_same"), ("same_times", "n_same"),
-                                                                ("pairs", "n_pairs"), ("pair_times", "n_pairs"))
+    numbers, arrays = ("n_a", "n_b", "n_groups", "n_links"), ("same", "same_times", "pairs", "pair_times")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with task_memory("alignment"):
             aligner = _aligner(name, a_file, b_file)
             for batch in chain.from_iterable(slices(b, PIECE) for b in batches):
-                found = aligner.align(*aligner.encode(batch.column(1).to_pylist()))
-                hashes = [sha256(g.encode()).hexdigest() if g else "" for g in found["groups"]]
+                found = aligner.align_texts(batch.column(1).to_pylist())
+                hashes = [sha256(g.encode()).hexdigest() if f else "" for g, f in zip(found.groups, found.fits.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *(pa.array(found[n]) for n in numbers), pa.array(hashes, pa.string()),
-                     *(_binaries(found[n], found[size]) for n, size in arrays)],
-                    names=["doc_id", *numbers, "groups_sha256", *(n for n, _ in arrays)])
+                    [batch.column(0), *map(pa.array, found.counts), pa.array(hashes, pa.string()),
+                     _binaries(found.same.astype(np.int32), found.n_same), _binaries(found.same_times.astype(np.int32), found.n_same),
+                     _binaries(found.pairs, found.n_pairs), _binaries(found.pair_times.astype(np.int32), found.n_pairs)],
+                    names=["doc_id", *numbers, "groups_sha256", *arrays])
+            aligner.forget()
 
     kind = df.schema[doc_id].dataType.simpleString()
     return df.select(col(doc_id).alias("doc_id"), col(text).alias("text")).mapInArrow(
         run, f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in numbers) + ", groups_sha256 string, "
-        + ", ".join(f"{n} binary" for n, _ in arrays))
+        + ", ".join(f"{n} binary" for n in arrays))
 
 
 def pair_counts(rows: DataFrame, same: np.ndarray, b_size: int) -> DataFrame:
