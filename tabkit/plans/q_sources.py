@@ -200,3 +200,18 @@ def q_log_metrics(spark, sf):
     path = S.scratch_dir(spark, "s8-metrics")
     S.log_metrics(m, path, "cv", ["fold"], ["mae", "mse", "rmse"])
     return spark.read.parquet(path)
+
+
+@query("ingest_indexed", "S6,J2", sql="""
+SELECT event_id, event_type, value FROM events""")
+def q_ingest_indexed(spark, sf):
+    """The incremental ingest against an index of the held keys: held events,
+    then all, with the clicks twice, then a replay."""
+    from tabkit.sources.keyindex import append_indexed
+    ev = t(spark, sf, "events").select("event_id", "event_type", "value")
+    target = S.scratch_dir(spark, "s6i-target")
+    append_indexed(spark, ev.where(F.col("event_type") == "view"), target, "event_id")
+    delivery = ev.unionByName(ev.where(F.col("event_type") == "click"))
+    append_indexed(spark, delivery, target, "event_id")
+    append_indexed(spark, delivery, target, "event_id")
+    return spark.read.parquet(target)
