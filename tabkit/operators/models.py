@@ -4,16 +4,16 @@ Every fit is a distributed job: executors compute tree statistics, gradients or
 moments over their partitions and only fitted parameters reach the driver.
 Second-order and classic boosting, searches over many models, staged errors
 and early stopping run on the binned blocks of :mod:`tabkit.operators.boosting`;
-forests on those of :mod:`tabkit.operators.forests`; ridge and lasso on moments
-per fold; the rest is ``pyspark.ml``.  Splits and folds are the deterministic
+forests on those of :mod:`tabkit.operators.forests`; kernel regression and the
+net on gradients summed over blocks (:mod:`tabkit.operators.lbfgs`); ridge and
+lasso on moments per fold; the rest is ``pyspark.ml``.  Splits and folds are the deterministic
 hash columns of :mod:`tabkit.operators.split`, so a refit after executor loss
 sees identical folds; the hash is salted per purpose (``cv`` for an estimator's
 internal CV, ``oof`` for out-of-fold stacking) so nested splits are independent.
 
 Fidelity notes: ``train_gbt_regressor`` and ``train_gbt_classifier`` are the
 first-order Spark ML learners, kept for pipelines that are saved and read;
-kernel regression is approximated by random Fourier features + a Huber linear
-model; the MLP has no sample weights, so class weights become row replication.
+the RBF kernel is approximated by random Fourier features.
 """
 
 from __future__ import annotations
@@ -30,19 +30,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabkit.functions.frames import materialize
 from tabkit.functions.scalar import HASH_SPACE, hash_bucket
+from tabkit.operators.blocks import Bins, pack_blocks
 from tabkit.operators.boosting import (LOCAL_ROWS, LOGISTIC, SQUARED, BoostedModel, boost, boost_many, boosting_spec,
                                        tree_importances)
 from tabkit.operators.encode import OneHotParams, apply_one_hot, fit_one_hot
 from tabkit.operators.forests import NODE_ROWS, ForestModel, train_forest
+from tabkit.operators.lbfgs import minimise, summed_loss
 from tabkit.operators.split import k_fold
 
 FEATURES = "features"
@@ -406,50 +408,69 @@ def train_lasso_cv(df: DataFrame, features: Sequence[str], label: str, id_col: s
 
 
 # ---------------------------------------------------------------------------
-# L8 kernel regression (random Fourier features)
+# L8 kernel regression (random Fourier features, epsilon-insensitive loss)
 # ---------------------------------------------------------------------------
-@dataclass
+@dataclass(frozen=True)
 class RbfModel:
+    """Fitted weights of random features; scoring is one projection."""
+    features: tuple[str, ...]
     means: dict
     stds: dict
     w: np.ndarray
     b: np.ndarray
-    linear: PipelineModel
-    features: list
+    weights: np.ndarray
+    intercept: float
 
-    def _rff(self) -> list[Column]:
+    def transform(self, df: DataFrame) -> DataFrame:
         z = [(F.col(f"`{c}`").cast("double") - F.lit(self.means[c])) / F.lit(self.stds[c]) for c in self.features]
-        scale = math.sqrt(2.0 / len(self.b))
-        cols = []
+        scale, score = math.sqrt(2.0 / len(self.b)), F.lit(self.intercept)
         for j in range(len(self.b)):
-            proj = F.lit(float(self.b[j]))
+            place = F.lit(float(self.b[j]))
             for i, zi in enumerate(z):
-                proj = proj + zi * F.lit(float(self.w[j, i]))
-            cols.append((F.cos(proj) * F.lit(scale)).alias(f"__rff{j}"))
-        return cols
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        with_rff = df.select("*", *self._rff())
-        return self.linear.transform(with_rff).drop(*[f"__rff{j}" for j in range(len(self.b))], FEATURES)
+                place = place + zi * F.lit(float(self.w[j, i]))
+            score = score + F.cos(place) * F.lit(float(scale * self.weights[j]))
+        return df.withColumn(PREDICTION, score)
 
 
-def train_rbf_regressor(df: DataFrame, features: Sequence[str], label: str, gamma: float = 0.01,
-                        n_components: int = 100, reg: float = 0.01, seed: int = 42) -> RbfModel:
-    """Standard scaler (population std) + RBF kernel approximated by
-    ``n_components`` random Fourier features (W ~ N(0, 2 gamma), b ~ U(0, 2pi))
-    + a Huber-loss linear model.  The features are column expressions (JVM
-    side); only W and b (n_components x d numbers) are shipped."""
-    from tabkit.operators.scale import fit_standard
+def insensitive_loss(x: np.ndarray, y: np.ndarray, params: np.ndarray, w: np.ndarray, b: np.ndarray, epsilon: float,
+                     width: float) -> tuple[float, np.ndarray]:
+    """Sum over rows of what their absolute error exceeds ``epsilon`` by, and
+    its gradient in (weights, intercept); within ``width`` of the border the
+    corner is rounded by a parabola (at most ``width / 2`` below the loss)."""
+    z = math.sqrt(2.0 / len(b)) * np.cos(w @ x + b[:, None])
+    error = params[:-1] @ z + params[-1] - y[0]
+    over = np.maximum(np.abs(error) - epsilon, 0.0)
+    slope = np.minimum(over / width, 1.0) * np.sign(error)
+    value = np.where(over < width, over * over / (2 * width), over - width / 2).sum()
+    return float(value), np.append(z @ slope, slope.sum())
+
+
+def train_rbf_regressor(df: DataFrame, features: Sequence[str], label: str, gamma: float = 0.01, c: float = 0.01,
+                        epsilon: float = 0.1, n_components: int = 100, width: float = 1e-3, max_iter: int = 200,
+                        seed: int = 42) -> RbfModel:
+    """Standard scaler (population std) + support vector regression: half
+    the squared norm of the weights plus ``c`` times the summed
+    epsilon-insensitive loss.  The RBF kernel is approximated by
+    ``n_components`` random Fourier features (W ~ N(0, 2 gamma), b ~ U(0, 2pi)),
+    the loss by one that is smooth within ``width`` of its corner, so that the
+    objective is within ``c * rows * width / 2`` of the exact one; L-BFGS over
+    block gradients."""
+    from tabkit.operators.scale import apply_standard, fit_standard
     std = fit_standard(df, list(features))
     rng = np.random.default_rng(seed)
     w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, len(features)))
     b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
-    proto = RbfModel(std.means, std.scales, w, b, None, list(features))
-    rff_cols = [f"__rff{j}" for j in range(n_components)]
-    lin = LinearRegression(featuresCol=FEATURES, labelCol=label, loss="huber", regParam=reg,
-                           elasticNetParam=0.0)
-    proto.linear = _fit([assembler(rff_cols), lin], df.select("*", *proto._rff()))
-    return proto
+    none = Bins(tuple(np.empty(0) for _ in features))
+    blocks = materialize(pack_blocks(apply_standard(df, std), features, [F.col(f"`{label}`")], F.lit(0), none, values=True))
+
+    def evaluate(params: np.ndarray) -> tuple[float, np.ndarray]:
+        value, gradient = summed_loss(blocks, 1, len(features),
+                                      lambda x, y, p: insensitive_loss(x, y, p, w, b, epsilon, width), params)
+        inner = np.append(params[:-1], 0.0)
+        return c * value + inner @ inner / 2, c * gradient + inner
+
+    best, _ = minimise(evaluate, np.zeros(n_components + 1), max_iter)
+    return RbfModel(tuple(features), std.means, std.scales, w, b, best[:-1], float(best[-1]))
 
 
 # ---------------------------------------------------------------------------
@@ -856,20 +877,75 @@ def replicate_by_weight(df: DataFrame, weight_col: str, id_col: str, seed: int =
         .where(F.col("__copy") <= n).drop("__copy")
 
 
-def train_mlp_classifier(df: DataFrame, features: Sequence[str], label: str, id_col: str,
+@dataclass(frozen=True)
+class NetModel:
+    """A dense network for class 1, over standardised features."""
+    features: tuple[str, ...]
+    layers: list[tuple[np.ndarray, np.ndarray]]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``p1`` and ``prediction``."""
+        out = score_dense(df, self.features, self.layers, out_col="p1", final="sigmoid")
+        return out.withColumn(PREDICTION, (F.col("p1") > 0.5).cast("double"))
+
+
+def net_layers(params: np.ndarray, sizes: Sequence[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Parameters in one row as (matrix, bias) per layer."""
+    out, at = [], 0
+    for a, b in zip(sizes[:-1], sizes[1:]):
+        out.append((params[at:at + a * b].reshape(a, b), params[at + a * b:at + a * b + b]))
+        at += a * b + b
+    return out
+
+
+def net_loss(x: np.ndarray, y: np.ndarray, params: np.ndarray, sizes: Sequence[int]) -> tuple[float, np.ndarray]:
+    """Sum over rows of weight times log loss of a dense network (rectified
+    hidden layers, one logit), and its gradient; ``y``: classes and weights."""
+    layers = net_layers(params, sizes)
+    held = [x.T]
+    for i, (w, b) in enumerate(layers):
+        h = held[-1] @ w + b
+        held.append(np.maximum(h, 0.0) if i < len(layers) - 1 else h)
+    logit, (truth, weight) = held[-1][:, 0], y
+    value = float(weight @ np.logaddexp(0, np.where(truth > 0.5, -logit, logit)))
+    back = (weight * (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - truth))[:, None]
+    parts = []
+    for i in range(len(layers) - 1, -1, -1):
+        parts += [back.sum(axis=0), (held[i].T @ back).ravel()]
+        if i:
+            back = (back @ layers[i][0].T) * (held[i] > 0)
+    return value, np.concatenate(parts[::-1])
+
+
+def train_net(df: DataFrame, features: Sequence[str], label: str, hidden: Sequence[int], weight_col: str | None = None,
+              max_iter: int = 100, seed: int = 42) -> NetModel:
+    """A dense network for a 0/1 label, trained by L-BFGS on the weighted mean
+    log loss; a row of weight 2 counts as two rows.  Missing weights and
+    labels are an error."""
+    sizes = [len(features), *hidden, 1]
+    weight = F.col(f"`{weight_col}`").cast("double") if weight_col else F.lit(1.0)
+    none = Bins(tuple(np.empty(0) for _ in features))
+    blocks = materialize(pack_blocks(df, features, [F.col(f"`{label}`"), weight], F.lit(0), none, values=True))
+    total = df.agg(F.sum(weight)).first()[0] or 1.0
+    rng = np.random.default_rng(seed)
+    start = np.concatenate([np.append(rng.normal(0, math.sqrt(2 / a), a * b), np.zeros(b)) for a, b in zip(sizes[:-1], sizes[1:])])
+
+    def evaluate(params: np.ndarray) -> tuple[float, np.ndarray]:
+        value, gradient = summed_loss(blocks, 2, len(features), lambda x, y, p: net_loss(x, y, p, sizes), params)
+        return value / total, gradient / total
+
+    return NetModel(tuple(features), net_layers(minimise(evaluate, start, max_iter)[0], sizes))
+
+
+def train_mlp_classifier(df: DataFrame, features: Sequence[str], label: str, id_col: str | None = None,
                          hidden: Sequence[int] = MLP_HIDDEN, weight_col: str | None = None,
-                         max_iter: int = 100, seed: int = 42) -> tuple[PipelineModel, object]:
-    """Binary MLP on standardised features (population std, fitted on
-    the training rows); class weights by replication.  Returns the pipeline
-    and the fitted scaler parameters (for scoring new rows)."""
+                         max_iter: int = 100, seed: int = 42) -> tuple[NetModel, object]:
+    """Binary dense network on standardised features (population std,
+    fitted on the training rows), with row weights in the loss.  Returns the
+    model and the fitted scaler parameters (for scoring new rows)."""
     from tabkit.operators.scale import apply_standard, fit_standard
     std = fit_standard(df, list(features))
-    data = apply_standard(df, std)
-    if weight_col:
-        data = replicate_by_weight(data, weight_col, id_col, seed)
-    mlp = MultilayerPerceptronClassifier(featuresCol=FEATURES, labelCol=label,
-                                         layers=[len(features), *hidden, 2], maxIter=max_iter, seed=seed)
-    return _fit([assembler(features), mlp], data), std
+    return train_net(apply_standard(df, std), features, label, hidden, weight_col, max_iter, seed), std
 
 
 # ---------------------------------------------------------------------------

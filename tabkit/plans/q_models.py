@@ -233,7 +233,7 @@ def q_mlp_classifier(spark, sf):
     d = _orders(spark, sf)
     train = class_weights(_train(d), "label")
     m, std = L.train_mlp_classifier(train, ORDER_FEATURES, "label", "id", weight_col="weight")
-    scored = L.positive_probability(m.transform(apply_standard(_test(d), std)))
+    scored = m.transform(apply_standard(_test(d), std))
     return scored.agg(K.accuracy_col("label", "prediction").alias("accuracy"),
                       K.log_loss_col("label", "p1").alias("log_loss"))
 
