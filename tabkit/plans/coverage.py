@@ -11,8 +11,8 @@ from tabkit.plans.registry import all_queries
 # operator id -> implementing function(s)
 FUNCTIONS = {
     "S1": "sources.io.read_table", "S2": "sources.io.read_records", "S3": "sources.io.split_valid",
-    "S4": "sources.io.write_predictions", "S5": "sources.io.rewrite_table",
-    "S6": "sources.ingest.ingest_incremental / append_new; streaming.ingest.ingest_stream",
+    "S4": "sources.io.write_predictions", "S5": "sources.io.rewrite_table / read_current",
+    "S6": "sources.ingest.ingest_incremental / append_new; sources.keyindex.append_indexed; streaming.ingest.ingest_stream",
     "S7": "sources.ingest.explode_pages", "S8": "sources.io.log_metrics",
     "P1": "operators.columns.select_features", "P2": "operators.columns.drop_columns",
     "P3": "operators.columns.columns_by_type", "P4": "operators.columns.columns_by_prefix",
@@ -24,7 +24,7 @@ FUNCTIONS = {
     "M1": "operators.missing.fill_constant", "M2": "operators.missing.fill_mean",
     "M3": "operators.missing.fit_imputer / apply_imputer", "M4": "operators.missing.null_counts",
     "M5": "operators.missing.complete_predictions", "M6": "operators.missing.table_info",
-    "E1": "operators.encode.encode_ordered", "E2": "operators.encode.fit_ordinal / apply_ordinal",
+    "E1": "operators.encode.encode_ordered", "E2": "operators.encode.fit_ordinal / apply_ordinal; fit_ordinal_table / apply_ordinal_table",
     "E3": "operators.encode.one_hot", "E4": "operators.encode.one_hot_named",
     "E5": "operators.encode.multi_hot", "E6": "operators.encode.parse_list",
     "E7": "operators.encode.flatten_lists", "E8": "operators.encode.explode_tokens",
@@ -44,18 +44,18 @@ FUNCTIONS = {
     "A15": "operators.profile.density", "A16": "operators.profile.box_stats / outliers",
     "A17": "operators.profile.profile_report", "A18": "operators.profile.prediction_summary",
     "T1": "operators.similar.top_k", "J1": "operators.similar.attach_by_key",
-    "J2": "operators.similar.not_yet_seen", "V1": "operators.similar.preference_vectors",
-    "V2": "operators.similar.cosine_scores", "V3": "operators.similar.recommend / top_k_neighbours",
+    "J2": "operators.similar.not_yet_seen; sources.keyindex.files_that_may_hold", "V1": "operators.similar.preference_vectors",
+    "V2": "operators.similar.cosine_scores", "V3": "operators.similar.recommend / top_k_neighbours / top_k_pruned",
     "V4": "operators.similar.knn_regress",
-    "L1": "operators.models.train_gbt_regressor", "L2": "operators.models.train_rf_regressor",
-    "L3": "operators.models.train_gbt_classifier", "L4": "operators.models.train_rf_classifier",
-    "L5": "operators.models.train_ridge_cv", "L6": "operators.models.train_lasso_cv",
+    "L1": "operators.models.train_boosted_regressor (operators.boosting)", "L2": "operators.models.train_rf_regressor (operators.forests)",
+    "L3": "operators.models.train_gbt_classifier", "L4": "operators.models.train_rf_classifier (operators.forests)",
+    "L5": "operators.models.train_ridge_loo / train_ridge_cv", "L6": "operators.models.train_lasso_cv",
     "L7": "operators.models.train_stack", "L8": "operators.models.train_rbf_regressor",
     "L9": "operators.models.random_search", "L10": "operators.models.feature_importance",
     "L11": "operators.models.importance_study / importance_summary",
-    "L12": "operators.models.staged_error / staged_class_error", "L13": "operators.models.cv_report",
-    "L14": "operators.models.score_dense", "L15": "operators.models.train_with_validation",
-    "L16": "operators.models.train_mlp_classifier", "L17": "operators.models.make_pipeline",
+    "L12": "operators.models.staged_curve / staged_error / staged_class_error", "L13": "operators.models.cv_report / fold_metrics",
+    "L14": "operators.models.score_dense", "L15": "operators.models.train_with_patience / train_with_validation",
+    "L16": "operators.models.train_mlp_classifier / train_net", "L17": "operators.models.make_pipeline",
     "L18": "operators.models.fit_predict_submit", "L19": "operators.models.select_best / best_row / save_model",
     "K1": "operators.metrics.mae", "K2": "operators.metrics.mse", "K3": "operators.metrics.rmse",
     "K4": "operators.metrics.accuracy", "K5": "operators.metrics.roc_curve", "K6": "operators.metrics.roc_auc",
@@ -76,7 +76,7 @@ def table() -> str:
              "`python -m tabkit.plans.coverage`.", "",
              "| id | function | queries |", "| --- | --- | --- |"]
     for op in sorted(FUNCTIONS, key=_key):
-        names = [f"`{n}` ({'oracle' if q.sql else 'rows'})" for n, q in qs.items() if op in q.operators]
+        names = [f"`{n}` ({'oracle' if q.sql else 'rows'})" for n, q in sorted(qs.items()) if op in q.operators]
         lines.append(f"| {op} | `{FUNCTIONS[op]}` | {', '.join(names) or '-'} |")
     return "\n".join(lines) + "\n"
 
