@@ -13,8 +13,9 @@ predecessor only if merging would leave the border between the two alone
 (memoised per token pair).  Where nothing fits, the last token is taken back
 and its next shorter match tried, and the abandoned position is never entered
 again -- a valid sequence for a prefix is unique, so every position is
-abandoned once at most and the work is linear in the piece.  The result is
-the sequence that merging by rank gives.
+abandoned once at most; each match is searched in a slice no longer than the
+longest token, so the work is linear in the piece.  The result is the sequence
+that merging by rank gives.
 
 Results for odd input: a null text is encoded as an empty one (no ids); null
 ids decode to empty bytes; a repeated row gives a repeated result; an empty
@@ -37,41 +38,92 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tabkit.llm.common import MEMO_ENTRIES, Memo, check_free, holds, slices, task_memory
+from tabkit.llm.common import Memo, check_free, holds, slices, task_memory
 
 #: A rank file above this size is refused (it is broadcast).
 MAX_RANK_FILE = 64 * 1024 * 1024
 #: Longer pieces are not kept in a memo.
 MEMO_PIECE = 64
+#: Entries of a worker's memos (each held twice at most): of chunks between
+#: blanks, of pieces inside them, and of adjacent tokens.
+MEMO_CHUNKS, MEMO_PIECES, MEMO_FITS = 200_000, 50_000, 150_000
+
+
+class TextMemo(Memo):
+    """A memo that does not keep long texts."""
+
+    def __missing__(self, text: str) -> bytes:
+        return super().__missing__(text) if len(text) <= MEMO_PIECE else self.make(text)
 
 
 class _Edge(Exception):
     """A piece between spaces that cannot be tokenised on its own."""
 
 
-class BytePairCodec:
-    """Encoder and decoder for one rank table and split pattern."""
+def read_tokens(rank_lines: bytes) -> dict[bytes, int]:
+    """Tokens of a rank file, with their ids."""
+    out = {}
+    for line in rank_lines.splitlines():
+        if line.strip():
+            token, _, number = line.rpartition(b" ")
+            out[base64.b64decode(token)] = int(number)
+    return out
+
+
+class TokenBytes:
+    """Decoder: all tokens' bytes in one row."""
+
+    def __init__(self, rank_lines: bytes):
+        self._row = self._laid({number: token for token, number in read_tokens(rank_lines).items()})
+
+    @staticmethod
+    def _laid(tokens: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens' bytes in one row, with the start and length of each
+        id; -1 for ids that the vocabulary lacks."""
+        size = max(tokens) + 1
+        start, length = np.zeros(size, np.int64), np.full(size, -1, np.int64)
+        for number, token in tokens.items():
+            length[number] = len(token)
+        start[1:] = np.cumsum(np.maximum(length, 0))[:-1]
+        return np.frombuffer(b"".join(tokens[n] for n in sorted(tokens)), np.uint8), start, length
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of rows of ids that lie one after another in ``ids``, row k
+        up to ``ends[k]``; returned the same way."""
+        blob, start, length = self._row
+        ids = ids.astype(np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(length) or (length[ids] < 0).any()):
+            raise ValueError("an id that is not in the vocabulary")
+        after = np.concatenate([[0], np.cumsum(length[ids])])
+        source = np.repeat(start[ids] - after[:-1], length[ids]) + np.arange(after[-1])
+        return blob[source], after[ends]
+
+
+class BytePairCodec(TokenBytes):
+    """Encoder for one rank table and split pattern.  Ids are kept as the bytes
+    of 32-bit numbers."""
 
     def __init__(self, rank_lines: bytes, pattern: str):
-        self.rank = {}
-        for line in rank_lines.splitlines():
-            if line.strip():
-                token, _, number = line.rpartition(b" ")
-                self.rank[base64.b64decode(token)] = int(number)
+        self.rank = read_tokens(rank_lines)
         self.token = {number: token for token, number in self.rank.items()}
         self.length = {number: len(token) for token, number in self.rank.items()}
+        self.longest = max(map(len, self.rank), default=1)
         self.pieces = regex.compile(pattern)
         self._halves = Memo(self._last_merge, entries=1 << 30)  # one entry per token
         self._shorter = Memo(self._next_shorter, entries=1 << 30)  # one entry per token
-        self._fits = Memo(self._may_follow)
-        self._piece = Memo(self._encode_piece, MEMO_ENTRIES // 2)  # most pieces are chunks of their own
-        self._chunk = Memo(self._encode_chunk)
+        self._fits = Memo(self._may_follow, MEMO_FITS)
+        self._piece = TextMemo(self._encode_piece, MEMO_PIECES)
+        self._chunk = TextMemo(self._encode_chunk, MEMO_CHUNKS)
 
     def forget(self) -> None:
         """Drop what was remembered of texts."""
         for memo in (self._fits, self._piece, self._chunk):
             memo.forget()
 
+    @cached_property
+    def _row(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self._laid(self.token)
+
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
@@ -105,14 +157,15 @@ class BytePairCodec:
                 return other
         return -1
 
-    def _may_follow(self, pair: tuple[int, int]) -> bool:
-        """Whether two adjacent tokens stay as they are.
+    def _may_follow(self, pair: int) -> bool:
+        """Whether two adjacent tokens (``left << 32 | right``) stay as they
+        are.
 
         Going back in time, the one formed last is undone at each step; what
         then meets at the border would have merged if its rank came before
         the ranks at which its two sides were used up (equal ranks: the one
         on the left first)."""
-        left, right = pair
+        left, right = pair >> 32, pair & 0xFFFFFFFF
         left_used = right_used = len(self.token) << 8
         while True:
             joint = self.rank.get(self.token[left] + self.token[right])
@@ -126,22 +179,22 @@ class BytePairCodec:
             else:
                 right_used, right = right, self._halves[right][0]
 
-    def _encode_piece(self, piece: str) -> tuple[int, ...]:
+    def _encode_piece(self, piece: str) -> bytes:
         """Ids of one match of the split pattern."""
         raw = piece.encode("utf-8", "surrogatepass")
         whole = self.rank.get(raw)
         if whole is not None:
-            return (whole,)
+            return whole.to_bytes(4, "little")
         text, n, length, fits, shorter = raw.decode("latin-1"), len(raw), self.length, self._fits, self._shorter
-        longest = self.automaton.iter_long
+        longest, reach = self.automaton.iter_long, self.longest
         # taking the longest match again and again is right for many pieces;
         # for others, go on from the first border that does not hold
         ids = [token for _, token in longest(text)]
         good = 1
-        while good < len(ids) and fits[ids[good - 1], ids[good]]:
+        while good < len(ids) and fits[ids[good - 1] << 32 | ids[good]]:
             good += 1
         if good >= len(ids):
-            return tuple(ids)
+            return _packed(ids)
         at = sum(map(length.__getitem__, ids[:good]))
         untried = {at: shorter[ids[good]]}  # per position: the longest token not tried there yet
         del ids[good:]
@@ -149,10 +202,10 @@ class BytePairCodec:
         while at < n:
             token = untried.get(at)
             if token is None:
-                _, token = next(longest(text, at))
+                _, token = next(longest(text[at:at + reach]))
             while token >= 0:
                 after = at + length[token]
-                if after not in dead and (not ids or fits[ids[-1], token]):
+                if after not in dead and (not ids or fits[ids[-1] << 32 | token]):
                     break
                 token = shorter[token]
             if token >= 0:
@@ -166,72 +219,57 @@ class BytePairCodec:
                 untried[at] = shorter[last]
             else:
                 raise ValueError("the vocabulary does not cover every byte")
-        return tuple(ids)
+        return _packed(ids)
 
-    def _ids(self, pieces: list[str]) -> Iterator[int]:
-        return chain.from_iterable(
-            self._piece[p] if len(p) <= MEMO_PIECE else self._encode_piece(p) for p in pieces)
+    def _pieces(self, text: str) -> bytes:
+        """Ids of a text, by all matches of the pattern."""
+        return b"".join(map(self._piece.__getitem__, self.pieces.findall(text)))
 
-    def _encode_chunk(self, chunk: str) -> tuple[int, ...]:
+    def _encode_chunk(self, chunk: str) -> bytes:
         """Ids of one space and what follows it up to the next space."""
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Edge
         if chunk.isalpha():  # one match of the pattern
             return self._encode_piece(" " + chunk)
-        return tuple(self._ids(self.pieces.findall(" " + chunk)))
+        return self._pieces(" " + chunk)
 
     def encode(self, text: str | None) -> np.ndarray:
-        """Token ids of a whole text.
+        """Token ids of a whole text."""
+        return np.frombuffer(self.encoded(text), "<i4")
+
+    def encoded(self, text: str | None) -> bytes:
+        """Token ids of a whole text, as bytes.
 
         No match of the pattern runs from a non-space into a space, so a
         space between two non-space characters always begins a match: the
         text is cut there and each chunk looked up.  Texts with any other
         spacing go through the pattern as a whole."""
         if not text:
-            return np.empty(0, np.int32)
+            return b""
         first, *rest = text.split(" ")
         try:
             if first and first[-1].isspace():
                 raise _Edge
-            return np.fromiter(chain(self._ids(self.pieces.findall(first)),
-                                     chain.from_iterable(map(self._chunk.__getitem__, rest))), np.int32)
+            return self._pieces(first) + b"".join(map(self._chunk.__getitem__, rest))
         except _Edge:
-            return np.fromiter(self._ids(self.pieces.findall(text)), np.int32)
+            return self._pieces(text)
 
-    @cached_property
-    def _blob(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All tokens' bytes in one row, with the start and length of each
-        id; -1 for ids that the vocabulary lacks."""
-        size = max(self.token) + 1
-        start, length = np.zeros(size, np.int64), np.full(size, -1, np.int64)
-        for number, token in self.token.items():
-            length[number] = len(token)
-        start[1:] = np.cumsum(np.maximum(length, 0))[:-1]
-        return np.frombuffer(b"".join(self.token[n] for n in sorted(self.token)), np.uint8), start, length
 
-    def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of rows of ids that lie one after another in ``ids``, row k
-        up to ``ends[k]``; returned the same way."""
-        blob, start, length = self._blob
-        ids = ids.astype(np.int64)
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(length) or (length[ids] < 0).any()):
-            raise ValueError("an id that is not in the vocabulary")
-        after = np.concatenate([[0], np.cumsum(length[ids])])
-        source = np.repeat(start[ids] - after[:-1], length[ids]) + np.arange(after[-1])
-        return blob[source], after[ends]
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
 
 
-_CODECS: dict[tuple, BytePairCodec] = {}
-holds("bpe", _CODECS.clear)
+_HELD: dict[tuple, BytePairCodec | TokenBytes] = {}
+holds("bpe", _HELD.clear)
 
 
-def _codec(ranks, pattern: str) -> BytePairCodec:
-    """One codec per Python worker and vocabulary."""
-    key = (len(ranks.value), hash(ranks.value), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = BytePairCodec(ranks.value, pattern)
-    return _CODECS[key]
+def _held(make, ranks, *pattern: str):
+    """One encoder or decoder per Python worker and vocabulary."""
+    key = (make, len(ranks.value), hash(ranks.value), *pattern)
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make(ranks.value, *pattern)
+    return _HELD[key]
 
 
 def read_ranks(path: str) -> bytes:
@@ -250,12 +288,12 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", out:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with task_memory("bpe"):
-            codec = _codec(ranks, pattern)
+            codec = _held(BytePairCodec, ranks, pattern)
             for batch in chain.from_iterable(map(slices, batches)):
-                rows = [codec.encode(t) for t in batch.column(at).to_pylist()]
+                rows = [codec.encoded(t) for t in batch.column(at).to_pylist()]
                 ends = np.zeros(len(rows) + 1, np.int32)
-                np.cumsum([len(r) for r in rows], out=ends[1:])
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+                np.cumsum([len(r) // 4 for r in rows], out=ends[1:])
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), "<i4")))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
             codec.forget()
 
@@ -271,7 +309,7 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids", out: s
     at = df.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(ranks, pattern)
+        codec = _held(TokenBytes, ranks)
         for batch in chain.from_iterable(map(slices, batches)):
             rows = batch.column(at)
             flat = rows.flatten()  # null rows hold no ids

@@ -87,3 +87,19 @@ def test_nulls_repeats_empty_and_clashes(spark):
     assert bpe.encode(df.limit(0), path, P.PATTERN).count() == 0
     with pytest.raises(ValueError):
         bpe.encode(out, path, P.PATTERN)
+
+
+def test_long_pieces_take_time_in_proportion():
+    """Pieces without a blank that need backtracking all along."""
+    import random
+    import time
+    codec, enc = _cached()
+    rng, times = random.Random(4), {}
+    text = "".join(rng.choice("abcdefgh") for _ in range(400_000))
+    for n in (50_000, 100_000, 200_000, 400_000):
+        start = time.process_time()
+        ids = codec.encode(text[:n])
+        times[n] = time.process_time() - start
+        assert codec.decode(ids, np.array([len(ids)]))[0].tobytes() == text[:n].encode()
+    assert times[400_000] < 16 * times[50_000] + 1  # eight times the length
+    assert codec.encode(text[:3000]).tolist() == enc.encode_ordinary(text[:3000])
