@@ -18,11 +18,15 @@ document reaches over links.
     deviations under the threshold) join a *candidate group*; each member sends
     one row.  Groups that meet in different trees are united with alternating
     large-star and small-star steps over those skinny rows.  A region of more
-    than ``REGION`` classes is first dealt into bounded parts, and its members
-    are followed to longer common prefixes, which unites what is alike; then
-    its members outside its largest candidate group meet all of its parts, so
-    that each pair of neighbours is compared or already in one group, whatever
-    the size of the region.
+    than ``REGION`` classes is dealt into bounded parts, which unites what is
+    alike.  Only if it then still holds more than one group, it goes on.  With
+    ``REGION`` members at most outside its largest group, these meet all others
+    in blocks, which takes about two rows per member.  Otherwise fresh MinHash
+    values give its members longer prefixes in as many more trees as keep the
+    chance to miss a pair below ``MISS`` (:func:`trees_for`), so regions shrink
+    and rows grow with the number of members; what the longest prefix leaves
+    meets in blocks.  So each pair of neighbours is compared or already in one
+    group, whatever the size of the region.
 4.  Each candidate group is solved exactly on full sets: a member is compared
     with all others in one vector operation, and only while it may still
     unite two parts.  Groups beyond ``BLOCK_ROWS`` members (or
@@ -59,6 +63,8 @@ TREES, DEPTH = 16, 8
 MISS = 2e-5
 SLACK = 4.2
 REGION = 1000
+#: Prefix lengths of the further trees for members of large regions.
+DEEPER = (8, 12, 16)
 BLOCK_ROWS = 3000
 BLOCK_SHINGLES = 4_000_000
 SHARED_ROWS = 32
@@ -120,11 +126,12 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     return out
 
 
-def minhash(shingles: np.ndarray) -> np.ndarray:
-    """``TREES * DEPTH`` values of 32 bits."""
-    least = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 512):
-        np.minimum(least, (shingles[at:at + 512, None] * _MUL + _ADD).min(axis=0), out=least)
+def minhash(shingles: np.ndarray, mul: np.ndarray = _MUL, add: np.ndarray = _ADD) -> np.ndarray:
+    """One value of 32 bits per hash function (``TREES * DEPTH`` of them)."""
+    least = np.full(len(mul), np.iinfo(np.uint64).max, np.uint64)
+    step = max(1, 65536 // len(mul))
+    for at in range(0, len(shingles), step):
+        np.minimum(least, (shingles[at:at + step, None] * mul + add).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
@@ -135,6 +142,12 @@ def start_depth(threshold: float) -> int:
     return max(found, default=1)
 
 
+def trees_for(depth: int, threshold: float) -> int:
+    """Trees with which a pair at the threshold is missed with a chance of
+    ``MISS`` at most."""
+    return math.ceil(math.log(MISS) / math.log1p(-threshold ** depth))
+
+
 def set_name(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
@@ -165,31 +178,91 @@ def signatures(docs: DataFrame, width: int, depth: int) -> DataFrame:
         run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, node binary, bits binary, regions array<bigint>")
 
 
-def forest_regions(classes: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """``region``, ``node``: the neighbourhoods of all trees, each of about
-    ``REGION`` classes at most; and the larger ones, with their size ``n``,
-    of which the first has parts only."""
-    places = classes.select("node", F.posexplode("regions").alias("tree", "region"))
+def dealt(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``tree``, ``region``, ``node``: neighbourhoods of about ``REGION``
+    classes at most, as ``region``, ``node`` (larger ones in random parts), and
+    the larger ones whole, with their size ``n``."""
     counted = places.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
     rows = materialize(places.join(counted, ["tree", "region"]))
-    found = rows.where(F.col("n") <= REGION).select("region", "node")
-    whole = large = rows.where(F.col("n") > REGION)
-    for level in range(depth, DEPTH + 1):
-        if large.isEmpty():
-            break
-        parts = F.ceil(F.col("n") / REGION)
-        found = found.unionByName(large.select(
-            F.xxhash64(F.lit(level), "region", F.pmod(F.xxhash64("node", "tree", F.lit(level)), parts)).alias("region"),
-            "node"))
-        if level == DEPTH:
-            break
-        longer = large.drop("n").join(classes.select("node", "bits"), "node").select(
-            "node", "tree", F.xxhash64("region", F.substring("bits", F.col("tree") * DEPTH + level + 1, F.lit(1))).alias("region"))
-        again = longer.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
-        rows = materialize(longer.join(again, ["tree", "region"]))
-        found = found.unionByName(rows.where(F.col("n") <= REGION).select("region", "node"))
-        large = rows.where(F.col("n") > REGION)
-    return found, whole.select("region", "node", "n")
+    large = rows.where(F.col("n") > REGION)
+    part = F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("n") / REGION))
+    found = rows.where(F.col("n") <= REGION).select("region", "node").unionByName(
+        large.select(F.xxhash64("region", part).alias("region"), "node"))
+    return found, large.select("region", "node", "n")
+
+
+def forest_regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The neighbourhoods of all trees, as :func:`dealt` gives them."""
+    return dealt(classes.select("node", F.posexplode("regions").alias("tree", "region")))
+
+
+def unsettled(large: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The regions of ``large`` whose members are not all in one candidate
+    group (``groups`` as in :func:`stars`): those with ``REGION`` members at most
+    outside their largest group, and the others."""
+    parted = large.join(groups.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left") \
+        .withColumn("root", F.coalesce("root", "node"))
+    sizes = parted.groupBy("region", "root").agg(F.count("*").alias("m")).groupBy("region").agg(
+        (F.sum("m") - F.max("m")).alias("outside")).where("outside > 0")
+    several = materialize(large.join(sizes, "region"))
+    few = F.col("outside") <= REGION
+    return several.where(few).drop("outside"), several.where(~few).drop("outside")
+
+
+def united(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """``groups`` with what ``edges`` add to them."""
+    root = groups.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    ends = edges.join(root.toDF("u", "ru"), "u", "left").join(root.toDF("v", "rv"), "v", "left")
+    new = materialize(ends.select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")).where("u != v").distinct())
+    return groups if new.isEmpty() else stars(groups.unionByName(new))
+
+
+def deeper_regions(docs: DataFrame, classes: DataFrame, members: DataFrame, width: int, depth: int,
+                   threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Neighbourhoods of ``members`` (``node``) under ``depth`` fresh MinHash
+    values in each of :func:`trees_for` trees, as :func:`dealt` gives them."""
+    trees = trees_for(depth, threshold)
+    rng = np.random.Generator(np.random.PCG64(90_000 + depth))
+    mul = rng.integers(1, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    add = rng.integers(1, 1 << 63, trees * depth, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with task_memory("near_dups"):
+            for batch in chain.from_iterable(slices(b, PIECE) for b in batches):
+                sets = shingle_sets(batch.column(1).to_pylist(), width)
+                values = np.stack([minhash(s, mul, add) for s in sets]).reshape(len(sets), trees, depth)
+                region = np.zeros((len(sets), trees), np.uint64) + np.arange(trees, dtype=np.uint64)
+                for d in range(depth):
+                    region = _mix(region * _BASE + values[:, :, d])
+                regions = pa.FixedSizeListArray.from_arrays(pa.array(region.astype(np.int64).ravel()), trees)
+                yield pa.RecordBatch.from_arrays([batch.column(0), regions.cast(pa.list_(pa.int64()))], names=["node", "regions"])
+
+    named = members.distinct().join(classes.select("node", "rep"), "node").select(
+        "node", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash"))
+    # copies of one text make equal rows, reduced by the distinct below
+    texts = texts_of(docs, materialize(named), "node")
+    placed = texts.mapInArrow(run, "node binary, regions array<bigint>").select("node", F.posexplode("regions").alias("tree", "region"))
+    return dealt(placed.distinct())
+
+
+def texts_of(docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """``name``, ``text`` of the documents that ``keys`` (``doc_id``,
+    ``text_hash``, ``name``) names; a document delivered many times comes once
+    from each input partition at most."""
+    keyed = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_hash") == F.col("m.text_hash"))
+    rows = docs.alias("d").join(keyed.alias("m"), same).select(F.col(f"m.{name}").alias(name), "d.text", "d.text_hash")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            new = [i for i, k in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+                   if not (k in seen or seen.add(k))]
+            part = batch.take(pa.array(new, pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=[name, "text"])
+
+    kind = keys.schema[name].dataType.simpleString()
+    return rows.mapInArrow(once, f"{name} {kind}, text string")
 
 
 def meetings(large: DataFrame, groups: DataFrame) -> DataFrame:
@@ -339,10 +412,7 @@ def link_blocks(docs: DataFrame, members: DataFrame, width: int, num: int, den:
     """``u``, ``v``: members of a block with the smallest member that links on
     full sets reach inside the block.  ``members``: ``doc_id``, ``text_hash``,
     ``block``; rows of a block are solved together."""
-    small = members.count() <= BROADCAST_ROWS
-    keyed = F.broadcast(members) if small else members
-    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_hash") == F.col("m.text_hash"))
-    rows = docs.alias("d").join(keyed.alias("m"), same).select("m.block", "d.text")
+    rows = texts_of(docs, members, "block")
 
     def solve(texts: list[str]) -> pa.RecordBatch:
         own = {}
@@ -362,16 +432,16 @@ def link_blocks(docs: DataFrame, members: DataFrame, width: int, num: int, den:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with task_memory("near_dups"):
-            block, texts = None, []
+            block, texts = None, {}  # equal texts once
             for batch in batches:
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     if key != block:
                         if texts:
-                            yield solve(texts)
-                        block, texts = key, []
-                    texts.append(text)
+                            yield solve(list(texts))
+                        block, texts = key, {}
+                    texts[text] = None
             if texts:
-                yield solve(texts)
+                yield solve(list(texts))
 
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (rows.repartition(n, "block").sortWithinPartitions("block").mapInArrow(run, "u binary, v binary"))
@@ -426,10 +496,19 @@ def _components(df: DataFrame, text: str, doc_id: str, width: int, threshold: tu
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("rep")
     classes = materialize(signed.where("n_shingles > 0").groupBy("node").agg(
         rep, F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.first("regions").alias("regions")))
-    regions, large = forest_regions(classes, depth)
+    regions, large = forest_regions(classes)
     groups = stars(candidate_rows(regions, classes, num, den))
-    if not large.isEmpty():
-        groups = stars(groups.unionByName(candidate_rows(meetings(large, groups), classes, num, den)))
+    for longer in (*DEEPER, None):
+        if large.isEmpty():
+            break
+        few, large = unsettled(large, groups)
+        meet = few if longer else few.unionByName(large)
+        if not meet.isEmpty():
+            groups = united(groups, candidate_rows(meetings(meet, groups), classes, num, den))
+        if longer is None or large.isEmpty():
+            break
+        regions, large = deeper_regions(docs, classes, large.select("node"), width, longer, num / den)
+        groups = united(groups, candidate_rows(regions, classes, num, den))
     links = _exact_links(docs, classes, groups, width, num, den)
     # first document of each component, per class
     rooted = classes.select("node", "rep").join(links.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left") \

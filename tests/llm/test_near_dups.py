@@ -104,3 +104,35 @@ def test_one_row_of_each_group_stays(spark):
     groups = sorted((r.text or "-")[0] for r in kept)
     assert groups == ["-", "-", "a", "b", "c", "d"]
     assert [r.doc_id for r in kept if r.tag == "c"] == [6]
+
+
+def test_a_template_of_unlinked_documents(spark, monkeypatch):
+    """Many documents on one template, none linked but for planted pairs: the
+    longer prefixes part them, and no pair is lost."""
+    monkeypatch.setattr(N, "REGION", 100)
+    met, went, deeper = N.meetings, [], N.deeper_regions
+    monkeypatch.setattr(N, "deeper_regions", lambda *a: went.append(a) or deeper(*a))
+    monkeypatch.setattr(N, "meetings", lambda large, groups: met(large, groups) if large.agg(N.F.max("n")).first()[0] < 400
+                        else pytest.fail("left to the last resort"))
+    frame = " ".join(f"t{i}" for i in range(80))
+    rows = [(i, frame + " " + " ".join(f"d{i // 2 if i < 20 else i}x{j}" for j in range(40)) + (" z" if i < 20 and i % 2 else ""))
+            for i in range(600)]
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3).collect()}
+    assert got == {i: i // 2 * 2 if i < 20 else i for i in range(600)}
+    assert went  # to longer prefixes
+
+
+def test_misses_stay_below_the_bound():
+    for t in (0.8, 0.85):
+        for depth in N.DEEPER:
+            n = N.trees_for(depth, t)
+            assert (1 - t ** depth) ** n <= N.MISS < (1 - t ** depth) ** (n - 1)
+
+
+def test_repeated_rows_reach_a_block_once_per_partition(spark):
+    a, b = (" ".join(f"a{i}" for i in range(50)) + x for x in ("", " x"))
+    df = spark.createDataFrame([(5, a)] * 4000 + [(9, b)], "doc_id long, text string").repartition(4)
+    docs = df.withColumn("text_hash", N.F.xxhash64("text"))
+    keys = docs.distinct().select("doc_id", "text_hash", N.F.lit(1).cast("bigint").alias("block"))
+    assert N.texts_of(docs, keys, "block").count() <= 5
+    assert {r.component_id for r in N.near_duplicates(df).collect()} == {5}
