@@ -47,8 +47,8 @@ FUNCTIONS = {
     "J2": "operators.similar.not_yet_seen; sources.keyindex.files_that_may_hold", "V1": "operators.similar.preference_vectors",
     "V2": "operators.similar.cosine_scores", "V3": "operators.similar.recommend / top_k_neighbours / top_k_pruned",
     "V4": "operators.similar.knn_regress",
-    "L1": "operators.models.train_boosted_regressor (operators.boosting)", "L2": "operators.models.train_rf_regressor (operators.forests)",
-    "L3": "operators.models.train_gbt_classifier", "L4": "operators.models.train_rf_classifier (operators.forests)",
+    "L1": "operators.models.train_boosted_regressor(operators.boosting)", "L2": "operators.models.train_rf_regressor(operators.forests)",
+    "L3": "operators.models.train_gbt_classifier", "L4": "operators.models.train_rf_classifier(operators.forests)",
     "L5": "operators.models.train_ridge_loo / train_ridge_cv", "L6": "operators.models.train_lasso_cv",
     "L7": "operators.models.train_stack", "L8": "operators.models.train_rbf_regressor",
     "L9": "operators.models.random_search", "L10": "operators.models.feature_importance",
