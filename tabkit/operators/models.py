@@ -764,7 +764,8 @@ def spark_learner(make: Callable[[DataFrame], PipelineModel]) -> BaseLearner:
 
 
 def knn_learner(id_col: str, features: Sequence[str], label: str, k: int = 20) -> BaseLearner:
-    """k-nearest-neighbour regression (V4) as a base learner."""
+    """k-nearest-neighbour regression (V4) as a base learner; rows of few
+    features form clusters, so in large tables pivots rule partitions out."""
     from tabkit.operators.similar import as_vector, knn_regress
 
     def fit(train: DataFrame):
@@ -772,7 +773,7 @@ def knn_learner(id_col: str, features: Sequence[str], label: str, k: int = 20) -
 
         def score(df: DataFrame) -> DataFrame:
             q = df.select(id_col, as_vector(features).alias("__vec"))
-            pred = knn_regress(tr, q, id_col, "__vec", label, k, PREDICTION)
+            pred = knn_regress(tr, q, id_col, "__vec", label, k, PREDICTION, prune=None)
             return df.join(pred, id_col, "left")
         return score
     return fit
@@ -803,7 +804,7 @@ class StackModel:
     id_col: str
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = df
+        out = df = materialize(df)  # read by every base
         for name, score in self.bases.items():
             out = out.join(score(df).select(self.id_col, F.col(PREDICTION).alias(f"pred_{name}")),
                            self.id_col, "left")

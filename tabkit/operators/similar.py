@@ -577,6 +577,8 @@ def top_k_pruned(queries: DataFrame, items: DataFrame, q_id: str, q_vec: str, i_
     return best.select(F.col("q").alias(q_id), "rank", F.col("i").alias(i_id), score.alias("score")), stats
 
 
+# From this many pairs on, a search that may choose skips partitions.
+PRUNE_PAIRS = 2_000_000_000
 # Above this many (distinct vector x k) result rows the fan-out join is a
 # shuffle join instead of a broadcast.
 BROADCAST_RESULT_ROWS = 2_000_000
@@ -612,11 +614,14 @@ def recommend(prefs: DataFrame, items: DataFrame, item_id: str, k: int = 10,
 
 
 def knn_regress(train: DataFrame, query: DataFrame, id_col: str, vec_col: str, target: str,
-                k: int = 20, out_col: str = "prediction", prune: bool = False, **kw) -> DataFrame:
+                k: int = 20, out_col: str = "prediction", prune: bool | None = False, **kw) -> DataFrame:
     """V4: k-nearest-neighbours regression -- the mean ``target`` of the
     ``k`` nearest training rows (euclidean) for each query row.  ``prune``
     skips blocks by pivots (:func:`top_k_pruned`): the same result, worth it for
-    large training sets whose vectors form clusters."""
+    large training sets whose vectors form clusters (None: from ``PRUNE_PAIRS``
+    pairs on)."""
+    if prune is None:
+        prune = train.count() * query.count() >= PRUNE_PAIRS
     sides = (query.select(id_col, vec_col), train.select(F.col(id_col).alias("__train_id"), vec_col),
              id_col, vec_col, "__train_id", vec_col, k, "euclidean")
     nn = top_k_pruned(*sides, **kw)[0] if prune else top_k_neighbours(*sides, **kw)
