@@ -10,7 +10,11 @@ Method.  Every byte is one Latin-1 character, so a ``pyahocorasick``
 automaton over the vocabulary finds all tokens inside a piece in one pass.
 From each position the longest match is tried first; a token may follow its
 predecessor only if merging would leave the border between the two alone
-(memoised per token pair).  Where nothing fits, the last token is taken back
+(memoised per token pair).  A sequence all of whose borders hold is the one
+right sequence of its bytes, so two tokens that may not follow each other give
+way to the ids of their joint bytes (memoised too) if the border before holds
+then.  If it does not, the search goes on from the first border that failed:
+where nothing fits, the last token is taken back
 and its next shorter match tried, and the abandoned position is never entered
 again -- a valid sequence for a prefix is unique, so every position is
 abandoned once at most; each match is searched in a slice no longer than the
@@ -26,9 +30,11 @@ that clashes with one of them is an error.
 from __future__ import annotations
 
 import base64
+import string
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
+from struct import Struct
 
 import ahocorasick
 import numpy as np
@@ -44,16 +50,27 @@ from tabkit.llm.common import Memo, check_free, holds, slices, task_memory
 MAX_RANK_FILE = 64 * 1024 * 1024
 #: Longer pieces are not kept in a memo.
 MEMO_PIECE = 64
+#: Marks that the pattern parts from a letter before them.
+MARKS = frozenset(string.punctuation)
 #: Entries of a worker's memos (each held twice at most): of chunks between
-#: blanks, of pieces inside them, and of adjacent tokens.
-MEMO_CHUNKS, MEMO_PIECES, MEMO_FITS = 200_000, 50_000, 150_000
+#: blanks, of pieces inside them, of adjacent tokens, and of those that do not stay.
+MEMO_CHUNKS, MEMO_PIECES, MEMO_FITS, MEMO_MENDED = 200_000, 50_000, 150_000, 50_000
 
 
 class TextMemo(Memo):
-    """A memo that does not keep long texts."""
+    """A memo that does not keep long texts and those that run over lines."""
 
     def __missing__(self, text: str) -> bytes:
-        return super().__missing__(text) if len(text) <= MEMO_PIECE else self.make(text)
+        value = self.older.get(text)
+        if value is None:
+            value = self.make(text)
+            if len(text) > MEMO_PIECE or text.find("\n", 1) > 0:
+                return value
+        if len(self) >= self.entries:
+            self.older = dict(self)
+            self.clear()
+        self[text] = value
+        return value
 
 
 class _Edge(Exception):
@@ -77,26 +94,23 @@ class TokenBytes:
         self._row = self._laid({number: token for token, number in read_tokens(rank_lines).items()})
 
     @staticmethod
-    def _laid(tokens: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All tokens' bytes in one row, with the start and length of each
-        id; -1 for ids that the vocabulary lacks."""
-        size = max(tokens) + 1
-        start, length = np.zeros(size, np.int64), np.full(size, -1, np.int64)
-        for number, token in tokens.items():
-            length[number] = len(token)
-        start[1:] = np.cumsum(np.maximum(length, 0))[:-1]
-        return np.frombuffer(b"".join(tokens[n] for n in sorted(tokens)), np.uint8), start, length
+    def _laid(tokens: dict[int, bytes]) -> pa.BinaryArray:
+        """The bytes of each id; null for ids that the vocabulary lacks."""
+        return pa.array([tokens.get(n) for n in range(max(tokens) + 1)], pa.binary())
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of rows of ids that lie one after another in ``ids``, row k
         up to ``ends[k]``; returned the same way."""
-        blob, start, length = self._row
-        ids = ids.astype(np.int64)
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(length) or (length[ids] < 0).any()):
+        if not len(ids):
+            return np.zeros(0, np.uint8), np.zeros(len(ends), np.int32)
+        if ids.min() < 0 or ids.max() >= len(self._row):
             raise ValueError("an id that is not in the vocabulary")
-        after = np.concatenate([[0], np.cumsum(length[ids])])
-        source = np.repeat(start[ids] - after[:-1], length[ids]) + np.arange(after[-1])
-        return blob[source], after[ends]
+        found = self._row.take(pa.array(ids))  # laid one after another
+        if found.null_count:
+            raise ValueError("an id that is not in the vocabulary")
+        _, after, data = found.buffers()
+        after = np.frombuffer(after, np.int32, len(ids) + 1)
+        return np.frombuffer(data, np.uint8, after[-1]), after[ends]
 
 
 class BytePairCodec(TokenBytes):
@@ -109,21 +123,28 @@ class BytePairCodec(TokenBytes):
         self.length = {number: len(token) for token, number in self.rank.items()}
         self.longest = max(map(len, self.rank), default=1)
         self.pieces = regex.compile(pattern)
+        self._pack = [Struct(f"<{n}i").pack for n in range(MEMO_PIECE)]
         self._halves = Memo(self._last_merge, entries=1 << 30)  # one entry per token
         self._shorter = Memo(self._next_shorter, entries=1 << 30)  # one entry per token
         self._fits = Memo(self._may_follow, MEMO_FITS)
+        self._mended = Memo(self._mend, MEMO_MENDED)
         self._piece = TextMemo(self._encode_piece, MEMO_PIECES)
         self._chunk = TextMemo(self._encode_chunk, MEMO_CHUNKS)
 
     def forget(self) -> None:
-        """Drop what was remembered of texts."""
-        for memo in (self._fits, self._piece, self._chunk):
+        """Drop what was remembered of texts.  Which tokens may follow each
+        other depends on the vocabulary alone and stays for the next task."""
+        for memo in (self._piece, self._chunk):
             memo.forget()
 
     @cached_property
-    def _row(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _row(self) -> pa.BinaryArray:
         return self._laid(self.token)
 
+    @cached_property
+    def _line_end(self) -> bytes:
+        return self._pieces("\n")
+
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
@@ -185,27 +206,50 @@ class BytePairCodec(TokenBytes):
         whole = self.rank.get(raw)
         if whole is not None:
             return whole.to_bytes(4, "little")
-        text, n, length, fits, shorter = raw.decode("latin-1"), len(raw), self.length, self._fits, self._shorter
-        longest, reach = self.automaton.iter_long, self.longest
+        fits, longest = self._fits, self.automaton.iter_long
+        text = piece if len(raw) == len(piece) else raw.decode("latin-1")
         # taking the longest match again and again is right for many pieces;
-        # for others, go on from the first border that does not hold
+        # for others, the two tokens at a border that does not hold give way
+        # to the ids of their joint bytes, which end where they did
         ids = [token for _, token in longest(text)]
-        good = 1
-        while good < len(ids) and fits[ids[good - 1] << 32 | ids[good]]:
-            good += 1
-        if good >= len(ids):
-            return _packed(ids)
-        at = sum(map(length.__getitem__, ids[:good]))
-        untried = {at: shorter[ids[good]]}  # per position: the longest token not tried there yet
-        del ids[good:]
+        left, good = ids[0], 0
+        out = [left]
+        for right in ids[1:]:
+            border = left << 32 | right
+            if fits[border]:
+                out.append(right)
+                left = right
+            else:
+                good = good or len(out)
+                out.pop()
+                mended = self._mended[border]
+                if out and not fits[out[-1] << 32 | mended[0]]:
+                    return self._go_on(text, ids[:good])
+                out += mended
+                left = mended[-1]
+        return self._packed(out)
+
+    def _mend(self, pair: int) -> tuple[int, ...]:
+        """Ids of the joint bytes of two tokens that do not stay as they are."""
+        joint = self.token[pair >> 32] + self.token[pair & 0xFFFFFFFF]
+        return tuple(np.frombuffer(self._go_on(joint.decode("latin-1"), []), "<i4").tolist())
+
+    def _go_on(self, text: str, ids: list[int]) -> bytes:
+        """Ids of a piece that begins with the longest matches ``ids``, whose
+        borders hold."""
+        n, length, fits, shorter = len(text), self.length, self._fits, self._shorter
+        longest, reach = self.automaton.iter_long, self.longest
+        at = sum(map(length.__getitem__, ids))
+        untried: dict[int, int] = {}  # per position: the longest token not tried there yet
         dead: set[int] = set()
         while at < n:
             token = untried.get(at)
             if token is None:
                 _, token = next(longest(text[at:at + reach]))
+            left = ids[-1] << 32 if ids else -1
             while token >= 0:
                 after = at + length[token]
-                if after not in dead and (not ids or fits[ids[-1] << 32 | token]):
+                if after not in dead and (left < 0 or fits[left | token]):
                     break
                 token = shorter[token]
             if token >= 0:
@@ -219,19 +263,36 @@ class BytePairCodec(TokenBytes):
                 untried[at] = shorter[last]
             else:
                 raise ValueError("the vocabulary does not cover every byte")
-        return _packed(ids)
+        return self._packed(ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return self._pack[len(ids)](*ids) if len(ids) < MEMO_PIECE else np.array(ids, "<i4").tobytes()
 
     def _pieces(self, text: str) -> bytes:
         """Ids of a text, by all matches of the pattern."""
         return b"".join(map(self._piece.__getitem__, self.pieces.findall(text)))
 
+    def _line_start(self, part: str) -> bytes:
+        """Ids of what follows a line's end."""
+        return self._piece[part] if part.isalpha() else self._pieces(part)
+
     def _encode_chunk(self, chunk: str) -> bytes:
         """Ids of one space and what follows it up to the next space."""
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise _Edge
         if chunk.isalpha():  # one match of the pattern
             return self._encode_piece(" " + chunk)
-        return self._pieces(" " + chunk)
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise _Edge
+        if chunk[-1] in MARKS and (word := chunk[:-1]).isalpha():  # two
+            return self._chunk[word] + self._piece[chunk[-1]]
+        if "\n" in chunk:
+            first, *rest = chunk.split("\n")
+            if not any(not part or part[0].isspace() or part[-1].isspace() for part in rest) and not first[-1].isspace():
+                # a line's end between two non-space characters is one match
+                return self._chunk[first] + b"".join([self._line_end + self._line_start(part) for part in rest])
+        found = self.pieces.findall(" " + chunk)
+        if found and found[0].startswith(" ") and found[0][1:].isalpha():  # a word is kept in one place
+            return self._chunk[found[0][1:]] + b"".join(map(self._piece.__getitem__, found[1:]))
+        return b"".join(map(self._piece.__getitem__, found))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Token ids of a whole text."""
@@ -255,10 +316,6 @@ class BytePairCodec(TokenBytes):
             return self._pieces(text)
 
 
-def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<i4").tobytes()
-
-
 _HELD: dict[tuple, BytePairCodec | TokenBytes] = {}
 holds("bpe", _HELD.clear)
 

@@ -2,9 +2,12 @@
 
 import base64
 import hashlib
+import string
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -103,3 +106,90 @@ def test_long_pieces_take_time_in_proportion():
         assert codec.decode(ids, np.array([len(ids)]))[0].tobytes() == text[:n].encode()
     assert times[400_000] < 16 * times[50_000] + 1  # eight times the length
     assert codec.encode(text[:3000]).tolist() == enc.encode_ordinary(text[:3000])
+
+
+def test_marks_after_words(pair):
+    codec, enc = pair
+    letters = ["word", "é", "ß", "漢", "ªº", "ǅ", "ʰa", "a\u0301", "٣", "x9"]
+    marks = [*string.punctuation, "。", "’", "\u0301", "\x1c", "\u00a0"]
+    text = " ".join(f"{w}{m} {w}{m}{m} {m}{w} {w}{m}s {w}{m}{w}" for w in letters for m in marks)
+    for part in [text, *text.split(" "), "it's we'll' don't, can't. o'"]:
+        for given in (part, "to " + part):
+            assert codec.encode(given).tolist() == enc.encode_ordinary(given), given
+
+
+def test_a_word_is_encoded_once_whatever_follows_it(monkeypatch):
+    seen = []
+    make = bpe.BytePairCodec._encode_piece
+    monkeypatch.setattr(bpe.BytePairCodec, "_encode_piece", lambda self, piece: seen.append(piece) or make(self, piece))
+    codec = bpe.BytePairCodec(bpe.read_ranks(P.path(FILES[0])), P.PATTERN)
+    codec.encode("so zyxwvu zyxwvu, zyxwvu. (zyxwvu) zyxwvu.\nzyxwvu zyxwvu?!")
+    assert seen.count(" zyxwvu") == 1
+
+
+def test_adjacency_of_tokens_outlives_a_task():
+    codec, enc = _cached()
+    text = "zyxwvu vwxyzab qwertzu"
+    codec.encode(text)
+    codec.forget()
+    checks = dict(codec._fits)
+    assert checks and not codec._chunk and not codec._piece
+    assert codec.encode(text).tolist() == enc.encode_ordinary(text)
+    assert dict(codec._fits) == checks
+
+
+def test_decoding_takes_little_memory_beside_its_result():
+    table = bpe.TokenBytes(bpe.read_ranks(P.path(FILES[0])))
+    ids = np.tile(np.arange(50_000, dtype=np.int32), 20)
+    ends = np.array([0, 10, 10, len(ids)])
+    size = sum(map(len, bpe.read_tokens(bpe.read_ranks(P.path(FILES[0])))))
+    tracemalloc.start()
+    held = pa.total_allocated_bytes()
+    data, at = table.decode(ids, ends)
+    used = pa.total_allocated_bytes() - held + tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert at[0] == 0 and at[1] == at[2] and at[3] == len(data) > size
+    assert used < 4 * len(data)
+    with pytest.raises(ValueError):
+        table.decode(np.array([0, 10**6], np.int32), np.array([2]))
+    with pytest.raises(ValueError):
+        table.decode(np.array([0, -1], np.int32), np.array([2]))
+    assert table.decode(np.zeros(0, np.int32), np.array([0, 0]))[1].tolist() == [0, 0]
+
+
+def test_ids_that_the_vocabulary_lacks():
+    table = bpe.TokenBytes(b"YQ== 0\nYg== 2\n")
+    assert table.decode(np.array([0, 2, 0], np.int32), np.array([1, 3]))[0].tobytes() == b"aba"
+    with pytest.raises(ValueError):
+        table.decode(np.array([0, 1], np.int32), np.array([2]))
+
+
+def test_line_ends_between_words(pair):
+    codec, enc = pair
+    ends = ["\n", "\n\n", "\n\n\n", " \n", "\n ", "\r\n", "\n\t", "\t\n", "\n\x1c", "\n\u00a0", ".\n(", ",\n'"]
+    for text in [f"{a}{end}{b}" for end in ends for a in ("to word", "x9.", "") for b in ("Next line", "'s", "\u0301", "")]:
+        assert codec.encode(text).tolist() == enc.encode_ordinary(text), text
+    text = " ".join(f"a{end}b" for end in ends)
+    assert codec.encode(text).tolist() == enc.encode_ordinary(text)
+
+
+def test_words_whose_longest_matches_do_not_hold(pair):
+    import random
+    codec, enc = pair
+    rng = random.Random(5)
+    parts = ["th", "er", "ing", "tion", "ver", "heit", "ß", "ñ", "ción", "z", "q", "漢"]
+    words = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(3000)]
+    assert codec.encode(" ".join(words)).tolist() == enc.encode_ordinary(" ".join(words))
+    assert codec._mended  # borders that did not hold
+    assert codec.encode("".join(words)).tolist() == enc.encode_ordinary("".join(words))
+
+
+def test_memos_stay_bounded(monkeypatch):
+    """With memos of a few entries: the same ids, no memo above its bound."""
+    for name in ("MEMO_CHUNKS", "MEMO_PIECES", "MEMO_FITS", "MEMO_MENDED"):
+        monkeypatch.setattr(bpe, name, 3)
+    codec = bpe.BytePairCodec(bpe.read_ranks(P.path(FILES[0])), P.PATTERN)
+    text = "verheiting thertion, ingver.\nzerq tionheit verzing qerth thverer, erction ingheitz" * 3
+    assert codec.encode(text).tolist() == _cached()[1].encode_ordinary(text)
+    for memo in (codec._chunk, codec._piece, codec._fits, codec._mended):
+        assert len(memo) <= 3 and len(memo.older) <= 3
