@@ -132,9 +132,8 @@ class BytePairCodec(TokenBytes):
         self._chunk = TextMemo(self._encode_chunk, MEMO_CHUNKS)
 
     def forget(self) -> None:
-        """Drop what was remembered of texts.  Which tokens may follow each
-        other depends on the vocabulary alone and stays for the next task."""
-        for memo in (self._piece, self._chunk):
+        """Drop what was remembered of texts."""
+        for memo in (self._fits, self._mended, self._piece, self._chunk):
             memo.forget()
 
     @cached_property

@@ -127,15 +127,15 @@ def test_a_word_is_encoded_once_whatever_follows_it(monkeypatch):
     assert seen.count(" zyxwvu") == 1
 
 
-def test_adjacency_of_tokens_outlives_a_task():
+def test_nothing_of_texts_outlives_a_task():
     codec, enc = _cached()
-    text = "zyxwvu vwxyzab qwertzu"
-    codec.encode(text)
-    codec.forget()
-    checks = dict(codec._fits)
-    assert checks and not codec._chunk and not codec._piece
-    assert codec.encode(text).tolist() == enc.encode_ordinary(text)
-    assert dict(codec._fits) == checks
+    text = "zyxwvu vwxyzab, qwertzu thertionverheit"
+    for _ in range(2):
+        assert codec.encode(text).tolist() == enc.encode_ordinary(text)
+        assert codec._fits and codec._mended and codec._chunk and codec._piece
+        codec.forget()
+        for memo in (codec._fits, codec._mended, codec._chunk, codec._piece):
+            assert not memo and not memo.older
 
 
 def test_decoding_takes_little_memory_beside_its_result():
