@@ -15,18 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabkit.llm import bpe, mixing, near_dups, quality
-from tabkit.session import scratch_path
+from tabkit.session import bound_batches, scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed quality rules keep."""
+    bound_batches(spark)
     return quality.keep_good(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group (five-word shingles, similarity 0.8)."""
+    bound_batches(spark)
     return near_dups.keep_one(docs, width=5, threshold=(80, 100))
 
 

@@ -2,7 +2,8 @@
 
 ``encode`` adds the token ids of a text column, ``decode`` turns ids back
 into bytes.  Both are row-local: Spark splits the rows, nothing is shuffled,
-and a lost task is simply run again.  The rank file (about 1 MB) is read once
+and a lost task is simply run again; batches of rows are bounded in bytes
+(``session.bound_batches``).  The rank file (about 1 MB) is read once
 by the driver, checked against ``MAX_RANK_FILE`` and broadcast, so executors
 need no file of their own.
 
@@ -45,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tabkit.llm.common import Memo, check_free, holds, slices, task_memory
+from tabkit.session import bound_batches
 
 #: A rank file above this size is refused (it is broadcast).
 MAX_RANK_FILE = 64 * 1024 * 1024
@@ -339,6 +341,7 @@ def read_ranks(path: str) -> bytes:
 def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with the token ids of column ``text`` as ``array<int>``."""
     check_free(df, out)
+    bound_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     at = df.columns.index(text)
 
@@ -361,6 +364,7 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids", out: s
     """``df`` with the bytes of the token ids in column ``ids``.  An id that
     the vocabulary lacks is an error."""
     check_free(df, out)
+    bound_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     at = df.columns.index(ids)
 

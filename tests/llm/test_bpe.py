@@ -193,3 +193,26 @@ def test_memos_stay_bounded(monkeypatch):
     assert codec.encode(text).tolist() == _cached()[1].encode_ordinary(text)
     for memo in (codec._chunk, codec._piece, codec._fits, codec._mended):
         assert len(memo) <= 3 and len(memo.older) <= 3
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """A batch of texts does not hold a whole partition (it was up to 64 MB,
+    in every Python worker of a task)."""
+    from tabkit.session import BATCH_KEY
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    df = spark.range(5000, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+    was = spark.conf.get(BATCH_KEY, None)
+    try:
+        for make in (lambda: bpe.encode(df, P.path(FILES[0]), P.PATTERN), lambda: bpe.decode(df.selectExpr("array(1) AS ids"), P.path(FILES[0]), P.PATTERN)):
+            spark.conf.unset(BATCH_KEY)
+            make()
+            assert max(r.n for r in df.mapInArrow(sizes, "n long").collect()) < 4_000_000
+        spark.conf.set(BATCH_KEY, "8m")  # a bound of the session's own stays
+        make()
+        assert spark.conf.get(BATCH_KEY) == "8m"
+    finally:
+        spark.conf.unset(BATCH_KEY) if was is None else spark.conf.set(BATCH_KEY, was)
