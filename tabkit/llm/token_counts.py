@@ -47,6 +47,15 @@ UNKNOWN_PENALTY = 10.0
 MAX_PIECES = 2_000_000
 #: Longer parts are not remembered.
 MEMO_PART = 64
+#: Parts that a worker remembers (held twice at most).
+MEMO_PARTS = 200_000
+
+
+class PartMemo(Memo):
+    """A memo that does not keep long parts."""
+
+    def __missing__(self, part: str) -> tuple[int, int, float]:
+        return super().__missing__(part) if len(part) <= MEMO_PART else self.make(part)
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:
@@ -67,6 +76,7 @@ class UnigramCounter:
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score))
+        self.single = frozenset(piece for piece, _ in pieces if len(piece) == 1)
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
         if any(re.search(f"[^{MARK}]{MARK}", piece) for piece, _ in pieces):
@@ -75,7 +85,7 @@ class UnigramCounter:
             self.parts = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         else:
             self.parts = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
-        self._part = Memo(self.count_part)
+        self._part = PartMemo(self.count_part, MEMO_PARTS)
 
     def forget(self) -> None:
         """Drop what was remembered of texts."""
@@ -83,6 +93,31 @@ class UnigramCounter:
 
     def count_part(self, part: str) -> tuple[int, int, float]:
         """Tokens, those of them that are fallback bytes, and score."""
+        return self._plain(part) if self.single.issuperset(part) else self._any(part)
+
+    def _plain(self, part: str) -> tuple[int, int, float]:
+        """The same where every character is a piece: none is passed, so that
+        only the matches have to be walked through."""
+        best, back = [], []  # score and begin of the last piece, before each character
+        last, top, begin = -1, 0.0, 0
+        for end, (length, score) in self.automaton.iter(part):
+            start = end + 1 - length
+            if end != last:
+                best.append(top)
+                back.append(begin)
+                top, begin, last = best[start] + score, start, end
+            else:
+                score += best[start]
+                if score > top or score == top and start < begin:
+                    top, begin = score, start
+        tokens, at = 0, len(part)
+        back.append(begin)
+        while at:
+            at = back[at]
+            tokens += 1
+        return tokens, 0, top
+
+    def _any(self, part: str) -> tuple[int, int, float]:
         n = len(part)
         best, tokens, spare = [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         matches = self.automaton.iter(part)
@@ -108,8 +143,7 @@ class UnigramCounter:
         if not text:
             return 0, 0, 0.0
         parts = self.parts.findall(MARK + text.replace(" ", MARK))
-        found = [self._part[p] if len(p) <= MEMO_PART else self.count_part(p) for p in parts]
-        tokens, spare, scores = zip(*found)
+        tokens, spare, scores = zip(*map(self._part.__getitem__, parts))
         return sum(tokens), sum(spare), sum(scores)
 
 

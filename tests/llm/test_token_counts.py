@@ -58,6 +58,28 @@ def test_ties_and_scores_on_a_small_vocabulary():
             assert counter.count(text)[:2] == reference(tokenizer, text), text
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abcdetionsh.,▁é", max_size=80))
+def test_parts_of_plain_characters_take_the_short_way(text):
+    """What the short way finds is what the general one finds, score and all."""
+    counter, _ = both()
+    if text:
+        assert counter.single.issuperset(text)
+        assert counter._plain(text) == counter._any(text) == counter.count_part(text)
+
+
+def test_parts_are_remembered():
+    counter = C.UnigramCounter(C.read_pieces(PATH))
+    made = []
+    counter._part.make = lambda part: made.append(part) or counter.count_part(part)
+    words = [f"{i:06d}" for i in range(120_000)]
+    for _ in range(2):
+        counter.count(" ".join(words))
+    assert len(made) == len(words)  # none was counted twice
+    long = "x" * (C.MEMO_PART + 1)
+    assert counter.count(long) == counter.count(long) and made[-1] == C.MARK + long and C.MARK + long not in counter._part
+
+
 def test_query(spark, sf_dir):
     counter, tokenizer = both()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
