@@ -178,6 +178,13 @@ def signatures(docs: DataFrame, width: int, depth: int) -> DataFrame:
         run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, node binary, bits binary, regions array<bigint>")
 
 
+def light(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, to be broadcast in joins if ``rows`` is ``BROADCAST_ROWS`` at
+    most: a join by key of small tables costs two exchanges and meets in one
+    task what belongs to a hot key."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def dealt(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of ``tree``, ``region``, ``node``: neighbourhoods of about ``REGION``
     classes at most, as ``region``, ``node`` (larger ones in random parts), and
@@ -204,7 +211,7 @@ def unsettled(large: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame
         .withColumn("root", F.coalesce("root", "node"))
     sizes = parted.groupBy("region", "root").agg(F.count("*").alias("m")).groupBy("region").agg(
         (F.sum("m") - F.max("m")).alias("outside")).where("outside > 0")
-    several = materialize(large.join(sizes, "region"))
+    several = materialize(large.join(light(sizes, large.count() // REGION), "region"))
     few = F.col("outside") <= REGION
     return several.where(few).drop("outside"), several.where(~few).drop("outside")
 
@@ -275,7 +282,7 @@ def meetings(large: DataFrame, groups: DataFrame) -> DataFrame:
     tops = counts.groupBy("region").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("all")) \
         .where(F.col("all") > F.col("top.m"))
     parts, chunks = F.ceil(F.col("n") / REGION), F.ceil((F.col("all") - F.col("top.m")) / REGION)
-    rows = (parted.join(tops, "region").withColumn("outside", F.col("root") != F.col("top.root"))
+    rows = (parted.join(light(tops, large.count() // REGION), "region").withColumn("outside", F.col("root") != F.col("top.root"))
             .withColumn("parts", parts).withColumn("chunks", chunks)
             .withColumn("part", F.pmod(F.xxhash64("node", F.lit(4)), "parts"))
             .withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(5)), "chunks")))
@@ -315,7 +322,7 @@ def _spans(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def candidate_rows(regions: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """``u``, ``v`` (``u`` > ``v``): each member of a candidate group and the
-    group's smallest member, per region."""
+    group's smallest member, per region (so a row may come many times)."""
     threshold = num / den
     width = TREES * DEPTH
     low = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / width)
@@ -361,29 +368,38 @@ def candidate_rows(regions: DataFrame, classes: DataFrame, num: int, den: int) -
 
     rows = regions.join(classes.select("node", "bits", "n_shingles"), "node").select("region", "node", "bits", "n_shingles")
     n = max(1, int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (rows.repartition(n, "region").sortWithinPartitions("region", "node")
-            .mapInArrow(run, "u binary, v binary").distinct())
+    return rows.repartition(n, "region").sortWithinPartitions("region", "node").mapInArrow(run, "u binary, v binary")
 
 
 def stars(edges: DataFrame) -> DataFrame:
     """``u``, ``v``: every node of the graph but the roots, with the smallest
     node that it reaches.  Alternating large-star and small-star steps, each a
-    partial aggregate and a join over the edges; edges are cut off by
-    ``checkpoint`` after each round."""
+    partial aggregate and a join over the edges, until every node but the roots
+    has one edge, to a root; edges are cut off by ``checkpoint`` after each
+    round.  The joins of a small graph are broadcast, and so is the result."""
     e = materialize(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    seen = None
     while True:
+        rows, done = _settled(e)
+        if done:
+            return light(e, 2 * rows)
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(
             e.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("y > x").join(light(least, 2 * rows), "x").select(F.col("y").alias("u"), F.col("m").alias("v"))
+        if 2 * rows > BROADCAST_ROWS:
+            large = large.distinct()  # before it is shuffled
         root = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(root, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(light(root, 2 * rows), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = materialize(small.unionByName(root.select("u", F.col("m").alias("v"))).distinct())
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen:
-            return e
-        seen = tuple(state)
+
+
+def _settled(edges: DataFrame) -> tuple[int, bool]:
+    """The number of ``edges``, and whether each ``u`` has one and is no ``v``."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    rows, open_ = nodes.agg(F.sum("up"), F.max((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0))).first()
+    return rows or 0, not open_
 
 
 def _exact(names: list[bytes], sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
@@ -452,10 +468,11 @@ def _exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, width:
     groups ``groups`` (also as in :func:`stars`)."""
     grouped = groups.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         groups.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-    members = materialize(grouped.join(classes.select("node", "rep", "n_shingles"), "node"))
+    rows = 2 * groups.count()
+    members = materialize(classes.select("node", "rep", "n_shingles").join(light(grouped, rows), "node"))
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("bigint")
     sizes = members.groupBy("root").agg(blocks.alias("blocks"))
-    placed = materialize(members.join(sizes, "root").withColumn("part", F.pmod(F.xxhash64("node"), "blocks")))
+    placed = materialize(members.join(light(sizes, rows), "root").withColumn("part", F.pmod(F.xxhash64("node"), "blocks")))
     key = [F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash")]
     first = placed.select(*key, F.xxhash64("root", "part").alias("block"))
     many = placed.where("blocks > 1")
@@ -511,10 +528,13 @@ def _components(df: DataFrame, text: str, doc_id: str, width: int, threshold: tu
         groups = united(groups, candidate_rows(regions, classes, num, den))
     links = _exact_links(docs, classes, groups, width, num, den)
     # first document of each component, per class
-    rooted = classes.select("node", "rep").join(links.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left") \
-        .withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("rep").alias("top"))
-    named = materialize(rooted.join(least, "root").select("node", "top"))
+    rows = 2 * links.count()
+    ends = links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    reps = materialize(classes.select("node", "rep").join(light(ends, rows), "node"))
+    least = reps.groupBy("root").agg(F.min("rep").alias("top"))
+    linked = reps.join(light(least, rows), "root").select("node", "top")
+    named = classes.select("node", "rep").join(light(linked, rows), "node", "left").select("node", F.coalesce("top", "rep").alias("top"))
     out = (signed.select("doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
            .join(named, "node", "left")
            .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("top.doc_id"))))

@@ -136,3 +136,38 @@ def test_repeated_rows_reach_a_block_once_per_partition(spark):
     keys = docs.distinct().select("doc_id", "text_hash", N.F.lit(1).cast("bigint").alias("block"))
     assert N.texts_of(docs, keys, "block").count() <= 5
     assert {r.component_id for r in N.near_duplicates(df).collect()} == {5}
+
+
+@pytest.mark.parametrize("few", [0, 300_000])
+def test_components_of_a_graph(spark, monkeypatch, few):
+    """Paths, stars, a tangle, loops and repeated edges: each node but the
+    roots once, with the smallest node that it reaches; joined by key as well
+    as broadcast."""
+    monkeypatch.setattr(N, "BROADCAST_ROWS", few)
+    rng = random.Random(3)
+    name = [bytes(rng.randrange(256) for _ in range(4)) for _ in range(200)]
+    links = ([(i, i + 1) for i in range(40)] + [(50, i) for i in range(51, 90)] + [(99, i) for i in range(91, 99)]
+             + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(110)] + [(120, 120)]) * 2
+    least = list(range(200))
+    for _ in range(200):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b], key=lambda x: name[x])
+    made = spark.createDataFrame([(name[a], name[b]) for a, b in links], "u binary, v binary")
+    got = [(bytes(r.u), bytes(r.v)) for r in N.stars(made).collect()]
+    assert sorted(got) == sorted((name[i], name[least[i]]) for i in range(200) if least[i] != i)
+    assert N.stars(made.limit(0)).count() == 0
+
+
+def test_small_graphs_take_few_exchanges(spark):
+    """A graph that is settled takes no round, and the joins of a small one are broadcast."""
+    made, seen = spark.createDataFrame([(bytes([i]), bytes([i // 10])) for i in range(10, 90)], "u binary, v binary"), []
+    kept = N.materialize
+    N.materialize = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df)
+    try:
+        N.stars(made.where("u < X'0A' or v > X'00'"))
+        # nodes 1 to 8 are roots
+        assert len(seen) == 1
+        N.stars(made.unionByName(spark.createDataFrame([(b"\x0b", b"\x05")], made.schema)))
+    finally:
+        N.materialize = kept
+    assert len(seen) > 2 and not any("SortMergeJoin" in plan for plan in seen)
